@@ -19,7 +19,7 @@ def datelist_mask(dates: Column | str, as_of: Column | str) -> Column:
     )
     return F.aggregate(
         recent, F.lit(0).cast("long"),
-        lambda acc, d: acc + F.shiftleft(F.lit(1).cast("long"), F.lit(31) - F.datediff(ref, d)),
+        lambda acc, d: acc + F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(31) - F.datediff(ref, d)),
     )
 
 

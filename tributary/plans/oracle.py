@@ -114,3 +114,99 @@ SELECT player_id, round(first_pts, 4) AS first_pts, round(last_pts, 4) AS last_p
        round(last_pts / CASE WHEN first_pts = 0 THEN 1 ELSE first_pts END, 4) AS pts_ratio
 FROM snap WHERE current_season = 2001 AND scoring_class = 'star'
 """
+
+# --- facts ---------------------------------------------------------------------
+
+ORACLE["fact_dedup_game_details"] = """
+WITH d AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate, l_partkey, l_suppkey) AS rn
+  FROM lineitem),
+t AS (
+  SELECT d.*, o.o_custkey, o.o_orderdate, o.o_orderpriority,
+         CASE WHEN l_linenumber = 7 THEN ''
+              WHEN l_linenumber = 6 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
+              ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ':' ||
+                   lpad(CAST((l_linenumber * 7) % 60 AS VARCHAR), 2, '0') END AS clock
+  FROM d LEFT JOIN orders o ON d.l_orderkey = o.o_orderkey WHERE rn = 1)
+SELECT l_orderkey AS dim_game_id, l_linenumber AS dim_line,
+       CAST(o_orderdate AS DATE) AS dim_game_date, CAST(year(o_orderdate) AS INTEGER) AS dim_season,
+       l_suppkey AS dim_team_id, l_partkey AS dim_player_id,
+       (l_suppkey % 30) = (o_custkey % 30) AS dim_is_playing_at_home,
+       coalesce(position('URGENT' IN o_orderpriority), 0) > 0 AS dim_did_not_play,
+       coalesce(position('HIGH' IN o_orderpriority), 0) > 0 AS dim_did_not_dress,
+       coalesce(position('LOW' IN o_orderpriority), 0) > 0 AS dim_not_with_team,
+       round(try_cast(split_part(clock, ':', 1) AS DOUBLE)
+             + coalesce(try_cast(split_part(clock, ':', 2) AS DOUBLE), 0) / 60.0, 4) AS m_minutes,
+       l_quantity AS m_pts, round(l_extendedprice * (1 - l_discount), 4) AS m_revenue
+FROM t
+"""
+
+_ACTIVITY = """
+act AS (
+  SELECT DISTINCT e.user_id, e.device_id, n.n_name AS browser_type, e.date
+  FROM (SELECT user_id, json_extract_string(props, '$.k')::BIGINT % 25 AS device_id,
+               CAST(ts AS DATE) AS date FROM events) e
+  LEFT JOIN nation n ON CAST(n.n_nationkey AS BIGINT) = e.device_id
+  WHERE e.user_id IS NOT NULL AND e.device_id IS NOT NULL)
+"""
+
+ORACLE["fact_daily_device_activity"] = f"WITH {_ACTIVITY} SELECT * FROM act"
+
+ORACLE["fact_device_datelist"] = f"""
+WITH {_ACTIVITY},
+firsts AS (
+  SELECT user_id, device_id, browser_type, min(date) AS d0
+  FROM act WHERE date <= DATE '2024-01-30' GROUP BY ALL),
+cal AS (
+  SELECT user_id, device_id, browser_type,
+         CAST(unnest(generate_series(d0, DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS date
+  FROM firsts)
+SELECT c.user_id, c.device_id, c.browser_type, c.date,
+       count(*) AS n_days, min(a.date) AS first_active, max(a.date) AS last_active
+FROM cal c JOIN act a
+  ON c.user_id = a.user_id AND c.device_id = a.device_id
+ AND c.browser_type IS NOT DISTINCT FROM a.browser_type AND a.date <= c.date
+GROUP BY ALL
+"""
+
+ORACLE["fact_datelist_int"] = f"""
+WITH {_ACTIVITY}
+SELECT user_id, device_id, browser_type, DATE '2024-01-30' AS date,
+       CAST(sum(CASE WHEN DATE '2024-01-30' - date BETWEEN 0 AND 31
+                     THEN 1::BIGINT << (31 - (DATE '2024-01-30' - date)) ELSE 0 END) AS BIGINT) AS datelist_int,
+       lpad(bin(CAST(sum(CASE WHEN DATE '2024-01-30' - date BETWEEN 0 AND 31
+                     THEN 1::BIGINT << (31 - (DATE '2024-01-30' - date)) ELSE 0 END) AS BIGINT)), 32, '0')
+         AS datelist_bits
+FROM act WHERE date <= DATE '2024-01-30' GROUP BY ALL
+"""
+
+ORACLE["fact_host_datelist"] = """
+SELECT event_type AS host, CAST(date_trunc('month', ts) AS DATE) AS month_start,
+       count(DISTINCT CAST(ts AS DATE)) AS n_days, min(CAST(ts AS DATE)) AS first_day,
+       max(CAST(ts AS DATE)) AS last_day
+FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-30' GROUP BY 1, 2
+"""
+
+ORACLE["fact_host_datelist_upsert"] = ORACLE["fact_host_datelist"]
+
+ORACLE["fact_daily_host_metrics"] = """
+SELECT event_type AS host, CAST(ts AS DATE) AS date, count(*) AS hits,
+       count(DISTINCT user_id) AS unique_visitors
+FROM events GROUP BY 1, 2
+"""
+
+ORACLE["fact_host_activity_reduced"] = """
+WITH d AS (
+  SELECT event_type AS host, day(ts) AS dom, count(*) AS hits, count(DISTINCT user_id) AS uv
+  FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY 1, 2),
+slots AS (
+  SELECT h.host, s.dom FROM (SELECT DISTINCT host FROM d) h, range(1, 31) s(dom))
+SELECT s.host, DATE '2024-01-01' AS month_start, count(*) AS n_slots,
+       string_agg(CAST(coalesce(d.hits, 0) AS VARCHAR), ',' ORDER BY s.dom) AS hit_array,
+       string_agg(CAST(coalesce(d.uv, 0) AS VARCHAR), ',' ORDER BY s.dom) AS unique_visitors_array
+FROM slots s LEFT JOIN d ON s.host = d.host AND s.dom = d.dom
+GROUP BY s.host
+"""
+
+ORACLE["fact_host_activity_incremental"] = ORACLE["fact_host_activity_reduced"]

@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary import functions as fx
 from tributary.operators import cumulative as cu
+from tributary.operators import facts
 from tributary.operators import scd
 from tributary.plans import derive as dv
 
@@ -117,3 +119,109 @@ def q_dim_growth_ratio(spark, sf_dir):
                         only_class="star", out="pts_ratio")
     return g.select("player_id", _r4(F.col("first_pts")).alias("first_pts"),
                     _r4(F.col("last_pts")).alias("last_pts"), _r4(F.col("pts_ratio")).alias("pts_ratio"))
+
+
+# --- facts (F1-F13) -----------------------------------------------------------
+
+def _clock_text(q, ln):
+    """``"MM:SS"`` text from quantity and line number, with the malformed
+    shapes the reference meets ('' and minutes only)."""
+    mins = q.cast("int").cast("string")
+    return (F.when(ln == 7, F.lit("")).when(ln == 6, mins)
+            .otherwise(F.concat(mins, F.lit(":"), F.lpad(((ln * 7) % 60).cast("string"), 2, "0"))))
+
+
+@register("fact_dedup_game_details")
+def q_fact_dedup_game_details(spark, sf_dir):
+    li = dv.table(spark, sf_dir, "lineitem")
+    o = dv.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
+    d = facts.dedup(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
+    j = facts.enrich(d, o, on=["l_orderkey"], how="left")
+    return facts.project(j, {
+        "dim_game_id": "l_orderkey",
+        "dim_line": "l_linenumber",
+        "dim_game_date": F.to_date("o_orderdate"),
+        "dim_season": F.year("o_orderdate"),
+        "dim_team_id": "l_suppkey",
+        "dim_player_id": "l_partkey",
+        "dim_is_playing_at_home": (F.col("l_suppkey") % 30) == (F.col("o_custkey") % 30),
+        "dim_did_not_play": fx.flag_contains("o_orderpriority", "URGENT"),
+        "dim_did_not_dress": fx.flag_contains("o_orderpriority", "HIGH"),
+        "dim_not_with_team": fx.flag_contains("o_orderpriority", "LOW"),
+        "m_minutes": _r4(fx.clock_to_minutes(_clock_text(F.col("l_quantity"), F.col("l_linenumber")))),
+        "m_pts": "l_quantity",
+        "m_revenue": _r4(F.col("l_extendedprice") * (1 - F.col("l_discount"))),
+    })
+
+
+def device_activity(spark, sf_dir):
+    return facts.daily_activity(dv.web_events(spark, sf_dir), dv.devices(spark, sf_dir))
+
+
+DEVICE_KEYS = ["user_id", "device_id", "browser_type"]
+
+
+@register("fact_daily_device_activity")
+def q_fact_daily_device_activity(spark, sf_dir):
+    return device_activity(spark, sf_dir)
+
+
+@register("fact_device_datelist")
+def q_fact_device_datelist(spark, sf_dir):
+    dl = facts.datelist_range(device_activity(spark, sf_dir), DEVICE_KEYS, end=dv.EVENTS_AS_OF)
+    first, last = cu.first_last("device_activity_datelist")
+    return dl.select(*DEVICE_KEYS, "date", F.size("device_activity_datelist").cast("long").alias("n_days"),
+                     first.alias("first_active"), last.alias("last_active"))
+
+
+@register("fact_datelist_int")
+def q_fact_datelist_int(spark, sf_dir):
+    snap = facts.datelist_snapshot(device_activity(spark, sf_dir), DEVICE_KEYS, as_of=dv.EVENTS_AS_OF)
+    res = facts.datelist_int(snap, "device_activity_datelist", dv.EVENTS_AS_OF)
+    return res.select(*DEVICE_KEYS, "date", "datelist_int", "datelist_bits")
+
+
+def _host_days(df):
+    first, last = cu.first_last("host_activity_datelist")
+    return df.select("host", "month_start", F.size("host_activity_datelist").cast("long").alias("n_days"),
+                     first.alias("first_day"), last.alias("last_day"))
+
+
+@register("fact_host_datelist")
+def q_fact_host_datelist(spark, sf_dir):
+    return _host_days(facts.host_datelist(dv.web_events(spark, sf_dir), as_of=dv.EVENTS_AS_OF))
+
+
+@register("fact_host_datelist_upsert")
+def q_fact_host_datelist_upsert(spark, sf_dir):
+    ev = dv.web_events(spark, sf_dir)
+    day_before = "2024-01-29"
+    prev = facts.host_datelist(ev, as_of=day_before)
+    step = facts.host_datelist_step(prev, ev, dv.EVENTS_AS_OF)
+    return _host_days(facts.upsert(prev, step, ["host", "month_start"]))
+
+
+@register("fact_daily_host_metrics")
+def q_fact_daily_host_metrics(spark, sf_dir):
+    return facts.daily_host_metrics(dv.web_events(spark, sf_dir))
+
+
+def _arrays_text(df):
+    def txt(c):
+        return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return df.select("host", "month_start", F.size("hit_array").cast("long").alias("n_slots"),
+                     txt("hit_array").alias("hit_array"), txt("unique_visitors_array").alias("unique_visitors_array"))
+
+
+@register("fact_host_activity_reduced")
+def q_fact_host_activity_reduced(spark, sf_dir):
+    daily = facts.daily_host_metrics(dv.web_events(spark, sf_dir))
+    return _arrays_text(facts.monthly_arrays(daily, as_of=dv.EVENTS_AS_OF))
+
+
+@register("fact_host_activity_incremental")
+def q_fact_host_activity_incremental(spark, sf_dir):
+    daily = facts.daily_host_metrics(dv.web_events(spark, sf_dir))
+    prev = facts.monthly_arrays(daily, as_of="2024-01-29")
+    return _arrays_text(facts.monthly_arrays_step(prev, daily, dv.EVENTS_AS_OF))
