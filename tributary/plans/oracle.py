@@ -210,3 +210,80 @@ GROUP BY s.host
 """
 
 ORACLE["fact_host_activity_incremental"] = ORACLE["fact_host_activity_reduced"]
+
+# --- analytical patterns ---------------------------------------------------------
+
+ORACLE["pattern_state_change"] = f"""
+WITH {_ACTOR_SNAP}
+SELECT actorid, current_year, is_active,
+       CASE WHEN is_active AND NOT coalesce(bool_or(is_active) OVER before, false) THEN 'New'
+            WHEN is_active AND lag(is_active) OVER w0 THEN 'Continued Playing'
+            WHEN is_active THEN 'Returned from Retirement'
+            WHEN lag(is_active) OVER w0 IS NOT DISTINCT FROM true THEN 'Retired'
+            ELSE 'Stayed Retired' END AS player_state,
+       count(CASE WHEN is_active THEN current_year END) OVER upto AS n_years_active,
+       max(CASE WHEN is_active THEN current_year END) OVER upto AS last_active_year
+FROM snap
+WINDOW w0 AS (PARTITION BY actorid ORDER BY current_year),
+       before AS (PARTITION BY actorid ORDER BY current_year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+       upto AS (PARTITION BY actorid ORDER BY current_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+_GAME_DETAILS = """
+gd AS (SELECT l_partkey AS player_id, l_suppkey AS team_id, CAST(year(l_shipdate) AS INTEGER) AS season,
+              l_quantity AS pts FROM lineitem)
+"""
+
+ORACLE["pattern_grouping_sets"] = f"""
+WITH {_GAME_DETAILS}
+SELECT player_id, team_id, season, sum(pts) AS total_points, count(*) AS n_rows,
+       grouping_id(player_id, team_id, season) AS gid
+FROM gd GROUP BY GROUPING SETS ((player_id, team_id), (player_id, season), (team_id))
+"""
+
+ORACLE["pattern_top_player_team"] = f"""
+WITH {_GAME_DETAILS}
+SELECT player_id, team_id, sum(pts) AS total_points FROM gd GROUP BY 1, 2
+ORDER BY total_points DESC, player_id, team_id LIMIT 1
+"""
+
+ORACLE["pattern_top_player_season"] = f"""
+WITH {_GAME_DETAILS}
+SELECT player_id, season, sum(pts) AS total_points FROM gd GROUP BY 1, 2
+ORDER BY total_points DESC, player_id, season LIMIT 1
+"""
+
+_SIDES = """
+g AS (SELECT o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS game_date_est,
+             o_custkey % 30 AS home, (o_custkey + 7) % 30 AS vis,
+             CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS hw FROM orders),
+sides AS (SELECT game_id, game_date_est, home AS team_id, hw AS win FROM g
+          UNION ALL SELECT game_id, game_date_est, vis AS team_id, 1 - hw AS win FROM g)
+"""
+
+ORACLE["pattern_team_most_wins"] = f"""
+WITH {_SIDES}
+SELECT team_id, CAST(sum(win) AS BIGINT) AS total_wins FROM sides GROUP BY 1
+ORDER BY total_wins DESC, team_id LIMIT 1
+"""
+
+ORACLE["pattern_best_90_game_stretch"] = f"""
+WITH {_SIDES}
+SELECT team_id, CAST(max(r) AS BIGINT) AS max_wins_90_game_stretch FROM (
+  SELECT team_id, sum(win) OVER (PARTITION BY team_id ORDER BY game_date_est, game_id
+                                 ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS r FROM sides)
+GROUP BY team_id
+"""
+
+ORACLE["pattern_longest_streak"] = """
+WITH e AS (
+  SELECT user_id, ts, event_id, value > 10 AS c,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (
+  SELECT user_id, rn - row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS grp
+  FROM e WHERE c),
+runs AS (SELECT user_id, count(*) AS n FROM r GROUP BY user_id, grp)
+SELECT u.user_id, CAST(coalesce(max(runs.n), 0) AS BIGINT) AS longest_streak
+FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN runs ON u.user_id = runs.user_id
+GROUP BY u.user_id
+"""

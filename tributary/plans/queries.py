@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tributary import functions as fx
 from tributary.operators import cumulative as cu
 from tributary.operators import facts
+from tributary.operators import patterns as pt
 from tributary.operators import scd
 from tributary.plans import derive as dv
 
@@ -225,3 +226,50 @@ def q_fact_host_activity_incremental(spark, sf_dir):
     daily = facts.daily_host_metrics(dv.web_events(spark, sf_dir))
     prev = facts.monthly_arrays(daily, as_of="2024-01-29")
     return _arrays_text(facts.monthly_arrays_step(prev, daily, dv.EVENTS_AS_OF))
+
+
+# --- analytical patterns (A1-A8) ----------------------------------------------
+
+@register("pattern_state_change")
+def q_pattern_state_change(spark, sf_dir):
+    snap = actor_snapshots(spark, sf_dir)
+    return pt.state_change(snap, "actorid", "current_year", "is_active", out="player_state",
+                           years_out="n_years_active", last_out="last_active_year")
+
+
+@register("pattern_grouping_sets")
+def q_pattern_grouping_sets(spark, sf_dir):
+    gd = dv.game_details(spark, sf_dir)
+    return pt.grouping_sets(gd, [["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
+                            [F.sum("pts").alias("total_points"), F.count(F.lit(1)).alias("n_rows")])
+
+
+@register("pattern_top_player_team")
+def q_pattern_top_player_team(spark, sf_dir):
+    return pt.top_n(dv.game_details(spark, sf_dir), ["player_id", "team_id"], F.sum("pts"), 1,
+                    out="total_points")
+
+
+@register("pattern_top_player_season")
+def q_pattern_top_player_season(spark, sf_dir):
+    return pt.top_n(dv.game_details(spark, sf_dir), ["player_id", "season"], F.sum("pts"), 1,
+                    out="total_points")
+
+
+@register("pattern_team_most_wins")
+def q_pattern_team_most_wins(spark, sf_dir):
+    sides = pt.game_sides(dv.games(spark, sf_dir))
+    return pt.top_n(sides, ["team_id"], F.sum("win").cast("long"), 1, out="total_wins")
+
+
+@register("pattern_best_90_game_stretch")
+def q_pattern_best_90_game_stretch(spark, sf_dir):
+    sides = pt.game_sides(dv.games(spark, sf_dir))
+    return pt.best_stretch(sides, 90, out="max_wins_90_game_stretch")
+
+
+@register("pattern_longest_streak")
+def q_pattern_longest_streak(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events")
+    return pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10,
+                             bucket=F.to_date("ts"))
