@@ -287,3 +287,48 @@ SELECT u.user_id, CAST(coalesce(max(runs.n), 0) AS BIGINT) AS longest_streak
 FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN runs ON u.user_id = runs.user_id
 GROUP BY u.user_id
 """
+
+# --- sessions ------------------------------------------------------------------
+
+_WEB_SESSIONS = """
+e AS (SELECT event_type AS host, CAST(user_id % 3 AS VARCHAR) AS ip, ts FROM events),
+f AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY host, ip ORDER BY ts) IS NULL
+                       OR ts - lag(ts) OVER (PARTITION BY host, ip ORDER BY ts) > INTERVAL 5 MINUTE
+                     THEN 1 ELSE 0 END AS nw FROM e),
+g AS (SELECT *, sum(nw) OVER (PARTITION BY host, ip ORDER BY ts
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM f),
+ses AS (SELECT min(ts) AS event_window_timestamp, host, ip, count(*) AS num_hits, max(ts) AS last_hit
+        FROM g GROUP BY host, ip, sid)
+"""
+
+ORACLE["stream_session_hits"] = f"WITH {_WEB_SESSIONS} SELECT * FROM ses"
+
+ORACLE["stream_avg_session_hits"] = f"""
+WITH {_WEB_SESSIONS}
+SELECT ip, host, CAST(floor(avg(num_hits) + 0.5) AS BIGINT) AS average_num_hits
+FROM ses WHERE host LIKE '%e' GROUP BY ip, host
+"""
+
+ORACLE["stream_compare_hosts"] = f"""
+WITH {_WEB_SESSIONS}
+SELECT host, count(DISTINCT ip) AS n_ips, count(*) AS n_sessions, CAST(sum(num_hits) AS BIGINT) AS total_hits,
+       round(avg(num_hits), 4) AS avg_hits
+FROM ses WHERE host IN ('click', 'view', 'signup') GROUP BY host
+"""
+
+ORACLE["engagement_time_per_user_day"] = """
+WITH f AS (SELECT user_id, ts,
+                  CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                         OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE
+                       THEN 1 ELSE 0 END AS nw FROM events),
+g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM f),
+ses AS (SELECT user_id, min(ts) AS s, max(ts) AS e FROM g GROUP BY user_id, sid),
+d AS (SELECT user_id, s, e,
+             CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
+      FROM ses)
+SELECT user_id, day,
+       CAST(sum(epoch_us(least(e, CAST(day + INTERVAL 1 DAY AS TIMESTAMP)))
+                - epoch_us(greatest(s, CAST(day AS TIMESTAMP)))) AS BIGINT) AS active_micros
+FROM d GROUP BY user_id, day
+"""

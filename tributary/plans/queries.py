@@ -18,6 +18,7 @@ from tributary.operators import cumulative as cu
 from tributary.operators import facts
 from tributary.operators import patterns as pt
 from tributary.operators import scd
+from tributary.operators import sessions as ss
 from tributary.plans import derive as dv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -273,3 +274,33 @@ def q_pattern_longest_streak(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events")
     return pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10,
                              bucket=F.to_date("ts"))
+
+
+# --- sessions (T4, T7, T8, M6) --------------------------------------------------
+
+def web_sessions(spark, sf_dir):
+    """host = event type, ip = user id mod 3 (text), 5-minute gap."""
+    ev = dv.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("host"), (F.col("user_id") % 3).cast("string").alias("ip"), "ts")
+    return ss.sessionize(ev, "ts", ["host", "ip"], "5 minutes", bucket="1 hour",
+                         start="event_window_timestamp", last="last_hit")
+
+
+@register("stream_session_hits")
+def q_stream_session_hits(spark, sf_dir):
+    return web_sessions(spark, sf_dir).select("event_window_timestamp", "host", "ip", "num_hits", "last_hit")
+
+
+@register("stream_avg_session_hits")
+def q_stream_avg_session_hits(spark, sf_dir):
+    return ss.avg_session_hits(web_sessions(spark, sf_dir), host_like="%e")
+
+
+@register("stream_compare_hosts")
+def q_stream_compare_hosts(spark, sf_dir):
+    return ss.compare_hosts(web_sessions(spark, sf_dir), ["click", "view", "signup"])
+
+
+@register("engagement_time_per_user_day")
+def q_engagement_time_per_user_day(spark, sf_dir):
+    return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes")
