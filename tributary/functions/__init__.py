@@ -2,7 +2,7 @@
 whole-stage codegen."""
 
 from tributary.functions.nulls import (  # noqa: F401
-    concat_arrays, null_safe_on, round_half_away, safe_divide, desc_last,
+    concat_arrays, null_safe_on, round_half_away, safe_divide, desc_last, ratio4,
 )
 from tributary.functions.text import (  # noqa: F401
     flag_contains, clock_to_minutes, parse_event_time, json_long,

@@ -40,3 +40,14 @@ def desc_last(c: Column | str) -> Column:
     """``ORDER BY c DESC`` with NULLs last in every engine (V1)."""
     c = F.col(c) if isinstance(c, str) else c
     return c.desc_nulls_last()
+
+
+def ratio4(num: Column | str, den: Column | str) -> Column:
+    """num / den rounded half up to 4 places using integer arithmetic, for
+    non-negative integer inputs (counts, sums of counts or cents).  Exact, so
+    equal in every engine; NULL when den is 0 or NULL."""
+    n = F.col(num) if isinstance(num, str) else num
+    d = F.col(den) if isinstance(den, str) else den
+    n, d = n.cast("long"), d.cast("long")
+    q = F.when(d != 0, F.call_function("div", n * F.lit(20000) + d, d * F.lit(2)))
+    return q.cast("double") / F.lit(10000.0)

@@ -76,3 +76,33 @@ def co_partitioned(spark: SparkSession):
         yield
     finally:
         spark.conf.set(key, old)
+
+
+# --- bucket-join analytics (S6-S10) ---------------------------------------------
+
+def bucket_join(matches: DataFrame, details: DataFrame, medals: DataFrame, *, key: str = "match_id",
+                second: str = "player_gamertag") -> DataFrame:
+    """matches x details on the bucket key, x medal rows on (bucket key,
+    player) (S6).  On tables bucketed by ``key`` and read inside
+    :func:`co_partitioned`, the plan has no exchange."""
+    return matches.join(details, key).join(medals, [key, second])
+
+
+def avg_per_game(df: DataFrame, game: str, player: str, measure: str, *, out: str = "avg_per_game") -> DataFrame:
+    """Average of a per-game measure over each player's games (S7, X11):
+    one value per (game, player) first, so joined medal rows do not weigh
+    in; exact half-up to 4 places for integer measures."""
+    from tributary.functions.nulls import ratio4
+    per_game = df.select(game, player, measure).distinct()
+    g = per_game.groupBy(player).agg(F.count(F.lit(1)).alias("n_games"), F.sum(measure).alias("_tot"))
+    return g.select(player, "n_games", ratio4("_tot", "n_games").alias(out))
+
+
+def top_value(df: DataFrame, col: str, *, distinct_of: str | None = None, n: int = 1,
+              out: str = "n") -> DataFrame:
+    """Most frequent value of ``col`` (S8-S10, X12): counts distinct
+    ``distinct_of`` (e.g. matches) when given, else joined rows; ties broken
+    by the value.  A bounded top-k over a partial aggregate."""
+    cnt = F.count_distinct(distinct_of) if distinct_of else F.count(F.lit(1))
+    g = df.groupBy(col).agg(cnt.alias(out))
+    return g.orderBy(F.col(out).desc(), F.col(col).asc()).limit(n)

@@ -332,3 +332,315 @@ SELECT user_id, day,
                 - epoch_us(greatest(s, CAST(day AS TIMESTAMP)))) AS BIGINT) AS active_micros
 FROM d GROUP BY user_id, day
 """
+
+
+def _ratio4(n: str, d: str) -> str:
+    """Half-up num/den to 4 places in integer arithmetic (same as ratio4)."""
+    return (f"CASE WHEN ({d}) <> 0 THEN ((20000 * CAST({n} AS BIGINT) + ({d})) // (2 * ({d})))"
+            f" / CAST(10000.0 AS DOUBLE) END")
+
+
+# --- layout and joins -------------------------------------------------------------
+
+_MATCH_ROWS = """
+md AS (SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag,
+              CAST(sum(l_quantity) AS BIGINT) AS player_total_kills FROM lineitem GROUP BY 1, 2),
+mr AS (SELECT o.o_orderkey AS match_id, md.player_gamertag, l.l_partkey AS medal_id,
+              CAST(o.o_custkey % 25 AS INTEGER) AS mapid, o.o_orderpriority AS playlist_id,
+              md.player_total_kills
+       FROM orders o JOIN md ON o.o_orderkey = md.match_id
+       JOIN lineitem l ON l.l_orderkey = md.match_id AND l.l_suppkey = md.player_gamertag)
+"""
+
+ORACLE["layout_broadcast_maps"] = """
+SELECT o_orderkey AS match_id, CAST(o_custkey % 25 AS INTEGER) AS mapid, o_orderpriority AS playlist_id,
+       n_name AS map_name
+FROM orders JOIN nation ON n_nationkey = o_custkey % 25
+"""
+
+ORACLE["layout_broadcast_medals"] = """
+SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag, l_partkey AS medal_id, p_type AS classification
+FROM lineitem JOIN part ON p_partkey = l_partkey
+"""
+
+ORACLE["layout_bucket_join"] = f"WITH {_MATCH_ROWS} SELECT * FROM mr"
+
+ORACLE["layout_avg_kills_per_game"] = f"""
+WITH {_MATCH_ROWS},
+g AS (SELECT DISTINCT match_id, player_gamertag, player_total_kills FROM mr)
+SELECT player_gamertag, count(*) AS n_games,
+       {_ratio4('sum(player_total_kills)', 'count(*)')} AS avg_kills_per_game
+FROM g GROUP BY player_gamertag
+"""
+
+ORACLE["layout_top_playlist"] = f"""
+WITH {_MATCH_ROWS}
+SELECT playlist_id, count(DISTINCT match_id) AS n_matches FROM mr GROUP BY 1
+ORDER BY n_matches DESC, playlist_id LIMIT 1
+"""
+
+ORACLE["layout_top_map"] = f"""
+WITH {_MATCH_ROWS}
+SELECT mapid, count(DISTINCT match_id) AS n_matches FROM mr GROUP BY 1
+ORDER BY n_matches DESC, mapid LIMIT 1
+"""
+
+ORACLE["layout_top_killing_spree_map"] = f"""
+WITH {_MATCH_ROWS}
+SELECT mapid, count(*) AS n_medals FROM mr JOIN part ON p_partkey = mr.medal_id
+WHERE p_type = 'PROMO' GROUP BY 1 ORDER BY n_medals DESC, mapid LIMIT 1
+"""
+
+ORACLE["join_salted_hot_key"] = """
+SELECT o.o_orderpriority, count(*) AS n_rows, sum(l.l_quantity) AS total_qty
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k, l_quantity FROM lineitem) l
+JOIN orders o ON o.o_orderkey = l.k GROUP BY 1
+"""
+
+# --- experiments ---------------------------------------------------------------------
+
+_EXPOSURES = """
+u AS (SELECT user_id, min(ts) AS exposure_ts FROM events GROUP BY 1),
+xb AS (SELECT x.experiment, u.user_id, u.exposure_ts,
+              ('0x' || substr(md5(x.experiment || ':' || CAST(u.user_id AS VARCHAR)), 1, 8))::BIGINT % 100
+                AS bucket
+       FROM u, (VALUES ('note_suggestions'), ('table_editor'), ('mobile_performance')) x(experiment)),
+xp AS (SELECT experiment, user_id, exposure_ts, bucket,
+              CASE WHEN bucket < 50 THEN 'control' WHEN bucket < 100 THEN 'treatment' ELSE 'blue' END AS cell
+       FROM xb)
+"""
+
+ORACLE["exp_user_hash"] = """
+SELECT DISTINCT user_id, ('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT AS user_hash
+FROM events
+"""
+
+ORACLE["exp_assignment"] = f"WITH {_EXPOSURES} SELECT * FROM xp"
+
+ORACLE["exp_conversion"] = f"""
+WITH {_EXPOSURES},
+lg AS (SELECT user_id, max(ts) AS last_goal FROM events WHERE event_type = 'purchase' GROUP BY 1),
+j AS (SELECT xp.experiment, xp.cell,
+             CASE WHEN lg.last_goal >= xp.exposure_ts THEN 1 ELSE 0 END AS conv
+      FROM xp LEFT JOIN lg ON xp.user_id = lg.user_id)
+SELECT experiment, cell, count(*) AS n_users, CAST(sum(conv) AS BIGINT) AS n_converted,
+       {_ratio4('sum(conv)', 'count(*)')} AS conversion_rate
+FROM j GROUP BY 1, 2
+"""
+
+ORACLE["exp_cell_filter"] = """
+WITH b AS (SELECT DISTINCT user_id,
+                  ('0x' || substr(md5('button_color_v3:' || CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 100 AS bucket
+           FROM events),
+c AS (SELECT user_id, CASE WHEN bucket < 25 THEN 'Red' WHEN bucket < 50 THEN 'Orange'
+                           WHEN bucket < 75 THEN 'Blue' WHEN bucket < 100 THEN 'Green' ELSE 'blue' END AS cell
+      FROM b)
+SELECT c.cell, count(*) AS n_events, count(DISTINCT e.user_id) AS n_users
+FROM events e JOIN c ON e.user_id = c.user_id
+WHERE e.event_id % 2 = CASE WHEN c.cell IN ('Red', 'Orange') THEN 0 ELSE 1 END
+GROUP BY c.cell
+"""
+
+ORACLE["exp_leading_metrics"] = f"""
+WITH {_EXPOSURES},
+j AS (SELECT xp.experiment, xp.cell, e.event_type AS metric, CAST(round(e.value * 100) AS BIGINT) AS cents
+      FROM xp JOIN events e ON xp.user_id = e.user_id WHERE e.ts >= xp.exposure_ts)
+SELECT experiment, cell, metric, count(*) AS n,
+       {_ratio4('sum(cents)', 'count(*) * 100')} AS mean,
+       round(stddev_samp(cents / 100.0), 4) AS stddev,
+       min(cents) / 100.0 AS min_value, max(cents) / 100.0 AS max_value
+FROM j GROUP BY 1, 2, 3
+"""
+
+ORACLE["exp_retention"] = f"""
+WITH {_EXPOSURES},
+d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+pu AS (SELECT xp.experiment, xp.cell, xp.user_id,
+              max(CASE WHEN d.day - CAST(xp.exposure_ts AS DATE) BETWEEN 7 AND 13 THEN 1 ELSE 0 END) AS ret
+       FROM xp LEFT JOIN d ON xp.user_id = d.user_id GROUP BY 1, 2, 3)
+SELECT experiment, cell, count(*) AS n_users, CAST(sum(ret) AS BIGINT) AS n_retained,
+       {_ratio4('sum(ret)', 'count(*)')} AS retention_rate
+FROM pu GROUP BY 1, 2
+"""
+
+ORACLE["exp_compare_cells"] = f"""
+WITH {_EXPOSURES},
+pu AS (SELECT xp.experiment, xp.cell, xp.user_id, avg(e.value) AS v
+       FROM xp JOIN events e ON xp.user_id = e.user_id WHERE e.ts >= xp.exposure_ts GROUP BY 1, 2, 3),
+m AS (SELECT experiment,
+             count(v) FILTER (WHERE cell = 'control') AS n_c, count(v) FILTER (WHERE cell = 'treatment') AS n_t,
+             avg(v) FILTER (WHERE cell = 'control') AS mc, avg(v) FILTER (WHERE cell = 'treatment') AS mt,
+             var_samp(v) FILTER (WHERE cell = 'control') AS vc, var_samp(v) FILTER (WHERE cell = 'treatment') AS vt
+      FROM pu GROUP BY 1),
+t AS (SELECT *, vc / n_c + vt / n_t AS se2, (mt - mc) / sqrt(vc / n_c + vt / n_t) AS tt FROM m),
+p AS (SELECT *, abs(tt) / sqrt(2.0) AS x FROM t),
+q AS (SELECT *, 1.0 / (1.0 + 0.3275911 * x) AS k FROM p)
+SELECT experiment, n_c, n_t, round(mc, 4) AS mean_control, round(mt, 4) AS mean_treatment,
+       round(tt, 4) AS t_stat,
+       round(se2 * se2 / (pow(vc / n_c, 2) / (n_c - 1) + pow(vt / n_t, 2) / (n_t - 1)), 2) AS dof,
+       round(1.0 - (1.0 - k * (0.254829592 + k * (-0.284496736 + k * (1.421413741 + k * (-1.453152027
+             + k * 1.061405429)))) * exp(-x * x)), 4) AS p_value
+FROM q
+"""
+
+# --- pipeline checks ---------------------------------------------------------------------
+
+_MONEY = """
+lo AS (SELECT c.c_nationkey AS unit, CAST(year(o.o_orderdate) AS INTEGER) AS period,
+              l.l_extendedprice, l.l_discount, l.l_tax
+       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
+rv AS (SELECT unit, period, sum(l_extendedprice * (1 - l_discount)) AS revenue FROM lo GROUP BY 1, 2),
+ex AS (SELECT unit, period, sum(l_extendedprice * l_tax) AS expenses FROM lo GROUP BY 1, 2),
+sa AS (SELECT s.s_nationkey AS unit, CAST(year(l.l_shipdate) AS INTEGER) AS period,
+              sum(l.l_quantity * 10) AS salaries
+       FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2),
+pr AS (SELECT coalesce(rv.unit, ex.unit, sa.unit) AS unit, coalesce(rv.period, ex.period, sa.period) AS period,
+              rv.revenue IS NULL AS missing_revenue,
+              coalesce(rv.revenue, 0) AS revenue, coalesce(ex.expenses, 0) AS expenses,
+              coalesce(sa.salaries, 0) AS salaries
+       FROM rv FULL OUTER JOIN ex ON rv.unit = ex.unit AND rv.period = ex.period
+       FULL OUTER JOIN sa ON coalesce(rv.unit, ex.unit) = sa.unit AND coalesce(rv.period, ex.period) = sa.period)
+"""
+
+ORACLE["ops_profit"] = f"""
+WITH {_MONEY}
+SELECT unit, period, missing_revenue, round(revenue, 4) AS revenue, round(expenses, 4) AS expenses,
+       round(salaries, 4) AS salaries, round(revenue - expenses - salaries, 4) AS profit
+FROM pr
+"""
+
+_RECON = """
+cp AS (SELECT CAST(year(o.o_orderdate) AS INTEGER) AS period, sum(l.l_extendedprice) AS computed
+       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1),
+rp AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS period, sum(o_totalprice) AS reported FROM orders GROUP BY 1),
+rc AS (SELECT coalesce(cp.period, rp.period) AS period, computed, reported,
+              (computed - reported) / nullif(reported, 0) AS rel_diff
+       FROM cp FULL OUTER JOIN rp ON cp.period = rp.period)
+"""
+
+ORACLE["ops_reconcile"] = f"""
+WITH {_RECON}
+SELECT period, round(computed, 4) AS computed, round(reported, 4) AS reported, round(rel_diff, 4) AS rel_diff,
+       coalesce(abs(rel_diff) <= 0.05, false) AS within_tolerance
+FROM rc
+"""
+
+_CHANGES = f"""
+{_ACTOR_SNAP},
+acc AS (SELECT actorid AS account_id, current_year AS period,
+               CAST(CASE quality_class WHEN 'star' THEN 1 WHEN 'good' THEN 2 WHEN 'average' THEN 3
+                                       WHEN 'bad' THEN 4 END AS INTEGER) AS plan_rank, is_active FROM snap),
+lg AS (SELECT *, lag(is_active) OVER w AS pa, lag(plan_rank) OVER w AS pr FROM acc
+       WINDOW w AS (PARTITION BY account_id ORDER BY period)),
+chg AS (SELECT account_id, period, plan_rank, is_active,
+               CASE WHEN pa IS NULL THEN CASE WHEN is_active THEN 'new' ELSE 'churned' END
+                    WHEN pa AND NOT is_active THEN 'cancel'
+                    WHEN NOT pa AND NOT is_active THEN 'churned'
+                    WHEN NOT pa AND is_active THEN 'reactivate'
+                    WHEN plan_rank < pr THEN 'upgrade'
+                    WHEN plan_rank > pr THEN 'downgrade'
+                    ELSE 'renew' END AS change
+        FROM lg)
+"""
+
+ORACLE["ops_account_changes"] = f"WITH {_CHANGES} SELECT * FROM chg"
+
+ORACLE["ops_churn"] = f"""
+WITH {_CHANGES},
+per AS (SELECT period, CAST(sum(CAST(is_active AS INTEGER)) AS BIGINT) AS n_active,
+               count(*) FILTER (WHERE change = 'cancel') AS n_cancel,
+               count(*) FILTER (WHERE change IN ('renew', 'upgrade', 'downgrade')) AS n_renew,
+               count(*) FILTER (WHERE change = 'new') AS n_new
+        FROM chg GROUP BY 1),
+j AS (SELECT a.*, coalesce(b.n_active, 0) AS n_active_prev FROM per a LEFT JOIN per b ON a.period = b.period + 1)
+SELECT period, n_active, n_new, n_cancel, n_renew, n_active_prev,
+       {_ratio4('n_cancel', 'n_active_prev')} AS churn_rate,
+       {_ratio4('n_renew', 'n_active_prev')} AS renewal_rate
+FROM j
+"""
+
+ORACLE["ops_missing_periods"] = """
+WITH p AS (SELECT DISTINCT o_custkey AS actorid, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
+n AS (SELECT actorid, y + 1 AS missing_from, lead(y) OVER (PARTITION BY actorid ORDER BY y) - 1 AS missing_to
+      FROM p)
+SELECT actorid, missing_from, missing_to, CAST(missing_to - missing_from + 1 AS BIGINT) AS n_missing
+FROM n WHERE missing_to >= missing_from
+"""
+
+_CLICKS = """
+cl AS (SELECT event_id, user_id, event_type, ts,
+              ts + to_seconds(CAST((event_id * 7919) % 1200 AS BIGINT)) AS arrival_ts FROM events)
+"""
+
+ORACLE["ops_dedup_events"] = f"WITH {_CLICKS} SELECT * FROM cl"
+
+ORACLE["ops_lateness"] = f"""
+WITH {_CLICKS},
+l AS (SELECT CAST(floor((epoch_us(arrival_ts) - epoch_us(ts)) / 1000000) AS BIGINT) AS late FROM cl),
+b AS (SELECT late, CASE WHEN late < 60 THEN '0-60s' WHEN late < 300 THEN '60-300s'
+                        WHEN late < 900 THEN '300-900s' ELSE '>=900s' END AS band FROM l)
+SELECT band, count(*) AS n_events, {_ratio4('sum(late)', 'count(*)')} AS avg_lateness_s,
+       max(late) AS max_lateness_s
+FROM b GROUP BY band
+"""
+
+_HOLED = """
+tg AS (SELECT event_id, user_id, ts FROM events
+       WHERE NOT (ts BETWEEN TIMESTAMP '2024-01-10 12:00:00' AND TIMESTAMP '2024-01-11 00:00:00')),
+gp AS (SELECT ts AS gap_start, lead(ts) OVER (ORDER BY ts) AS gap_end FROM tg)
+"""
+
+ORACLE["ops_gap_detection"] = f"""
+WITH {_HOLED}
+SELECT gap_start, gap_end, CAST((epoch_us(gap_end) - epoch_us(gap_start)) // 60000000 AS BIGINT) AS gap_minutes
+FROM gp WHERE gap_end - gap_start > INTERVAL 1 HOUR
+"""
+
+ORACLE["ops_backfill"] = "SELECT event_id, user_id, ts FROM events"
+
+ORACLE["ops_exec_summary"] = f"""
+WITH {_MONEY}, {_CHANGES.strip()},
+pf AS (SELECT unit, round(sum(revenue - expenses - salaries), 4) AS profit FROM pr GROUP BY 1),
+gr AS (SELECT c.c_nationkey AS unit, count(*) AS new_accounts
+       FROM chg JOIN customer c ON chg.account_id = c.c_custkey WHERE change = 'new' GROUP BY 1),
+f AS (SELECT user_id, ts,
+             CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                    OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE
+                  THEN 1 ELSE 0 END AS nw FROM events),
+g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM f),
+ses AS (SELECT user_id, min(ts) AS s, max(ts) AS e FROM g GROUP BY user_id, sid),
+d AS (SELECT user_id, s, e,
+             CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
+      FROM ses),
+en AS (SELECT c.c_nationkey AS unit,
+              CAST(sum(epoch_us(least(e, CAST(day + INTERVAL 1 DAY AS TIMESTAMP)))
+                       - epoch_us(greatest(s, CAST(day AS TIMESTAMP)))) AS BIGINT) AS engagement_micros
+       FROM d JOIN customer c ON d.user_id = c.c_custkey GROUP BY 1)
+SELECT coalesce(pf.unit, gr.unit, en.unit) AS unit, coalesce(pf.profit, 0) AS profit,
+       coalesce(gr.new_accounts, 0) AS new_accounts, coalesce(en.engagement_micros, 0) AS engagement_micros
+FROM pf FULL OUTER JOIN gr ON pf.unit = gr.unit FULL OUTER JOIN en ON coalesce(pf.unit, gr.unit) = en.unit
+"""
+
+ORACLE["ops_report_gate"] = f"""
+WITH {_MONEY}, {_RECON},
+r AS (
+  SELECT 'missing_revenue' AS rule, count(*) FILTER (WHERE missing_revenue) AS n_bad FROM pr
+  UNION ALL SELECT 'zero_denominator', count(*) FILTER (WHERE coalesce(reported = 0, true)) FROM rc
+  UNION ALL SELECT 'out_of_tolerance', count(*) FILTER (WHERE NOT coalesce(abs(rel_diff) <= 0.05, false)) FROM rc
+  UNION ALL SELECT 'stale_events', count(*) FILTER (WHERE newest < TIMESTAMP '2024-01-30 00:00:00')
+            FROM (SELECT max(ts) AS newest FROM events))
+SELECT rule, n_bad, n_bad = 0 AS passed FROM r
+"""
+
+ORACLE["ops_freshness"] = """
+WITH t AS (
+  SELECT 'events' AS table_name, max(ts) AS newest, 48 AS sla_hours FROM events
+  UNION ALL SELECT 'orders', max(o_orderdate), 168 FROM orders
+  UNION ALL SELECT 'lineitem', max(l_shipdate), 720 FROM lineitem)
+SELECT table_name, newest,
+       CAST((epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(newest)) // 1000000 AS BIGINT) AS age_s,
+       sla_hours,
+       (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(newest)) // 1000000 <= sla_hours * 3600 AS fresh
+FROM t
+"""

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from tributary import functions as fx
 from tributary.operators import cumulative as cu
+from tributary.operators import experiments as xp
 from tributary.operators import facts
+from tributary.operators import joins as jn
+from tributary.operators import monitoring as mo
 from tributary.operators import patterns as pt
 from tributary.operators import scd
 from tributary.operators import sessions as ss
@@ -304,3 +307,259 @@ def q_stream_compare_hosts(spark, sf_dir):
 @register("engagement_time_per_user_day")
 def q_engagement_time_per_user_day(spark, sf_dir):
     return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes")
+
+
+# --- layout and joins (S2-S10, M13) ----------------------------------------------
+
+def match_rows(spark, sf_dir):
+    return jn.bucket_join(dv.matches(spark, sf_dir), dv.match_details(spark, sf_dir),
+                          dv.medals_matches_players(spark, sf_dir))
+
+
+@register("layout_broadcast_maps")
+def q_layout_broadcast_maps(spark, sf_dir):
+    return jn.lookup_join(dv.matches(spark, sf_dir), dv.maps(spark, sf_dir), "mapid", max_rows=100_000)
+
+
+@register("layout_broadcast_medals")
+def q_layout_broadcast_medals(spark, sf_dir):
+    return jn.lookup_join(dv.medals_matches_players(spark, sf_dir), dv.medals(spark, sf_dir), "medal_id",
+                          max_rows=1_000_000)
+
+
+@register("layout_bucket_join")
+def q_layout_bucket_join(spark, sf_dir):
+    return match_rows(spark, sf_dir).select("match_id", "player_gamertag", "medal_id", "mapid",
+                                            "playlist_id", "player_total_kills")
+
+
+@register("layout_avg_kills_per_game")
+def q_layout_avg_kills_per_game(spark, sf_dir):
+    return jn.avg_per_game(match_rows(spark, sf_dir), "match_id", "player_gamertag", "player_total_kills",
+                           out="avg_kills_per_game")
+
+
+@register("layout_top_playlist")
+def q_layout_top_playlist(spark, sf_dir):
+    return jn.top_value(match_rows(spark, sf_dir), "playlist_id", distinct_of="match_id", out="n_matches")
+
+
+@register("layout_top_map")
+def q_layout_top_map(spark, sf_dir):
+    return jn.top_value(match_rows(spark, sf_dir), "mapid", distinct_of="match_id", out="n_matches")
+
+
+@register("layout_top_killing_spree_map")
+def q_layout_top_killing_spree_map(spark, sf_dir):
+    spree = dv.medals(spark, sf_dir).filter(F.col("classification") == "PROMO")
+    rows = jn.lookup_join(match_rows(spark, sf_dir), spree, "medal_id", max_rows=1_000_000)
+    return jn.top_value(rows, "mapid", out="n_medals")
+
+
+@register("join_salted_hot_key")
+def q_join_salted_hot_key(spark, sf_dir):
+    """lineitem x orders with a third of all lineitems moved onto order 0."""
+    li = dv.table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("l_orderkey")).alias("o_orderkey"),
+        "l_quantity")
+    o = dv.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    j = jn.salted_join(li, o, ["o_orderkey"], salts=8, min_rows=1000)
+    return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_rows"),
+                                            F.sum("l_quantity").alias("total_qty"))
+
+
+# --- experiments (E1-E7) ----------------------------------------------------------
+
+def exposures(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events")
+    return xp.assign(ev, "user_id", xp.EXPERIMENTS, xp.HALF_SPLIT, ts="ts")
+
+
+@register("exp_user_hash")
+def q_exp_user_hash(spark, sf_dir):
+    u = dv.table(spark, sf_dir, "events").select("user_id").distinct()
+    return u.select("user_id", fx.user_hash("user_id").alias("user_hash"))
+
+
+@register("exp_assignment")
+def q_exp_assignment(spark, sf_dir):
+    return exposures(spark, sf_dir)
+
+
+@register("exp_conversion")
+def q_exp_conversion(spark, sf_dir):
+    return xp.conversion(exposures(spark, sf_dir), dv.table(spark, sf_dir, "events"),
+                         goal=F.col("event_type") == "purchase")
+
+
+@register("exp_cell_filter")
+def q_exp_cell_filter(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events")
+    cells = xp.assign(ev, "user_id", ["button_color_v3"], xp.COLOR_CELLS)
+    shown = xp.cell_filter(ev.join(cells.select("user_id", "cell"), "user_id"), "event_id")
+    return shown.groupBy("cell").agg(F.count(F.lit(1)).alias("n_events"),
+                                     F.count_distinct("user_id").alias("n_users"))
+
+
+@register("exp_leading_metrics")
+def q_exp_leading_metrics(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events").select("user_id", "ts", F.col("event_type").alias("metric"), "value")
+    return xp.cell_metrics(exposures(spark, sf_dir), ev, value_cents=F.round(F.col("value") * 100).cast("long"))
+
+
+@register("exp_retention")
+def q_exp_retention(spark, sf_dir):
+    return xp.retention(exposures(spark, sf_dir), dv.table(spark, sf_dir, "events"), day_from=7, day_to=13)
+
+
+@register("exp_compare_cells")
+def q_exp_compare_cells(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events")
+    j = exposures(spark, sf_dir).join(ev, "user_id").filter(F.col("ts") >= F.col("exposure_ts"))
+    per_user = j.groupBy("experiment", "cell", "user_id").agg(F.avg("value").alias("user_mean"))
+    return xp.compare_cells(per_user, "user_mean")
+
+
+# --- pipeline checks (M1-M5, M7-M12) -------------------------------------------------
+
+def money_sides(spark, sf_dir):
+    li = dv.table(spark, sf_dir, "lineitem")
+    o = dv.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = dv.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = dv.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    lo = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
+          .select(F.col("c_nationkey").alias("unit"), F.year("o_orderdate").alias("period"),
+                  "l_extendedprice", "l_discount", "l_tax"))
+    revenue = lo.select("unit", "period", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount"))
+    expenses = lo.select("unit", "period", (F.col("l_extendedprice") * F.col("l_tax")).alias("amount"))
+    salaries = (li.join(s, li.l_suppkey == s.s_suppkey)
+                .select(F.col("s_nationkey").alias("unit"), F.year("l_shipdate").alias("period"),
+                        (F.col("l_quantity") * 10).alias("amount")))
+    return revenue, expenses, salaries
+
+
+def profit_report(spark, sf_dir):
+    return mo.profit(*money_sides(spark, sf_dir), ["unit", "period"])
+
+
+@register("ops_profit")
+def q_ops_profit(spark, sf_dir):
+    p = profit_report(spark, sf_dir)
+    return p.select("unit", "period", "missing_revenue", *[_r4(F.col(c)).alias(c)
+                                                           for c in ("revenue", "expenses", "salaries", "profit")])
+
+
+def reconciliation(spark, sf_dir):
+    li = dv.table(spark, sf_dir, "lineitem")
+    o = dv.table(spark, sf_dir, "orders")
+    computed = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.year("o_orderdate").alias("period"))
+                .agg(F.sum("l_extendedprice").alias("value")))
+    reported = o.groupBy(F.year("o_orderdate").alias("period")).agg(F.sum("o_totalprice").alias("value"))
+    return mo.reconcile(computed, reported, ["period"], tolerance=0.05)
+
+
+@register("ops_reconcile")
+def q_ops_reconcile(spark, sf_dir):
+    r = reconciliation(spark, sf_dir)
+    return r.select("period", _r4(F.col("computed")).alias("computed"), _r4(F.col("reported")).alias("reported"),
+                    _r4(F.col("rel_diff")).alias("rel_diff"), "within_tolerance")
+
+
+def account_changes(spark, sf_dir):
+    snap = actor_snapshots(spark, sf_dir).select(
+        F.col("actorid").alias("account_id"), F.col("current_year").alias("period"),
+        cu.class_rank("quality_class").alias("plan_rank"), "is_active")
+    return mo.account_changes(snap, "account_id", "period")
+
+
+@register("ops_account_changes")
+def q_ops_account_changes(spark, sf_dir):
+    return account_changes(spark, sf_dir)
+
+
+@register("ops_churn")
+def q_ops_churn(spark, sf_dir):
+    return mo.churn(account_changes(spark, sf_dir), "period")
+
+
+@register("ops_missing_periods")
+def q_ops_missing_periods(spark, sf_dir):
+    return mo.missing_periods(dv.actor_films(spark, sf_dir), "actorid", "year")
+
+
+def clicks(spark, sf_dir):
+    """Click log with an arrival time: event time + (id x 7919 mod 1200) s."""
+    ev = dv.table(spark, sf_dir, "events")
+    delay = ((F.col("event_id") * 7919) % 1200).cast("int")
+    return ev.select("event_id", "user_id", "event_type", "ts",
+                     F.timestamp_add("SECOND", delay, F.col("ts")).alias("arrival_ts"))
+
+
+@register("ops_dedup_events")
+def q_ops_dedup_events(spark, sf_dir):
+    c = clicks(spark, sf_dir)
+    redelivered = c.withColumn("arrival_ts", F.timestamp_add("HOUR", F.lit(1), F.col("arrival_ts")))
+    both = c.unionByName(redelivered)
+    return facts.dedup(both, ["event_id"], ["arrival_ts"])
+
+
+@register("ops_lateness")
+def q_ops_lateness(spark, sf_dir):
+    return mo.lateness(clicks(spark, sf_dir), event_ts="ts", arrival_ts="arrival_ts")
+
+
+# The 12-hour hole of the outage example, cut into the log.
+HOLE = ("2024-01-10 12:00:00", "2024-01-11 00:00:00")
+
+
+def holed_events(spark, sf_dir):
+    ev = dv.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return ev.filter(~F.col("ts").between(F.lit(HOLE[0]).cast("timestamp_ntz"),
+                                          F.lit(HOLE[1]).cast("timestamp_ntz")))
+
+
+@register("ops_gap_detection")
+def q_ops_gap_detection(spark, sf_dir):
+    return mo.find_gaps(holed_events(spark, sf_dir), "ts", "1 hour")
+
+
+@register("ops_backfill")
+def q_ops_backfill(spark, sf_dir):
+    target = holed_events(spark, sf_dir)
+    source = dv.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    gaps = mo.find_gaps(target, "ts", "1 hour")
+    return mo.backfill(target, source, gaps, ts="ts", key=["event_id"])
+
+
+@register("ops_exec_summary")
+def q_ops_exec_summary(spark, sf_dir):
+    cust = dv.table(spark, sf_dir, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("unit"))
+    prof = profit_report(spark, sf_dir).groupBy("unit").agg(_r4(F.sum("profit")).alias("profit"))
+    growth = (account_changes(spark, sf_dir).filter(F.col("change") == "new")
+              .join(cust, F.col("account_id") == F.col("c_custkey"))
+              .groupBy("unit").agg(F.count(F.lit(1)).alias("new_accounts")))
+    eng = (ss.time_per_user_day(dv.table(spark, sf_dir, "events"))
+           .join(cust, F.col("user_id") == F.col("c_custkey"))
+           .groupBy("unit").agg(F.sum("active_micros").alias("engagement_micros")))
+    return mo.exec_summary([prof, growth, eng], ["unit"])
+
+
+@register("ops_report_gate")
+def q_ops_report_gate(spark, sf_dir):
+    prof = profit_report(spark, sf_dir)
+    rec = reconciliation(spark, sf_dir)
+    newest = dv.table(spark, sf_dir, "events").agg(F.max("ts").alias("newest"))
+    as_of_minus_48h = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    return mo.validate_report([
+        ("missing_revenue", prof, F.col("missing_revenue")),
+        ("zero_denominator", rec, F.coalesce(F.col("reported") == 0, F.lit(True))),
+        ("out_of_tolerance", rec, ~F.col("within_tolerance")),
+        ("stale_events", newest, F.col("newest") < as_of_minus_48h),
+    ])
+
+
+@register("ops_freshness")
+def q_ops_freshness(spark, sf_dir):
+    t = lambda n: dv.table(spark, sf_dir, n)
+    return mo.freshness([("events", t("events"), "ts", 48), ("orders", t("orders"), "o_orderdate", 168),
+                         ("lineitem", t("lineitem"), "l_shipdate", 720)], as_of="2024-02-01 00:00:00")
