@@ -93,3 +93,32 @@ def test_stream_equals_batch(spark, scratch):
     batch = sorted((r.session_start, r.host, r.ip, r.num_hits)
                    for r in ss.sessionize(batch_in, "window_timestamp", ["host", "ip"]).collect())
     assert len(batch) > 500 and streamed == batch
+
+
+def test_stream_dedup_within_watermark(spark, scratch):
+    from tributary.streaming import dedup_stream
+    rows = [(i % 50, T(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(200)]
+    src = os.path.join(scratch, "clicks")
+    spark.createDataFrame(rows, "event_id long, ts timestamp").repartition(4).write.parquet(src)
+    stream = spark.readStream.schema("event_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    out = os.path.join(scratch, "dedup_out")
+    q = start_query(dedup_stream(stream, ["event_id"], ts="ts", delay="1 hour"), parquet_batch_writer(out),
+                    name="dedup_test", checkpoint=os.path.join(scratch, "ckpt2"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    ids = [r.event_id for r in spark.read.parquet(out).collect()]
+    assert sorted(ids) == list(range(50))
+
+
+def test_snapshot_fold_writes_new_paths(spark, scratch):
+    """Each period writes its own snapshot path and reads only the previous
+    one (never overwrites what it reads)."""
+    from tributary.operators import facts
+    from tributary.sources.layout import write_snapshot
+    act = spark.createDataFrame([(1, dt.date(2024, 1, d)) for d in (1, 2, 4)], "u long, date date")
+    prev = spark.createDataFrame([], "u long, date date, device_activity_datelist array<date>")
+    for d in range(1, 5):
+        day = dt.date(2024, 1, d)
+        prev = write_snapshot(facts.datelist_cumulate(prev, act.filter(F.col("date") == day), ["u"]),
+                              os.path.join(scratch, f"snap/date={day}"))
+    r = prev.first()
+    assert r.date == dt.date(2024, 1, 4) and r.device_activity_datelist == [dt.date(2024, 1, d) for d in (1, 2, 4)]

@@ -644,3 +644,8 @@ SELECT table_name, newest,
        (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(newest)) // 1000000 <= sla_hours * 3600 AS fresh
 FROM t
 """
+
+ORACLE["dim_profile_seasons"] = """
+WITH ps AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders)
+SELECT season, count(*) AS n_players, (SELECT min(season) FROM ps) AS first_season FROM ps GROUP BY season
+"""

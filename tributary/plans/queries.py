@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary import functions as fx
@@ -126,6 +126,16 @@ def q_dim_growth_ratio(spark, sf_dir):
                     _r4(F.col("last_pts")).alias("last_pts"), _r4(F.col("pts_ratio")).alias("pts_ratio"))
 
 
+@register("dim_profile_seasons")
+def q_dim_profile_seasons(spark, sf_dir):
+    """D15 profile: players per season and the first season overall.  The
+    minimum is a window over the per-season rows (one row per season), not
+    over the data."""
+    ps = dv.player_seasons(spark, sf_dir)
+    per = ps.groupBy("season").agg(F.count(F.lit(1)).alias("n_players"))
+    return per.withColumn("first_season", F.min("season").over(Window.partitionBy()))
+
+
 # --- facts (F1-F13) -----------------------------------------------------------
 
 def _clock_text(q, ln):
