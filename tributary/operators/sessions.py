@@ -9,9 +9,9 @@ session, V9) but is skew-safe:
    bucket, so just those are merged per key, ordered by start.
 
 A key with a third of all events is thus spread over its time buckets;
-the per-key step sees at most two rows per bucket.  Timestamps are read in
-the session time zone (UTC in our sessions); ``timestamp_ntz`` input is cast
-first, as watermarks require ``timestamp`` (V8).
+the per-key step sees at most two rows per bucket.  Times are handled as
+wall-clock ``timestamp_ntz`` micros, independent of the session time zone;
+the streaming twin casts to ``timestamp`` first, as watermarks require it (V8).
 """
 
 from __future__ import annotations
@@ -32,13 +32,21 @@ def interval_micros(text: str) -> int:
     return int(float(n) * _US[unit.rstrip("s").lower()])
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def to_micros(ts: str | Column) -> Column:
+    """Microseconds since the epoch of the wall-clock time.  Computed on
+    ``timestamp_ntz`` so the result does not depend on the session time zone
+    (no DST hour appears in differences)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", _epoch(), c.cast("timestamp_ntz"))
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+    """Inverse of :func:`to_micros`, as ``timestamp_ntz``."""
+    return F.timestamp_add("MICROSECOND", us, _epoch())
 
 
 def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minutes", *,
