@@ -68,3 +68,13 @@ def test_profit_missing_side_counts_zero(spark):
     sal = spark.createDataFrame([("v", 2.0)], "unit string, amount double")
     got = {r.unit: (r.profit, r.missing_revenue) for r in mo.profit(rev, exp, sal, ["unit"]).collect()}
     assert got == {"u": (7.0, False), "v": (-3.0, True)}
+
+
+def test_backfill_without_broadcast_equals_broadcast(spark):
+    src = spark.createDataFrame([(i, T(2024, 1, 1) + dt.timedelta(minutes=37 * i)) for i in range(400)],
+                                "id long, ts timestamp_ntz")
+    tgt = src.filter(~(F.col("id").between(40, 90) | F.col("id").between(200, 260)))
+    gaps = mo.find_gaps(tgt, "ts", "2 hours")
+    a = mo.backfill(tgt, src, gaps, ts="ts", key=["id"])
+    b = mo.backfill(tgt, src, gaps, ts="ts", key=["id"], max_broadcast_gaps=0, bucket="1 hour")
+    assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect()) == list(range(400))

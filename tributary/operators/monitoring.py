@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.nulls import ratio4
+from tributary.operators.joins import fits
 from tributary.operators.sessions import interval_micros, to_micros, from_micros
 
 
@@ -155,13 +156,27 @@ def find_gaps(df: DataFrame, ts: str, min_gap: str, *, keys: Sequence[str] = ())
                     ((F.col("_e") - F.col("_s")) / F.lit(60_000_000)).cast("long").alias("gap_minutes")))
 
 
-def backfill(target: DataFrame, source: DataFrame, gaps: DataFrame, *, ts: str, key: Sequence[str]) -> DataFrame:
+def backfill(target: DataFrame, source: DataFrame, gaps: DataFrame, *, ts: str, key: Sequence[str],
+             max_broadcast_gaps: int = 100_000, bucket: str = "1 day") -> DataFrame:
     """Fill detected holes from a replay source (M9): source rows strictly
     inside a gap and absent from the target (left anti on ``key``), appended
-    to the target.  The gap list is tiny and joined by a range condition."""
+    to the target.
+
+    A gap list of at most ``max_broadcast_gaps`` rows (checked) is broadcast
+    for the range condition.  A longer list is joined on the coarse time
+    buckets each gap covers (an equi-join Spark can shuffle) and then filtered
+    by the range, so no side is broadcast without a bound."""
     key = list(key)
-    inside = source.join(F.broadcast(gaps.select("gap_start", "gap_end")),
-                         (F.col(ts) > F.col("gap_start")) & (F.col(ts) < F.col("gap_end")), "left_semi")
+    g = gaps.select("gap_start", "gap_end")
+    inside_gap = (F.col(ts) > F.col("gap_start")) & (F.col(ts) < F.col("gap_end"))
+    if fits(g, max_broadcast_gaps):
+        inside = source.join(F.broadcast(g), inside_gap, "left_semi")
+    else:
+        b_us = interval_micros(bucket)
+        gb = g.withColumn("_gb", F.explode(F.sequence(F.floor(to_micros("gap_start") / b_us),
+                                                     F.floor(to_micros("gap_end") / b_us))))
+        sb = source.withColumn("_gb", F.floor(to_micros(ts) / b_us))
+        inside = sb.join(gb, (sb["_gb"] == gb["_gb"]) & inside_gap, "left_semi").drop("_gb")
     missing = inside.join(target.select(*key), key, "left_anti")
     return target.unionByName(missing.select(*target.columns))
 
