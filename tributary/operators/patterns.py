@@ -105,18 +105,24 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
     Rows are windowed per (key, bucket) where ``bucket`` is a coarse,
     order-monotone expression (e.g. the month of the date).  Each bucket also
     receives a *halo*: the last ``n - 1`` rows of the key before the bucket,
-    found from per-bucket row counts (a small key x bucket table) and copied
-    only from bucket tails.  Output: every input row with its rolling sum."""
+    copied only from bucket tails.  Which later buckets a tail row reaches
+    follows from per-bucket row counts, a partial aggregate over a narrow
+    second scan (a small key x bucket table).
+
+    Shuffles: the rows are hash-partitioned once by (key, bucket); the halo is
+    partitioned the same way, so the union keeps that partitioning and the
+    final window needs no exchange.  Output: every input row with its sum."""
     order = list(order)
-    base = df.select(key, *order, value, bucket.alias("_b"))
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = df.select(key, *order, value, bucket.alias("_b")).repartition(nparts, key, "_b")
     # rank of each row from the end of its bucket (1 = last row).
     wb_desc = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
-    base = base.withColumn("_rfe", F.row_number().over(wb_desc))
+    tails = base.withColumn("_rfe", F.row_number().over(wb_desc)).filter(F.col("_rfe") <= n - 1)
     # per-bucket counts; rows strictly before each bucket's start, per key.
-    counts = base.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = df.select(key, bucket.alias("_b")).groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(key).orderBy("_b")
-    counts = counts.withColumn("_before", F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)))
-    counts = counts.withColumn("_before", F.coalesce("_before", F.lit(0)))
+    counts = counts.withColumn("_before", F.coalesce(
+        F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # for each source bucket: the following buckets (at most n - 1 of them),
     # each with the number of rows between the source bucket's end and it.
     nxt = F.collect_list(F.struct(F.col("_b").alias("tb"), F.col("_before").alias("tbefore"))) \
@@ -125,11 +131,13 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
                              nxt.alias("_t"))
                .select(F.col(key).alias("_tk"), "_sb", "_end", F.explode("_t").alias("t"))
                .select("_tk", "_sb", F.col("t.tb").alias("_tb"), (F.col("t.tbefore") - F.col("_end")).alias("_gap")))
-    tails = base.filter(F.col("_rfe") <= n - 1)
-    halo = (tails.join(targets, (F.col(key) == F.col("_tk")) & (F.col("_b") == F.col("_sb")))
+    # null-safe keys: no not-null filter is inferred below the repartition, so
+    # ``tails`` reuses the exchange of ``base`` instead of shuffling again.
+    halo = (tails.join(targets, F.col(key).eqNullSafe(F.col("_tk")) & F.col("_b").eqNullSafe(F.col("_sb")))
             .filter(F.col("_rfe") - 1 + F.col("_gap") < n - 1)
-            .select(key, *order, value, F.col("_tb").alias("_b"), F.lit(True).alias("_halo")))
-    own = base.select(key, *order, value, "_b", F.lit(False).alias("_halo"))
+            .select(key, *order, value, F.col("_tb").alias("_b"), F.lit(True).alias("_halo"))
+            .repartition(nparts, key, "_b"))
+    own = base.withColumn("_halo", F.lit(False))
     allrows = own.unionByName(halo)
     wr = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(-(n - 1), Window.currentRow)
     return (allrows.withColumn(out, F.sum(value).over(wr))
