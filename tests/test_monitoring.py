@@ -76,5 +76,5 @@ def test_backfill_without_broadcast_equals_broadcast(spark):
     tgt = src.filter(~(F.col("id").between(40, 90) | F.col("id").between(200, 260)))
     gaps = mo.find_gaps(tgt, "ts", "2 hours")
     a = mo.backfill(tgt, src, gaps, ts="ts", key=["id"])
-    b = mo.backfill(tgt, src, gaps, ts="ts", key=["id"], max_broadcast_gaps=0, bucket="1 hour")
+    b = mo.backfill(tgt, src, gaps, ts="ts", key=["id"], max_broadcast_rows=0, bucket="3 hours")
     assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect()) == list(range(400))

@@ -157,26 +157,27 @@ def find_gaps(df: DataFrame, ts: str, min_gap: str, *, keys: Sequence[str] = ())
 
 
 def backfill(target: DataFrame, source: DataFrame, gaps: DataFrame, *, ts: str, key: Sequence[str],
-             max_broadcast_gaps: int = 100_000, bucket: str = "1 day") -> DataFrame:
+             bucket: str = "1 hour", max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Fill detected holes from a replay source (M9): source rows strictly
     inside a gap and absent from the target (left anti on ``key``), appended
     to the target.
 
-    A gap list of at most ``max_broadcast_gaps`` rows (checked) is broadcast
-    for the range condition.  A longer list is joined on the coarse time
-    buckets each gap covers (an equi-join Spark can shuffle) and then filtered
-    by the range, so no side is broadcast without a bound."""
+    Each gap is expanded to the coarse time buckets it covers, and source rows
+    are matched on their bucket (a hash equi-join) before the range check, so
+    a row is compared only with the gaps of its own bucket, never with the
+    whole gap list.  The expanded gap table is broadcast only when a bounded
+    count shows at most ``max_broadcast_rows`` rows; otherwise both sides are
+    shuffled on the bucket."""
     key = list(key)
-    g = gaps.select("gap_start", "gap_end")
-    inside_gap = (F.col(ts) > F.col("gap_start")) & (F.col(ts) < F.col("gap_end"))
-    if fits(g, max_broadcast_gaps):
-        inside = source.join(F.broadcast(g), inside_gap, "left_semi")
-    else:
-        b_us = interval_micros(bucket)
-        gb = g.withColumn("_gb", F.explode(F.sequence(F.floor(to_micros("gap_start") / b_us),
-                                                     F.floor(to_micros("gap_end") / b_us))))
-        sb = source.withColumn("_gb", F.floor(to_micros(ts) / b_us))
-        inside = sb.join(gb, (sb["_gb"] == gb["_gb"]) & inside_gap, "left_semi").drop("_gb")
+    b_us = interval_micros(bucket)
+    gb = (gaps.select("gap_start", "gap_end")
+          .withColumn("_gb", F.explode(F.sequence(F.floor(to_micros("gap_start") / b_us),
+                                                  F.floor(to_micros("gap_end") / b_us)))))
+    if fits(gb, max_broadcast_rows):
+        gb = F.broadcast(gb)
+    sb = source.withColumn("_gb", F.floor(to_micros(ts) / b_us))
+    inside_gap = (sb["_gb"] == gb["_gb"]) & (F.col(ts) > F.col("gap_start")) & (F.col(ts) < F.col("gap_end"))
+    inside = sb.join(gb, inside_gap, "left_semi").drop("_gb")
     missing = inside.join(target.select(*key), key, "left_anti")
     return target.unionByName(missing.select(*target.columns))
 

@@ -160,36 +160,40 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column,
     """Longest run of consecutive rows (per key, in ``order``) meeting
     ``cond`` (A8, X19: rows are numbered before filtering).
 
-    Phase 1, per (key, bucket): gap-and-island runs and a summary (row
-    count, leading run, trailing run, longest inner run).  Phase 2, per key
+    Phase 1, per (key, bucket), in one windowed pass: row number and running
+    count of qualifying rows give each run a constant ``rn - count`` id; two
+    grouped aggregations on the same partitioning summarise every bucket
+    (row count, leading run, trailing run, longest inner run), including
+    buckets with no qualifying row, which break streaks.  Phase 2, per key
     over bucket summaries only: the run carried into each bucket from the
-    previous ones.  Keys with no qualifying row give 0."""
+    previous ones.  One shuffle of the rows; keys with no qualifying row give 0."""
     order = list(order)
     base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"))
     wb = Window.partitionBy(key, "_b").orderBy(*order)
-    base = base.withColumn("_rn", F.row_number().over(wb))
-    runs = (base.filter(F.col("_c"))
-            .withColumn("_grp", F.col("_rn") - F.row_number().over(Window.partitionBy(key, "_b").orderBy(*order)))
-            .groupBy(key, "_b", "_grp")
+    base = (base.withColumn("_rn", F.row_number().over(wb))
+            .withColumn("_ct", F.sum(F.col("_c").cast("int")).over(wb.rowsBetween(Window.unboundedPreceding, 0))))
+    grp = F.when(F.col("_c"), F.col("_rn") - F.col("_ct"))
+    runs = (base.groupBy(key, "_b", grp.alias("_grp"))
             .agg(F.min("_rn").alias("_s"), F.max("_rn").alias("_e"), F.count(F.lit(1)).alias("_len")))
-    sizes = base.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    per_b = (runs.groupBy(key, "_b").agg(
-        F.max("_len").alias("_best"),
-        F.max(F.when(F.col("_s") == 1, F.col("_len"))).alias("_prefix"),
-        F.max(F.struct("_e", "_len")).alias("_lastrun")))
-    summ = (sizes.join(per_b, [key, "_b"], "left")
-            .select(key, "_b", "_n", F.coalesce("_best", F.lit(0)).alias("_best"),
-                    F.coalesce("_prefix", F.lit(0)).alias("_prefix"),
-                    F.when(F.col("_lastrun._e") == F.col("_n"), F.col("_lastrun._len")).otherwise(F.lit(0))
-                    .alias("_suffix")))
+    is_run = F.col("_grp").isNotNull()
+    per_b = runs.groupBy(key, "_b").agg(
+        F.max("_e").alias("_n"),
+        F.coalesce(F.max(F.when(is_run, F.col("_len"))), F.lit(0)).alias("_best"),
+        F.coalesce(F.max(F.when(is_run & (F.col("_s") == 1), F.col("_len"))), F.lit(0)).alias("_prefix"),
+        F.max(F.when(is_run, F.struct("_e", "_len"))).alias("_lastrun"))
+    summ = per_b.select(key, "_b", "_n", "_best", "_prefix",
+                        F.when(F.col("_lastrun._e") == F.col("_n"), F.col("_lastrun._len")).otherwise(F.lit(0))
+                        .alias("_suffix"))
     full = F.col("_prefix") == F.col("_n")
     wk = Window.partitionBy(key).orderBy("_b")
+    # segment = number of non-full buckets so far; the run carried into a
+    # bucket is the running sum, within the previous bucket's segment, of
+    # (trailing run of the non-full bucket that opened it, then whole sizes
+    # of the full buckets after it).
     summ = (summ.withColumn("_seg", F.sum((~full).cast("int")).over(wk.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("_contrib", F.when(full, F.col("_n")).otherwise(F.col("_suffix"))))
     summ = summ.withColumn("_S", F.sum("_contrib").over(
         Window.partitionBy(key, "_seg").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
     summ = summ.withColumn("_carry", F.coalesce(F.lag("_S").over(wk), F.lit(0)))
-    # a full bucket after a non-full one starts a new segment only through the
-    # non-full bucket itself, so the carry is the previous row's running sum.
     cand = F.greatest(F.col("_best"), F.col("_carry") + F.col("_prefix"))
     return summ.groupBy(key).agg(F.max(cand).cast("long").alias(out))
