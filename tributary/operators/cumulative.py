@@ -46,13 +46,16 @@ def class_rank(col: Column | str, order: Sequence[str] = CLASS_ORDER) -> Column:
 def period_rollup(df: DataFrame, keys: Sequence[str], period: str, struct_cols: Sequence[str],
                   avg_col: str | None = None, order_by: Sequence[str] | None = None,
                   items: str = "current_items", avg_out: str = "average_value",
-                  carry: Sequence[str] = ()) -> DataFrame:
+                  carry: Sequence[str] = (), cluster_by_keys: bool = False) -> DataFrame:
     """Per entity and period: the period's rows as a sorted struct array, and
     the average of one measure (D1).
 
     ``order_by`` gives the array order (defaults to ``struct_cols``); sorting
-    makes the array deterministic.  The average is a partial (map-side)
-    aggregate; the array is bounded by one entity's rows in one period."""
+    makes the array deterministic.  The array is bounded by one entity's rows
+    in one period.  Map-side ``collect_list`` does not shrink the rows, so
+    with ``cluster_by_keys`` the rows are hash-partitioned by the entity keys
+    once, and both this aggregation and a following per-entity window
+    (:func:`cumulate_range`) run without another shuffle."""
     order_by = list(order_by or struct_cols)
     item = F.struct(*[F.col(c) for c in struct_cols])
     keyed = F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_by)], item.alias("item"))
@@ -60,7 +63,8 @@ def period_rollup(df: DataFrame, keys: Sequence[str], period: str, struct_cols:
     if avg_col is not None:
         aggs.append(F.avg(F.col(avg_col).cast("double")).alias(avg_out))
     aggs += [F.first(c, ignorenulls=True).alias(c) for c in carry]
-    return df.groupBy(*keys, period).agg(*aggs)
+    src = df.repartition(*keys) if cluster_by_keys else df
+    return src.groupBy(*keys, period).agg(*aggs)
 
 
 def cumulate(prev: DataFrame, current: DataFrame, keys: Sequence[str], *,

@@ -43,7 +43,8 @@ def _r4(c):
 def film_rollup(spark, sf_dir):
     return cu.period_rollup(dv.actor_films(spark, sf_dir), ["actorid"], "year",
                             ["film", "votes", "rating", "filmid"], avg_col="rating",
-                            order_by=["filmid"], avg_out="average_rating", carry=["actor"])
+                            order_by=["filmid"], avg_out="average_rating", carry=["actor"],
+                            cluster_by_keys=True)
 
 
 def actor_snapshots(spark, sf_dir):
