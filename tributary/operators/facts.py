@@ -142,9 +142,11 @@ def host_datelist(events: DataFrame, *, as_of: str, host: str = "host", ts: str
     """Batch form of F10: per host and month up to ``as_of`` the sorted active
     days; equal to the daily upserts."""
     e = events.filter(F.to_date(ts) <= F.to_date(F.lit(as_of)))
-    days = e.select(host, F.to_date(ts).alias("_d")).distinct()
+    days = e.select(host, F.to_date(ts).alias("_d"))
+    # collect_set deduplicates map-side: one shuffle of at most one row per
+    # host and day per task.
     return (days.groupBy(host, F.trunc("_d", "month").alias("month_start"))
-            .agg(F.sort_array(F.collect_list("_d")).alias(list_col)))
+            .agg(F.sort_array(F.collect_set("_d")).alias(list_col)))
 
 
 def daily_host_metrics(events: DataFrame, *, host: str = "host", user: str = "user_id",
