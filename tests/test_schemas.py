@@ -39,3 +39,12 @@ def test_kafka_options_sasl():
     assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.sasl.mechanism"] == "PLAIN"
     assert 'username="u"' in o["kafka.sasl.jaas.config"]
     assert "kafka.security.protocol" not in kafka_options("b:1", "t")
+
+
+def test_scale_conf_sizes_partitions():
+    from tributary.session import scale_conf
+    big = scale_conf(100 << 40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"           # capped; AQE coalesces
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"              # at least 2 per core
