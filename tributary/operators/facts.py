@@ -63,13 +63,23 @@ def daily_activity(events: DataFrame, devices: DataFrame, *, user: str = "user_i
 
 
 def datelist_cumulate(prev: DataFrame, today: DataFrame, keys: Sequence[str], *,
-                      date_col: str = "date", list_col: str = "device_activity_datelist") -> DataFrame:
+                      date_col: str = "date", list_col: str = "device_activity_datelist",
+                      null_safe: bool = True) -> DataFrame:
     """One day of the cumulative datelist (F7): append today's date, carry idle
     keys forward with date + 1.  Keys match NULL-safely (X6: a NULL browser
-    still matches), and the date is part of the output key."""
+    still matches), and the date is part of the output key.  With keys
+    declared non-NULL, ``null_safe=False`` joins on plain equality, which lets
+    a snapshot bucketed by the keys skip its shuffle."""
     y = prev.alias("y")
     t = today.select(*keys, date_col).withColumn("_t", F.lit(True)).alias("t")
-    j = y.join(t, null_safe_on(y, t, keys), "full_outer")
+    if null_safe:
+        cond = null_safe_on(y, t, keys)
+    else:
+        cond = None
+        for k in keys:
+            c = F.col(f"y.{k}") == F.col(f"t.{k}")
+            cond = c if cond is None else cond & c
+    j = y.join(t, cond, "full_outer")
     cols = [F.coalesce(F.col(f"t.{k}"), F.col(f"y.{k}")).alias(k) for k in keys]
     cols.append(F.coalesce(F.col(f"t.{date_col}"), F.date_add(F.col(f"y.{date_col}"), 1)).alias(date_col))
     today_arr = F.when(F.col("t._t").isNotNull(), F.array(F.col(f"t.{date_col}")))

@@ -69,3 +69,19 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_snapshot_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str],
+                            buckets: int) -> DataFrame:
+    """Write one period's snapshot as an external table bucketed by the
+    entity ``keys`` at its own ``path`` and read it back.
+
+    The next period's merge (``cumulate``, ``scd2_merge``,
+    ``datelist_cumulate``, ``upsert``) joins this snapshot on the same keys:
+    Spark reuses the bucketing, so only the new period's (small) rows are
+    shuffled, never the snapshot, whose size grows with history."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (df.repartition(buckets, *keys).write.format("parquet").mode("overwrite")
+     .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
+    return spark.table(table)
