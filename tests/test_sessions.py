@@ -72,11 +72,16 @@ def test_stream_equals_batch(spark, scratch):
     rows = [r.asDict() for r in ev.collect()]
     src = os.path.join(scratch, "in")
     os.makedirs(src)
-    for i in range(0, len(rows), 250):
-        with open(os.path.join(src, f"part-{i:05d}.json"), "w") as f:
+    rows.sort(key=lambda r: r["event_time"])
+    for n, i in enumerate(range(0, len(rows), 250)):
+        path = os.path.join(src, f"part-{i:05d}.json")
+        with open(path, "w") as f:
             f.writelines(json.dumps(r) + "\n" for r in rows[i:i + 250])
-    with open(os.path.join(src, "part-99999.json"), "w") as f:
+        os.utime(path, (1_700_000_000 + 10 * n, 1_700_000_000 + 10 * n))   # files arrive in time order
+    sentinel = os.path.join(src, "part-99999.json")
+    with open(sentinel, "w") as f:
         f.write(json.dumps({"host": "zz-sentinel", "ip": "0", "event_time": "2025-01-01T00:00:00.000Z"}) + "\n")
+    os.utime(sentinel, (1_800_000_000, 1_800_000_000))
 
     stream = read_events_stream(spark, "json", path=src, watermark="15 seconds", max_files_per_trigger=1)
     out = os.path.join(scratch, "out")
@@ -122,3 +127,31 @@ def test_snapshot_fold_writes_new_paths(spark, scratch):
                               os.path.join(scratch, f"snap/date={day}"))
     r = prev.first()
     assert r.date == dt.date(2024, 1, 4) and r.device_activity_datelist == [dt.date(2024, 1, d) for d in (1, 2, 4)]
+
+
+def test_stream_drops_events_behind_the_watermark(spark, scratch):
+    """Late data (T3): once a session has been emitted, a later event that
+    would fall into it is behind the watermark and is dropped; it does not
+    reopen the session.  Spark moves the watermark at micro-batch boundaries,
+    so a late row arriving in the very batch that closes its session still
+    joins it (Flink checks per event); the case below is past that batch."""
+    src = os.path.join(scratch, "late_in")
+    os.makedirs(src)
+    batches = [[("a", "1", "2024-01-01T00:00:00.000Z")],
+               [("b", "1", "2024-01-01T01:00:00.000Z")],                 # watermark -> 00:59:45
+               [("c", "1", "2024-01-01T02:00:00.000Z")],                 # session a emitted
+               [("a", "1", "2024-01-01T00:00:30.000Z")],                 # late: dropped
+               [("zz", "0", "2025-01-01T00:00:00.000Z")]]                # flushes the rest
+    for i, rows in enumerate(batches):
+        path = os.path.join(src, f"part-{i}.json")
+        with open(path, "w") as f:
+            f.writelines(json.dumps({"host": h, "ip": ip, "event_time": t}) + "\n" for h, ip, t in rows)
+        os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))   # arrival order = file age
+    stream = read_events_stream(spark, "json", path=src, watermark="15 seconds", max_files_per_trigger=1)
+    out = os.path.join(scratch, "late_out")
+    q = start_query(sessionize_stream(stream), parquet_batch_writer(out), name="late_test",
+                    checkpoint=os.path.join(scratch, "ckpt_late"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for s in p["stateOperators"])
+    got = {(r.host, r.num_hits) for r in spark.read.parquet(out).collect()}
+    assert ("a", 1) in got and ("a", 2) not in got and ("b", 1) in got and dropped == 1

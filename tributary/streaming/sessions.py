@@ -4,7 +4,13 @@
 watermark passes their end; results are emitted in append mode (update mode
 is refused for session windows).  The batch twin is
 :func:`tributary.operators.sessions.sessionize`, and tests check both give
-the same sessions."""
+the same sessions.
+
+Late data: Spark moves the watermark between micro-batches.  A row behind
+the watermark is dropped once its session has been emitted; a late row that
+arrives in the same micro-batch that closes its session still joins it
+(Flink checks lateness per event).  Like the reference, there is no side
+output for dropped rows."""
 
 from __future__ import annotations
 
