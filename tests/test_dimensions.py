@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tributary.operators import cumulative as cu
 from tributary.operators import scd
-from tributary.plans import derive as dv
 from tributary.plans.queries import film_rollup
 
 FILM_COLS = ["film", "votes", "rating", "filmid"]

@@ -25,10 +25,6 @@ STAYED_RETIRED = "Stayed Retired"
 RETURNED = "Returned from Retirement"
 
 
-def _cols(xs):
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 # --- A1 ---------------------------------------------------------------------------
 
 def state_change(df: DataFrame, key: str | Sequence[str], period: str, active: str, *,
