@@ -68,6 +68,8 @@ def test_bucketed_three_way_join_has_no_exchange(spark):
         v2 = ly.write_bucketed(dv.matches(spark, SF), "t_matches_b2", "match_id", 16,
                                sort_cols=["playlist_id", "match_id"])
         assert v2.count() == m.count()
+        sizes = {r.table_name: (r.files, r.bytes) for r in ly.layout_sizes(spark, ["t_matches_b", "t_matches_b2"]).collect()}
+        assert set(sizes) == {"t_matches_b", "t_matches_b2"} and all(b > 0 for _, b in sizes.values())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -85,3 +85,13 @@ def write_snapshot_bucketed(df: DataFrame, table: str, path: str, keys: Sequence
     (df.repartition(buckets, *keys).write.format("parquet").mode("overwrite")
      .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
     return spark.table(table)
+
+
+def layout_sizes(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
+    """File count and bytes of several tables side by side (S12: the same
+    data under different sort layouts).  One small row per table."""
+    out = None
+    for t in tables:
+        r = table_bytes(spark.table(t)).select(F.lit(t).alias("table_name"), "files", "bytes")
+        out = r if out is None else out.unionByName(r)
+    return out
