@@ -649,3 +649,14 @@ ORACLE["dim_profile_seasons"] = """
 WITH ps AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders)
 SELECT season, count(*) AS n_players, (SELECT min(season) FROM ps) AS first_season FROM ps GROUP BY season
 """
+
+# incremental steps: equal to the last period of the one-pass results
+ORACLE["dim_cumulative_step"] = f"""
+WITH {_ACTOR_SNAP}
+SELECT actorid, actor, current_year, n_films, first_filmid, last_filmid, total_votes,
+       quality_class, is_active FROM snap WHERE current_year = 2001
+"""
+
+ORACLE["fact_device_datelist_step"] = f"""
+SELECT * FROM ({ORACLE["fact_device_datelist"]}) WHERE date = DATE '2024-01-30'
+"""

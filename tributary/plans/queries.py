@@ -85,6 +85,24 @@ def q_dim_cumulative_snapshot(spark, sf_dir):
                     "quality_class", "is_active")
 
 
+@register("dim_cumulative_step")
+def q_dim_cumulative_step(spark, sf_dir):
+    """D2 incremental step: the snapshot up to the year before, merged with
+    the last year's roll-up, equals the last year of the one-pass range."""
+    roll = film_rollup(spark, sf_dir)
+    prev = cu.cumulate_range(roll, ["actorid"], period="year", start=dv.FIRST_YEAR, end=dv.LAST_YEAR - 1,
+                             carry=["actor"], measure="average_rating")
+    cur = roll.filter(F.col("year") == dv.LAST_YEAR)
+    s = cu.cumulate(prev.filter(F.col("current_year") == dv.LAST_YEAR - 1), cur, ["actorid"],
+                    carry=["actor"], measure="average_rating")
+    first, last = cu.first_last("films")
+    return s.select("actorid", "actor", "current_year",
+                    F.size("films").cast("long").alias("n_films"),
+                    first["filmid"].alias("first_filmid"), last["filmid"].alias("last_filmid"),
+                    F.aggregate("films", F.lit(0).cast("long"), lambda acc, x: acc + x["votes"]).alias("total_votes"),
+                    "quality_class", "is_active")
+
+
 @register("dim_cumulative_seasons")
 def q_dim_cumulative_seasons(spark, sf_dir):
     s = season_snapshots(spark, sf_dir)
@@ -191,6 +209,19 @@ def q_fact_device_datelist(spark, sf_dir):
                      first.alias("first_active"), last.alias("last_active"))
 
 
+@register("fact_device_datelist_step")
+def q_fact_device_datelist_step(spark, sf_dir):
+    """F7 incremental step: yesterday's snapshot (one-pass range) plus
+    today's activity equals today's snapshot."""
+    act = device_activity(spark, sf_dir)
+    prev = facts.datelist_range(act, DEVICE_KEYS, end="2024-01-29").filter(F.col("date") == F.lit("2024-01-29").cast("date"))
+    today = act.filter(F.col("date") == F.lit(dv.EVENTS_AS_OF).cast("date"))
+    dl = facts.datelist_cumulate(prev, today, DEVICE_KEYS)
+    first, last = cu.first_last("device_activity_datelist")
+    return dl.select(*DEVICE_KEYS, "date", F.size("device_activity_datelist").cast("long").alias("n_days"),
+                     first.alias("first_active"), last.alias("last_active"))
+
+
 @register("fact_datelist_int")
 def q_fact_datelist_int(spark, sf_dir):
     snap = facts.datelist_snapshot(device_activity(spark, sf_dir), DEVICE_KEYS, as_of=dv.EVENTS_AS_OF)
