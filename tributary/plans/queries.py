@@ -271,7 +271,10 @@ def q_fact_host_activity_reduced(spark, sf_dir):
 def q_fact_host_activity_incremental(spark, sf_dir):
     daily = facts.daily_host_metrics(dv.web_events(spark, sf_dir))
     prev = facts.monthly_arrays(daily, as_of="2024-01-29")
-    return _arrays_text(facts.monthly_arrays_step(prev, daily, dv.EVENTS_AS_OF))
+    step = facts.monthly_arrays_step(prev, daily, dv.EVENTS_AS_OF)
+    # ON CONFLICT (host, month_start) DO UPDATE SET the two arrays
+    merged = facts.upsert(prev, step, ["host", "month_start"], set_cols=["hit_array", "unique_visitors_array"])
+    return _arrays_text(merged)
 
 
 # --- analytical patterns (A1-A8) ----------------------------------------------
