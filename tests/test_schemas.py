@@ -48,3 +48,13 @@ def test_scale_conf_sizes_partitions():
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"              # at least 2 per core
+
+
+def test_kafka_source_needs_the_connector(spark):
+    """No Kafka jar in this environment: the source fails at definition
+    time with Spark's deployment hint (the file source is used in tests)."""
+    from pyspark.errors import AnalysisException
+
+    from tributary.streaming.sources import read_events_stream
+    with pytest.raises(AnalysisException, match="kafka"):
+        read_events_stream(spark, "kafka", options=kafka_options("broker:9092", "web"))
