@@ -35,3 +35,14 @@ def test_compare_cells_detects_shift(spark):
     same = [("e", c, float(i % 10)) for c in ("control", "treatment") for i in range(2000)]
     r2 = xp.compare_cells(spark.createDataFrame(same, "experiment string, cell string, v double"), "v").first()
     assert r2.t_stat == 0.0 and r2.p_value == 1.0
+
+
+def test_cell_metrics_quantiles(spark):
+    import datetime as dt
+    exp = spark.createDataFrame([("e", 1, "control", dt.datetime(2024, 1, 1))],
+                                "experiment string, user_id long, cell string, exposure_ts timestamp_ntz")
+    facts = spark.createDataFrame([(1, "m", float(v), dt.datetime(2024, 1, 2)) for v in range(1, 101)],
+                                  "user_id long, metric string, value double, ts timestamp_ntz")
+    r = xp.cell_metrics(exp, facts, value_cents=F.round(F.col("value") * 100).cast("long"),
+                        quantiles=[0.5, 0.9]).first()
+    assert r.n == 100 and r.mean == 50.5 and r.p50 == 50.0 and r.p90 == 90.0

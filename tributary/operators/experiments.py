@@ -71,19 +71,25 @@ def cell_filter(df: DataFrame, id_col: str, cell: str = "cell", even_cells: Sequ
 
 
 def cell_metrics(exposures: DataFrame, facts: DataFrame, *, user: str = "user_id", ts: str = "ts",
-                 metric: str = "metric", value_cents: Column, exposure_ts: str = "exposure_ts") -> DataFrame:
+                 metric: str = "metric", value_cents: Column, exposure_ts: str = "exposure_ts",
+                 quantiles: Sequence[float] = (), accuracy: int = 10_000) -> DataFrame:
     """Leading metrics per experiment, cell and metric (E5): count, mean,
     sample standard deviation, min, max over facts at or after exposure.
-    Means use integer cents so they are exact."""
+    Means use integer cents so they are exact.  ``quantiles`` adds
+    ``percentile_approx`` columns (``p50`` ...): a fixed-size sketch per
+    group, so a large cell never gathers its values in one task."""
     j = exposures.join(facts, on=user, how="inner").filter(F.col(ts) >= F.col(exposure_ts))
+    value = value_cents / 100.0
+    qs = [F.percentile_approx(value, q, accuracy).alias(f"p{round(q * 100)}") for q in quantiles]
     g = j.groupBy("experiment", "cell", metric).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value_cents).cast("long").alias("_sum_cents"),
-        F.stddev_samp(value_cents / 100.0).alias("_sd"),
-        F.min(value_cents).alias("_min"), F.max(value_cents).alias("_max"))
+        F.stddev_samp(value).alias("_sd"),
+        F.min(value_cents).alias("_min"), F.max(value_cents).alias("_max"), *qs)
     return g.select("experiment", "cell", metric, "n",
                     ratio4(F.col("_sum_cents"), F.col("n") * 100).alias("mean"),
                     F.round("_sd", 4).alias("stddev"),
-                    (F.col("_min") / 100.0).alias("min_value"), (F.col("_max") / 100.0).alias("max_value"))
+                    (F.col("_min") / 100.0).alias("min_value"), (F.col("_max") / 100.0).alias("max_value"),
+                    *[f"p{round(q * 100)}" for q in quantiles])
 
 
 def retention(exposures: DataFrame, activity: DataFrame, *, user: str = "user_id", ts: str = "ts",
