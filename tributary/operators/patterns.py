@@ -107,7 +107,11 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
 
     Shuffles: the rows are hash-partitioned once by (key, bucket); the halo is
     partitioned the same way, so the union keeps that partitioning and the
-    final window needs no exchange.  Output: every input row with its sum."""
+    final window needs no exchange.  Both use the session's
+    ``spark.sql.shuffle.partitions`` explicitly (equal counts are what keeps
+    the union co-partitioned; AQE does not coalesce such repartitions), so
+    size it for the data, e.g. with ``session.scale_conf``.  Output: every
+    input row with its sum."""
     order = list(order)
     nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = df.select(key, *order, value, bucket.alias("_b")).repartition(nparts, key, "_b")
