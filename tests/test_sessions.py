@@ -155,3 +155,20 @@ def test_stream_drops_events_behind_the_watermark(spark, scratch):
     dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for s in p["stateOperators"])
     got = {(r.host, r.num_hits) for r in spark.read.parquet(out).collect()}
     assert ("a", 1) in got and ("a", 2) not in got and ("b", 1) in got and dropped == 1
+
+
+def test_sessionize_splits_burst_buckets(spark):
+    """A burst (one key, thousands of events in one hour) is split into finer
+    buckets above max_bucket_rows; sessions are unchanged."""
+    rnd = random.Random(11)
+    base = T(2024, 1, 1, 10)
+    rows = [("hot", base + dt.timedelta(seconds=rnd.randrange(0, 3600))) for _ in range(3000)]
+    rows += [("hot", base + dt.timedelta(hours=h, seconds=rnd.randrange(0, 60))) for h in range(2, 6)]
+    rows += [("cold", base + dt.timedelta(minutes=17 * i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    want = _brute_sessions(rows, 300)
+    for split in (60, 7):
+        got = sorted((r.k, r.session_start, r.num_hits) for r in
+                     ss.sessionize(df, "ts", ["k"], "5 minutes", bucket="1 hour", max_bucket_rows=100,
+                                   split=split).collect())
+        assert got == want

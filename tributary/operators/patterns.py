@@ -91,10 +91,29 @@ def game_sides(games: DataFrame, *, game: str = "game_id", date: str = "game_dat
     return games.select(game, date, *extra, F.inline(sides))
 
 
+# --- heavy-bucket refinement ------------------------------------------------------
+
+def _refine_buckets(base: DataFrame, key: str, max_rows: int, max_heavy: int = 1_000_000) -> DataFrame:
+    """Turn ``_b`` into the ordered pair (bucket, sub-bucket): ``_sub`` for
+    (key, bucket) groups above ``max_rows`` rows, NULL elsewhere.  Within a key
+    a bucket is either wholly split or not, so the pair keeps the order of the
+    rows.  The heavy list (at most rows / max_rows entries) is broadcast only
+    behind a bounded count."""
+    from tributary.operators.joins import fits
+    heavy = (base.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > max_rows).select(key, "_b", F.lit(True).alias("_heavy")))
+    if fits(heavy, max_heavy):
+        heavy = F.broadcast(heavy)
+    j = base.join(heavy, [key, "_b"], "left")
+    pair = F.struct(F.col("_b").alias("b"), F.when(F.col("_heavy"), F.col("_sub")).alias("s"))
+    return j.withColumn("_b", pair).drop("_heavy", "_sub")
+
+
 # --- A7: rolling window over the last N rows ------------------------------------
 
 def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: int, *,
-                 bucket: Column, out: str = "rolling") -> DataFrame:
+                 bucket: Column, out: str = "rolling", sub_bucket: Column | None = None,
+                 max_bucket_rows: int | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY order ROWS n-1 PRECEDING)``
     without a per-key window partition (A7, X18: ``order`` must be total).
 
@@ -110,16 +129,24 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
     final window needs no exchange.  Both use the session's
     ``spark.sql.shuffle.partitions`` explicitly (equal counts are what keeps
     the union co-partitioned; AQE does not coalesce such repartitions), so
-    size it for the data, e.g. with ``session.scale_conf``.  Output: every
-    input row with its sum."""
+    size it for the data, e.g. with ``session.scale_conf``.  With
+    ``sub_bucket`` (a finer order-monotone expression) and ``max_bucket_rows``,
+    a (key, bucket) above that many rows is split by ``sub_bucket``, so a
+    burst inside one bucket is not one task either.  Output: every input row
+    with its sum."""
     order = list(order)
     nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(key, *order, value, bucket.alias("_b")).repartition(nparts, key, "_b")
+    refine = sub_bucket is not None and max_bucket_rows is not None
+    rows = df.select(key, *order, value, bucket.alias("_b"), *([sub_bucket.alias("_sub")] if refine else []))
+    if refine:
+        rows = _refine_buckets(rows, key, max_bucket_rows)
+    base = rows.repartition(nparts, key, "_b")
     # rank of each row from the end of its bucket (1 = last row).
     wb_desc = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
     tails = base.withColumn("_rfe", F.row_number().over(wb_desc)).filter(F.col("_rfe") <= n - 1)
     # per-bucket counts; rows strictly before each bucket's start, per key.
-    counts = df.select(key, bucket.alias("_b")).groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    keyed = rows.select(key, "_b") if refine else df.select(key, bucket.alias("_b"))
+    counts = keyed.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(key).orderBy("_b")
     counts = counts.withColumn("_before", F.coalesce(
         F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -146,17 +173,21 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
 
 def best_stretch(sides: DataFrame, n: int = 90, *, key: str = "team_id",
                  order: Sequence[str] = ("game_date_est", "game_id"), value: str = "win",
-                 bucket: Column | None = None, out: str = "max_wins_stretch") -> DataFrame:
-    """Most wins in any ``n``-game stretch per team."""
+                 bucket: Column | None = None, out: str = "max_wins_stretch",
+                 sub_bucket: Column | None = None, max_bucket_rows: int | None = None) -> DataFrame:
+    """Most wins in any ``n``-game stretch per team (A7).  Buckets default to
+    the month of the first order column; heavy months can split by day."""
     bucket = bucket if bucket is not None else F.trunc(F.col(order[0]), "month")
-    r = rolling_rows(sides, key, order, value, n, bucket=bucket, out="_roll")
+    r = rolling_rows(sides, key, order, value, n, bucket=bucket, out="_roll", sub_bucket=sub_bucket,
+                     max_bucket_rows=max_bucket_rows)
     return r.groupBy(key).agg(F.max("_roll").alias(out))
 
 
 # --- A8: longest streak -------------------------------------------------------------
 
 def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column, *,
-                   bucket: Column, out: str = "longest_streak") -> DataFrame:
+                   bucket: Column, out: str = "longest_streak", sub_bucket: Column | None = None,
+                   max_bucket_rows: int | None = None) -> DataFrame:
     """Longest run of consecutive rows (per key, in ``order``) meeting
     ``cond`` (A8, X19: rows are numbered before filtering).
 
@@ -166,9 +197,15 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column,
     (row count, leading run, trailing run, longest inner run), including
     buckets with no qualifying row, which break streaks.  Phase 2, per key
     over bucket summaries only: the run carried into each bucket from the
-    previous ones.  One shuffle of the rows; keys with no qualifying row give 0."""
+    previous ones.  One shuffle of the rows; keys with no qualifying row give 0.
+    ``sub_bucket`` / ``max_bucket_rows`` split heavy buckets as in
+    :func:`rolling_rows`."""
     order = list(order)
-    base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"))
+    refine = sub_bucket is not None and max_bucket_rows is not None
+    base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"),
+                     *([sub_bucket.alias("_sub")] if refine else []))
+    if refine:
+        base = _refine_buckets(base, key, max_bucket_rows)
     wb = Window.partitionBy(key, "_b").orderBy(*order)
     base = (base.withColumn("_rn", F.row_number().over(wb))
             .withColumn("_ct", F.sum(F.col("_c").cast("int")).over(wb.rowsBetween(Window.unboundedPreceding, 0))))

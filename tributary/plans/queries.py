@@ -38,6 +38,11 @@ def _r4(c):
     return F.round(c, 4)
 
 
+# A (key, time bucket) above this many rows is split into finer buckets by the
+# chunked sequence operators, so a burst is never one task.
+HEAVY_BUCKET_ROWS = 1_000_000
+
+
 # --- dimensions (D1-D13) ------------------------------------------------------
 
 def film_rollup(spark, sf_dir):
@@ -314,14 +319,16 @@ def q_pattern_team_most_wins(spark, sf_dir):
 @register("pattern_best_90_game_stretch")
 def q_pattern_best_90_game_stretch(spark, sf_dir):
     sides = pt.game_sides(dv.games(spark, sf_dir))
-    return pt.best_stretch(sides, 90, out="max_wins_90_game_stretch")
+    return pt.best_stretch(sides, 90, out="max_wins_90_game_stretch",
+                           sub_bucket=F.col("game_date_est"), max_bucket_rows=HEAVY_BUCKET_ROWS)
 
 
 @register("pattern_longest_streak")
 def q_pattern_longest_streak(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events")
     return pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10,
-                             bucket=F.to_date("ts"))
+                             bucket=F.to_date("ts"), sub_bucket=F.hour("ts"),
+                             max_bucket_rows=HEAVY_BUCKET_ROWS)
 
 
 # --- sessions (T4, T7, T8, M6) --------------------------------------------------
@@ -331,7 +338,7 @@ def web_sessions(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events").select(
         F.col("event_type").alias("host"), (F.col("user_id") % 3).cast("string").alias("ip"), "ts")
     return ss.sessionize(ev, "ts", ["host", "ip"], "5 minutes", bucket="1 hour",
-                         start="event_window_timestamp", last="last_hit")
+                         start="event_window_timestamp", last="last_hit", max_bucket_rows=HEAVY_BUCKET_ROWS)
 
 
 @register("stream_session_hits")
