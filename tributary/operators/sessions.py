@@ -127,11 +127,15 @@ def compare_hosts(sessions: DataFrame, hosts: Sequence[str], *, host: str = "hos
 
 
 def time_per_user_day(events: DataFrame, *, user: str = "user_id", ts: str = "ts",
-                      gap: str = "30 minutes", out: str = "active_micros") -> DataFrame:
+                      gap: str = "30 minutes", out: str = "active_micros",
+                      max_bucket_rows: int | None = None) -> DataFrame:
     """Engagement (M6): per user and day, the time covered by the user's
     sessions (first to last event of each session), with sessions split at
-    midnight.  Microseconds as ``bigint`` keep the sum exact."""
-    s = sessionize(events, ts, [user], gap, bucket="1 day", start="_st", end="_en", last="_la", count="_n")
+    midnight.  Microseconds as ``bigint`` keep the sum exact.  Sessions are
+    found per (user, day); a user-day above ``max_bucket_rows`` is split into
+    hours (:func:`sessionize`)."""
+    s = sessionize(events, ts, [user], gap, bucket="1 day", start="_st", end="_en", last="_la", count="_n",
+                   max_bucket_rows=max_bucket_rows, split=24)
     days = s.select(user, "_st", "_la", F.explode(F.sequence(F.to_date("_st"), F.to_date("_la"))).alias("day"))
     lo = F.greatest(to_micros("_st"), to_micros(F.col("day").cast("timestamp_ntz")))
     hi = F.least(to_micros("_la"), to_micros(F.date_add("day", 1).cast("timestamp_ntz")))

@@ -358,7 +358,8 @@ def q_stream_compare_hosts(spark, sf_dir):
 
 @register("engagement_time_per_user_day")
 def q_engagement_time_per_user_day(spark, sf_dir):
-    return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes")
+    return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes",
+                                max_bucket_rows=HEAVY_BUCKET_ROWS)
 
 
 # --- layout and joins (S2-S10, M13) ----------------------------------------------
