@@ -84,7 +84,13 @@ def bucket_join(matches: DataFrame, details: DataFrame, medals: DataFrame, *, ke
                 second: str = "player_gamertag") -> DataFrame:
     """matches x details on the bucket key, x medal rows on (bucket key,
     player) (S6).  On tables bucketed by ``key`` and read inside
-    :func:`co_partitioned`, the plan has no exchange."""
+    :func:`co_partitioned`, the plan has no exchange.
+
+    Without a shuffle there is nothing for AQE to split, so a key holding a
+    large share of the rows stays in one bucket task.  For such keys use
+    :func:`salted_join`, or read the tables with
+    ``spark.sql.sources.bucketing.enabled=false`` so the join shuffles and
+    AQE's skew-join handling applies."""
     return matches.join(details, key).join(medals, [key, second])
 
 
