@@ -62,7 +62,9 @@ def period_rollup(df: DataFrame, keys: Sequence[str], period: str, struct_cols:
     aggs = [F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["item"]).alias(items)]
     if avg_col is not None:
         aggs.append(F.avg(F.col(avg_col).cast("double")).alias(avg_out))
-    aggs += [F.first(c, ignorenulls=True).alias(c) for c in carry]
+    # max, not first: deterministic whatever the row order, so a recomputed
+    # task after an executor loss gives the same value.
+    aggs += [F.max(c).alias(c) for c in carry]
     src = df.repartition(*keys) if cluster_by_keys else df
     return src.groupBy(*keys, period).agg(*aggs)
 
