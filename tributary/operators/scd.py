@@ -41,9 +41,10 @@ def scd2_backfill(df: DataFrame, key: str | Sequence[str], period: str, attrs: S
         "_change", F.when(F.col("_first"), F.lit(0)).otherwise(_changed(attrs, "_prev_").cast("int")))
     streaks = flagged.withColumn(
         "_streak", F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    out = (streaks.groupBy(*keys, "_streak")
-           .agg(*[F.first(a).alias(a) for a in attrs],
-                F.min(period).alias(start_col), F.max(period).alias(end_col)))
+    # attributes are constant within a streak (NULL-safe change flag), so
+    # grouping by them, as the reference does, is exact and deterministic.
+    out = (streaks.groupBy(*keys, "_streak", *attrs)
+           .agg(F.min(period).alias(start_col), F.max(period).alias(end_col)))
     return out.drop("_streak").withColumn(stamp_col, F.lit(as_of).cast("int"))
 
 
