@@ -1,9 +1,11 @@
 """Hot-key measurement: one (host, ip) holding every event (the sf0.1 events
 re-keyed and replicated 20x with 31-day shifts, about 2M rows, derived for this
-measurement only).  Runs the chunked ``sessionize``, Spark's native batch
-``session_window`` and a plain per-key ``lag`` window, each into the noop sink
-with the event log on, then reports for each the slowest task and the share of
-the rows read by the busiest task of the stages that shuffle the rows.
+measurement only).  Runs the chunked ``sessionize`` against Spark's native
+batch ``session_window`` and a per-key ``lag`` window, and the chunked rolling
+window and longest streak against their plain per-key window forms, each into
+the noop sink with the event log on.  Reports for each the slowest task and
+the share of the rows read by the busiest task of the stages that shuffle the
+rows.
 
 usage: python tools/hot_key_check.py [sf_dir]
 """
@@ -19,6 +21,7 @@ sys.path.insert(0, ".")
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tributary.operators import patterns as pt  # noqa: E402
 from tributary.operators import sessions as ss  # noqa: E402
 from tributary.session import build_session  # noqa: E402
 
@@ -40,11 +43,24 @@ def main():
     lagw = (hot.withColumn("_n", (F.col("ts") > F.timestamp_add("MINUTE", F.lit(5), F.lag("ts").over(w))).cast("int"))
             .withColumn("_s", F.sum(F.coalesce("_n", F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
             .groupBy("host", "ip", "_s").count())
+    val = hot.withColumn("v", (F.second("ts") % 2).cast("int"))
+    wk = Window.partitionBy("host").orderBy("ts")
+    plain_roll = val.withColumn("r", F.sum("v").over(wk.rowsBetween(-89, 0))).groupBy("host").agg(F.max("r"))
+    rn = F.row_number().over(wk)
+    plain_streak = (val.withColumn("_rn", rn).filter(F.col("v") == 1)
+                    .withColumn("_g", F.col("_rn") - F.row_number().over(wk))
+                    .groupBy("host", "_g").count().groupBy("host").agg(F.max("count")))
     runs = {
         "chunked sessionize (1h buckets)": ss.sessionize(hot, "ts", ["host", "ip"], "5 minutes"),
         "native session_window groupBy": hot.groupBy(F.session_window(F.col("ts").cast("timestamp"), "5 minutes"),
                                                      "host", "ip").count(),
         "per-key lag window": lagw,
+        "chunked rolling 90 rows (daily)": pt.rolling_rows(val, "host", ["ts"], "v", 90, bucket=F.to_date("ts"))
+                                           .groupBy("host").agg(F.max("rolling")),
+        "per-key rolling window": plain_roll,
+        "chunked longest streak (daily)": pt.longest_streak(val, "host", ["ts"], F.col("v") == 1,
+                                                            bucket=F.to_date("ts")),
+        "per-key gap-and-island": plain_streak,
     }
     wall = {}
     for name, df in runs.items():
