@@ -74,11 +74,12 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
     prev = F.lag("_us").over(w1)
     ev = ev.withColumn("_new", (prev.isNull() | (F.col("_us") - prev > gap_us)).cast("int"))
     ev = ev.withColumn("_sid", F.sum("_new").over(w1.rowsBetween(Window.unboundedPreceding, 0)))
-    ev = ev.withColumn("_nsid", F.sum("_new").over(Window.partitionBy(*keys, "_b")))
+    # the bucket's last row marks its last session (same window, no extra sort)
+    ev = ev.withColumn("_tail", F.lead("_us").over(w1).isNull().cast("int"))
     local = (ev.groupBy(*keys, "_b", "_sid")
              .agg(F.min("_us").alias("_s"), F.max("_us").alias("_e"), F.count(F.lit(1)).alias("_n"),
-                  F.max("_nsid").alias("_nsid")))
-    edge = (F.col("_sid") == 1) | (F.col("_sid") == F.col("_nsid"))
+                  F.max("_tail").alias("_tail")))
+    edge = (F.col("_sid") == 1) | (F.col("_tail") == 1)
     inner = local.filter(~edge).select(*keys, "_s", "_e", "_n")
     w2 = Window.partitionBy(*keys).orderBy("_s")
     pe = F.lag("_e").over(w2)
