@@ -22,10 +22,10 @@ from tributary.operators.joins import lookup_join
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """Keep, per key, the first row in the caller's total order.
 
-    Written as ``min(struct(order..., row...))`` per key rather than
-    ``row_number()``: the minimum is a partial aggregate, so a key holding a
-    third of all rows is reduced map-side before the shuffle instead of being
-    sorted in one task."""
+    Written as ``min(struct(order..., row...))`` per key: the minimum is a
+    partial aggregate, so a key holding a third of all rows is reduced
+    map-side before the shuffle instead of being sorted in one task, without
+    relying on the optimizer's window-limit rewrite of ``row_number() = 1``."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     payload = [c for c in df.columns if c not in keys]
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
