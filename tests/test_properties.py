@@ -91,3 +91,22 @@ def test_longest_streak_with_split_buckets(spark, rows, width, max_rows):
         cur[k] = cur.get(k, 0) + 1 if c else 0
         want[k] = max(want.get(k, 0), cur[k])
     assert got == want
+
+
+@SETTINGS
+@given(minutes=st.lists(st.integers(0, 3000), min_size=2, max_size=60), gap=st.integers(1, 120),
+       fanout=st.integers(1, 8), keyed=st.booleans())
+def test_find_gaps_property(spark, minutes, gap, fanout, keyed):
+    from tributary.operators import monitoring as mo
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i % 2 if keyed else 0, base + dt.timedelta(minutes=m)) for i, m in enumerate(minutes)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz")
+    got = sorted(tuple(r) for r in mo.find_gaps(df, "ts", f"{gap} minutes", keys=["k"] if keyed else [],
+                                                 fanout=fanout).select(
+        *(["k"] if keyed else []), "gap_start", "gap_end").collect())
+    want = []
+    for key in sorted({k for k, _ in rows}):
+        ts = sorted({t for k, t in rows if k == key})
+        want += [((key,) if keyed else ()) + (a, b) for a, b in zip(ts, ts[1:])
+                 if (b - a) > dt.timedelta(minutes=gap)]
+    assert got == sorted(want)

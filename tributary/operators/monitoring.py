@@ -133,25 +133,33 @@ def lateness(df: DataFrame, *, event_ts: str, arrival_ts: str,
     return g.select("band", "n_events", ratio4("_sum", "n_events").alias("avg_lateness_s"), "max_lateness_s")
 
 
-def find_gaps(df: DataFrame, ts: str, min_gap: str, *, keys: Sequence[str] = ()) -> DataFrame:
+def find_gaps(df: DataFrame, ts: str, min_gap: str, *, keys: Sequence[str] = (),
+              fanout: int = 1024) -> DataFrame:
     """Holes longer than ``min_gap`` between consecutive events (M9), per
     ``keys`` or over the whole stream.
 
     Buckets of width ``min_gap`` are reduced to (min, max) by a partial
     aggregate; a hole longer than a bucket cannot lie inside one bucket, so
     the holes are exactly the spans between consecutive non-empty buckets
-    that exceed ``min_gap``.  Only one row per non-empty bucket is ordered,
-    never the events themselves."""
+    that exceed ``min_gap``.  Those spans are found in two levels: between
+    buckets inside a super-bucket of ``fanout`` buckets (one window per
+    super-bucket), and between the last bucket of one super-bucket and the
+    first of the next non-empty one (a window over super-bucket ends only).
+    No window ever holds the events, and the top level holds
+    time span / (min_gap x fanout) rows."""
     keys = list(keys)
     g_us = interval_micros(min_gap)
-    us = to_micros(ts)
-    b = df.select(*keys, us.alias("_us")).filter(F.col("_us").isNotNull()) \
-        .groupBy(*keys, F.floor(F.col("_us") / F.lit(g_us)).alias("_b")) \
-        .agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-    w = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
-    nxt = F.lead("_lo").over(w)
-    return (b.select(*keys, F.col("_hi").alias("_s"), nxt.alias("_e"))
-            .filter(F.col("_e") - F.col("_s") > g_us)
+    b = (df.select(*keys, to_micros(ts).alias("_us")).filter(F.col("_us").isNotNull())
+         .groupBy(*keys, F.floor(F.col("_us") / F.lit(g_us)).alias("_b"))
+         .agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+         .withColumn("_sb", F.floor(F.col("_b") / F.lit(fanout))))
+    w_in = Window.partitionBy(*keys, "_sb").orderBy("_b")
+    inside = b.select(*keys, F.col("_hi").alias("_s"), F.lead("_lo").over(w_in).alias("_e"))
+    ends = b.groupBy(*keys, "_sb").agg(F.min("_lo").alias("_first"), F.max("_hi").alias("_last"))
+    w_out = Window.partitionBy(*keys).orderBy("_sb") if keys else Window.orderBy("_sb")
+    across = ends.select(*keys, F.col("_last").alias("_s"), F.lead("_first").over(w_out).alias("_e"))
+    spans = inside.unionByName(across)
+    return (spans.filter(F.col("_e") - F.col("_s") > g_us)
             .select(*keys, from_micros(F.col("_s")).alias("gap_start"), from_micros(F.col("_e")).alias("gap_end"),
                     ((F.col("_e") - F.col("_s")) / F.lit(60_000_000)).cast("long").alias("gap_minutes")))
 
