@@ -1,0 +1,35 @@
+"""Time-bucket chunking shared by the per-key sequence operators
+(sessions, rolling windows, streaks).
+
+Those operators window rows per (key, bucket) instead of per key, where a
+bucket is an ordered, contiguous time interval.  When one (key, bucket) is
+itself too big (a burst), :func:`split_heavy_buckets` replaces its bucket by
+the pair (bucket, sub-bucket) for that group only, keeping the per-key order
+of buckets, which is all the operators rely on.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def split_heavy_buckets(rows: DataFrame, keys: Sequence[str], max_rows: int, *, bucket: str = "_b",
+                        sub: str = "_sub", max_heavy: int = 1_000_000) -> DataFrame:
+    """Turn ``bucket`` into the ordered pair (bucket, sub-bucket): ``sub`` for
+    (keys, bucket) groups above ``max_rows`` rows, NULL elsewhere.  Within a
+    key a bucket is either wholly split or not, so the pair keeps the order of
+    the rows.  Heavy groups are found from per-group counts (a partial
+    aggregate); their list has at most rows / max_rows entries and is
+    broadcast only behind a bounded count.  Drops ``sub``."""
+    from tributary.operators.joins import fits
+    keys = list(keys)
+    heavy = (rows.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > max_rows).select(*keys, bucket, F.lit(True).alias("_heavy")))
+    if fits(heavy, max_heavy):
+        heavy = F.broadcast(heavy)
+    j = rows.join(heavy, [*keys, bucket], "left")
+    pair = F.struct(F.col(bucket).alias("b"), F.when(F.col("_heavy"), F.col(sub)).alias("s"))
+    return j.withColumn(bucket, pair).drop("_heavy", sub)

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.operators.chunking import split_heavy_buckets
+
 # State labels.
 NEW = "New"
 CONTINUED = "Continued Playing"
@@ -91,24 +93,6 @@ def game_sides(games: DataFrame, *, game: str = "game_id", date: str = "game_dat
     return games.select(game, date, *extra, F.inline(sides))
 
 
-# --- heavy-bucket refinement ------------------------------------------------------
-
-def _refine_buckets(base: DataFrame, key: str, max_rows: int, max_heavy: int = 1_000_000) -> DataFrame:
-    """Turn ``_b`` into the ordered pair (bucket, sub-bucket): ``_sub`` for
-    (key, bucket) groups above ``max_rows`` rows, NULL elsewhere.  Within a key
-    a bucket is either wholly split or not, so the pair keeps the order of the
-    rows.  The heavy list (at most rows / max_rows entries) is broadcast only
-    behind a bounded count."""
-    from tributary.operators.joins import fits
-    heavy = (base.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > max_rows).select(key, "_b", F.lit(True).alias("_heavy")))
-    if fits(heavy, max_heavy):
-        heavy = F.broadcast(heavy)
-    j = base.join(heavy, [key, "_b"], "left")
-    pair = F.struct(F.col("_b").alias("b"), F.when(F.col("_heavy"), F.col("_sub")).alias("s"))
-    return j.withColumn("_b", pair).drop("_heavy", "_sub")
-
-
 # --- A7: rolling window over the last N rows ------------------------------------
 
 def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: int, *,
@@ -139,7 +123,7 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
     refine = sub_bucket is not None and max_bucket_rows is not None
     rows = df.select(key, *order, value, bucket.alias("_b"), *([sub_bucket.alias("_sub")] if refine else []))
     if refine:
-        rows = _refine_buckets(rows, key, max_bucket_rows)
+        rows = split_heavy_buckets(rows, [key], max_bucket_rows)
     base = rows.repartition(nparts, key, "_b")
     # rank of each row from the end of its bucket (1 = last row).
     wb_desc = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
@@ -205,7 +189,7 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column,
     base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"),
                      *([sub_bucket.alias("_sub")] if refine else []))
     if refine:
-        base = _refine_buckets(base, key, max_bucket_rows)
+        base = split_heavy_buckets(base, [key], max_bucket_rows)
     wb = Window.partitionBy(key, "_b").orderBy(*order)
     base = (base.withColumn("_rn", F.row_number().over(wb))
             .withColumn("_ct", F.sum(F.col("_c").cast("int")).over(wb.rowsBetween(Window.unboundedPreceding, 0))))

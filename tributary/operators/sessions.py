@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.nulls import round_half_away
+from tributary.operators.chunking import split_heavy_buckets
 
 _US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -68,8 +69,8 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
     ev = df.select(*keys, to_micros(ts).alias("_us")).filter(F.col("_us").isNotNull())
     ev = ev.withColumn("_b", F.floor(F.col("_us") / F.lit(b_us)))
     if max_bucket_rows is not None:
-        ev = _split_heavy_buckets(ev, keys, max_bucket_rows,
-                                  F.floor(F.col("_us") / F.lit(max(b_us // split, 1))), F.col("_b") * split)
+        ev = ev.withColumn("_sub", F.floor(F.col("_us") / F.lit(max(b_us // split, 1))))
+        ev = split_heavy_buckets(ev, keys, max_bucket_rows)
     w1 = Window.partitionBy(*keys, "_b").orderBy("_us")
     prev = F.lag("_us").over(w1)
     ev = ev.withColumn("_new", (prev.isNull() | (F.col("_us") - prev > gap_us)).cast("int"))
@@ -95,21 +96,6 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
                       from_micros(F.col("_e")).alias(last), F.col("_n").cast("long").alias(count))
 
 
-def _split_heavy_buckets(ev: DataFrame, keys: Sequence[str], max_rows: int, fine: Column,
-                         coarse: Column, max_heavy: int = 1_000_000) -> DataFrame:
-    """Replace ``_b`` by ``fine`` inside (keys, _b) groups above ``max_rows``
-    and by ``coarse`` elsewhere; both must keep the time order of buckets.
-    The heavy list has at most rows / max_rows entries and is broadcast only
-    behind a bounded count."""
-    from tributary.operators.joins import fits
-    heavy = (ev.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > max_rows).select(*keys, "_b", F.lit(True).alias("_heavy")))
-    if fits(heavy, max_heavy):
-        heavy = F.broadcast(heavy)
-    j = ev.join(heavy, [*keys, "_b"], "left")
-    return j.withColumn("_b", F.when(F.col("_heavy"), fine).otherwise(coarse)).drop("_heavy")
-
-
 def avg_session_hits(sessions: DataFrame, *, host_like: str, host: str = "host", ip: str = "ip",
                      hits: str = "num_hits", out: str = "average_num_hits") -> DataFrame:
     """Average hits per session by ip and host for hosts matching a LIKE
