@@ -172,3 +172,34 @@ def test_sessionize_splits_burst_buckets(spark):
                      ss.sessionize(df, "ts", ["k"], "5 minutes", bucket="1 hour", max_bucket_rows=100,
                                    split=split).collect())
         assert got == want
+
+
+def test_session_stream_on_rocksdb_state(spark, scratch):
+    """Large state: the same session-window stream on the RocksDB state
+    store with changelog checkpointing."""
+    from tributary.streaming import stream_state_conf
+    conf = stream_state_conf()
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        src = os.path.join(scratch, "rocks_in")
+        os.makedirs(src)
+        times = ["2024-01-01T00:00:00.000Z", "2024-01-01T00:04:00.000Z", "2024-01-01T00:20:00.000Z",
+                 "2025-01-01T00:00:00.000Z"]
+        for i, t in enumerate(times):
+            path = os.path.join(src, f"p{i}.json")
+            with open(path, "w") as f:
+                f.write(json.dumps({"host": "h", "ip": "1", "event_time": t}) + "\n")
+            os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+        stream = read_events_stream(spark, "json", path=src, max_files_per_trigger=1)
+        out = os.path.join(scratch, "rocks_out")
+        q = start_query(sessionize_stream(stream), parquet_batch_writer(out), name="rocks_test",
+                        checkpoint=os.path.join(scratch, "ckpt_rocks"), trigger={"availableNow": True})
+        q.awaitTermination(300)
+        assert sorted(r.num_hits for r in spark.read.parquet(out).collect()) == [1, 2]
+        assert any(k.startswith("rocksdb") for p in q.recentProgress for s in p["stateOperators"]
+                   for k in s.get("customMetrics", {}))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -47,3 +47,19 @@ def start_query(df: DataFrame, writer: Callable[[DataFrame, int], None], *, name
     if trigger:
         w = w.trigger(**dict(trigger))
     return w.start()
+
+
+def stream_state_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
+    """Settings for large stateful streams (session windows, dedup): RocksDB
+    state store (state off the JVM heap, incremental snapshots) with
+    changelog checkpointing.  The number of state partitions is fixed by
+    ``spark.sql.shuffle.partitions`` when a query first starts, so size it
+    before the first run."""
+    conf = {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return conf
