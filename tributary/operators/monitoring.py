@@ -23,7 +23,8 @@ def profit(revenue: DataFrame, expenses: DataFrame, salaries: DataFrame, keys: S
            amount: str = "amount") -> DataFrame:
     """Profit = revenue - expenses - salaries per key (M1).  Each side is
     aggregated first (partial aggregation), then one full outer join chain
-    on the small results; a side missing for a key counts as 0."""
+    on the small results; a side missing for a key counts as 0.  Pass
+    amounts in integer minor units for exact sums at any scale."""
     keys = list(keys)
 
     def agg(df, name):
@@ -31,7 +32,7 @@ def profit(revenue: DataFrame, expenses: DataFrame, salaries: DataFrame, keys: S
 
     j = (agg(revenue, "revenue").join(agg(expenses, "expenses"), keys, "full_outer")
          .join(agg(salaries, "salaries"), keys, "full_outer"))
-    r, e, s = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("revenue", "expenses", "salaries"))
+    r, e, s = (F.coalesce(F.col(c), F.lit(0)) for c in ("revenue", "expenses", "salaries"))
     return j.select(*keys, F.col("revenue").isNull().alias("missing_revenue"),
                     r.alias("revenue"), e.alias("expenses"), s.alias("salaries"), (r - e - s).alias("profit"))
 

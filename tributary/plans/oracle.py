@@ -487,12 +487,14 @@ FROM q
 
 _MONEY = """
 lo AS (SELECT c.c_nationkey AS unit, CAST(year(o.o_orderdate) AS INTEGER) AS period,
-              l.l_extendedprice, l.l_discount, l.l_tax
+              CAST(round(l.l_extendedprice * 100) AS BIGINT) AS price_c,
+              CAST(round((1 - l.l_discount) * 100) AS BIGINT) AS keep_c,
+              CAST(round(l.l_tax * 100) AS BIGINT) AS tax_c
        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
-rv AS (SELECT unit, period, sum(l_extendedprice * (1 - l_discount)) AS revenue FROM lo GROUP BY 1, 2),
-ex AS (SELECT unit, period, sum(l_extendedprice * l_tax) AS expenses FROM lo GROUP BY 1, 2),
+rv AS (SELECT unit, period, sum(price_c * keep_c) AS revenue FROM lo GROUP BY 1, 2),
+ex AS (SELECT unit, period, sum(price_c * tax_c) AS expenses FROM lo GROUP BY 1, 2),
 sa AS (SELECT s.s_nationkey AS unit, CAST(year(l.l_shipdate) AS INTEGER) AS period,
-              sum(l.l_quantity * 10) AS salaries
+              sum(CAST(l.l_quantity AS BIGINT) * 10 * 10000) AS salaries
        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2),
 pr AS (SELECT coalesce(rv.unit, ex.unit, sa.unit) AS unit, coalesce(rv.period, ex.period, sa.period) AS period,
               rv.revenue IS NULL AS missing_revenue,
@@ -504,24 +506,27 @@ pr AS (SELECT coalesce(rv.unit, ex.unit, sa.unit) AS unit, coalesce(rv.period, e
 
 ORACLE["ops_profit"] = f"""
 WITH {_MONEY}
-SELECT unit, period, missing_revenue, round(revenue, 4) AS revenue, round(expenses, 4) AS expenses,
-       round(salaries, 4) AS salaries, round(revenue - expenses - salaries, 4) AS profit
+SELECT unit, period, missing_revenue, CAST(revenue AS DOUBLE) / 10000.0 AS revenue,
+       CAST(expenses AS DOUBLE) / 10000.0 AS expenses, CAST(salaries AS DOUBLE) / 10000.0 AS salaries,
+       CAST(revenue - expenses - salaries AS DOUBLE) / 10000.0 AS profit
 FROM pr
 """
 
 _RECON = """
-cp AS (SELECT CAST(year(o.o_orderdate) AS INTEGER) AS period, sum(l.l_extendedprice) AS computed
+cp AS (SELECT CAST(year(o.o_orderdate) AS INTEGER) AS period,
+              sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS computed
        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1),
-rp AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS period, sum(o_totalprice) AS reported FROM orders GROUP BY 1),
+rp AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS period,
+              sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS reported FROM orders GROUP BY 1),
 rc AS (SELECT coalesce(cp.period, rp.period) AS period, computed, reported,
-              (computed - reported) / nullif(reported, 0) AS rel_diff
+              CAST(computed - reported AS DOUBLE) / CAST(nullif(reported, 0) AS DOUBLE) AS rel_diff
        FROM cp FULL OUTER JOIN rp ON cp.period = rp.period)
 """
 
 ORACLE["ops_reconcile"] = f"""
 WITH {_RECON}
-SELECT period, round(computed, 4) AS computed, round(reported, 4) AS reported, round(rel_diff, 4) AS rel_diff,
-       coalesce(abs(rel_diff) <= 0.05, false) AS within_tolerance
+SELECT period, CAST(computed AS DOUBLE) / 100.0 AS computed, CAST(reported AS DOUBLE) / 100.0 AS reported,
+       round(rel_diff, 4) AS rel_diff, coalesce(abs(rel_diff) <= 0.05, false) AS within_tolerance
 FROM rc
 """
 
@@ -600,7 +605,7 @@ ORACLE["ops_backfill"] = "SELECT event_id, user_id, ts FROM events"
 
 ORACLE["ops_exec_summary"] = f"""
 WITH {_MONEY}, {_CHANGES.strip()},
-pf AS (SELECT unit, round(sum(revenue - expenses - salaries), 4) AS profit FROM pr GROUP BY 1),
+pf AS (SELECT unit, CAST(sum(revenue - expenses - salaries) AS DOUBLE) / 10000.0 AS profit FROM pr GROUP BY 1),
 gr AS (SELECT c.c_nationkey AS unit, count(*) AS new_accounts
        FROM chg JOIN customer c ON chg.account_id = c.c_custkey WHERE change = 'new' GROUP BY 1),
 f AS (SELECT user_id, ts,

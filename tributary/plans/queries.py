@@ -475,6 +475,16 @@ def q_exp_compare_cells(spark, sf_dir):
 
 # --- pipeline checks (M1-M5, M7-M12) -------------------------------------------------
 
+def _cents(c):
+    """Money with 2 decimals as exact integer cents."""
+    return F.round(c * 100).cast("long")
+
+
+# Money is summed in integer units of 1/10,000 (cents x percent), so sums are
+# exact at any scale and equal in every engine; one division at the end.
+MONEY_UNIT = 10_000.0
+
+
 def money_sides(spark, sf_dir):
     li = dv.table(spark, sf_dir, "lineitem")
     o = dv.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -483,11 +493,12 @@ def money_sides(spark, sf_dir):
     lo = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
           .select(F.col("c_nationkey").alias("unit"), F.year("o_orderdate").alias("period"),
                   "l_extendedprice", "l_discount", "l_tax"))
-    revenue = lo.select("unit", "period", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount"))
-    expenses = lo.select("unit", "period", (F.col("l_extendedprice") * F.col("l_tax")).alias("amount"))
+    revenue = lo.select("unit", "period",
+                        (_cents(F.col("l_extendedprice")) * _cents(1 - F.col("l_discount"))).alias("amount"))
+    expenses = lo.select("unit", "period", (_cents(F.col("l_extendedprice")) * _cents(F.col("l_tax"))).alias("amount"))
     salaries = (li.join(s, li.l_suppkey == s.s_suppkey)
                 .select(F.col("s_nationkey").alias("unit"), F.year("l_shipdate").alias("period"),
-                        (F.col("l_quantity") * 10).alias("amount")))
+                        (F.col("l_quantity").cast("long") * 10 * 10_000).alias("amount")))
     return revenue, expenses, salaries
 
 
@@ -498,23 +509,24 @@ def profit_report(spark, sf_dir):
 @register("ops_profit")
 def q_ops_profit(spark, sf_dir):
     p = profit_report(spark, sf_dir)
-    return p.select("unit", "period", "missing_revenue", *[_r4(F.col(c)).alias(c)
-                                                           for c in ("revenue", "expenses", "salaries", "profit")])
+    return p.select("unit", "period", "missing_revenue",
+                    *[(F.col(c) / MONEY_UNIT).alias(c) for c in ("revenue", "expenses", "salaries", "profit")])
 
 
 def reconciliation(spark, sf_dir):
     li = dv.table(spark, sf_dir, "lineitem")
     o = dv.table(spark, sf_dir, "orders")
     computed = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.year("o_orderdate").alias("period"))
-                .agg(F.sum("l_extendedprice").alias("value")))
-    reported = o.groupBy(F.year("o_orderdate").alias("period")).agg(F.sum("o_totalprice").alias("value"))
+                .agg(F.sum(_cents(F.col("l_extendedprice"))).alias("value")))
+    reported = o.groupBy(F.year("o_orderdate").alias("period")).agg(F.sum(_cents(F.col("o_totalprice"))).alias("value"))
     return mo.reconcile(computed, reported, ["period"], tolerance=0.05)
 
 
 @register("ops_reconcile")
 def q_ops_reconcile(spark, sf_dir):
     r = reconciliation(spark, sf_dir)
-    return r.select("period", _r4(F.col("computed")).alias("computed"), _r4(F.col("reported")).alias("reported"),
+    return r.select("period", (F.col("computed") / 100.0).alias("computed"),
+                    (F.col("reported") / 100.0).alias("reported"),
                     _r4(F.col("rel_diff")).alias("rel_diff"), "within_tolerance")
 
 
@@ -587,7 +599,7 @@ def q_ops_backfill(spark, sf_dir):
 @register("ops_exec_summary")
 def q_ops_exec_summary(spark, sf_dir):
     cust = dv.table(spark, sf_dir, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("unit"))
-    prof = profit_report(spark, sf_dir).groupBy("unit").agg(_r4(F.sum("profit")).alias("profit"))
+    prof = profit_report(spark, sf_dir).groupBy("unit").agg((F.sum("profit") / MONEY_UNIT).alias("profit"))
     growth = (account_changes(spark, sf_dir).filter(F.col("change") == "new")
               .join(cust, F.col("account_id") == F.col("c_custkey"))
               .groupBy("unit").agg(F.count(F.lit(1)).alias("new_accounts")))
