@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.nulls import round_half_away
+from tributary.functions.nulls import ratio4, round_half_away
 from tributary.operators.chunking import split_heavy_buckets
 
 _US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -108,9 +108,10 @@ def compare_hosts(sessions: DataFrame, hosts: Sequence[str], *, host: str = "hos
                   hits: str = "num_hits") -> DataFrame:
     """Distinct ips, sessions, hits and average hits per host for a host list
     (T8, X14: the list is a parameter)."""
-    return (sessions.filter(F.col(host).isin(list(hosts))).groupBy(host)
-            .agg(F.count_distinct(ip).alias("n_ips"), F.count(F.lit(1)).alias("n_sessions"),
-                 F.sum(hits).alias("total_hits"), F.round(F.avg(hits), 4).alias("avg_hits")))
+    g = (sessions.filter(F.col(host).isin(list(hosts))).groupBy(host)
+         .agg(F.count_distinct(ip).alias("n_ips"), F.count(F.lit(1)).alias("n_sessions"),
+              F.sum(hits).alias("total_hits")))
+    return g.withColumn("avg_hits", ratio4("total_hits", "n_sessions"))
 
 
 def time_per_user_day(events: DataFrame, *, user: str = "user_id", ts: str = "ts",

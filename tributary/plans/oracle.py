@@ -74,6 +74,12 @@ SELECT actorid, quality_class, is_active, min(current_year) AS start_date,
 FROM streak GROUP BY actorid, sid, quality_class, is_active
 """
 
+def _ratio4(n: str, d: str) -> str:
+    """Half-up num/den to 4 places in integer arithmetic (same as ratio4)."""
+    return (f"CASE WHEN ({d}) <> 0 THEN ((20000 * CAST({n} AS BIGINT) + ({d})) // (2 * ({d})))"
+            f" / CAST(10000.0 AS DOUBLE) END")
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["dim_period_rollup"] = f"""
@@ -312,7 +318,7 @@ FROM ses WHERE host LIKE '%e' GROUP BY ip, host
 ORACLE["stream_compare_hosts"] = f"""
 WITH {_WEB_SESSIONS}
 SELECT host, count(DISTINCT ip) AS n_ips, count(*) AS n_sessions, CAST(sum(num_hits) AS BIGINT) AS total_hits,
-       round(avg(num_hits), 4) AS avg_hits
+       {_ratio4('sum(num_hits)', 'count(*)')} AS avg_hits
 FROM ses WHERE host IN ('click', 'view', 'signup') GROUP BY host
 """
 
@@ -334,12 +340,6 @@ FROM d GROUP BY user_id, day
 """
 
 
-def _ratio4(n: str, d: str) -> str:
-    """Half-up num/den to 4 places in integer arithmetic (same as ratio4)."""
-    return (f"CASE WHEN ({d}) <> 0 THEN ((20000 * CAST({n} AS BIGINT) + ({d})) // (2 * ({d})))"
-            f" / CAST(10000.0 AS DOUBLE) END")
-
-
 # --- layout and joins -------------------------------------------------------------
 
 _MATCH_ROWS = """
