@@ -115,3 +115,13 @@ def test_scd2_merge_fixture(spark):
     assert got == [("a", "star", 2020, 2025), ("b", "bad", 2025, 2025), ("b", "good", 2022, 2024),
                    ("c", "bad", 2019, 2021), ("d", "good", 2025, 2025), ("e", "", 2023, 2024),
                    ("e", "star", 2025, 2025), ("g", "good", 2024, 2024)]
+
+
+def test_summary_form_equals_array_form(spark):
+    """cumulate_range_summary (no arrays) gives the same counts, first/last
+    items, class and activity as summarising cumulate_range's arrays."""
+    from tributary.plans.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    a = QUERIES["dim_cumulative_snapshot"](spark, sf)
+    b = QUERIES["dim_cumulative_summary"](spark, sf)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))

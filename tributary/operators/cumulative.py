@@ -147,6 +147,50 @@ def cumulate_range(rollup: DataFrame, keys: Sequence[str], *, period: str, end:
     return expanded.select(*cols)
 
 
+def cumulate_range_summary(per_period: DataFrame, keys: Sequence[str], *, period: str, end: int,
+                           start: int | None = None, out_period: str = "current_year",
+                           measure: str = "average_value", class_col: str = "quality_class",
+                           thresholds: Sequence[tuple[float, str]] = QUALITY_CLASSES,
+                           running_sums: Sequence[str] = (), firsts: Sequence[str] = (),
+                           lasts: Sequence[str] = (), carry: Sequence[str] = (),
+                           idle_counter: str | None = None, active_col: str = "is_active") -> DataFrame:
+    """The cumulative snapshot of :func:`cumulate_range` without history
+    arrays: per entity and period, running sums (e.g. item counts), the first
+    and the latest value of per-period columns, the class, ``is_active`` and
+    the idle counter.
+
+    ``per_period`` holds one row per (entity, period) of scalar aggregates
+    (count, sum, min, max, avg: all partial aggregates, so a hot entity is
+    reduced map-side).  The windows then see one row per entity per period,
+    so no task ever holds an entity's items; use this form when only
+    summaries of the history are read."""
+    src = per_period
+    if start is not None:
+        src = src.filter(F.col(period) >= F.lit(start))
+    src = src.filter(F.col(period) <= F.lit(end))
+    w = Window.partitionBy(*keys).orderBy(period)
+    last = F.coalesce(F.lead(period).over(w) - 1, F.lit(end))
+    cols = [measure, *running_sums, *firsts, *lasts]
+    cols = list(dict.fromkeys(cols))
+    expanded = (src.withColumn("_span", F.sequence(F.col(period), last))
+                .select(*keys, *carry, period, *cols, F.posexplode("_span").alias("_pos", out_period)))
+    first = F.col("_pos") == 0
+    expanded = expanded.select(*keys, *carry, out_period, first.alias(active_col),
+                               F.when(first, F.col(period)).alias("_active_period"),
+                               *[F.when(first, F.col(c)).alias(f"_v_{c}") for c in cols])
+    wc = Window.partitionBy(*keys).orderBy(out_period).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = [*keys, *[F.last(c, ignorenulls=True).over(wc).alias(c) for c in carry], out_period]
+    out += [F.sum(f"_v_{c}").over(wc).alias(c) for c in running_sums]
+    out += [F.first(f"_v_{c}", ignorenulls=True).over(wc).alias(f"first_{c}") for c in firsts]
+    out += [F.last(f"_v_{c}", ignorenulls=True).over(wc).alias(f"last_{c}") for c in lasts]
+    out += [F.last(classify(F.col(f"_v_{measure}"), thresholds), ignorenulls=True).over(wc).alias(class_col),
+            active_col]
+    if idle_counter is not None:
+        out.append((F.col(out_period) - F.last("_active_period", ignorenulls=True).over(wc))
+                   .cast("int").alias(idle_counter))
+    return expanded.select(*out)
+
+
 # --- reading the history back (D9-D13) ---------------------------------------
 
 def unnest(df: DataFrame, arr: str, keep: Sequence[str], field: str | None = None,

@@ -665,3 +665,6 @@ SELECT actorid, actor, current_year, n_films, first_filmid, last_filmid, total_v
 ORACLE["fact_device_datelist_step"] = f"""
 SELECT * FROM ({ORACLE["fact_device_datelist"]}) WHERE date = DATE '2024-01-30'
 """
+
+# the array-free summary form must equal the array-based snapshot
+ORACLE["dim_cumulative_summary"] = ORACLE["dim_cumulative_snapshot"]

@@ -90,6 +90,22 @@ def q_dim_cumulative_snapshot(spark, sf_dir):
                     "quality_class", "is_active")
 
 
+@register("dim_cumulative_summary")
+def q_dim_cumulative_summary(spark, sf_dir):
+    """D2-D5 without history arrays: per-period partial aggregates, then
+    running window aggregates.  Same result as ``dim_cumulative_snapshot``."""
+    per = (dv.actor_films(spark, sf_dir).groupBy("actorid", "year")
+           .agg(F.count(F.lit(1)).alias("n_films"), F.min("filmid").alias("filmid_min"),
+                F.max("filmid").alias("filmid_max"), F.sum("votes").cast("long").alias("total_votes"),
+                F.avg("rating").alias("average_rating"), F.max("actor").alias("actor")))
+    s = cu.cumulate_range_summary(per, ["actorid"], period="year", start=dv.FIRST_YEAR, end=dv.LAST_YEAR,
+                                  measure="average_rating", running_sums=["n_films", "total_votes"],
+                                  firsts=["filmid_min"], lasts=["filmid_max"], carry=["actor"])
+    return s.select("actorid", "actor", "current_year", "n_films",
+                    F.col("first_filmid_min").alias("first_filmid"), F.col("last_filmid_max").alias("last_filmid"),
+                    "total_votes", "quality_class", "is_active")
+
+
 @register("dim_cumulative_step")
 def q_dim_cumulative_step(spark, sf_dir):
     """D2 incremental step: the snapshot up to the year before, merged with
