@@ -58,6 +58,16 @@ def actor_snapshots(spark, sf_dir):
                              measure="average_rating")
 
 
+def actor_classes(spark, sf_dir):
+    """Class and activity per actor and year, for the consumers that read
+    nothing else (SCD2, state change, account changes): the array-free
+    snapshot, so no film history is built or moved."""
+    per = (dv.actor_films(spark, sf_dir).groupBy("actorid", "year")
+           .agg(F.avg("rating").alias("average_rating")))
+    return cu.cumulate_range_summary(per, ["actorid"], period="year", start=dv.FIRST_YEAR, end=dv.LAST_YEAR,
+                                     measure="average_rating")
+
+
 def season_snapshots(spark, sf_dir):
     ps = dv.player_seasons(spark, sf_dir).select(
         "player_id", "season", "pts",
@@ -135,14 +145,14 @@ def q_dim_cumulative_seasons(spark, sf_dir):
 
 @register("dim_scd2_backfill")
 def q_dim_scd2_backfill(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir)
+    snap = actor_classes(spark, sf_dir)
     return scd.scd2_backfill(snap, "actorid", "current_year", ["quality_class", "is_active"],
                              as_of=dv.LAST_YEAR)
 
 
 @register("dim_scd2_incremental")
 def q_dim_scd2_incremental(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir)
+    snap = actor_classes(spark, sf_dir)
     hist = scd.scd2_backfill(snap, "actorid", "current_year", ["quality_class", "is_active"],
                              as_of=dv.LAST_YEAR - 1)
     cur = snap.filter(F.col("current_year") == dv.LAST_YEAR)
@@ -302,7 +312,7 @@ def q_fact_host_activity_incremental(spark, sf_dir):
 
 @register("pattern_state_change")
 def q_pattern_state_change(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir)
+    snap = actor_classes(spark, sf_dir)
     return pt.state_change(snap, "actorid", "current_year", "is_active", out="player_state",
                            years_out="n_years_active", last_out="last_active_year")
 
@@ -547,7 +557,7 @@ def q_ops_reconcile(spark, sf_dir):
 
 
 def account_changes(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir).select(
+    snap = actor_classes(spark, sf_dir).select(
         F.col("actorid").alias("account_id"), F.col("current_year").alias("period"),
         cu.class_rank("quality_class").alias("plan_rank"), "is_active")
     return mo.account_changes(snap, "account_id", "period")
