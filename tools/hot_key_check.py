@@ -3,7 +3,8 @@ re-keyed and replicated 20x with 31-day shifts, about 2M rows, derived for this
 measurement only).  Runs the chunked ``sessionize`` against Spark's native
 batch ``session_window`` and a per-key ``lag`` window, and the chunked rolling
 window and longest streak against their plain per-key window forms, dedup
-against ``row_number``, and the salted join against a plain join, each into
+against ``row_number``, the salted join against a plain join, and the
+cumulative snapshot with history arrays against the array-free summary, each into
 the noop sink with the event log on.  Reports for each the slowest task and
 the share of the rows read by the busiest task of the stages that shuffle the
 rows.
@@ -22,6 +23,7 @@ sys.path.insert(0, ".")
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tributary.operators import cumulative as cu  # noqa: E402
 from tributary.operators import facts  # noqa: E402
 from tributary.operators import joins as jn  # noqa: E402
 from tributary.operators import patterns as pt  # noqa: E402
@@ -51,6 +53,12 @@ def main():
             .groupBy("host", "ip", "_s").count())
     val = hot.withColumn("v", (F.second("ts") % 2).cast("int"))
     dim = spark.createDataFrame([("hot", "x")], "host string, label string")
+    # one actor with every row; a "year" per month of events
+    films = val.select(F.col("host").alias("actorid"),
+                       ((F.year("ts") - 2024) * 12 + F.month("ts")).alias("year"),
+                       F.col("ts").cast("string").alias("film"), F.col("v").alias("votes"),
+                       (F.col("v") * 9.0).alias("rating"), F.unix_micros(F.col("ts").cast("timestamp")).alias("filmid"))
+    last_period = 40
     wk = Window.partitionBy("host").orderBy("ts")
     plain_roll = val.withColumn("r", F.sum("v").over(wk.rowsBetween(-89, 0))).groupBy("host").agg(F.max("r"))
     rn = F.row_number().over(wk)
@@ -74,6 +82,13 @@ def main():
         "salted join (hot key salted 16 ways)": jn.salted_join(val, dim, ["host"], salts=16, min_rows=100_000)
                                                 .groupBy("label").count(),
         "plain join": val.join(dim, "host").groupBy("label").count(),
+        "cumulative snapshot, history arrays": cu.cumulate_range(
+            cu.period_rollup(films, ["actorid"], "year", ["film", "votes", "rating", "filmid"], avg_col="rating",
+                             cluster_by_keys=True), ["actorid"], period="year", end=last_period)
+        .select("actorid", "current_year", F.size("films").alias("n")),
+        "cumulative snapshot, array-free summary": cu.cumulate_range_summary(
+            films.groupBy("actorid", "year").agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("average_value")),
+            ["actorid"], period="year", end=last_period, running_sums=["n"]),
     }
     wall = {}
     for name, df in runs.items():
