@@ -668,3 +668,10 @@ SELECT * FROM ({ORACLE["fact_device_datelist"]}) WHERE date = DATE '2024-01-30'
 
 # the array-free summary form must equal the array-based snapshot
 ORACLE["dim_cumulative_summary"] = ORACLE["dim_cumulative_snapshot"]
+
+ORACLE["ops_gap_detection_per_user"] = """
+WITH g AS (SELECT user_id, ts AS gap_start, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS gap_end FROM events)
+SELECT user_id, gap_start, gap_end,
+       CAST((epoch_us(gap_end) - epoch_us(gap_start)) // 60000000 AS BIGINT) AS gap_minutes
+FROM g WHERE gap_end - gap_start > INTERVAL 6 HOUR
+"""

@@ -614,6 +614,13 @@ def q_ops_gap_detection(spark, sf_dir):
     return mo.find_gaps(holed_events(spark, sf_dir), "ts", "1 hour")
 
 
+@register("ops_gap_detection_per_user")
+def q_ops_gap_detection_per_user(spark, sf_dir):
+    """Per-user holes longer than 6 hours in the whole event log (keyed M9)."""
+    ev = dv.table(spark, sf_dir, "events").select("user_id", "ts")
+    return mo.find_gaps(ev, "ts", "6 hours", keys=["user_id"])
+
+
 @register("ops_backfill")
 def q_ops_backfill(spark, sf_dir):
     target = holed_events(spark, sf_dir)
