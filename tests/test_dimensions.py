@@ -125,3 +125,21 @@ def test_summary_form_equals_array_form(spark):
     a = QUERIES["dim_cumulative_snapshot"](spark, sf)
     b = QUERIES["dim_cumulative_summary"](spark, sf)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+
+
+def test_summary_form_idle_counter_matches_seasons(spark):
+    """The idle counter, points class and running games of the array-free
+    form equal the season snapshot built with arrays (D6)."""
+    from tributary.plans import derive as dv
+    from tributary.plans.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    arrays = QUERIES["dim_cumulative_seasons"](spark, sf).select(
+        "player_id", "current_season", "total_gp", "scoring_class", "years_since_last_season", "is_active")
+    per = dv.player_seasons(spark, sf).withColumn("gp", F.col("gp").cast("long"))
+    summ = cu.cumulate_range_summary(per, ["player_id"], period="season", start=1995, end=2001,
+                                     out_period="current_season", measure="pts", class_col="scoring_class",
+                                     thresholds=cu.SCORING_CLASSES, running_sums=["gp"],
+                                     idle_counter="years_since_last_season")
+    summ = summ.select("player_id", "current_season", F.col("gp").alias("total_gp"), "scoring_class",
+                       "years_since_last_season", "is_active")
+    assert sorted(map(tuple, arrays.collect())) == sorted(map(tuple, summ.collect()))
