@@ -95,9 +95,14 @@ def test_stream_equals_batch(spark, scratch):
     batch_in = parse_web_events(spark.read.json(src, schema="ip string, event_time string, referrer string, "
                                                             "host string, url string, geodata string"),
                                 value_col=None, watermark=None).filter("host != 'zz-sentinel'")
-    batch = sorted((r.session_start, r.host, r.ip, r.num_hits)
-                   for r in ss.sessionize(batch_in, "window_timestamp", ["host", "ip"]).collect())
+    batch_sessions = ss.sessionize(batch_in, "window_timestamp", ["host", "ip"])
+    batch = sorted((r.session_start, r.host, r.ip, r.num_hits) for r in batch_sessions.collect())
     assert len(batch) > 500 and streamed == batch
+    # the reference's follow-up analysis (T7, T8) on the stream's sink equals the batch result
+    sink = spark.read.parquet(out).filter("host != 'zz-sentinel'")
+    for analyse in (lambda d: ss.avg_session_hits(d, host_like="%e"),
+                    lambda d: ss.compare_hosts(d, ["click", "view", "signup"])):
+        assert sorted(map(tuple, analyse(sink).collect())) == sorted(map(tuple, analyse(batch_sessions).collect()))
 
 
 def test_stream_dedup_within_watermark(spark, scratch):
