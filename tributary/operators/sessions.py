@@ -53,7 +53,7 @@ def from_micros(us: Column) -> Column:
 def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minutes", *,
                bucket: str = "1 hour", start: str = "session_start", end: str = "session_end",
                last: str = "last_event", count: str = "num_hits",
-               max_bucket_rows: int | None = None, split: int = 60) -> DataFrame:
+               max_bucket_rows: int | None = None, split: int = 60, fanout: int = 1024) -> DataFrame:
     """Sessions per ``keys`` with an inclusive inactivity ``gap`` (T4).
 
     Output per session: keys, start (first event), end (last event + gap, as
@@ -63,7 +63,12 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
     burst) is split into ``split`` finer time buckets, found from per-bucket
     counts (a partial aggregate; the heavy list is bounded by rows /
     max_bucket_rows).  Buckets only need to be ordered, contiguous time
-    intervals per key, so the result is unchanged."""
+    intervals per key, so the result is unchanged.
+
+    The bucket-edge sessions are merged in two levels: inside super-buckets
+    of ``fanout`` buckets, then only the first and last merged segment of
+    each super-bucket across super-buckets, so no window orders more than
+    about 2 x fanout rows, or 2 per super-bucket of a key."""
     keys = list(keys)
     gap_us, b_us = interval_micros(gap), interval_micros(bucket)
     ev = df.select(*keys, to_micros(ts).alias("_us")).filter(F.col("_us").isNotNull())
@@ -82,20 +87,36 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
                   F.max("_tail").alias("_tail")))
     edge = (F.col("_sid") == 1) | (F.col("_tail") == 1)
     inner = local.filter(~edge).select(*keys, "_s", "_e", "_n")
-    w2 = Window.partitionBy(*keys).orderBy("_s")
-    pe = F.lag("_e").over(w2)
-    bnd = (local.filter(edge)
-           .withColumn("_new2", (pe.isNull() | (F.col("_s") - pe > gap_us)).cast("int"))
-           .withColumn("_mid", F.sum("_new2").over(w2.rowsBetween(Window.unboundedPreceding, 0))))
-    merged = (bnd.groupBy(*keys, "_mid")
-              .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"))
-              .drop("_mid"))
-    out = inner.unionByName(merged)
+    # level 2: edge sessions merged inside super-buckets (by start time)
+    bnd = (local.filter(edge).select(*keys, "_s", "_e", "_n")
+           .withColumn("_sb", F.floor(F.col("_s") / F.lit(b_us * fanout))))
+    seg = _merge_runs(bnd, [*keys, "_sb"], gap_us)
+    inner2 = seg.filter(~F.col("_first") & ~F.col("_last")).select(*keys, "_s", "_e", "_n")
+    # level 3: only each super-bucket's first and last segment can touch a neighbour
+    edges2 = seg.filter(F.col("_first") | F.col("_last")).select(*keys, "_s", "_e", "_n")
+    merged = _merge_runs(edges2, keys, gap_us).select(*keys, "_s", "_e", "_n")
+    out = inner.unionByName(inner2).unionByName(merged)
     return out.select(*keys, from_micros(F.col("_s")).alias(start),
                       from_micros(F.col("_e") + gap_us).alias(end),
                       from_micros(F.col("_e")).alias(last), F.col("_n").cast("long").alias(count))
 
 
+def _merge_runs(df: DataFrame, part: Sequence[str], gap_us: int) -> DataFrame:
+    """Merge time-ordered, disjoint runs (_s, _e, _n) within ``part`` whose
+    distance is at most the gap; flags each merged run as first / last in
+    its partition."""
+    w = Window.partitionBy(*part).orderBy("_s")
+    pe = F.lag("_e").over(w)
+    x = (df.withColumn("_new", (pe.isNull() | (F.col("_s") - pe > gap_us)).cast("int"))
+         .withColumn("_mid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("_tail", F.lead("_s").over(w).isNull().cast("int")))
+    return (x.groupBy(*part, "_mid")
+            .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"),
+                 F.max("_tail").alias("_tail"))
+            .select(*part, "_s", "_e", "_n", (F.col("_mid") == 1).alias("_first"),
+                    (F.col("_tail") == 1).alias("_last")))
+
+
 def avg_session_hits(sessions: DataFrame, *, host_like: str, host: str = "host", ip: str = "ip",
                      hits: str = "num_hits", out: str = "average_num_hits") -> DataFrame:
     """Average hits per session by ip and host for hosts matching a LIKE
