@@ -45,7 +45,7 @@ def test_longest_streak_property(spark, rows, width):
 
 @SETTINGS
 @given(events=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 7200)), min_size=1, max_size=60),
-       gap_min=st.integers(1, 20), bucket_min=st.integers(1, 90), fanout=st.integers(1, 6))
+       gap_min=st.integers(1, 20), bucket_min=st.integers(1, 90), fanout=st.one_of(st.none(), st.integers(1, 6)))
 def test_sessionize_property(spark, events, gap_min, bucket_min, fanout):
     base = dt.datetime(2024, 1, 1)
     rows = [(k, base + dt.timedelta(seconds=s)) for k, s in events]

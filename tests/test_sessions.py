@@ -50,8 +50,8 @@ def test_sessionize_matches_brute_force_across_buckets(spark):
     rows = [(rnd.choice("ab"), base + dt.timedelta(seconds=rnd.randrange(0, 6 * 3600))) for _ in range(600)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
     want = _brute_sessions(rows, 300)
-    for bucket, fanout in [("1 minute", 1024), ("7 minutes", 1024), ("1 hour", 1024), ("1 day", 1024),
-                           ("1 minute", 2), ("7 minutes", 3), ("1 minute", 1)]:
+    for bucket, fanout in [("1 minute", None), ("7 minutes", None), ("1 hour", None), ("1 day", None),
+                           ("1 minute", 2), ("7 minutes", 3), ("1 minute", 1), ("1 hour", 1024)]:
         got = sorted((r.k, r.session_start, r.num_hits)
                      for r in ss.sessionize(df, "ts", ["k"], "5 minutes", bucket=bucket, fanout=fanout).collect())
         assert got == want, (bucket, fanout)

@@ -53,7 +53,7 @@ def from_micros(us: Column) -> Column:
 def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minutes", *,
                bucket: str = "1 hour", start: str = "session_start", end: str = "session_end",
                last: str = "last_event", count: str = "num_hits",
-               max_bucket_rows: int | None = None, split: int = 60, fanout: int = 1024) -> DataFrame:
+               max_bucket_rows: int | None = None, split: int = 60, fanout: int | None = None) -> DataFrame:
     """Sessions per ``keys`` with an inclusive inactivity ``gap`` (T4).
 
     Output per session: keys, start (first event), end (last event + gap, as
@@ -65,10 +65,12 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
     max_bucket_rows).  Buckets only need to be ordered, contiguous time
     intervals per key, so the result is unchanged.
 
-    The bucket-edge sessions are merged in two levels: inside super-buckets
-    of ``fanout`` buckets, then only the first and last merged segment of
-    each super-bucket across super-buckets, so no window orders more than
-    about 2 x fanout rows, or 2 per super-bucket of a key."""
+    Bucket-edge sessions (at most 2 per bucket) are merged per key, so that
+    window grows with a key's time span / bucket width, not with its row
+    count (hourly buckets: about 17,500 rows per key-year).  For fine
+    buckets over very long histories, ``fanout`` merges them in two levels:
+    inside super-buckets of ``fanout`` buckets, then only each super-bucket's
+    first and last segment across super-buckets."""
     keys = list(keys)
     gap_us, b_us = interval_micros(gap), interval_micros(bucket)
     ev = df.select(*keys, to_micros(ts).alias("_us")).filter(F.col("_us").isNotNull())
@@ -87,15 +89,19 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
                   F.max("_tail").alias("_tail")))
     edge = (F.col("_sid") == 1) | (F.col("_tail") == 1)
     inner = local.filter(~edge).select(*keys, "_s", "_e", "_n")
-    # level 2: edge sessions merged inside super-buckets (by start time)
-    bnd = (local.filter(edge).select(*keys, "_s", "_e", "_n")
-           .withColumn("_sb", F.floor(F.col("_s") / F.lit(b_us * fanout))))
-    seg = _merge_runs(bnd, [*keys, "_sb"], gap_us)
-    inner2 = seg.filter(~F.col("_first") & ~F.col("_last")).select(*keys, "_s", "_e", "_n")
-    # level 3: only each super-bucket's first and last segment can touch a neighbour
-    edges2 = seg.filter(F.col("_first") | F.col("_last")).select(*keys, "_s", "_e", "_n")
-    merged = _merge_runs(edges2, keys, gap_us).select(*keys, "_s", "_e", "_n")
-    out = inner.unionByName(inner2).unionByName(merged)
+    bnd = local.filter(edge).select(*keys, "_s", "_e", "_n")
+    if fanout is None:
+        merged = _merge_runs(bnd, keys, gap_us).select(*keys, "_s", "_e", "_n")
+        out = inner.unionByName(merged)
+    else:
+        # edge sessions merged inside super-buckets (by start time) ...
+        bnd = bnd.withColumn("_sb", F.floor(F.col("_s") / F.lit(b_us * fanout)))
+        seg = _merge_runs(bnd, [*keys, "_sb"], gap_us)
+        inner2 = seg.filter(~F.col("_first") & ~F.col("_last")).select(*keys, "_s", "_e", "_n")
+        # ... then only each super-bucket's first and last segment across them
+        edges2 = seg.filter(F.col("_first") | F.col("_last")).select(*keys, "_s", "_e", "_n")
+        merged = _merge_runs(edges2, keys, gap_us).select(*keys, "_s", "_e", "_n")
+        out = inner.unionByName(inner2).unionByName(merged)
     return out.select(*keys, from_micros(F.col("_s")).alias(start),
                       from_micros(F.col("_e") + gap_us).alias(end),
                       from_micros(F.col("_e")).alias(last), F.col("_n").cast("long").alias(count))
