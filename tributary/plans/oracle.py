@@ -675,3 +675,5 @@ SELECT user_id, gap_start, gap_end,
        CAST((epoch_us(gap_end) - epoch_us(gap_start)) // 60000000 AS BIGINT) AS gap_minutes
 FROM g WHERE gap_end - gap_start > INTERVAL 6 HOUR
 """
+
+ORACLE["dim_growth_ratio_summary"] = ORACLE["dim_growth_ratio"]

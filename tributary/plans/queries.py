@@ -176,6 +176,20 @@ def q_dim_growth_ratio(spark, sf_dir):
                     _r4(F.col("last_pts")).alias("last_pts"), _r4(F.col("pts_ratio")).alias("pts_ratio"))
 
 
+@register("dim_growth_ratio_summary")
+def q_dim_growth_ratio_summary(spark, sf_dir):
+    """D13 from the array-free season snapshot: first and latest points of
+    each star player's active seasons, no season arrays."""
+    per = dv.player_seasons(spark, sf_dir)
+    s = cu.cumulate_range_summary(per, ["player_id"], period="season", start=dv.FIRST_YEAR, end=dv.LAST_YEAR,
+                                  out_period="current_season", measure="pts", class_col="scoring_class",
+                                  thresholds=cu.SCORING_CLASSES, firsts=["pts"], lasts=["pts"])
+    star = s.filter((F.col("current_season") == dv.LAST_YEAR) & (F.col("scoring_class") == "star"))
+    den = F.when(F.col("first_pts") == 0, F.lit(1.0)).otherwise(F.col("first_pts"))
+    return star.select("player_id", _r4(F.col("first_pts")).alias("first_pts"),
+                       _r4(F.col("last_pts")).alias("last_pts"), _r4(F.col("last_pts") / den).alias("pts_ratio"))
+
+
 @register("dim_profile_seasons")
 def q_dim_profile_seasons(spark, sf_dir):
     """D15 profile: players per season and the first season overall.  The
