@@ -49,7 +49,7 @@ def candidates(rows: DataFrame) -> DataFrame:
     """Rows (.., w) exploded to one per candidate: ``at`` (word number),
     ``word``, ``before`` (two words) and ``after``."""
     spots = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(F.get("w", i)) >= SHORTEST) & F.get("w", i).rlike("[0-9]") & F.get("w", i).rlike(RUN))
-    rows = rows.filter(F.size("w") > 0).withColumn("at", F.explode(spots))
+    rows = rows.withColumn("at", F.explode_outer(spots)).filter("at is not null")      # outer: else the search runs twice, once as a filter
     rows = rows.withColumn("word", F.get("w", F.col("at"))).withColumn("after", F.coalesce(F.get("w", F.col("at") + 1), F.lit("")))
     before = F.concat_ws(" ", F.get("w", F.col("at") - 2), F.get("w", F.col("at") - 1))
     return rows.withColumn("before", before).drop("w")
