@@ -143,3 +143,18 @@ def test_summary_form_idle_counter_matches_seasons(spark):
     summ = summ.select("player_id", "current_season", F.col("gp").alias("total_gp"), "scoring_class",
                        "years_since_last_season", "is_active")
     assert sorted(map(tuple, arrays.collect())) == sorted(map(tuple, summ.collect()))
+
+
+def test_null_keys_are_one_entity_in_steps(spark):
+    """V7: a NULL key in the snapshot and in the new period is one entity."""
+    prev = spark.createDataFrame([(None, 2020, [("f0", 1, 9.0, "f0")], "star", True)],
+                                 "actorid string, current_year int, films array<struct<film:string,votes:int,rating:double,filmid:string>>, quality_class string, is_active boolean")
+    cur = spark.createDataFrame([(None, 2021, [("f1", 1, 5.0, "f1")], 5.0)],
+                                "actorid string, year int, current_items array<struct<film:string,votes:int,rating:double,filmid:string>>, average_value double")
+    out = cu.cumulate(prev, cur, ["actorid"]).collect()
+    assert len(out) == 1 and len(out[0].films) == 2 and out[0].is_active and out[0].quality_class == "bad"
+    hist = spark.createDataFrame([(None, "star", True, 2020, 2020, 2020)],
+                                 "k string, quality_class string, is_active boolean, start_date int, end_date int, current_year int")
+    now = spark.createDataFrame([(None, "star", True)], "k string, quality_class string, is_active boolean")
+    got = scd.scd2_merge(hist, now, "k", ["quality_class", "is_active"], prev_as_of=2020, new_period=2021).collect()
+    assert [(r.k, r.start_date, r.end_date) for r in got] == [(None, 2020, 2021)]

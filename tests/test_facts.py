@@ -29,7 +29,7 @@ def test_datelist_null_browser_matches(spark):
                                  "device_activity_datelist array<date>")
     today = spark.createDataFrame([(1, 2, None, D(2023, 1, 31))],
                                   "user_id long, device_id long, browser_type string, date date")
-    out = facts.datelist_cumulate(prev, today, ["user_id", "device_id", "browser_type"]).collect()
+    out = facts.datelist_cumulate(prev, today, ["user_id", "device_id", "browser_type"], "2023-01-31").collect()
     assert len(out) == 1 and out[0].device_activity_datelist == [D(2023, 1, 30), D(2023, 1, 31)]
 
 
@@ -49,7 +49,7 @@ def test_datelist_range_equals_fold(spark):
     rows = []
     for d in range(1, 8):
         day = D(2024, 1, d)
-        prev = facts.datelist_cumulate(prev, act.filter(F.col("date") == day), ["u"]).checkpoint()
+        prev = facts.datelist_cumulate(prev, act, ["u"], str(day)).checkpoint()
         rows += [(r.u, r.date, tuple(r.device_activity_datelist)) for r in prev.collect()]
     got = sorted((r.u, r.date, tuple(r.device_activity_datelist)) for r in batch.collect())
     assert got == sorted(rows)
@@ -71,6 +71,59 @@ def test_monthly_arrays_padding_and_rerun(spark):
     assert batch == {"h": [0, 0, 5], "g": [1, 0, 0]}
 
 
+def test_monthly_arrays_rerun_of_an_earlier_day_keeps_later_slots(spark):
+    prev = spark.createDataFrame([("h", D(2024, 1, 1), [1, 2, 3], [1, 1, 1]), (None, D(2024, 1, 1), [4, 0, 6], [1, 0, 1])],
+                                 "host string, month_start date, hit_array array<bigint>, unique_visitors_array array<bigint>")
+    daily = spark.createDataFrame([("h", D(2024, 1, 2), 9, 5), (None, D(2024, 1, 2), 5, 2), ("new", D(2024, 1, 2), 7, 1)],
+                                  "host string, date date, hits long, unique_visitors long")
+    step = facts.monthly_arrays_step(prev, daily, "2024-01-02", as_of="2024-01-03")
+    got = {r.host: r.hit_array for r in facts.upsert(prev, step, ["host", "month_start"]).collect()}
+    assert got == {"h": [1, 9, 3], None: [4, 5, 6], "new": [0, 7, 0]}
+    assert step.count() == 3                                                  # a NULL host is one host
+
+
+def test_monthly_arrays_batch_has_every_month(spark):
+    daily = spark.createDataFrame([("h", D(2024, 1, 31), 5, 2), ("h", D(2024, 2, 2), 1, 1)],
+                                  "host string, date date, hits long, unique_visitors long")
+    got = {r.month_start: r.hit_array for r in facts.monthly_arrays(daily, as_of="2024-02-03").collect()}
+    assert got == {D(2024, 1, 1): [0] * 30 + [5], D(2024, 2, 1): [0, 1, 0]}
+
+
+def test_datelist_skipped_and_rerun_days(spark):
+    prev = spark.createDataFrame([("a", D(2024, 1, 1), [D(2024, 1, 1)]), ("b", D(2024, 1, 1), [D(2024, 1, 1)])],
+                                 "u string, date date, device_activity_datelist array<date>")
+    act = spark.createDataFrame([("a", D(2024, 1, 3)), ("b", D(2024, 1, 2)), (None, D(2024, 1, 3))], "u string, date date")
+
+    def norm(df):
+        return sorted(((r.u, r.date, tuple(r.device_activity_datelist)) for r in df.collect()), key=str)
+    third = facts.datelist_cumulate(prev, act, ["u"], "2024-01-03")           # the 2nd is skipped
+    assert {r.date for r in third.collect()} == {D(2024, 1, 3)}
+    assert norm(facts.datelist_cumulate(third, act, ["u"], "2024-01-03")) == norm(third)
+    late = facts.datelist_cumulate(third, act, ["u"], "2024-01-02", as_of="2024-01-03")
+    assert {r.u: r.device_activity_datelist for r in late.collect()}["b"] == [D(2024, 1, 1), D(2024, 1, 2)]
+    assert {r.date for r in late.collect()} == {D(2024, 1, 3)} and late.count() == 3
+
+
+def test_host_datelist_step_and_upsert_match_null_keys(spark):
+    ev = spark.createDataFrame([(None, dt.datetime(2024, 1, 2, 5)), ("h", dt.datetime(2024, 1, 2, 6))], "host string, event_time timestamp_ntz")
+    prev = spark.createDataFrame([(None, D(2024, 1, 1), [D(2024, 1, 1)])], "host string, month_start date, host_activity_datelist array<date>")
+    step = facts.host_datelist_step(prev, ev, "2024-01-02")
+    got = {r.host: r.host_activity_datelist for r in facts.upsert(prev, step, ["host", "month_start"]).collect()}
+    assert got == {None: [D(2024, 1, 1), D(2024, 1, 2)], "h": [D(2024, 1, 2)]} and step.count() == 2
+    t = spark.createDataFrame([(None, 1)], "k string, v int")
+    s = spark.createDataFrame([(None, 2)], "k string, v int")
+    assert [tuple(r) for r in facts.upsert(t, s, ["k"]).collect()] == [(None, 2)]
+    assert [tuple(r) for r in facts.upsert(t, s, ["k"], set_cols=["v"]).collect()] == [(None, 2)]
+
+
+def test_dedup_descending_order_map_columns_and_plan(spark):
+    df = spark.createDataFrame([(1, 5, {"a": 1}), (1, 7, {"b": 2}), (2, None, {})], "k int, o int, m map<string,int>")
+    got = {r.k: (r.o, r.m) for r in facts.dedup(df, ["k"], [F.col("o").desc_nulls_last()]).collect()}
+    assert got == {1: (7, {"b": 2}), 2: (None, {})}
+    plan = facts.dedup(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2                                # before and after the shuffle
+
+
 def test_upsert_replaces_conflicts(spark):
     t = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, note string")
     s = spark.createDataFrame([("b", 20, "z"), ("c", 30, "w")], "k string, v int, note string")

@@ -35,3 +35,9 @@ def test_null_safe_join_keys(spark):                                # V7
     b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, w int")
     got = sorted((r.v, r.w) for r in a.join(b, fx.null_safe_on(a, b, ["k"])).collect())
     assert got == [(1, 10), (2, 20)]
+
+
+def test_ratio4_is_exact_for_large_and_negative_numerators(spark):
+    df = spark.createDataFrame([(10**18, 7), (-5, 3), (5, 3), (1, 0)], "n long, d long")
+    got = [r[0] for r in df.select(fx.ratio4("n", "d")).collect()]
+    assert got == [1428571428571428571428.6 / 10000.0, -1.6667, 1.6667, None] or (abs(got[0] - 10**18 / 7) < 32 and got[1:] == [-1.6667, 1.6667, None])

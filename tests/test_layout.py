@@ -28,13 +28,13 @@ def test_top_value_counts_matches(spark):
     assert jn.top_value(rows, "playlist").first().playlist == "A"          # joined-row count option
 
 
-def test_lookup_join_broadcasts_only_small_dims(spark):
+def test_lookup_join_follows_the_byte_threshold(spark):
     fact = spark.read.parquet(f"{SF}/orders.parquet").withColumn("mapid", (F.col("o_custkey") % 25).cast("int"))
     dim = spark.read.parquet(f"{SF}/nation.parquet").withColumnRenamed("n_nationkey", "mapid")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "BroadcastHashJoin" in _plan(jn.lookup_join(fact, dim, "mapid"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
     try:
-        assert "BroadcastHashJoin" in _plan(jn.lookup_join(fact, dim, "mapid", max_rows=100))
-        assert "BroadcastHashJoin" not in _plan(jn.lookup_join(fact, dim, "mapid", max_rows=10))
+        assert "BroadcastHashJoin" not in _plan(jn.lookup_join(fact, dim, "mapid"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

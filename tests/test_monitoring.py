@@ -70,11 +70,38 @@ def test_profit_missing_side_counts_zero(spark):
     assert got == {"u": (7.0, False), "v": (-3.0, True)}
 
 
-def test_backfill_without_broadcast_equals_broadcast(spark):
+def test_backfill_at_any_bucket_width(spark):
     src = spark.createDataFrame([(i, T(2024, 1, 1) + dt.timedelta(minutes=37 * i)) for i in range(400)],
                                 "id long, ts timestamp_ntz")
     tgt = src.filter(~(F.col("id").between(40, 90) | F.col("id").between(200, 260)))
     gaps = mo.find_gaps(tgt, "ts", "2 hours")
     a = mo.backfill(tgt, src, gaps, ts="ts", key=["id"])
-    b = mo.backfill(tgt, src, gaps, ts="ts", key=["id"], max_broadcast_rows=0, bucket="3 hours")
+    b = mo.backfill(tgt, src, gaps, ts="ts", key=["id"], bucket="3 hours")
     assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect()) == list(range(400))
+
+
+def test_arrivals_before_their_event_have_a_band(spark):
+    import datetime as dt
+
+    from tributary.operators import monitoring as mo
+    t = dt.datetime(2024, 1, 1, 12)
+    df = spark.createDataFrame([(t, t - dt.timedelta(seconds=300)), (t, t + dt.timedelta(seconds=5))], "e timestamp_ntz, a timestamp_ntz")
+    got = {r.band: (r.n_events, r.avg_lateness_s) for r in mo.lateness(df, event_ts="e", arrival_ts="a").collect()}
+    assert got == {"early": (1, -300.0), "0-60s": (1, 5.0)}
+
+
+def test_no_job_runs_while_a_frame_is_built(spark):
+    from tributary.operators import joins, monitoring as mo, patterns as pt, sessions as ss
+    from tributary.plans import derive as dv
+    from pyspark.sql import functions as F
+    ev, sc = dv.table(spark, "/root/testdata/sf0.001", "events"), spark.sparkContext
+    sc.setJobGroup("lazy-frames", "none")
+    gaps = mo.find_gaps(ev, "ts", "10 minutes")
+    mo.backfill(ev, ev, gaps, ts="ts", key=["event_id"])
+    ss.sessionize(ev, "ts", ["user_id"])
+    pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10, bucket=F.to_date("ts"))
+    joins.salted_join(ev, ev.select("user_id").distinct(), ["user_id"])
+    joins.lookup_join(ev, ev.select("user_id").distinct(), "user_id")
+    jobs = sc.statusTracker().getJobIdsForGroup("lazy-frames")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []

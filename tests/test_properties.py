@@ -68,25 +68,23 @@ def test_sessionize_property(spark, events, gap_min, bucket_min, fanout):
 
 
 @SETTINGS
-@given(rows=rows_st, n=st.integers(1, 12), width=st.integers(4, 20), max_rows=st.integers(1, 6))
-def test_rolling_rows_with_split_buckets(spark, rows, n, width, max_rows):
+@given(rows=rows_st, n=st.integers(1, 12), width=st.integers(1, 20))
+def test_rolling_rows_at_any_bucket_width(spark, rows, n, width):
     data = [(k, i, v, c) for i, (k, v, c) in enumerate(rows)]
     df = spark.createDataFrame(data, "k int, o int, v int, c boolean")
-    got = pt.rolling_rows(df, "k", ["o"], "v", n, bucket=F.floor(F.col("o") / width), out="r",
-                          sub_bucket=F.floor(F.col("o") / 2), max_bucket_rows=max_rows)
+    got = pt.rolling_rows(df, "k", ["o"], "v", n, bucket=F.floor(F.col("o") / width), out="r")
     want = df.withColumn("r", F.sum("v").over(Window.partitionBy("k").orderBy("o").rowsBetween(-(n - 1), 0)))
     assert sorted(map(tuple, got.select("k", "o", "r").collect())) == \
         sorted(map(tuple, want.select("k", "o", "r").collect()))
 
 
 @SETTINGS
-@given(rows=rows_st, width=st.integers(4, 20), max_rows=st.integers(1, 6))
-def test_longest_streak_with_split_buckets(spark, rows, width, max_rows):
+@given(rows=rows_st, width=st.integers(1, 20))
+def test_longest_streak_at_any_bucket_width(spark, rows, width):
     data = [(k, i, v, c) for i, (k, v, c) in enumerate(rows)]
     df = spark.createDataFrame(data, "k int, o int, v int, c boolean")
     got = {r.k: r.longest_streak for r in
-           pt.longest_streak(df, "k", ["o"], F.col("c"), bucket=F.floor(F.col("o") / width),
-                             sub_bucket=F.col("o") % 1000, max_bucket_rows=max_rows).collect()}
+           pt.longest_streak(df, "k", ["o"], F.col("c"), bucket=F.floor(F.col("o") / width)).collect()}
     want, cur = {}, {}
     for k, _, _, c in data:
         cur[k] = cur.get(k, 0) + 1 if c else 0

@@ -44,7 +44,7 @@ def test_kafka_options_sasl():
 def test_scale_conf_sizes_partitions():
     from tributary.session import scale_conf
     big = scale_conf(100 << 40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "200000"           # capped; AQE coalesces
+    assert big["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (256 << 20))           # 256 MiB each; AQE coalesces
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"              # at least 2 per core

@@ -129,7 +129,7 @@ def test_snapshot_fold_writes_new_paths(spark, scratch):
     prev = spark.createDataFrame([], "u long, date date, device_activity_datelist array<date>")
     for d in range(1, 5):
         day = dt.date(2024, 1, d)
-        prev = write_snapshot(facts.datelist_cumulate(prev, act.filter(F.col("date") == day), ["u"]),
+        prev = write_snapshot(facts.datelist_cumulate(prev, act, ["u"], str(day)),
                               os.path.join(scratch, f"snap/date={day}"))
     r = prev.first()
     assert r.date == dt.date(2024, 1, 4) and r.device_activity_datelist == [dt.date(2024, 1, d) for d in (1, 2, 4)]
@@ -163,9 +163,9 @@ def test_stream_drops_events_behind_the_watermark(spark, scratch):
     assert ("a", 1) in got and ("a", 2) not in got and ("b", 1) in got and dropped == 1
 
 
-def test_sessionize_splits_burst_buckets(spark):
-    """A burst (one key, thousands of events in one hour) is split into finer
-    buckets above max_bucket_rows; sessions are unchanged."""
+def test_sessionize_bursts_at_any_bucket_and_fanout(spark):
+    """A burst (one key, thousands of events in one hour) over fine buckets;
+    sessions do not depend on bucket or fanout, and the events are windowed once."""
     rnd = random.Random(11)
     base = T(2024, 1, 1, 10)
     rows = [("hot", base + dt.timedelta(seconds=rnd.randrange(0, 3600))) for _ in range(3000)]
@@ -173,11 +173,11 @@ def test_sessionize_splits_burst_buckets(spark):
     rows += [("cold", base + dt.timedelta(minutes=17 * i)) for i in range(30)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
     want = _brute_sessions(rows, 300)
-    for split in (60, 7):
-        got = sorted((r.k, r.session_start, r.num_hits) for r in
-                     ss.sessionize(df, "ts", ["k"], "5 minutes", bucket="1 hour", max_bucket_rows=100,
-                                   split=split).collect())
-        assert got == want
+    for bucket, fanout in (("1 minute", 7), ("5 minutes", 288), ("10 seconds", 2), ("1 hour", 24)):
+        out = ss.sessionize(df, "ts", ["k"], "5 minutes", bucket=bucket, fanout=fanout)
+        assert sorted((r.k, r.session_start, r.num_hits) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Scan ") == 1 and "Union" not in plan
 
 
 def test_session_stream_on_rocksdb_state(spark, scratch):

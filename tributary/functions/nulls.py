@@ -43,11 +43,13 @@ def desc_last(c: Column | str) -> Column:
 
 
 def ratio4(num: Column | str, den: Column | str) -> Column:
-    """num / den rounded half up to 4 places using integer arithmetic, for
-    non-negative integer inputs (counts, sums of counts or cents).  Exact, so
-    equal in every engine; NULL when den is 0 or NULL."""
+    """num / den rounded half up to 4 places (ties towards plus infinity) for
+    whole numbers, exact in ``decimal(38,0)``: numerators up to 10**33 fit.
+    NULL when den is 0 or NULL; ``den`` is a count, so positive."""
     n = F.col(num) if isinstance(num, str) else num
     d = F.col(den) if isinstance(den, str) else den
-    n, d = n.cast("long"), d.cast("long")
-    q = F.when(d != 0, F.call_function("div", n * F.lit(20000) + d, d * F.lit(2)))
+    whole = "decimal(38,0)"
+    n, d = n.cast(whole), d.cast(whole)
+    x, m = (n * F.lit(20000).cast("decimal(5,0)") + d).cast(whole), (d * F.lit(2).cast("decimal(1,0)")).cast(whole)
+    q = F.when(d != 0, (x - F.pmod(x, m)) / m)
     return q.cast("double") / F.lit(10000.0)

@@ -1,5 +1,4 @@
 """DataFrame operators, one module per area of the survey's inventory:
 ``cumulative`` and ``scd`` (dimensions), ``facts``, ``joins`` (layout and
-skew), ``sessions``, ``patterns``, ``experiments``, ``monitoring`` (pipeline
-checks), and ``chunking`` (time-bucket splitting shared by the per-key
-sequence operators)."""
+skew), ``sessions``, ``patterns``, ``experiments`` and ``monitoring`` (pipeline
+checks)."""

@@ -75,7 +75,7 @@ def cumulate(prev: DataFrame, current: DataFrame, keys: Sequence[str], *,
              measure: str = "average_value", class_col: str = "quality_class",
              thresholds: Sequence[tuple[float, str]] = QUALITY_CLASSES,
              carry: Sequence[str] = (), idle_counter: str | None = None,
-             active_col: str = "is_active") -> DataFrame:
+             active_col: str = "is_active", null_safe: bool = True) -> DataFrame:
     """One step of the cumulative snapshot (D2, D6): full outer merge of the
     previous snapshot with this period's roll-up.
 
@@ -83,12 +83,14 @@ def cumulate(prev: DataFrame, current: DataFrame, keys: Sequence[str], *,
     entities are carried with period + 1; the class is recomputed from the
     measure or kept when idle; ``is_active`` marks presence this period; the
     optional idle counter is 0 when active, else previous + 1.  Columns are
-    matched by name (X1)."""
+    matched by name (X1), NULL keys match each other (V7); with keys declared
+    non-NULL, ``null_safe=False`` joins on plain equality, which a bucketed
+    snapshot needs to skip its shuffle."""
     ly = prev.alias("ly")
     ty = current.withColumn("_present", F.lit(True)).alias("ty")
     cond = None
     for k in keys:
-        c = F.col(f"ly.{k}") == F.col(f"ty.{k}")
+        c = F.col(f"ly.{k}").eqNullSafe(F.col(f"ty.{k}")) if null_safe else F.col(f"ly.{k}") == F.col(f"ty.{k}")
         cond = c if cond is None else cond & c
     j = ly.join(ty, cond, "full_outer")
     present = F.col("ty._present").isNotNull()

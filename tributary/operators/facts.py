@@ -20,18 +20,15 @@ from tributary.operators.joins import lookup_join
 # --- F1-F5: dedup, enrich, project -------------------------------------------
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
-    """Keep, per key, the first row in the caller's total order.
+    """Keep, per key, the first row in the caller's total order (F1, X5),
+    ascending or descending, whatever the types of the other columns.
 
-    Written as ``min(struct(order..., row...))`` per key: the minimum is a
-    partial aggregate, so a key holding a third of all rows is reduced
-    map-side before the shuffle instead of being sorted in one task, without
-    relying on the optimizer's window-limit rewrite of ``row_number() = 1``."""
+    ``row_number() = 1`` plans a WindowGroupLimit on both sides of the shuffle
+    (a plan test asserts it), so a key with a third of all rows leaves each
+    map task as one row."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    payload = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                      F.struct(*payload).alias("_row"))
-    best = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best._row.{c}").alias(c) for c in payload]).select(*df.columns)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_nth", nth).filter(F.col("_nth") == 1).drop("_nth")
 
 
 def enrich(detail: DataFrame, parent: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
@@ -48,30 +45,31 @@ def project(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
 
 def daily_activity(events: DataFrame, devices: DataFrame, *, user: str = "user_id",
                    device: str = "device_id", ts: str = "event_time", browser: str = "browser_type",
-                   day: str | None = None, max_dim_rows: int = 1_000_000) -> DataFrame:
-    """One row per user x device x browser x day; NULL ids dropped.
-
-    The device dimension is joined through :func:`lookup_join` (broadcast
-    only below a checked row count)."""
+                   day: str | None = None) -> DataFrame:
+    """One row per user x device x browser x day; NULL ids dropped."""
     ev = events.filter(F.col(user).isNotNull() & F.col(device).isNotNull())
     ev = ev.select(user, device, F.to_date(ts).alias("date"))
     if day is not None:
         ev = ev.filter(F.col("date") == F.to_date(F.lit(day)))
     ev = ev.distinct()
-    j = lookup_join(ev, devices.select(device, browser), [device], how="left", max_rows=max_dim_rows)
+    j = lookup_join(ev, devices.select(device, browser), [device], how="left")
     return j.select(user, device, browser, "date").distinct()
 
 
-def datelist_cumulate(prev: DataFrame, today: DataFrame, keys: Sequence[str], *,
-                      date_col: str = "date", list_col: str = "device_activity_datelist",
-                      null_safe: bool = True) -> DataFrame:
-    """One day of the cumulative datelist (F7): append today's date, carry idle
-    keys forward with date + 1.  Keys match NULL-safely (X6: a NULL browser
+def datelist_cumulate(prev: DataFrame, today: DataFrame, keys: Sequence[str], day: str, *,
+                      as_of: str | None = None, date_col: str = "date",
+                      list_col: str = "device_activity_datelist", null_safe: bool = True) -> DataFrame:
+    """One day of the cumulative datelist (F7): the keys active on ``day`` get
+    it as a set member of their sorted list, idle keys are carried.  Every row
+    is dated ``as_of`` (default ``day``), so skipped days do not split a
+    snapshot; rerunning ``day``, or an earlier day with the snapshot's own date
+    as ``as_of``, gives the same snapshot again (X8).  Keys match NULL-safely (X6: a NULL browser
     still matches), and the date is part of the output key.  With keys
     declared non-NULL, ``null_safe=False`` joins on plain equality, which lets
     a snapshot bucketed by the keys skip its shuffle."""
     y = prev.alias("y")
-    t = today.select(*keys, date_col).withColumn("_t", F.lit(True)).alias("t")
+    d, snapshot = F.to_date(F.lit(day)), F.to_date(F.lit(as_of or day))
+    t = today.filter(F.col(date_col) == d).select(*keys).distinct().withColumn("_t", F.lit(True)).alias("t")
     if null_safe:
         cond = null_safe_on(y, t, keys)
     else:
@@ -81,9 +79,9 @@ def datelist_cumulate(prev: DataFrame, today: DataFrame, keys: Sequence[str], *,
             cond = c if cond is None else cond & c
     j = y.join(t, cond, "full_outer")
     cols = [F.coalesce(F.col(f"t.{k}"), F.col(f"y.{k}")).alias(k) for k in keys]
-    cols.append(F.coalesce(F.col(f"t.{date_col}"), F.date_add(F.col(f"y.{date_col}"), 1)).alias(date_col))
-    today_arr = F.when(F.col("t._t").isNotNull(), F.array(F.col(f"t.{date_col}")))
-    cols.append(concat_arrays(F.col(f"y.{list_col}"), today_arr).alias(list_col))
+    cols.append(snapshot.alias(date_col))
+    today_arr = F.when(F.col("t._t").isNotNull(), F.array(d))
+    cols.append(F.array_sort(F.array_distinct(concat_arrays(F.col(f"y.{list_col}"), today_arr))).alias(list_col))
     return j.select(*cols)
 
 
@@ -130,6 +128,11 @@ def day_series(spark, start: str, end: str, name: str = "series_date") -> DataFr
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias(name))
 
 
+def days_between(spans: DataFrame, first: str, last: str, name: str = "series_date") -> DataFrame:
+    """The days of each row's span, both ends included (F9 from data)."""
+    return spans.select(F.explode(F.sequence(first, last)).alias(name))
+
+
 # --- F10-F13: host datelists, metric arrays, upsert ---------------------------
 
 def host_datelist_step(prev: DataFrame, events: DataFrame, day: str, *, host: str = "host",
@@ -139,11 +142,11 @@ def host_datelist_step(prev: DataFrame, events: DataFrame, day: str, *, host: st
     d = F.to_date(F.lit(day))
     month = F.trunc(d, "month")
     today = (events.filter(F.to_date(ts) == d).select(host).distinct()
-             .withColumn("_t", F.lit(True)))
+             .select(F.col(host).alias("_host"), F.lit(True).alias("_t")))
     y = prev.filter(F.col("month_start") == month).select(host, "month_start", list_col)
-    j = y.join(today, on=[host], how="full_outer")
+    j = y.join(today, F.col(host).eqNullSafe(F.col("_host")), how="full_outer")
     added = F.when(F.col("_t").isNotNull(), F.array(d))
-    return j.select(host, F.coalesce(F.col("month_start"), month).alias("month_start"),
+    return j.select(F.coalesce(host, "_host").alias(host), F.coalesce(F.col("month_start"), month).alias("month_start"),
                     F.array_sort(F.array_distinct(concat_arrays(F.col(list_col), added))).alias(list_col))
 
 
@@ -168,61 +171,71 @@ def daily_host_metrics(events: DataFrame, *, host: str = "host", user: str = "us
             .agg(F.count(F.lit(1)).alias("hits"), F.count_distinct(user).alias("unique_visitors")))
 
 
-def monthly_arrays_step(prev: DataFrame, today: DataFrame, day: str, *, host: str = "host",
+def monthly_arrays_step(prev: DataFrame, today: DataFrame, day: str, *, as_of: str | None = None, host: str = "host",
                         metrics: Sequence[str] = ("hits", "unique_visitors"),
                         arrays: Sequence[str] = ("hit_array", "unique_visitors_array")) -> DataFrame:
-    """Append one day to the monthly metric arrays.
+    """Put one day into the monthly metric arrays.
 
     The slot is placed by day of month: a host first seen mid-month is padded
-    with ``day - 1`` zeros (X9), an idle day gets 0, a skipped day is zero
-    padded, and rerunning a day overwrites its slot rather than appending (X8)."""
+    with ``day - 1`` zeros (X9), an idle day gets 0 and a skipped day is zero
+    padded.  Rerunning a day, the last or an earlier one, replaces its slot and
+    keeps all others (X8); ``as_of`` (default ``day``, same month) is the day
+    up to which every array reaches, for reruns on a later snapshot."""
     d = F.to_date(F.lit(day))
     month = F.trunc(d, "month")
-    dom = F.dayofmonth(d)
-    t = today.filter(F.col("date") == d).select(host, *metrics).withColumn("_t", F.lit(True))
+    dom, upto = F.dayofmonth(d), F.dayofmonth(F.to_date(F.lit(as_of or day)))
+    t = today.filter(F.col("date") == d).select(F.col(host).alias("_host"), *metrics)
     y = prev.filter(F.col("month_start") == month).select(host, "month_start", *arrays)
-    j = y.join(t, on=[host], how="full_outer")
+    j = y.join(t, F.col(host).eqNullSafe(F.col("_host")), how="full_outer")
 
     def place(arr: str, metric: str) -> Column:
         base = F.coalesce(F.col(arr), F.array().cast("array<bigint>"))
-        padded = concat_arrays(base, F.array_repeat(F.lit(0).cast("long"), F.greatest(dom - 1 - F.size(base), F.lit(0))))
-        head = F.slice(padded, 1, dom - 1)
-        return F.concat(head, F.array(F.coalesce(F.col(metric).cast("long"), F.lit(0).cast("long"))))
+        padded = concat_arrays(base, F.array_repeat(F.lit(0).cast("long"), F.greatest(F.greatest(dom, upto) - F.size(base), F.lit(0))))
+        value = F.coalesce(F.col(metric).cast("long"), F.lit(0).cast("long"))
+        return F.transform(padded, lambda x, i: F.when(i == dom - 1, value).otherwise(x))
 
-    return j.select(host, F.coalesce(F.col("month_start"), month).alias("month_start"),
+    return j.select(F.coalesce(host, "_host").alias(host), F.coalesce(F.col("month_start"), month).alias("month_start"),
                     *[place(a, m).alias(a) for a, m in zip(arrays, metrics)])
 
 
 def monthly_arrays(daily: DataFrame, *, as_of: str, host: str = "host",
                    metrics: Sequence[str] = ("hits", "unique_visitors"),
                    arrays: Sequence[str] = ("hit_array", "unique_visitors_array")) -> DataFrame:
-    """Batch form of F12 for the month of ``as_of``: one slot per day 1..as_of
-    day, 0 where idle.  Groups hold at most 31 pre-aggregated day rows."""
+    """Batch form of F12 for every month up to ``as_of``: one slot per day of
+    the month (up to the day of ``as_of`` in its month), 0 where idle.  Groups
+    hold at most 31 pre-aggregated day rows."""
     d = F.to_date(F.lit(as_of))
-    src = daily.filter((F.col("date") <= d) & (F.col("date") >= F.trunc(d, "month")))
-    g = src.groupBy(host).agg(*[F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("date"), F.col(m).cast("long"))))
+    src = daily.filter(F.col("date") <= d)
+    g = src.groupBy(host, F.trunc("date", "month").alias("month_start")).agg(*[F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("date"), F.col(m).cast("long"))))
                                 .alias(f"_m{i}") for i, m in enumerate(metrics)])
-    slots = F.sequence(F.lit(1), F.dayofmonth(d))
+    slots = F.sequence(F.lit(1), F.dayofmonth(F.least(F.last_day("month_start"), d)))
 
     def fill(k: int) -> Column:
         return F.transform(slots, lambda i: F.coalesce(F.element_at(F.col(f"_m{k}"), i), F.lit(0).cast("long")))
 
-    return g.select(host, F.trunc(d, "month").alias("month_start"),
+    return g.select(host, "month_start",
                     *[fill(k).alias(a) for k, a in enumerate(arrays)])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           set_cols: Sequence[str] | None = None) -> DataFrame:
+           set_cols: Sequence[str] | None = None, *, null_safe: bool = True) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` (F13) without MERGE: target
     rows whose key is not in the source, plus the source rows.  With
     ``set_cols``, conflicting rows keep their other target columns and take
-    only ``set_cols`` from the source.  Write the result to a new snapshot
-    path; never overwrite the path being read."""
+    only ``set_cols`` from the source.  NULL keys match each other (V7); with
+    keys declared non-NULL, ``null_safe=False`` joins on plain equality, which
+    a bucketed target needs to skip its shuffle.  Write the result to a new
+    snapshot path; never overwrite the path being read."""
+    named = [F.col(k).alias(f"_k_{k}") for k in keys]
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_k_{k}")) if null_safe else F.col(k) == F.col(f"_k_{k}")
+        cond = c if cond is None else cond & c
     if set_cols is None:
-        return target.join(source.select(*keys), on=keys, how="left_anti").unionByName(source.select(*target.columns))
+        return target.join(source.select(*named), cond, "left_anti").unionByName(source.select(*target.columns))
     keep = [c for c in target.columns if c not in keys and c not in set_cols]
-    s = source.select(*keys, *set_cols).withColumn("_s", F.lit(True))
-    j = target.join(s.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in set_cols], "_s"), on=keys, how="full_outer")
-    cols = [*keys, *keep, *[F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
+    s = source.select(*named, *[F.col(c).alias(f"_s_{c}") for c in set_cols], F.lit(True).alias("_s"))
+    j = target.join(s, cond, "full_outer")
+    cols = [*[F.coalesce(k, f"_k_{k}").alias(k) for k in keys], *keep, *[F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
                             for c in set_cols]]
     return j.select(*cols).select(*target.columns)

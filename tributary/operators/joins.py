@@ -1,8 +1,7 @@
 """Join strategies.
 
-* :func:`lookup_join` broadcasts a dimension only after checking that it has
-  at most ``max_rows`` rows; above that it leaves the choice to Catalyst/AQE
-  (sort-merge, or a runtime broadcast when the measured size is small).
+* :func:`lookup_join` leaves the broadcast to Spark's byte statistics
+  (``spark.sql.autoBroadcastJoinThreshold`` at planning, AQE at run time).
 * :func:`salted_join` spreads measured hot keys of the big side over
   ``salts`` sub-keys and replicates only those keys of the small side.
 * :func:`co_partitioned` relaxes the all-keys co-partitioning rule so a
@@ -18,34 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, so the check is bounded however big ``df`` is."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner",
-                max_rows: int = 1_000_000) -> DataFrame:
-    """Fact x dimension join (S2, S3).  Broadcast only behind a size check;
-    otherwise a plain join that AQE may still turn into a broadcast at run
-    time from measured shuffle sizes."""
-    if how in ("inner", "left", "left_outer", "left_semi", "left_anti") and fits(dim, max_rows):
-        return fact.join(F.broadcast(dim), on=on, how=how)
+def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner") -> DataFrame:
+    """Fact x dimension join (S2, S3).  Catalyst broadcasts the dimension when
+    its bytes are below ``spark.sql.autoBroadcastJoinThreshold``, AQE when its
+    measured shuffle size is; otherwise it is a shuffled join.  No job runs
+    while the plan is built."""
     return fact.join(dim, on=on, how=how)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_keys: int = 10_000) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows: a partial aggregate over the key
-    columns only, then the ``max_keys`` heaviest (a bounded top-k)."""
+    columns only.  There are at most rows / ``min_rows`` of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.filter(F.col("_n") >= min_rows).orderBy(F.col("_n").desc(), *keys)
-            .limit(max_keys).select(*keys))
+    return counts.filter(F.col("_n") >= min_rows).select(*keys)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], *, how: str = "inner",
-                salts: int = 16, min_rows: int = 100_000, max_keys: int = 10_000) -> DataFrame:
-    """Skew-safe equi-join (M13).  Hot keys of ``big`` (measured, bounded in
-    number) get a deterministic salt in ``[0, salts)`` from a hash of the
+                salts: int = 16, min_rows: int = 100_000) -> DataFrame:
+    """Skew-safe equi-join (M13).  Hot keys of ``big`` (all that
+    reach ``min_rows``, NULL among them) get a deterministic salt in ``[0, salts)`` from a hash of the
     row, and their ``small`` rows are replicated once per salt; every other
     key joins with salt 0.  The result equals the plain join; row content
     decides the salt, so a recomputed task after an executor loss salts
@@ -53,14 +43,19 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], *, how: str
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salted_join supports inner and left joins")
     on = list(on)
-    hot = hot_keys(big, on, min_rows, max_keys).withColumn("_hot", F.lit(True))
+    hot = hot_keys(big, on, min_rows).select(*[F.col(c).alias(f"_h_{c}") for c in on], F.lit(True).alias("_hot"))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    b = (big.join(F.broadcast(hot), on=on, how="left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
-         .drop("_hot"))
-    s = (small.join(F.broadcast(hot), on=on, how="left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
+
+    def marked(df: DataFrame) -> DataFrame:
+        cond = None
+        for c in on:
+            same = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+            cond = same if cond is None else cond & same
+        return df.join(hot, cond, "left").drop(*[f"_h_{c}" for c in on])
+
+    b = marked(big).withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0))).drop("_hot")
+    s = (marked(small).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                     .otherwise(F.array(F.lit(0)))))
          .drop("_hot"))
     return b.join(s, on=[*on, "_salt"], how=how).drop("_salt")
 

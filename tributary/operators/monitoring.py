@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.nulls import ratio4
-from tributary.operators.joins import fits
 from tributary.operators.sessions import interval_micros, to_micros, from_micros
 
 
@@ -118,14 +117,14 @@ def missing_periods(df: DataFrame, key: str, period: str) -> DataFrame:
 def lateness(df: DataFrame, *, event_ts: str, arrival_ts: str,
              bounds_s: Sequence[int] = (60, 300, 900)) -> DataFrame:
     """Arrival minus event time (M8), counted per lateness band with the
-    band's mean and max in whole seconds."""
+    band's mean and max in whole seconds.  Arrivals before their event time
+    (clock skew) have a band of their own, ``early``."""
     late = (to_micros(arrival_ts) - to_micros(event_ts)) / F.lit(1_000_000)
     late = F.floor(late).cast("long")
-    band = None
+    band = F.when(late < 0, F.lit("early"))
     lo = 0
     for b in bounds_s:
-        label = F.lit(f"{lo}-{b}s")
-        band = F.when(late < b, label) if band is None else band.when(late < b, label)
+        band = band.when(late < b, F.lit(f"{lo}-{b}s"))
         lo = b
     band = band.otherwise(F.lit(f">={lo}s"))
     g = df.select(late.alias("_late"), band.alias("band")).groupBy("band").agg(
@@ -166,7 +165,7 @@ def find_gaps(df: DataFrame, ts: str, min_gap: str, *, keys: Sequence[str] = (),
 
 
 def backfill(target: DataFrame, source: DataFrame, gaps: DataFrame, *, ts: str, key: Sequence[str],
-             bucket: str = "1 hour", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+             bucket: str = "1 hour") -> DataFrame:
     """Fill detected holes from a replay source (M9): source rows strictly
     inside a gap and absent from the target (left anti on ``key``), appended
     to the target.
@@ -174,16 +173,13 @@ def backfill(target: DataFrame, source: DataFrame, gaps: DataFrame, *, ts: str,
     Each gap is expanded to the coarse time buckets it covers, and source rows
     are matched on their bucket (a hash equi-join) before the range check, so
     a row is compared only with the gaps of its own bucket, never with the
-    whole gap list.  The expanded gap table is broadcast only when a bounded
-    count shows at most ``max_broadcast_rows`` rows; otherwise both sides are
-    shuffled on the bucket."""
+    whole gap list.  Whether the gap table is broadcast is left to Spark's own
+    size statistics."""
     key = list(key)
     b_us = interval_micros(bucket)
     gb = (gaps.select("gap_start", "gap_end")
           .withColumn("_gb", F.explode(F.sequence(F.floor(to_micros("gap_start") / b_us),
                                                   F.floor(to_micros("gap_end") / b_us)))))
-    if fits(gb, max_broadcast_rows):
-        gb = F.broadcast(gb)
     sb = source.withColumn("_gb", F.floor(to_micros(ts) / b_us))
     inside_gap = (sb["_gb"] == gb["_gb"]) & (F.col(ts) > F.col("gap_start")) & (F.col(ts) < F.col("gap_end"))
     inside = sb.join(gb, inside_gap, "left_semi").drop("_gb")

@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.chunking import split_heavy_buckets
 
 # State labels.
 NEW = "New"
@@ -96,13 +95,12 @@ def game_sides(games: DataFrame, *, game: str = "game_id", date: str = "game_dat
 # --- A7: rolling window over the last N rows ------------------------------------
 
 def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: int, *,
-                 bucket: Column, out: str = "rolling", sub_bucket: Column | None = None,
-                 max_bucket_rows: int | None = None) -> DataFrame:
+                 bucket: Column, out: str = "rolling") -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY order ROWS n-1 PRECEDING)``
     without a per-key window partition (A7, X18: ``order`` must be total).
 
-    Rows are windowed per (key, bucket) where ``bucket`` is a coarse,
-    order-monotone expression (e.g. the month of the date).  Each bucket also
+    Rows are windowed per (key, bucket) where ``bucket`` is an order-monotone
+    expression (e.g. the date), as fine as the rows allow.  Each bucket also
     receives a *halo*: the last ``n - 1`` rows of the key before the bucket,
     copied only from bucket tails.  Which later buckets a tail row reaches
     follows from per-bucket row counts, a partial aggregate over a narrow
@@ -113,23 +111,17 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
     final window needs no exchange.  Both use the session's
     ``spark.sql.shuffle.partitions`` explicitly (equal counts are what keeps
     the union co-partitioned; AQE does not coalesce such repartitions), so
-    size it for the data, e.g. with ``session.scale_conf``.  With
-    ``sub_bucket`` (a finer order-monotone expression) and ``max_bucket_rows``,
-    a (key, bucket) above that many rows is split by ``sub_bucket``, so a
-    burst inside one bucket is not one task either.  Output: every input row
+    size it for the data, e.g. with ``session.scale_conf``.  Output: every input row
     with its sum."""
     order = list(order)
     nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    refine = sub_bucket is not None and max_bucket_rows is not None
-    rows = df.select(key, *order, value, bucket.alias("_b"), *([sub_bucket.alias("_sub")] if refine else []))
-    if refine:
-        rows = split_heavy_buckets(rows, [key], max_bucket_rows)
+    rows = df.select(key, *order, value, bucket.alias("_b"))
     base = rows.repartition(nparts, key, "_b")
     # rank of each row from the end of its bucket (1 = last row).
     wb_desc = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc() for c in order])
     tails = base.withColumn("_rfe", F.row_number().over(wb_desc)).filter(F.col("_rfe") <= n - 1)
     # per-bucket counts; rows strictly before each bucket's start, per key.
-    keyed = rows.select(key, "_b") if refine else df.select(key, bucket.alias("_b"))
+    keyed = df.select(key, bucket.alias("_b"))
     counts = keyed.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(key).orderBy("_b")
     counts = counts.withColumn("_before", F.coalesce(
@@ -157,21 +149,18 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
 
 def best_stretch(sides: DataFrame, n: int = 90, *, key: str = "team_id",
                  order: Sequence[str] = ("game_date_est", "game_id"), value: str = "win",
-                 bucket: Column | None = None, out: str = "max_wins_stretch",
-                 sub_bucket: Column | None = None, max_bucket_rows: int | None = None) -> DataFrame:
+                 bucket: Column | None = None, out: str = "max_wins_stretch") -> DataFrame:
     """Most wins in any ``n``-game stretch per team (A7).  Buckets default to
-    the month of the first order column; heavy months can split by day."""
-    bucket = bucket if bucket is not None else F.trunc(F.col(order[0]), "month")
-    r = rolling_rows(sides, key, order, value, n, bucket=bucket, out="_roll", sub_bucket=sub_bucket,
-                     max_bucket_rows=max_bucket_rows)
+    the week of the first order column."""
+    bucket = bucket if bucket is not None else F.trunc(F.col(order[0]), "week")
+    r = rolling_rows(sides, key, order, value, n, bucket=bucket, out="_roll")
     return r.groupBy(key).agg(F.max("_roll").alias(out))
 
 
 # --- A8: longest streak -------------------------------------------------------------
 
 def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column, *,
-                   bucket: Column, out: str = "longest_streak", sub_bucket: Column | None = None,
-                   max_bucket_rows: int | None = None) -> DataFrame:
+                   bucket: Column, out: str = "longest_streak") -> DataFrame:
     """Longest run of consecutive rows (per key, in ``order``) meeting
     ``cond`` (A8, X19: rows are numbered before filtering).
 
@@ -181,15 +170,9 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column,
     (row count, leading run, trailing run, longest inner run), including
     buckets with no qualifying row, which break streaks.  Phase 2, per key
     over bucket summaries only: the run carried into each bucket from the
-    previous ones.  One shuffle of the rows; keys with no qualifying row give 0.
-    ``sub_bucket`` / ``max_bucket_rows`` split heavy buckets as in
-    :func:`rolling_rows`."""
+    previous ones.  One shuffle of the rows; keys with no qualifying row give 0."""
     order = list(order)
-    refine = sub_bucket is not None and max_bucket_rows is not None
-    base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"),
-                     *([sub_bucket.alias("_sub")] if refine else []))
-    if refine:
-        base = split_heavy_buckets(base, [key], max_bucket_rows)
+    base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"))
     wb = Window.partitionBy(key, "_b").orderBy(*order)
     base = (base.withColumn("_rn", F.row_number().over(wb))
             .withColumn("_ct", F.sum(F.col("_c").cast("int")).over(wb.rowsBetween(Window.unboundedPreceding, 0))))

@@ -50,22 +50,28 @@ def scd2_backfill(df: DataFrame, key: str | Sequence[str], period: str, attrs: S
 
 def scd2_merge(scd: DataFrame, current: DataFrame, key: str | Sequence[str], attrs: Sequence[str], *,
                prev_as_of: int, new_period: int, start_col: str = "start_date",
-               end_col: str = "end_date", stamp_col: str = "current_year") -> DataFrame:
+               end_col: str = "end_date", stamp_col: str = "current_year", null_safe: bool = True) -> DataFrame:
     """Incremental SCD2 step (D8): closed history, unchanged (extend end),
     changed (close old, open new), new keys, and keys open last time but absent
     now (kept as closed, X4).
 
     One full outer join of the open rows with the new period replaces the
     reference's three joins; ``explode`` of up to two structs per key emits the
-    changed case's two rows."""
+    changed case's two rows.  NULL keys match each other (V7); ``null_safe=False``
+    (keys declared non-NULL) keeps a bucketed history's partitioning."""
     keys = [key] if isinstance(key, str) else list(key)
     hist = scd.filter(F.col(stamp_col) == F.lit(prev_as_of)) if stamp_col in scd.columns else scd
     closed = hist.filter(F.col(end_col) < F.lit(prev_as_of)).select(*keys, *attrs, start_col, end_col)
     open_ = hist.filter(F.col(end_col) == F.lit(prev_as_of)).select(
         *keys, *[F.col(a).alias(f"_o_{a}") for a in attrs], F.col(start_col).alias("_o_start"),
         F.col(end_col).alias("_o_end"), F.lit(True).alias("_o"))
-    cur = current.select(*keys, *[F.col(a).alias(f"_n_{a}") for a in attrs], F.lit(True).alias("_n"))
-    j = open_.join(cur, on=keys, how="full_outer")
+    cur = current.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(a).alias(f"_n_{a}") for a in attrs], F.lit(True).alias("_n"))
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_k_{k}")) if null_safe else F.col(k) == F.col(f"_k_{k}")
+        cond = c if cond is None else cond & c
+    j = open_.join(cur, cond, "full_outer")
+    j = j.withColumns({k: F.coalesce(k, f"_k_{k}") for k in keys})
     has_o, has_n = F.col("_o").isNotNull(), F.col("_n").isNotNull()
     same = None
     for a in attrs:

@@ -21,8 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.nulls import ratio4, round_half_away
-from tributary.operators.chunking import split_heavy_buckets
+from tributary.functions.nulls import round_half_away
 
 _US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -51,33 +50,23 @@ def from_micros(us: Column) -> Column:
 
 
 def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minutes", *,
-               bucket: str = "1 hour", start: str = "session_start", end: str = "session_end",
-               last: str = "last_event", count: str = "num_hits",
-               max_bucket_rows: int | None = None, split: int = 60, fanout: int | None = None) -> DataFrame:
+               bucket: str = "5 minutes", start: str = "session_start", end: str = "session_end",
+               last: str = "last_event", count: str = "num_hits", fanout: int = 288) -> DataFrame:
     """Sessions per ``keys`` with an inclusive inactivity ``gap`` (T4).
 
     Output per session: keys, start (first event), end (last event + gap, as
     ``session_window``), last event, event count.
 
-    With ``max_bucket_rows``, a (keys, bucket) holding more rows than that (a
-    burst) is split into ``split`` finer time buckets, found from per-bucket
-    counts (a partial aggregate; the heavy list is bounded by rows /
-    max_bucket_rows).  Buckets only need to be ordered, contiguous time
-    intervals per key, so the result is unchanged.
-
-    Bucket-edge sessions (at most 2 per bucket) are merged per key, so that
-    window grows with a key's time span / bucket width, not with its row
-    count (hourly buckets: about 17,500 rows per key-year).  For fine
-    buckets over very long histories, ``fanout`` merges them in two levels:
-    inside super-buckets of ``fanout`` buckets, then only each super-bucket's
-    first and last segment across super-buckets."""
+    Buckets are ordered, contiguous time intervals, fine from the start, so a
+    burst inside an hour or a day is already spread; the result does not depend
+    on their width.  Events pass one sort and one window.  Bucket-edge sessions
+    (at most 2 per bucket) are merged in two levels: inside super-buckets of
+    ``fanout`` buckets, then each super-bucket's first and last segment per key,
+    so the last window grows with a key's time span / (bucket x fanout)."""
     keys = list(keys)
     gap_us, b_us = interval_micros(gap), interval_micros(bucket)
     ev = df.select(*keys, to_micros(ts).alias("_us")).filter(F.col("_us").isNotNull())
     ev = ev.withColumn("_b", F.floor(F.col("_us") / F.lit(b_us)))
-    if max_bucket_rows is not None:
-        ev = ev.withColumn("_sub", F.floor(F.col("_us") / F.lit(max(b_us // split, 1))))
-        ev = split_heavy_buckets(ev, keys, max_bucket_rows)
     w1 = Window.partitionBy(*keys, "_b").orderBy("_us")
     prev = F.lag("_us").over(w1)
     ev = ev.withColumn("_new", (prev.isNull() | (F.col("_us") - prev > gap_us)).cast("int"))
@@ -87,21 +76,17 @@ def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minute
     local = (ev.groupBy(*keys, "_b", "_sid")
              .agg(F.min("_us").alias("_s"), F.max("_us").alias("_e"), F.count(F.lit(1)).alias("_n"),
                   F.max("_tail").alias("_tail")))
+    # inner sessions stay as they are in a partition of their own; edge sessions
+    # of a super-bucket meet in one.  One plan branch for both, so the events are
+    # scanned, sorted and windowed once.
     edge = (F.col("_sid") == 1) | (F.col("_tail") == 1)
-    inner = local.filter(~edge).select(*keys, "_s", "_e", "_n")
-    bnd = local.filter(edge).select(*keys, "_s", "_e", "_n")
-    if fanout is None:
-        merged = _merge_runs(bnd, keys, gap_us).select(*keys, "_s", "_e", "_n")
-        out = inner.unionByName(merged)
-    else:
-        # edge sessions merged inside super-buckets (by start time) ...
-        bnd = bnd.withColumn("_sb", F.floor(F.col("_s") / F.lit(b_us * fanout)))
-        seg = _merge_runs(bnd, [*keys, "_sb"], gap_us)
-        inner2 = seg.filter(~F.col("_first") & ~F.col("_last")).select(*keys, "_s", "_e", "_n")
-        # ... then only each super-bucket's first and last segment across them
-        edges2 = seg.filter(F.col("_first") | F.col("_last")).select(*keys, "_s", "_e", "_n")
-        merged = _merge_runs(edges2, keys, gap_us).select(*keys, "_s", "_e", "_n")
-        out = inner.unionByName(inner2).unionByName(merged)
+    sb = F.floor(F.col("_s") / F.lit(b_us * fanout))
+    seg = _merge_runs(local.select(*keys, "_s", "_e", "_n", sb.alias("_sb"), F.when(~edge, F.col("_s")).alias("_own")),
+                      [*keys, "_sb", "_own"], gap_us)
+    # then each super-bucket's first and last edge segment, across super-buckets
+    outer = F.col("_own").isNull() & (F.col("_first") | F.col("_last"))
+    seg = seg.select(*keys, "_s", "_e", "_n", F.when(~outer, F.col("_s")).alias("_own"))
+    out = _merge_runs(seg, [*keys, "_own"], gap_us).select(*keys, "_s", "_e", "_n")
     return out.select(*keys, from_micros(F.col("_s")).alias(start),
                       from_micros(F.col("_e") + gap_us).alias(end),
                       from_micros(F.col("_e")).alias(last), F.col("_n").cast("long").alias(count))
@@ -134,23 +119,20 @@ def avg_session_hits(sessions: DataFrame, *, host_like: str, host: str = "host",
 def compare_hosts(sessions: DataFrame, hosts: Sequence[str], *, host: str = "host", ip: str = "ip",
                   hits: str = "num_hits") -> DataFrame:
     """Distinct ips, sessions, hits and average hits per host for a host list
-    (T8, X14: the list is a parameter)."""
+    (T8, X14: the list is a parameter), the average rounded half up like
+    PostgreSQL's integer cast (V3)."""
     g = (sessions.filter(F.col(host).isin(list(hosts))).groupBy(host)
          .agg(F.count_distinct(ip).alias("n_ips"), F.count(F.lit(1)).alias("n_sessions"),
               F.sum(hits).alias("total_hits")))
-    return g.withColumn("avg_hits", ratio4("total_hits", "n_sessions"))
+    return g.withColumn("avg_hits", round_half_away(F.col("total_hits") / F.col("n_sessions")))
 
 
 def time_per_user_day(events: DataFrame, *, user: str = "user_id", ts: str = "ts",
-                      gap: str = "30 minutes", out: str = "active_micros",
-                      max_bucket_rows: int | None = None) -> DataFrame:
+                      gap: str = "30 minutes", out: str = "active_micros") -> DataFrame:
     """Engagement (M6): per user and day, the time covered by the user's
     sessions (first to last event of each session), with sessions split at
-    midnight.  Microseconds as ``bigint`` keep the sum exact.  Sessions are
-    found per (user, day); a user-day above ``max_bucket_rows`` is split into
-    hours (:func:`sessionize`)."""
-    s = sessionize(events, ts, [user], gap, bucket="1 day", start="_st", end="_en", last="_la", count="_n",
-                   max_bucket_rows=max_bucket_rows, split=24)
+    midnight.  Microseconds as ``bigint`` keep the sum exact."""
+    s = sessionize(events, ts, [user], gap, bucket="1 hour", start="_st", end="_en", last="_la", count="_n", fanout=168)
     days = s.select(user, "_st", "_la", F.explode(F.sequence(F.to_date("_st"), F.to_date("_la"))).alias("day"))
     lo = F.greatest(to_micros("_st"), to_micros(F.col("day").cast("timestamp_ntz")))
     hi = F.least(to_micros("_la"), to_micros(F.date_add("day", 1).cast("timestamp_ntz")))

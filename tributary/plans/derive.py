@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from tributary.functions.text import json_long
 
-# Period bounds and as-of points of the driver tables (equal at
-# every scale factor: orders 1995-2001, events 2024-01-01..30).
-FIRST_YEAR = 1995
+# As-of arguments of the snapshot queries, the last year of orders
+# and the last day of events in the driver tables (equal at every scale factor).
+# They are the only bounds: all earlier rows count.
 LAST_YEAR = 2001
 EVENTS_AS_OF = "2024-01-30"
-EVENTS_MONTH = "2024-01-01"
+EVENTS_DAY_BEFORE = "2024-01-29"
 # Divisors that scale prices into ratings and points.  They are
 # not powers of ten, so derived doubles never sit exactly on a rounding tie
 # (Spark and DuckDB break ties differently).

@@ -17,7 +17,7 @@ yr AS (
   SELECT o_custkey AS actorid, CAST(year(o_orderdate) AS INTEGER) AS y,
          count(*) AS n, min(o_orderkey) AS mn, max(o_orderkey) AS mx,
          sum(o_orderkey % 997) AS v, avg(o_totalprice / 49999.0) AS a
-  FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY 1, 2),
+  FROM orders WHERE year(o_orderdate) <= 2001 GROUP BY 1, 2),
 cal AS (
   SELECT actorid, CAST(unnest(generate_series(min(y), 2001)) AS INTEGER) AS current_year
   FROM yr GROUP BY actorid),
@@ -41,7 +41,7 @@ ps AS (
   FROM orders GROUP BY 1, 2),
 cal AS (
   SELECT player_id, CAST(unnest(generate_series(min(season), 2001)) AS INTEGER) AS current_season
-  FROM ps WHERE season BETWEEN 1995 AND 2001 GROUP BY player_id),
+  FROM ps WHERE season <= 2001 GROUP BY player_id),
 snap AS (
   SELECT cal.player_id, cal.current_season,
          CAST(count(ps.season) OVER w AS BIGINT) AS n_seasons,
@@ -75,8 +75,12 @@ FROM streak GROUP BY actorid, sid, quality_class, is_active
 """
 
 def _ratio4(n: str, d: str) -> str:
-    """Half-up num/den to 4 places in integer arithmetic (same as ratio4)."""
-    return (f"CASE WHEN ({d}) <> 0 THEN ((20000 * CAST({n} AS BIGINT) + ({d})) // (2 * ({d})))"
+    """num/den to 4 places, halves up: the whole quotient, plus the remainder
+    rounded by comparing twice its ten-thousandfold (in 128-bit integers)."""
+    n, d = f"CAST({n} AS HUGEINT)", f"CAST({d} AS HUGEINT)"
+    rem = f"((10000 * ({n} % {d})) % {d})"
+    whole = f"(10000 * ({n} // {d}) + (10000 * ({n} % {d})) // {d})"
+    return (f"CASE WHEN {d} <> 0 THEN CAST({whole} + CASE WHEN 2 * {rem} >= {d} THEN 1 ELSE 0 END AS DOUBLE)"
             f" / CAST(10000.0 AS DOUBLE) END")
 
 
@@ -111,7 +115,7 @@ ORACLE["dim_unnest_history"] = """
 SELECT o_custkey AS actorid, CAST(o_orderkey AS VARCHAR) AS film,
        CAST(o_orderkey % 997 AS INTEGER) AS votes, round(o_totalprice / 49999.0, 4) AS rating,
        o_orderkey AS filmid
-FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001
+FROM orders WHERE year(o_orderdate) <= 2001
 """
 
 ORACLE["dim_growth_ratio"] = f"""
@@ -124,28 +128,23 @@ FROM snap WHERE current_season = 2001 AND scoring_class = 'star'
 # --- facts ---------------------------------------------------------------------
 
 ORACLE["fact_dedup_game_details"] = """
-WITH d AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                               ORDER BY l_shipdate, l_partkey, l_suppkey) AS rn
-  FROM lineitem),
-t AS (
-  SELECT d.*, o.o_custkey, o.o_orderdate, o.o_orderpriority,
-         CASE WHEN l_linenumber = 7 THEN ''
-              WHEN l_linenumber = 6 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
-              ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ':' ||
-                   lpad(CAST((l_linenumber * 7) % 60 AS VARCHAR), 2, '0') END AS clock
-  FROM d LEFT JOIN orders o ON d.l_orderkey = o.o_orderkey WHERE rn = 1)
-SELECT l_orderkey AS dim_game_id, l_linenumber AS dim_line,
-       CAST(o_orderdate AS DATE) AS dim_game_date, CAST(year(o_orderdate) AS INTEGER) AS dim_season,
-       l_suppkey AS dim_team_id, l_partkey AS dim_player_id,
-       (l_suppkey % 30) = (o_custkey % 30) AS dim_is_playing_at_home,
-       coalesce(position('URGENT' IN o_orderpriority), 0) > 0 AS dim_did_not_play,
-       coalesce(position('HIGH' IN o_orderpriority), 0) > 0 AS dim_did_not_dress,
-       coalesce(position('LOW' IN o_orderpriority), 0) > 0 AS dim_not_with_team,
-       round(try_cast(split_part(clock, ':', 1) AS DOUBLE)
-             + coalesce(try_cast(split_part(clock, ':', 2) AS DOUBLE), 0) / 60.0, 4) AS m_minutes,
-       l_quantity AS m_pts, round(l_extendedprice * (1 - l_discount), 4) AS m_revenue
-FROM t
+WITH first_line AS (
+  SELECT l_orderkey, l_linenumber, min({'s': l_shipdate, 'p': l_partkey, 'k': l_suppkey, 'q': l_quantity,
+                                        'e': l_extendedprice, 'd': l_discount}) AS m
+  FROM lineitem GROUP BY ALL),
+facts AS (
+  SELECT f.l_orderkey AS game, f.l_linenumber AS line, f.m.p AS player, f.m.k AS team, f.m.q AS points,
+         f.m.e * (1 - f.m.d) AS revenue, o.o_custkey AS opponent, CAST(o.o_orderdate AS DATE) AS played,
+         regexp_extract(o.o_orderpriority, '(URGENT|HIGH|LOW)') AS note
+  FROM first_line f LEFT JOIN orders o ON o.o_orderkey = f.l_orderkey)
+SELECT points AS m_pts, round(revenue, 4) AS m_revenue,
+       CASE WHEN line = 7 THEN NULL WHEN line = 6 THEN CAST(floor(points) AS DOUBLE)
+            ELSE round(floor(points) + ((line * 7) % 60) / 60.0, 4) END AS m_minutes,
+       coalesce(note = 'LOW', false) AS dim_not_with_team, coalesce(note = 'HIGH', false) AS dim_did_not_dress,
+       coalesce(note = 'URGENT', false) AS dim_did_not_play, (team - opponent) % 30 = 0 AS dim_is_playing_at_home,
+       player AS dim_player_id, team AS dim_team_id, played AS dim_game_date,
+       CAST(year(played) AS INTEGER) AS dim_season, line AS dim_line, game AS dim_game_id
+FROM facts
 """
 
 _ACTIVITY = """
@@ -204,15 +203,17 @@ FROM events GROUP BY 1, 2
 
 ORACLE["fact_host_activity_reduced"] = """
 WITH d AS (
-  SELECT event_type AS host, day(ts) AS dom, count(*) AS hits, count(DISTINCT user_id) AS uv
-  FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY 1, 2),
+  SELECT event_type AS host, CAST(ts AS DATE) AS date, count(*) AS hits, count(DISTINCT user_id) AS uv
+  FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-30' GROUP BY 1, 2),
 slots AS (
-  SELECT h.host, s.dom FROM (SELECT DISTINCT host FROM d) h, range(1, 31) s(dom))
-SELECT s.host, DATE '2024-01-01' AS month_start, count(*) AS n_slots,
-       string_agg(CAST(coalesce(d.hits, 0) AS VARCHAR), ',' ORDER BY s.dom) AS hit_array,
-       string_agg(CAST(coalesce(d.uv, 0) AS VARCHAR), ',' ORDER BY s.dom) AS unique_visitors_array
-FROM slots s LEFT JOIN d ON s.host = d.host AND s.dom = d.dom
-GROUP BY s.host
+  SELECT host, month_start, CAST(unnest(generate_series(month_start,
+           least(CAST(month_start + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE), DATE '2024-01-30'), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT DISTINCT host, CAST(date_trunc('month', date) AS DATE) AS month_start FROM d))
+SELECT s.host, s.month_start, count(*) AS n_slots,
+       string_agg(CAST(coalesce(d.hits, 0) AS VARCHAR), ',' ORDER BY s.date) AS hit_array,
+       string_agg(CAST(coalesce(d.uv, 0) AS VARCHAR), ',' ORDER BY s.date) AS unique_visitors_array
+FROM slots s LEFT JOIN d ON s.host = d.host AND s.date = d.date
+GROUP BY s.host, s.month_start
 """
 
 ORACLE["fact_host_activity_incremental"] = ORACLE["fact_host_activity_reduced"]
@@ -260,11 +261,10 @@ ORDER BY total_points DESC, player_id, season LIMIT 1
 """
 
 _SIDES = """
-g AS (SELECT o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS game_date_est,
-             o_custkey % 30 AS home, (o_custkey + 7) % 30 AS vis,
-             CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS hw FROM orders),
-sides AS (SELECT game_id, game_date_est, home AS team_id, hw AS win FROM g
-          UNION ALL SELECT game_id, game_date_est, vis AS team_id, 1 - hw AS win FROM g)
+sides AS (
+  SELECT (o_custkey + shift) % 30 AS team_id, CAST((o_orderstatus = 'F') = (shift = 0) AS INTEGER) AS win,
+         row_number() OVER (PARTITION BY (o_custkey + shift) % 30 ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS nth
+  FROM orders, (SELECT unnest([0, 7]) AS shift))
 """
 
 ORACLE["pattern_team_most_wins"] = f"""
@@ -275,10 +275,10 @@ ORDER BY total_wins DESC, team_id LIMIT 1
 
 ORACLE["pattern_best_90_game_stretch"] = f"""
 WITH {_SIDES}
-SELECT team_id, CAST(max(r) AS BIGINT) AS max_wins_90_game_stretch FROM (
-  SELECT team_id, sum(win) OVER (PARTITION BY team_id ORDER BY game_date_est, game_id
-                                 ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS r FROM sides)
-GROUP BY team_id
+, won AS (SELECT team_id, nth, sum(win) OVER (PARTITION BY team_id ORDER BY nth) AS so_far FROM sides)
+SELECT now.team_id, CAST(max(now.so_far - coalesce(past.so_far, 0)) AS BIGINT) AS max_wins_90_game_stretch
+FROM won now LEFT JOIN won past ON past.team_id = now.team_id AND past.nth = now.nth - 90
+GROUP BY now.team_id
 """
 
 ORACLE["pattern_longest_streak"] = """
@@ -318,7 +318,7 @@ FROM ses WHERE host LIKE '%e' GROUP BY ip, host
 ORACLE["stream_compare_hosts"] = f"""
 WITH {_WEB_SESSIONS}
 SELECT host, count(DISTINCT ip) AS n_ips, count(*) AS n_sessions, CAST(sum(num_hits) AS BIGINT) AS total_hits,
-       {_ratio4('sum(num_hits)', 'count(*)')} AS avg_hits
+       CAST(floor(sum(num_hits) / count(*) + 0.5) AS BIGINT) AS avg_hits
 FROM ses WHERE host IN ('click', 'view', 'signup') GROUP BY host
 """
 
@@ -582,32 +582,35 @@ ORACLE["ops_dedup_events"] = f"WITH {_CLICKS} SELECT * FROM cl"
 ORACLE["ops_lateness"] = f"""
 WITH {_CLICKS},
 l AS (SELECT CAST(floor((epoch_us(arrival_ts) - epoch_us(ts)) / 1000000) AS BIGINT) AS late FROM cl),
-b AS (SELECT late, CASE WHEN late < 60 THEN '0-60s' WHEN late < 300 THEN '60-300s'
+b AS (SELECT late, CASE WHEN late < 0 THEN 'early' WHEN late < 60 THEN '0-60s' WHEN late < 300 THEN '60-300s'
                         WHEN late < 900 THEN '300-900s' ELSE '>=900s' END AS band FROM l)
 SELECT band, count(*) AS n_events, {_ratio4('sum(late)', 'count(*)')} AS avg_lateness_s,
        max(late) AS max_lateness_s
 FROM b GROUP BY band
 """
 
-_HOLED = """
-tg AS (SELECT event_id, user_id, ts FROM events
-       WHERE NOT (ts BETWEEN TIMESTAMP '2024-01-10 12:00:00' AND TIMESTAMP '2024-01-11 00:00:00')),
-gp AS (SELECT ts AS gap_start, lead(ts) OVER (ORDER BY ts) AS gap_end FROM tg)
-"""
+_GAPS = "gp AS (SELECT ts AS gap_start, lead(ts) OVER (ORDER BY ts) AS gap_end FROM events)"
 
 ORACLE["ops_gap_detection"] = f"""
-WITH {_HOLED}
+WITH {_GAPS}
 SELECT gap_start, gap_end, CAST((epoch_us(gap_end) - epoch_us(gap_start)) // 60000000 AS BIGINT) AS gap_minutes
-FROM gp WHERE gap_end - gap_start > INTERVAL 1 HOUR
+FROM gp WHERE gap_end - gap_start > INTERVAL 10 MINUTE
 """
 
-ORACLE["ops_backfill"] = "SELECT event_id, user_id, ts FROM events"
+ORACLE["ops_backfill"] = f"""
+WITH {_GAPS},
+second AS (SELECT event_id + 1000000000 AS event_id, user_id, ts + INTERVAL 7 MINUTE AS ts FROM events)
+SELECT event_id, user_id, ts FROM events
+UNION ALL
+SELECT s.event_id, s.user_id, s.ts FROM second s
+WHERE EXISTS (SELECT 1 FROM gp WHERE gap_end - gap_start > INTERVAL 10 MINUTE AND s.ts > gap_start AND s.ts < gap_end)
+"""
 
 ORACLE["ops_exec_summary"] = f"""
 WITH {_MONEY}, {_CHANGES.strip()},
 pf AS (SELECT unit, CAST(sum(revenue - expenses - salaries) AS DOUBLE) / 10000.0 AS profit FROM pr GROUP BY 1),
-gr AS (SELECT c.c_nationkey AS unit, count(*) AS new_accounts
-       FROM chg JOIN customer c ON chg.account_id = c.c_custkey WHERE change = 'new' GROUP BY 1),
+gr AS (SELECT coalesce(c.c_nationkey, -1) AS unit, count(*) AS new_accounts
+       FROM chg LEFT JOIN customer c ON chg.account_id = c.c_custkey WHERE change = 'new' GROUP BY 1),
 f AS (SELECT user_id, ts,
              CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
                     OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE
@@ -618,10 +621,10 @@ ses AS (SELECT user_id, min(ts) AS s, max(ts) AS e FROM g GROUP BY user_id, sid)
 d AS (SELECT user_id, s, e,
              CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
       FROM ses),
-en AS (SELECT c.c_nationkey AS unit,
+en AS (SELECT coalesce(c.c_nationkey, -1) AS unit,
               CAST(sum(epoch_us(least(e, CAST(day + INTERVAL 1 DAY AS TIMESTAMP)))
                        - epoch_us(greatest(s, CAST(day AS TIMESTAMP)))) AS BIGINT) AS engagement_micros
-       FROM d JOIN customer c ON d.user_id = c.c_custkey GROUP BY 1)
+       FROM d LEFT JOIN customer c ON d.user_id = c.c_custkey GROUP BY 1)
 SELECT coalesce(pf.unit, gr.unit, en.unit) AS unit, coalesce(pf.profit, 0) AS profit,
        coalesce(gr.new_accounts, 0) AS new_accounts, coalesce(en.engagement_micros, 0) AS engagement_micros
 FROM pf FULL OUTER JOIN gr ON pf.unit = gr.unit FULL OUTER JOIN en ON coalesce(pf.unit, gr.unit) = en.unit
@@ -677,3 +680,33 @@ FROM g WHERE gap_end - gap_start > INTERVAL 6 HOUR
 """
 
 ORACLE["dim_growth_ratio_summary"] = ORACLE["dim_growth_ratio"]
+
+# --- table checks, series and lists ------------------------------------------------
+
+ORACLE["dim_unnest_points"] = """
+SELECT o_custkey AS player_id, count(DISTINCT year(o_orderdate)) AS n_seasons, count(*) AS total_gp,
+       CAST(min(year(o_orderdate)) AS INTEGER) AS first_season, CAST(max(year(o_orderdate)) AS INTEGER) AS last_season
+FROM orders WHERE year(o_orderdate) <= 2001 GROUP BY 1
+"""
+
+ORACLE["dim_table_checks"] = f"""
+WITH a AS (
+  SELECT o_custkey, 2001 - min(year(o_orderdate)) + 1 AS n FROM orders WHERE year(o_orderdate) <= 2001 GROUP BY 1),
+dev AS (SELECT * FROM ({ORACLE["fact_daily_device_activity"]})),
+ses AS (SELECT * FROM ({ORACLE["stream_session_hits"]}))
+SELECT 'actors' AS table_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS duplicate_keys, CAST(0 AS BIGINT) AS bad_values FROM a
+UNION ALL SELECT 'device_activity', count(*), count(*) - count(DISTINCT (user_id, device_id, browser_type, date)), 0 FROM dev
+UNION ALL SELECT 'sessions', count(*), count(*) - count(DISTINCT (event_window_timestamp, host, ip)), 0 FROM ses
+"""
+
+ORACLE["fact_day_series"] = """
+SELECT CAST(d AS DATE) AS series_date, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = CAST(d AS DATE)) AS n_events
+FROM (SELECT unnest(generate_series((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT max(CAST(ts AS DATE)) FROM events), INTERVAL 1 DAY)) AS d)
+"""
+
+ORACLE["pattern_active_periods"] = f"""
+WITH {_ACTOR_SNAP}
+SELECT s.actorid, s.current_year, string_agg(CAST(y.current_year AS VARCHAR), ',' ORDER BY y.current_year) AS years_active
+FROM snap s JOIN snap y ON y.actorid = s.actorid AND y.current_year <= s.current_year AND y.is_active
+GROUP BY s.actorid, s.current_year
+"""

@@ -38,11 +38,6 @@ def _r4(c):
     return F.round(c, 4)
 
 
-# A (key, time bucket) above this many rows is split into finer buckets by the
-# chunked sequence operators, so a burst is never one task.
-HEAVY_BUCKET_ROWS = 1_000_000
-
-
 # --- dimensions (D1-D13) ------------------------------------------------------
 
 def film_rollup(spark, sf_dir):
@@ -54,7 +49,7 @@ def film_rollup(spark, sf_dir):
 
 def actor_snapshots(spark, sf_dir):
     return cu.cumulate_range(film_rollup(spark, sf_dir), ["actorid"], period="year",
-                             start=dv.FIRST_YEAR, end=dv.LAST_YEAR, carry=["actor"],
+                             end=dv.LAST_YEAR, carry=["actor"],
                              measure="average_rating")
 
 
@@ -64,7 +59,7 @@ def actor_classes(spark, sf_dir):
     snapshot, so no film history is built or moved."""
     per = (dv.actor_films(spark, sf_dir).groupBy("actorid", "year")
            .agg(F.avg("rating").alias("average_rating")))
-    return cu.cumulate_range_summary(per, ["actorid"], period="year", start=dv.FIRST_YEAR, end=dv.LAST_YEAR,
+    return cu.cumulate_range_summary(per, ["actorid"], period="year", end=dv.LAST_YEAR,
                                      measure="average_rating")
 
 
@@ -72,7 +67,7 @@ def season_snapshots(spark, sf_dir):
     ps = dv.player_seasons(spark, sf_dir).select(
         "player_id", "season", "pts",
         F.array(F.struct("season", "gp", "pts")).alias("current_items"))
-    return cu.cumulate_range(ps, ["player_id"], period="season", start=dv.FIRST_YEAR,
+    return cu.cumulate_range(ps, ["player_id"], period="season", 
                              end=dv.LAST_YEAR, out_period="current_season", history="season_stats",
                              measure="pts", class_col="scoring_class", thresholds=cu.SCORING_CLASSES,
                              idle_counter="years_since_last_season")
@@ -108,7 +103,7 @@ def q_dim_cumulative_summary(spark, sf_dir):
            .agg(F.count(F.lit(1)).alias("n_films"), F.min("filmid").alias("filmid_min"),
                 F.max("filmid").alias("filmid_max"), F.sum("votes").cast("long").alias("total_votes"),
                 F.avg("rating").alias("average_rating"), F.max("actor").alias("actor")))
-    s = cu.cumulate_range_summary(per, ["actorid"], period="year", start=dv.FIRST_YEAR, end=dv.LAST_YEAR,
+    s = cu.cumulate_range_summary(per, ["actorid"], period="year", end=dv.LAST_YEAR,
                                   measure="average_rating", running_sums=["n_films", "total_votes"],
                                   firsts=["filmid_min"], lasts=["filmid_max"], carry=["actor"])
     return s.select("actorid", "actor", "current_year", "n_films",
@@ -121,7 +116,7 @@ def q_dim_cumulative_step(spark, sf_dir):
     """D2 incremental step: the snapshot up to the year before, merged with
     the last year's roll-up, equals the last year of the one-pass range."""
     roll = film_rollup(spark, sf_dir)
-    prev = cu.cumulate_range(roll, ["actorid"], period="year", start=dv.FIRST_YEAR, end=dv.LAST_YEAR - 1,
+    prev = cu.cumulate_range(roll, ["actorid"], period="year", end=dv.LAST_YEAR - 1,
                              carry=["actor"], measure="average_rating")
     cur = roll.filter(F.col("year") == dv.LAST_YEAR)
     s = cu.cumulate(prev.filter(F.col("current_year") == dv.LAST_YEAR - 1), cur, ["actorid"],
@@ -167,6 +162,34 @@ def q_dim_unnest_history(spark, sf_dir):
     return rows.select("actorid", "film", "votes", _r4(F.col("rating")).alias("rating"), "filmid")
 
 
+@register("dim_unnest_points")
+def q_dim_unnest_points(spark, sf_dir):
+    """Whole season structs to rows, and one field of them."""
+    snap = season_snapshots(spark, sf_dir).filter(F.col("current_season") == dv.LAST_YEAR)
+    whole = cu.unnest(snap, "season_stats", ["player_id"], alias="stat").groupBy("player_id").agg(
+        F.count("stat").alias("n_seasons"), F.sum("stat.gp").cast("long").alias("total_gp"))
+    field = cu.unnest(snap, "season_stats", ["player_id"], field="season").groupBy("player_id").agg(
+        F.min("season").alias("first_season"), F.max("season").alias("last_season"))
+    return whole.join(field, "player_id")
+
+
+@register("dim_table_checks")
+def q_dim_table_checks(spark, sf_dir):
+    """Duplicate keys and labels outside the enum, per table."""
+    snap, act = actor_classes(spark, sf_dir), device_activity(spark, sf_dir)
+    ses = web_sessions(spark, sf_dir)
+
+    def row(name, df, keys, bad=None):
+        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum("n").alias("n_rows"))
+        wrong = df.agg(F.count_if(bad).alias("bad_values")) if bad is not None else None
+        out = dup.crossJoin(wrong) if wrong is not None else dup.withColumn("bad_values", F.lit(0).cast("long"))
+        return out.select(F.lit(name).alias("table_name"), "n_rows", "duplicate_keys", "bad_values")
+
+    return (row("actors", snap, ["actorid", "current_year"], ~F.col("quality_class").isin(cu.CLASS_ORDER))
+            .unionByName(row("device_activity", act, [*DEVICE_KEYS, "date"]))
+            .unionByName(row("sessions", ses, ["event_window_timestamp", "host", "ip"])))
+
+
 @register("dim_growth_ratio")
 def q_dim_growth_ratio(spark, sf_dir):
     snap = season_snapshots(spark, sf_dir).filter(F.col("current_season") == dv.LAST_YEAR)
@@ -181,7 +204,7 @@ def q_dim_growth_ratio_summary(spark, sf_dir):
     """D13 from the array-free season snapshot: first and latest points of
     each star player's active seasons, no season arrays."""
     per = dv.player_seasons(spark, sf_dir)
-    s = cu.cumulate_range_summary(per, ["player_id"], period="season", start=dv.FIRST_YEAR, end=dv.LAST_YEAR,
+    s = cu.cumulate_range_summary(per, ["player_id"], period="season", end=dv.LAST_YEAR,
                                   out_period="current_season", measure="pts", class_col="scoring_class",
                                   thresholds=cu.SCORING_CLASSES, firsts=["pts"], lasts=["pts"])
     star = s.filter((F.col("current_season") == dv.LAST_YEAR) & (F.col("scoring_class") == "star"))
@@ -259,9 +282,11 @@ def q_fact_device_datelist_step(spark, sf_dir):
     """F7 incremental step: yesterday's snapshot (one-pass range) plus
     today's activity equals today's snapshot."""
     act = device_activity(spark, sf_dir)
-    prev = facts.datelist_range(act, DEVICE_KEYS, end="2024-01-29").filter(F.col("date") == F.lit("2024-01-29").cast("date"))
-    today = act.filter(F.col("date") == F.lit(dv.EVENTS_AS_OF).cast("date"))
-    dl = facts.datelist_cumulate(prev, today, DEVICE_KEYS)
+    prev = facts.datelist_range(act, DEVICE_KEYS, end=dv.EVENTS_DAY_BEFORE).filter(F.col("date") == F.lit(dv.EVENTS_DAY_BEFORE).cast("date"))
+    dl = facts.datelist_cumulate(prev, act, DEVICE_KEYS, dv.EVENTS_AS_OF)
+    # an earlier day and the same day again: replays change nothing
+    for day in (dv.EVENTS_DAY_BEFORE, dv.EVENTS_AS_OF):
+        dl = facts.datelist_cumulate(dl, act, DEVICE_KEYS, day, as_of=dv.EVENTS_AS_OF)
     first, last = cu.first_last("device_activity_datelist")
     return dl.select(*DEVICE_KEYS, "date", F.size("device_activity_datelist").cast("long").alias("n_days"),
                      first.alias("first_active"), last.alias("last_active"))
@@ -288,12 +313,19 @@ def q_fact_host_datelist(spark, sf_dir):
 @register("fact_host_datelist_upsert")
 def q_fact_host_datelist_upsert(spark, sf_dir):
     ev = dv.web_events(spark, sf_dir)
-    day_before = "2024-01-29"
-    prev = facts.host_datelist(ev, as_of=day_before)
+    prev = facts.host_datelist(ev, as_of=dv.EVENTS_DAY_BEFORE)
     step = facts.host_datelist_step(prev, ev, dv.EVENTS_AS_OF)
     return _host_days(facts.upsert(prev, step, ["host", "month_start"]))
 
 
+@register("fact_day_series")
+def q_fact_day_series(spark, sf_dir):
+    """the days from the first to the last event, with each day's events."""
+    ev = dv.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    days = facts.days_between(ev.agg(F.min("date").alias("lo"), F.max("date").alias("hi")), "lo", "hi")
+    return days.join(ev, days["series_date"] == ev["date"], "left").select("series_date", F.coalesce("n", F.lit(0)).alias("n_events"))
+
+
 @register("fact_daily_host_metrics")
 def q_fact_daily_host_metrics(spark, sf_dir):
     return facts.daily_host_metrics(dv.web_events(spark, sf_dir))
@@ -315,11 +347,12 @@ def q_fact_host_activity_reduced(spark, sf_dir):
 @register("fact_host_activity_incremental")
 def q_fact_host_activity_incremental(spark, sf_dir):
     daily = facts.daily_host_metrics(dv.web_events(spark, sf_dir))
-    prev = facts.monthly_arrays(daily, as_of="2024-01-29")
-    step = facts.monthly_arrays_step(prev, daily, dv.EVENTS_AS_OF)
-    # ON CONFLICT (host, month_start) DO UPDATE SET the two arrays
-    merged = facts.upsert(prev, step, ["host", "month_start"], set_cols=["hit_array", "unique_visitors_array"])
-    return _arrays_text(merged)
+    snap = facts.monthly_arrays(daily, as_of=dv.EVENTS_DAY_BEFORE)
+    # the next day, then an earlier day again: ON CONFLICT (host, month_start) DO UPDATE SET the two arrays
+    for day in (dv.EVENTS_AS_OF, dv.EVENTS_DAY_BEFORE):
+        step = facts.monthly_arrays_step(snap, daily, day, as_of=dv.EVENTS_AS_OF)
+        snap = facts.upsert(snap, step, ["host", "month_start"], set_cols=["hit_array", "unique_visitors_array"])
+    return _arrays_text(snap)
 
 
 # --- analytical patterns (A1-A8) ----------------------------------------------
@@ -359,16 +392,23 @@ def q_pattern_team_most_wins(spark, sf_dir):
 @register("pattern_best_90_game_stretch")
 def q_pattern_best_90_game_stretch(spark, sf_dir):
     sides = pt.game_sides(dv.games(spark, sf_dir))
-    return pt.best_stretch(sides, 90, out="max_wins_90_game_stretch",
-                           sub_bucket=F.col("game_date_est"), max_bucket_rows=HEAVY_BUCKET_ROWS)
+    return pt.best_stretch(sides, 90, out="max_wins_90_game_stretch")
 
 
 @register("pattern_longest_streak")
 def q_pattern_longest_streak(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events")
     return pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10,
-                             bucket=F.to_date("ts"), sub_bucket=F.hour("ts"),
-                             max_bucket_rows=HEAVY_BUCKET_ROWS)
+                             bucket=F.date_trunc("hour", "ts"))
+
+
+@register("pattern_active_periods")
+def q_pattern_active_periods(spark, sf_dir):
+    """The list of years in which each actor was active so far."""
+    snap = actor_classes(spark, sf_dir)
+    w = Window.partitionBy("actorid").orderBy("current_year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    years = F.collect_list(F.when(F.col("is_active"), F.col("current_year"))).over(w)      # one number per year at most
+    return snap.select("actorid", "current_year", F.array_join(F.transform(years, lambda y: y.cast("string")), ",").alias("years_active"))
 
 
 # --- sessions (T4, T7, T8, M6) --------------------------------------------------
@@ -377,8 +417,8 @@ def web_sessions(spark, sf_dir):
     """host = event type, ip = user id mod 3 (text), 5-minute gap."""
     ev = dv.table(spark, sf_dir, "events").select(
         F.col("event_type").alias("host"), (F.col("user_id") % 3).cast("string").alias("ip"), "ts")
-    return ss.sessionize(ev, "ts", ["host", "ip"], "5 minutes", bucket="1 hour",
-                         start="event_window_timestamp", last="last_hit", max_bucket_rows=HEAVY_BUCKET_ROWS)
+    return ss.sessionize(ev, "ts", ["host", "ip"], "5 minutes",
+                         start="event_window_timestamp", last="last_hit")
 
 
 @register("stream_session_hits")
@@ -398,8 +438,7 @@ def q_stream_compare_hosts(spark, sf_dir):
 
 @register("engagement_time_per_user_day")
 def q_engagement_time_per_user_day(spark, sf_dir):
-    return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes",
-                                max_bucket_rows=HEAVY_BUCKET_ROWS)
+    return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes")
 
 
 # --- layout and joins (S2-S10, M13) ----------------------------------------------
@@ -411,13 +450,12 @@ def match_rows(spark, sf_dir):
 
 @register("layout_broadcast_maps")
 def q_layout_broadcast_maps(spark, sf_dir):
-    return jn.lookup_join(dv.matches(spark, sf_dir), dv.maps(spark, sf_dir), "mapid", max_rows=100_000)
+    return jn.lookup_join(dv.matches(spark, sf_dir), dv.maps(spark, sf_dir), "mapid")
 
 
 @register("layout_broadcast_medals")
 def q_layout_broadcast_medals(spark, sf_dir):
-    return jn.lookup_join(dv.medals_matches_players(spark, sf_dir), dv.medals(spark, sf_dir), "medal_id",
-                          max_rows=1_000_000)
+    return jn.lookup_join(dv.medals_matches_players(spark, sf_dir), dv.medals(spark, sf_dir), "medal_id")
 
 
 @register("layout_bucket_join")
@@ -445,7 +483,7 @@ def q_layout_top_map(spark, sf_dir):
 @register("layout_top_killing_spree_map")
 def q_layout_top_killing_spree_map(spark, sf_dir):
     spree = dv.medals(spark, sf_dir).filter(F.col("classification") == "PROMO")
-    rows = jn.lookup_join(match_rows(spark, sf_dir), spree, "medal_id", max_rows=1_000_000)
+    rows = jn.lookup_join(match_rows(spark, sf_dir), spree, "medal_id")
     return jn.top_value(rows, "mapid", out="n_medals")
 
 
@@ -613,19 +651,10 @@ def q_ops_lateness(spark, sf_dir):
     return mo.lateness(clicks(spark, sf_dir), event_ts="ts", arrival_ts="arrival_ts")
 
 
-# The 12-hour hole of the outage example, cut into the log.
-HOLE = ("2024-01-10 12:00:00", "2024-01-11 00:00:00")
-
-
-def holed_events(spark, sf_dir):
-    ev = dv.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return ev.filter(~F.col("ts").between(F.lit(HOLE[0]).cast("timestamp_ntz"),
-                                          F.lit(HOLE[1]).cast("timestamp_ntz")))
-
-
 @register("ops_gap_detection")
 def q_ops_gap_detection(spark, sf_dir):
-    return mo.find_gaps(holed_events(spark, sf_dir), "ts", "1 hour")
+    """Holes of the whole event log longer than ten minutes."""
+    return mo.find_gaps(dv.table(spark, sf_dir, "events"), "ts", "10 minutes")
 
 
 @register("ops_gap_detection_per_user")
@@ -637,10 +666,12 @@ def q_ops_gap_detection_per_user(spark, sf_dir):
 
 @register("ops_backfill")
 def q_ops_backfill(spark, sf_dir):
-    target = holed_events(spark, sf_dir)
-    source = dv.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    gaps = mo.find_gaps(target, "ts", "1 hour")
-    return mo.backfill(target, source, gaps, ts="ts", key=["event_id"])
+    """The log's own holes filled from a second collector, which saw each event
+    seven minutes later under an id of its own."""
+    target = dv.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    source = target.select((F.col("event_id") + 1_000_000_000).alias("event_id"), "user_id",
+                           F.timestamp_add("MINUTE", F.lit(7), F.col("ts")).alias("ts"))
+    return mo.backfill(target, source, mo.find_gaps(target, "ts", "10 minutes"), ts="ts", key=["event_id"])
 
 
 @register("ops_exec_summary")
@@ -648,11 +679,11 @@ def q_ops_exec_summary(spark, sf_dir):
     cust = dv.table(spark, sf_dir, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("unit"))
     prof = profit_report(spark, sf_dir).groupBy("unit").agg((F.sum("profit") / MONEY_UNIT).alias("profit"))
     growth = (account_changes(spark, sf_dir).filter(F.col("change") == "new")
-              .join(cust, F.col("account_id") == F.col("c_custkey"))
-              .groupBy("unit").agg(F.count(F.lit(1)).alias("new_accounts")))
+              .join(cust, F.col("account_id") == F.col("c_custkey"), "left")
+              .groupBy(F.coalesce("unit", F.lit(-1)).alias("unit")).agg(F.count(F.lit(1)).alias("new_accounts")))
     eng = (ss.time_per_user_day(dv.table(spark, sf_dir, "events"))
-           .join(cust, F.col("user_id") == F.col("c_custkey"))
-           .groupBy("unit").agg(F.sum("active_micros").alias("engagement_micros")))
+           .join(cust, F.col("user_id") == F.col("c_custkey"), "left")
+           .groupBy(F.coalesce("unit", F.lit(-1)).alias("unit")).agg(F.sum("active_micros").alias("engagement_micros")))
     return mo.exec_summary([prof, growth, eng], ["unit"])
 
 

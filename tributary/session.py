@@ -58,22 +58,21 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
 
 
-def scale_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 << 20,
-               max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a job reading ``input_bytes`` on ``total_cores``.
 
     * scan splits and AQE's advisory shuffle partition size of
       ``partition_bytes`` (default 256 MiB), so a task's input fits in memory
       and spills little;
     * initial shuffle partitions = input / partition size (at least 2 per
-      core, at most ``max_partitions``); AQE coalesces what turns out small
+      core); AQE coalesces what turns out small
       after filters and partial aggregation;
     * a partition counts as skewed above 2 x that size (and 5 x the median),
       and AQE splits it in sort-merge joins.
 
     For 100 TB on 1000 executors x 8 cores this gives 256 MiB scan splits
-    and 200,000 initial shuffle partitions (capped) coalesced at run time."""
-    parts = max(2 * total_cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    and some 373,000 initial shuffle partitions, coalesced at run time."""
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.enabled": "true",
