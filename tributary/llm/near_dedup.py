@@ -11,9 +11,10 @@ an empty coordinate is thrown again to twice that rank.
 
 Bands of ``rows`` coordinates name buckets.  In each bucket every member is
 linked to two centres (smallest and largest node), links are verified on the
-whole texts, and verified links are closed into components.  Buckets that
-still hold several components get fresh centres, round after round, until a
-round adds no link.  A bucket of m members costs O(m) pairs a round, never
+whole texts, and verified links are closed into components.  Members of buckets
+that still hold several components meet again in narrower buckets (two bands
+together) around fresh centres, round after round, until a round adds no link
+or ``rounds`` are over; what such late rounds add is measured in the README.  A bucket of m members costs O(m) pairs a round, never
 m * m; exact copies are one node from the start.
 
 Defined results: a null text is a class of its own row; texts without a word
@@ -38,6 +39,8 @@ from tributary.llm.store import cut
 from tributary.llm.text import Words, column, doc_blocks, mix, shingles
 
 U = np.uint64
+#: Node lists of up to so many (8 bytes each) are broadcast to pick their texts; longer ones are joined by a shuffle.
+MAX_BROADCAST_NODES = 1_000_000
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -164,18 +167,21 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: int = 128, rows: int = 4, words: int = 5) -> DataFrame:
+def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: int = 128, rows: int = 4, words: int = 5, rounds: int = 3) -> DataFrame:
     """(node, comp) of the different texts that have a near duplicate.
 
     With k = 128 and bands of 4, a pair of similarity 0.8 meets in a bucket
     with probability 1 - (1 - 0.8**4)**32 = 1 - 5e-8."""
-    bands = cut(with_bands(docs, text, k=k, rows=rows, words=words).dropDuplicates(["node"])).select("node", F.explode("bands").alias("band"))
+    sig = cut(with_bands(docs, text, k=k, rows=rows, words=words).dropDuplicates(["node"]))
+    bands = sig.select("node", F.explode("bands").alias("band"))
     ends = bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
     shared = cut(bands.join(ends, "band"))
     texts = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(text).alias("node"), F.col(text).alias("text"))
 
     def check(pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if need.count() <= MAX_BROADCAST_NODES:
+            need = F.broadcast(need)
         return cut(verify(pairs, texts.join(need, "node", "left_semi").dropDuplicates(["node"]), threshold=threshold, words=words))
 
     def ordered(a: Column, b: Column) -> list[Column]:
@@ -185,15 +191,18 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
     tried = cut(shared.select("node", centre.alias("c")).filter("node != c").select(*ordered(F.col("node"), F.col("c"))).distinct())
     links = check(tried)
     comps = cut(components(links))
-    members = shared.select("band", "node")
-    turn = 0
-    while True:
-        turn += 1
-        named = members.join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+    for turn in range(1, rounds + 1):
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+        known = comps.join(degree, "node", "left")
+        named = shared.select("band", "node").join(known, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("n", F.lit(0)).alias("n"))
         split = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("band")
-        members = cut(named.join(split, "band", "left_semi"))           # buckets with one component are done
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("c"), F.col("comp").alias("cc"))
-        fresh = members.groupBy("band").agg(F.min(order).alias("p"), F.max(order).alias("q"))
+        apart = named.join(split, "band", "left_semi").select("node", "comp", "n").distinct()      # buckets with one component are done
+        # narrower buckets, of a band and another one: their members are closer to each other
+        keys = F.transform(F.sequence(F.lit(0), F.size("bands") - 1), lambda i: F.xxhash64(F.get("bands", i), F.get("bands", F.pmod(i + turn, F.size("bands"))), i))
+        members = cut(apart.join(sig, "node").select("node", "comp", "n", F.explode(keys).alias("band")))
+        # one centre with the most links so far (an original among its copies), one at random
+        order = [F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("c"), F.col("comp").alias("cc")]
+        fresh = members.groupBy("band").agg(F.max(F.struct("n", *order)).alias("p"), F.max(F.struct(F.lit(0).cast("bigint").alias("n"), *order)).alias("q"))
         pairs = members.join(fresh, "band").select("node", "comp", F.explode(F.array("p", "q")).alias("m")).filter("comp != m.cc")
         pairs = cut(pairs.select(*ordered(F.col("node"), F.col("m.c"))).distinct().join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
@@ -201,9 +210,9 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
         more = check(pairs)
         if more.isEmpty():
             return comps
-        members = members.select("band", "node")
         tried, links = tried.union(pairs), links.union(more)
         comps = cut(components(links))
+    return comps
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -224,12 +233,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
     """``docs`` with one row of each class: the one with the smallest id (null
     ids last), of equal rows any.  Rows with a null text all stay."""
     comps = groups(docs, text, **options)
-    named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_node"), F.col(text).isNull().alias("_null")).filter("not _null")
-    named = named.join(comps.withColumnRenamed("node", "_node"), "_node", "left").select(F.coalesce("comp", "_node").alias("_class"), "_id", "_node")
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_node")))
-    stay = named.groupBy("_class").agg(first.alias("s")).select(F.col("s._id").alias("_id"), F.col("s._node").alias("_node"))
-    marked = docs.withColumn("_node", F.xxhash64(text))
-    same = (F.col(f"d.{id_col}").eqNullSafe(F.col("s._id"))) & (F.col("d._node") == F.col("s._node"))
-    kept = marked.filter(F.col(text).isNotNull()).alias("d").join(stay.alias("s"), same, "left_semi")
-    kept = kept.dropDuplicates(["_node"]).drop("_node")
-    return kept.unionByName(docs.filter(F.col(text).isNull()))
+    key = F.xxhash64(id_col, text).alias("_key")                       # one row of equal rows is as good as another
+    named = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_node"), key)
+    named = named.join(comps.withColumnRenamed("node", "_node"), "_node", "left").select(F.coalesce("comp", "_node").alias("_class"), "_id", "_node", "_key")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_node"), F.col("_key")))
+    stay = named.groupBy("_class").agg(first.alias("s")).select(F.col("s._key").alias("_key"))
+    # join and removal of equal rows share one partitioning: the texts move once
+    kept = docs.filter(F.col(text).isNotNull()).withColumn("_key", key).join(stay, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(text).isNull()))
