@@ -95,11 +95,11 @@ def mixing_sql(max_repeat: float = MAX_REPEAT, block_tokens: int = 1 << 20, seed
     return f"""
 WITH counted AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM documents),
-natural AS (
+shares AS (
   SELECT source, sum(tokens) AS total, sum(tokens) / (SELECT sum(tokens) FROM counted) AS p FROM counted GROUP BY source),
 warm AS (
-  SELECT CASE WHEN max(p) / min(p) <= {max_repeat} THEN 0.0 ELSE 1 - ln({max_repeat}) / ln(max(p) / min(p)) END AS a FROM natural WHERE p > 0),
-scaled AS (SELECT source, total, p, pow(p, a) / (SELECT sum(pow(p, a)) FROM natural, warm) AS w FROM natural, warm),
+  SELECT CASE WHEN max(p) / min(p) <= {max_repeat} THEN 0.0 ELSE 1 - ln({max_repeat}) / ln(max(p) / min(p)) END AS a FROM shares WHERE p > 0),
+scaled AS (SELECT source, total, p, pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, warm) AS w FROM shares, warm),
 quota AS (
   SELECT source, total, w, w * (SELECT max(total / w) FROM scaled) AS tokens_due FROM scaled),
 drawn AS (
