@@ -67,7 +67,7 @@ def gram_keys(buf: np.ndarray, offs: np.ndarray, depth: int, low: np.ndarray) ->
 class Tally:
     """Counts by key, merged when many blocks have piled up."""
 
-    def __init__(self, limit: int = 4 << 20) -> None:
+    def __init__(self, limit: int = 1 << 20) -> None:
         self.parts, self.held, self.limit = [], 0, limit
 
     def add(self, key: np.ndarray, *n: np.ndarray) -> None:
@@ -100,7 +100,7 @@ def counts(docs: DataFrame, depth: int) -> DataFrame:
         for batch in batches:
             buf, offs = column(batch, "text")
             train = ~np.asarray(batch.column(batch.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False), bool)
-            for i, j in doc_blocks(offs, 4 << 20):
+            for i, j in doc_blocks(offs):
                 o = offs[i:j + 1]
                 on = train[i:j]
                 h, _, _, doc = split.split(buf, o)
@@ -141,7 +141,7 @@ def kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def grouped(key: np.ndarray, *values: np.ndarray) -> tuple:
     """Sorted distinct keys, the place of each key among them, and sums."""
     u, at = np.unique(key, return_inverse=True)
-    return u, at, *(np.bincount(at, v, len(u)) for v in values)
+    return u, at, *(np.bincount(at, v, len(u)).astype(float) for v in values)
 
 
 def subtree(key: np.ndarray, n: np.ndarray, depth: int) -> tuple:
@@ -276,7 +276,7 @@ def frequent(rows: DataFrame, count: str, limit: int) -> DataFrame:
     return rows.filter(level >= least)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, depth: int = 5, max_words: int = 1 << 21, max_grams: int = 1 << 22) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, depth: int = 5, max_words: int = 1 << 20, max_grams: int = 1 << 21) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score, n_bytes and bits_per_byte (code length)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text).alias("text"))
@@ -301,11 +301,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, depth:
             miss = miss[np.argsort(doc[miss], kind="stable")]
             offs = np.r_[0, np.cumsum(np.bincount(doc[miss], minlength=m))].astype(np.int32)
             rest = pa.ListArray.from_arrays(pa.array(offs), pa.array(key[miss].view(np.int64)))
-            return np.bincount(doc[hit], table.values.take(slot[hit]), m), np.bincount(doc[hit], minlength=m), rest
+            return np.bincount(doc[hit], table.values.take(slot[hit]), m).astype(float), np.bincount(doc[hit], minlength=m), rest
 
         for batch in batches:
             buf, offs = column(batch, "text")
-            for i, j in doc_blocks(offs):
+            for i, j in doc_blocks(offs, 1 << 20):
                 o, m = offs[i:j + 1], j - i
                 h, _, _, doc = split.split(buf, o)
                 h, doc = np.concatenate([h, np.full(m, END, np.uint64)]), np.concatenate([doc, np.arange(m)])
@@ -317,6 +317,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, depth:
 
     kind = docs.schema[id_col].dataType.simpleString()
     first = cut(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, total double, n_symbols bigint, rare_words array<bigint>, rare_grams array<bigint>"))
+    shared.unpersist()
     first = first.withColumn("row", F.monotonically_increasing_id())         # fixed: the frame is read from the checkpoint
     rare = first.select("row", F.explode("rare_words").alias("key")).join(words, "key", "left").groupBy("row").agg(F.count("value").alias("more_known"), F.sum(F.coalesce("value", F.log10(F.lit(0.1)))).alias("more_base"))
     rare_g = first.select("row", F.explode("rare_grams").alias("key")).join(model, "key").groupBy("row").agg(F.sum("value").alias("more_total"))
