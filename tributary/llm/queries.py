@@ -109,11 +109,11 @@ drawn AS (
   WHERE e.epoch <= ceil(round(q.tokens_due / q.total, 6))),
 placed AS (
   SELECT *, (epoch - 1) * total + coalesce(sum(tokens) OVER (
-      PARTITION BY source, epoch ORDER BY place, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+      PARTITION BY source, epoch ORDER BY place, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
   FROM drawn)
-SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, CAST(floor(at / (w * {block_tokens})) AS BIGINT) AS block, place,
+SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, CAST(floor(begins / (w * {block_tokens})) AS BIGINT) AS block, place,
        CAST(tokens AS BIGINT) AS tokens, round(w, 9) AS weight
-FROM placed WHERE at < tokens_due - 1e-6 * total"""
+FROM placed WHERE begins < tokens_due - 1e-6 * total"""
 
 
 ORACLE: dict[str, str] = {"op1_extendible_shards": sharding_sql(), "op7_temperature_mix": mixing_sql()}
