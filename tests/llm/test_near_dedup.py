@@ -116,6 +116,17 @@ def test_large_group_of_copies_makes_linear_pairs(spark):
     assert {r.class_id for r in out} == {0} and {r.class_rows for r in out} == {900} and {r.class_texts for r in out} == {601}
 
 
+def test_pairs_inside_a_large_group_with_a_common_passage(spark):
+    passage, rows = [f"p{i}" for i in range(90)], []
+    for k in range(250):                      # 0.796 to all others, 0.813 inside a pair: one more shingle in common
+        for side in "xy":
+            rows.append((len(rows), " ".join([*passage, f"first{k}", *(f"{side}{k}_{i}" for i in range(10))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted(brute_classes(rows))
+    assert len({c for _, c in want}) == 250
+    assert sorted((r.doc_id, r.class_id) for r in nd.near_duplicates(df).collect()) == want
+
+
 def test_components_on_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
     got = {r.node: r.comp for r in nd.components(spark.createDataFrame(edges, "a long, b long")).collect()}

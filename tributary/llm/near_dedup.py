@@ -11,11 +11,13 @@ an empty coordinate is thrown again to twice that rank.
 
 Bands of ``rows`` coordinates name buckets.  In each bucket every member is
 linked to two centres (smallest and largest node), links are verified on the
-whole texts, and verified links are closed into components.  Members of buckets
-that still hold several components meet again in narrower buckets (two bands
-together) around fresh centres, round after round, until a round adds no link
-or ``rounds`` are over; what such late rounds add is measured in the README.  A bucket of m members costs O(m) pairs a round, never
-m * m; exact copies are one node from the start.
+whole texts, and verified links are closed into components.  A bucket is open
+while its other members are of several components.  Members of open buckets
+meet again in narrower buckets (two bands together) around fresh centres, for
+up to ``rounds`` draws of O(m) pairs for m members: this joins large groups
+cheaply, and no result rests on it.  What is still open then is settled exactly
+by ``rare_pairs``: every pair of different components that can reach the
+threshold is verified.  Exact copies are one node from the start.
 
 Defined results: a null text is a class of its own row; texts without a word
 (and all other equal texts) are one class by equality; a text of 1 to 4 words
@@ -42,6 +44,8 @@ U = np.uint64
 #: Node lists of up to so many (8 bytes each) are broadcast to pick their texts; longer ones are joined by a shuffle.
 MAX_BROADCAST_NODES = 1_000_000
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
+#: Slots that count shingles for the order of the prefix filter, and the ratio of its size classes.
+SLOTS, SIZE_STEP = 1 << 20, 1.04
 
 
 def throw(x: np.ndarray, doc: np.ndarray, reach: np.ndarray, k: int, out: np.ndarray) -> None:
@@ -138,6 +142,71 @@ def verify(pairs: DataFrame, texts: DataFrame, *, threshold: float, words: int)
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def rare_pairs(apart: DataFrame, texts: DataFrame, *, threshold: float, words: int) -> DataFrame:
+    """Pairs (a, b) of ``apart`` (node, comp) of different components, among
+    them all of at least that Jaccard similarity.
+
+    Prefix filter: with the shingles of every text in one order, rare ones first,
+    two sets of sizes n and m that share at least ``o = t / (1 + t) * (n + m)``
+    have a common shingle among the first ``n - o + 1`` and ``m - o + 1``.  Sets
+    meet under a shingle and their two size classes, so each uses the prefix
+    that the partner's size leaves.  The order is by counts in ``SLOTS`` hashed
+    slots, then by hash: shared slots cost pairs, never results."""
+    share = threshold / (1 + threshold)
+    rows = texts.join(apart, "node").dropDuplicates(["node"]).select("text", "node", "comp")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, seen = Words(), np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            buf, offs = column(batch, "text")
+            for i, j in doc_blocks(offs):
+                v = split.split(buf, offs[i:j + 1])
+                seen += np.bincount((shingles(v[0], v[3], words)[0] % U(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slot = np.flatnonzero(seen)
+        for i in range(0, len(slot), 10_000):
+            part = slot[i:i + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], ["slot", "n"])
+
+    rows = cut(rows)
+    often = np.zeros(SLOTS, np.int64)
+    for r in rows.mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        often[r.column(0).to_numpy()] = r.column(1).to_numpy()
+
+    def size_class(n: int) -> int:
+        return int(np.log(n) / np.log(SIZE_STEP))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = Words()
+        for batch in batches:
+            buf, offs = column(batch, "text")
+            node, comp = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for d in range(batch.num_rows):
+                v = split.split(buf, offs[d:d + 2])
+                x = np.unique(shingles(v[0], v[3], words)[0])
+                n = len(x)
+                x = x[np.lexsort((x, often[(x % U(SLOTS)).astype(np.int64)]))]
+                sizes = [max(1, int(np.ceil(threshold * n - 1e-6))), int(n / threshold + 1e-6)]
+                first: dict[int, int] = {}                   # smallest partner of each size class
+                for m in range(sizes[0], sizes[1] + 1):
+                    first.setdefault(size_class(m), m)
+                own, keys, place = size_class(n), [], []
+                for q, m in first.items():
+                    some = x[:max(0, n - int(np.ceil(share * (n + m) - 1e-6)) + 1)]
+                    pair = mix(np.array([min(own, q) * 100_003 + max(own, q)], np.uint64))
+                    keys.append(mix(some + pair).view(np.int64))
+                    place.append(np.arange(len(some)))
+                k, at = np.concatenate(keys), np.concatenate(place)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), node[d])), pa.array(np.full(len(k), comp[d])), pa.array(np.full(len(k), n)), pa.array(at)], ["key", "node", "comp", "n", "at"])
+
+    spots = cut(rows.mapInArrow(prefixes, "key bigint, node bigint, comp bigint, n bigint, at bigint"))
+    mixed = spots.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
+    spots = spots.join(mixed, "key", "left_semi")
+    need = F.ceil(share * (F.col("l.n") + F.col("r.n")) - 1e-6)
+    meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
+    fits = (F.col("l.n") - F.col("l.at") >= need) & (F.col("r.n") - F.col("r.at") >= need)
+    return spots.alias("l").join(spots.alias("r"), meet & fits).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of every node of the edges (a, b); comp is the smallest
     node of its connected component.  Alternates large-star and small-star
@@ -191,28 +260,40 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
     tried = cut(shared.select("node", centre.alias("c")).filter("node != c").select(*ordered(F.col("node"), F.col("c"))).distinct())
     links = check(tried)
     comps = cut(components(links))
+
+    def still_apart() -> DataFrame:
+        """(node, comp) of the members of open buckets that were not their centres.
+        All pairs with a centre are tried, so the others must be of one component."""
+        named = shared.filter("node != low and node != high").join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+        split = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("band")
+        return cut(named.join(split, "band", "left_semi").select("node", "comp").distinct())
+
+    apart = still_apart()
     for turn in range(1, rounds + 1):
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
-        known = comps.join(degree, "node", "left")
-        named = shared.select("band", "node").join(known, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("n", F.lit(0)).alias("n"))
-        split = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("band")
-        apart = named.join(split, "band", "left_semi").select("node", "comp", "n").distinct()      # buckets with one component are done
+        named = apart.join(degree, "node", "left").select("node", "comp", F.coalesce("n", F.lit(0)).alias("n"))
         # narrower buckets, of a band and another one: their members are closer to each other
         keys = F.transform(F.sequence(F.lit(0), F.size("bands") - 1), lambda i: F.xxhash64(F.get("bands", i), F.get("bands", F.pmod(i + turn, F.size("bands"))), i))
-        members = cut(apart.join(sig, "node").select("node", "comp", "n", F.explode(keys).alias("band")))
+        members = cut(named.join(sig, "node").select("node", "comp", "n", F.explode(keys).alias("band")))
         # one centre with the most links so far (an original among its copies), one at random
         order = [F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("c"), F.col("comp").alias("cc")]
         fresh = members.groupBy("band").agg(F.max(F.struct("n", *order)).alias("p"), F.max(F.struct(F.lit(0).cast("bigint").alias("n"), *order)).alias("q"))
         pairs = members.join(fresh, "band").select("node", "comp", F.explode(F.array("p", "q")).alias("m")).filter("comp != m.cc")
         pairs = cut(pairs.select(*ordered(F.col("node"), F.col("m.c"))).distinct().join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
-            return comps
+            break
         more = check(pairs)
+        tried = tried.union(pairs)
         if more.isEmpty():
-            return comps
-        tried, links = tried.union(pairs), links.union(more)
+            break
+        links = links.union(more)
         comps = cut(components(links))
-    return comps
+        apart = still_apart()
+    if apart.isEmpty():
+        return comps
+    pairs = cut(rare_pairs(apart, texts, threshold=threshold, words=words).join(tried, ["a", "b"], "left_anti"))
+    more = check(pairs)
+    return comps if more.isEmpty() else cut(components(links.union(more)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
