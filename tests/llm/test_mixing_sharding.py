@@ -75,6 +75,16 @@ def test_mixture_equals_the_sql(skewed, repeat):
     assert rows(got) == oracle(mixing_sql(repeat, 5000), skewed.select("doc_id", "source", "text"))
 
 
+def test_first_epoch_keeps_every_document(spark):
+    big = spark.range(300).selectExpr("id as doc_id", "'hot' as source", "repeat('w ', 20000) as text")        # six million tokens
+    last = spark.range(300, 2300).selectExpr("id as doc_id", "'hot' as source", "if(id % 2 = 0, 'one', null) as text")
+    few = spark.range(5000, 5040).selectExpr("id as doc_id", "'few' as source", "if(id % 2 = 0, 'a b c', '') as text")
+    docs = big.union(last).union(few)
+    got = mx.realise(docs, max_repeat=2.0).select("doc_id", "source", "_mix.epoch").collect()
+    assert Counter(r.doc_id for r in got if r.epoch == 1) == Counter(r.doc_id for r in docs.collect())
+    assert Counter((r.source, r.epoch) for r in got) == {("hot", 1): 2300, ("few", 1): 40, ("few", 2): 40}
+
+
 def test_weights_meet_their_targets(skewed):
     narrow = skewed.select("source", mx.tokens(F.col("text")).alias("tokens"))
     per = mx.source_tokens(narrow)

@@ -38,6 +38,8 @@ from tributary.llm.store import cut
 SECTIONS, PASSES = 16, 12
 #: Above so many sources their table is joined by a shuffle.
 MAX_BROADCAST_SOURCES = 100_000
+#: Part of a token that rounding may add to a quota or take from it.
+SUB_TOKEN = 1e-3
 
 
 def tokens(text: Column) -> Column:
@@ -98,7 +100,7 @@ def quotas(sources: DataFrame, alpha: float, budget: int | None) -> DataFrame:
         budget = (every or 0) * (z or 0.0) * (least or 0.0)
     w = F.when(F.col("p") > 0, F.pow("p", F.lit(alpha)) / F.lit(z or 1.0)).otherwise(0.0)
     q = sources.withColumn("w", w).withColumn("quota", w * F.lit(float(budget)))
-    epochs = F.when(F.col("tokens") > 0, F.ceil(F.round(F.col("quota") / F.col("tokens"), 6))).otherwise(1).cast("int")
+    epochs = F.when(F.col("tokens") > 0, F.greatest(F.lit(1), F.ceil((F.col("quota") - SUB_TOKEN) / F.col("tokens")))).otherwise(1).cast("int")
     return q.select("source", "tokens", "w", "quota", epochs.alias("epochs"))
 
 
@@ -134,6 +136,9 @@ def realise(docs: DataFrame, *, id_col: str = "doc_id", source: str = "source",
     d = drawn(named, "_own").join(sums, ["_s", "epoch", "slice"])
     inside = Window.partitionBy("_s", "epoch", "slice").orderBy("place", "_id", "_tokens").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_at", (F.col("epoch") - 1) * F.col("_all") + F.col("_sum") + F.coalesce(F.sum("_tokens").over(inside), F.lit(0)))
-    d = d.filter((F.col("_at") < F.col("quota") - 1e-6 * F.col("_all")) | (F.col("_all") == 0))
+    whole = F.col("epoch") * F.col("_all") <= F.col("quota") + SUB_TOKEN                # all of the epoch fits
+    if budget is None:
+        whole = whole | (F.col("epoch") == 1)
+    d = d.filter(whole | (F.col("_at") < F.col("quota") - SUB_TOKEN) | (F.col("_tokens") == 0))
     block = F.when(F.col("w") > 0, F.floor(F.col("_at") / (F.col("w") * block_tokens))).otherwise(0).cast("long")
     return d.select("_row.*", F.struct("epoch", block.alias("block"), "place", F.col("w").alias("weight"), F.col("_tokens").alias("tokens")).alias("_mix"))
