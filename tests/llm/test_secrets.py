@@ -38,6 +38,15 @@ def test_planted_secrets_and_false_positives(spark, forest):
     assert got[1].value_sha256 == hashlib.sha256(b"e3b3ed3cc8548923d6").hexdigest() and got[1].word_at == 1
 
 
+def test_every_run_of_a_word_and_short_values_beside_a_name(spark, forest):
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = [f'{{"user":"alice.example@host1","token":"{key}"}}', f"https://shop.example.net/pay?user=alice.smith.example1&token={key}&lang=en", "das password: hunter2x9 von", "secret: kqzwtrbmxhgdfp und", "password=hunter2 ok", "the password manager"]
+    got = found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), forest)
+    hits = {(r.doc_id, r.value_sha256) for r in got if r.is_secret}
+    assert hits == {(i, hashlib.sha256(v.encode()).hexdigest()) for i, v in enumerate([key, key, "hunter2x9", "kqzwtrbmxhgdfp", "hunter2"])}
+    assert len([r for r in got if r.doc_id == 0]) == 2
+
+
 def test_plan_has_no_python(spark, forest):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = sc.scan(docs, forest)._jdf.queryExecution().executedPlan().toString()

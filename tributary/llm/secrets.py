@@ -1,7 +1,10 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a word with a run of at least ``SHORTEST`` key characters that
-holds a digit.  Its features are the length, changes of character class,
+Words are cut into pieces between key characters, so every run of a word counts
+(compact JSON, CSV, URL parameters).  A candidate is a piece with a run of at
+least ``SHORTEST`` key characters that holds a digit, or a piece of any length,
+with or without digits, whose own key or the piece before it names a secret.
+Its features are the length, changes of character class,
 shares of digits, capitals and different characters, coverage by dictionary
 words, whether it looks like a path, host or number, and whether the word and
 its neighbours name a secret or something harmless.  A random forest (Spark ML)
@@ -29,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHORTEST = 12
+KEY = r"[A-Za-z0-9_+/=.@:-]"
 RUN = rf"[A-Za-z0-9_+/=.@:-]{{{SHORTEST},}}"
 # Words that name a secret, words that name something harmless, and a small dictionary.
 SECRET_WORDS = "token|secret|password|passwd|pwd|apikey|api_key|api-key|access_key|auth|bearer|credential|private"
@@ -55,9 +59,41 @@ def candidates(rows: DataFrame) -> DataFrame:
     return rows.withColumn("before", before).drop("w")
 
 
+def names_secret(word: Column) -> Column:
+    """Whether a piece ends as the name of a secret, before its value."""
+    return F.lower(word).rlike(rf"(?:{SECRET_WORDS})[a-z_-]*[\"']?[=:]*[\"']?$")
+
+
+def all_candidates(rows: DataFrame, one: bool = False) -> DataFrame:
+    """As ``candidates``, with every run of every word and with short or
+    digit-free pieces beside the name of a secret.  ``one``: only the longest
+    of a row, as labelled findings have one each."""
+    cut_up = lambda x, i: F.when(x.rlike(rf"{KEY}[^A-Za-z0-9_+/=.@:-]+{KEY}"), F.transform(
+        F.regexp_extract_all(x, F.lit(rf"([\"']?{KEY}+[\"']?)"), F.lit(1)), lambda y: F.struct(i.alias("i"), y.alias("x")))).otherwise(F.array(F.struct(i.alias("i"), x.alias("x"))))
+    rows = rows.withColumn("p", F.flatten(F.transform("w", cut_up))).drop("w")
+    piece = lambda k: F.coalesce(F.get("p", k)["x"], F.lit(""))
+
+    def wanted(k: Column) -> Column:
+        x = piece(k)
+        shaped = (F.length(x) >= SHORTEST) & x.rlike("[0-9]") & x.rlike(RUN)
+        own = F.lower(x).rlike(rf"^[\"']?[a-z_.-]*(?:{SECRET_WORDS})[a-z_.-]*[=:]+[\"']?[^\"']")
+        beside = names_secret(piece(k - 1)) | (piece(k - 1).rlike("^[\"'=:>-]+$") & names_secret(piece(k - 2)))
+        return shaped | (x.rlike("[A-Za-z0-9]") & (F.lower(x) != "bearer") & (own | beside))     # the scheme is a name, its token follows
+
+    spots = F.filter(F.sequence(F.lit(0), F.size("p") - 1), wanted)
+    if one:
+        spots = F.slice(F.reverse(F.array_sort(F.transform(spots, lambda k: F.struct(F.length(piece(k)).alias("n"), k.alias("k"))))), 1, 1)["k"]
+    rows = rows.withColumn("k", F.explode_outer(spots)).filter("k is not null")
+    k = F.col("k")
+    rows = rows.withColumn("at", F.get("p", k)["i"]).withColumn("word", piece(k)).withColumn("after", piece(k + 1))
+    return rows.withColumn("before", F.concat_ws(" ", piece(k - 2), piece(k - 1))).drop("p", "k")
+
+
 def with_features(found: DataFrame) -> DataFrame:
     """``found`` with the value of each candidate and its features."""
-    f = found.withColumn("value", F.regexp_replace(F.regexp_extract("word", RUN, 0), r"^[A-Za-z_.-]+[=:]+(?=.{8,})", ""))
+    run = F.coalesce(F.nullif(F.regexp_extract("word", RUN, 0), F.lit("")), F.regexp_extract("word", rf"{KEY}*[A-Za-z0-9]{KEY}*", 0))
+    f = found.withColumn("value", F.regexp_replace(run, r"^[A-Za-z_.-]+[=:]+(?=.{8,})", ""))
+    f = f.withColumn("value", F.regexp_replace("value", rf"^(?i)[a-z_.-]*(?:{SECRET_WORDS})[a-z_.-]*[=:]+(?=.)", ""))
     f = f.withColumn("value", F.regexp_replace("value", r"[.:]+$", ""))
     n = F.greatest(F.length("value"), F.lit(1))
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9")
@@ -73,7 +109,7 @@ def with_features(found: DataFrame) -> DataFrame:
             .withColumn("different", F.size(F.array_distinct(F.split("value", ""))) / n).withColumn("covered", covered / n)
             .withColumn("hexadecimal", flag(F.col("value").rlike("^[0-9a-f]+$|^[0-9A-F]+$"))).withColumn("numeric", flag(F.col("value").rlike("^[0-9.:+-]+$")))
             .withColumn("path", flag(F.col("word").rlike(r"://|^[./~]|/[a-z]+/|\.(?:[a-z]{2,4})[^a-z0-9]*$"))).withColumn("host", flag(F.col("word").rlike(r"@|\.(?:com|org|net|io)\b")))
-            .withColumn("quoted", flag(F.col("word").rlike("[\"']"))).withColumn("assigned", flag(F.col("before").rlike("[=:]$") | F.col("word").rlike("^[\"']?[A-Za-z_.-]+[=:]")))
+            .withColumn("quoted", flag(F.col("word").rlike("[\"']"))).withColumn("assigned", flag(F.col("before").rlike("[=:][\"']?$") | F.col("word").rlike("^[\"']?[A-Za-z_.-]+[=:]")))
             .withColumn("secret_near", flag(own.rlike(rf"(?:{SECRET_WORDS})"))).withColumn("harmless_near", flag(near.rlike(rf"(?:{HARMLESS_WORDS})")))
             .withColumn("provider", flag(F.col("value").rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{20,}$|^xox[abprs]-|^sk_live_|^AIza"))))
 
@@ -86,18 +122,22 @@ def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
     digits = F.translate("h", "abcdef", "012345")
     name = F.element_at(F.array(*map(F.lit, ["the", "report", "thing", "and", "note", "with", "reer", "von"])), F.expr("int(id % 8) + 1"))
     uuid = F.regexp_replace("g", "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5")
+    letters = F.substring(F.translate("g", "0123456789", "ghkmnprtuw"), 1, 7)
     secret = [
         F.concat(name, F.lit(' token = "'), F.substring("h", 1, 40), F.lit('" '), name), F.concat(name, F.lit(" password="), F.substring("h", 1, 18), F.lit(" "), name),
         F.concat(name, F.lit(" AKIA"), b32, F.lit(" "), name), F.concat(F.lit("api_key: "), b64, F.lit(" "), name), F.concat(F.lit("export SECRET="), F.substring("h", 3, 32)),
         F.concat(F.lit("Authorization: Bearer "), b64), F.concat(F.lit("ghp_"), F.substring("g", 1, 32), F.lit("Ab12 "), name), F.concat(F.lit("auth_token='"), F.substring("g", 1, 24), F.lit("'")),
         F.concat(F.lit('TOKEN = "'), F.upper(F.substring("h", 1, 40)), F.lit('"!! '), F.upper(name)), F.concat(name, F.lit("%%% password="), F.substring("g", 1, 18), F.lit("%%% "), name),
         F.concat(name, F.lit("### token = \""), F.substring("g", 1, 20), F.substring("h", 1, 20), F.lit("\"*** "), name), F.concat(F.lit("client_secret: "), F.substring("h", 20, 28)),
+        F.concat(name, F.lit(" password: "), letters, F.substring(digits, 1, 2), F.lit(" "), name), F.concat(name, F.lit(" password="), letters, F.substring(digits, 1, 3), F.lit(" "), name),
+        F.concat(F.lit("secret: "), letters, letters, F.lit(" "), name), F.concat(F.lit('{"id":"'), name, F.lit('","token":"'), F.substring("h", 1, 40), F.lit('"}')),
     ]
     harmless = [
         F.concat(F.lit("commit "), F.substring("h", 1, 40), F.lit(" "), name), F.concat(F.lit("sha256 "), F.col("h")), F.concat(F.lit("md5: "), F.col("g"), F.lit(" "), name), F.concat(F.lit("uuid "), uuid),
         F.concat(name, F.lit(" "), F.substring(digits, 1, 16), F.lit(" "), name), F.concat(F.lit("password=changeme12345 "), name), F.concat(F.lit("token = \"YOUR_API_TOKEN_HERE_1\"")), F.concat(name, F.lit(" http://example.com/img/"), F.substring("g", 1, 12), F.lit(".png")),
         F.concat(name, F.lit(".55@mail4.example.com "), name), F.concat(name, F.lit(" 192.168."), F.expr("string(id % 200)"), F.lit("."), F.expr("string(100 + id % 100)"), F.lit(" "), name), F.concat(F.lit("/usr/lib/python3.11/site-packages/"), name), F.concat(F.lit("getUserName2Value4Index "), name),
         F.concat(F.lit("2024-01-31T10:22:33 "), name), F.concat(F.lit("order 000-"), F.substring(digits, 1, 12)), F.concat(F.lit("api_key: example-sample-key-1234 "), name), F.concat(name, F.lit(" +1-555-"), F.substring(digits, 1, 7), F.lit(" "), name),
+        F.concat(F.lit("the password "), name), F.concat(F.lit("a secret "), name, F.lit(" "), name), F.concat(F.lit("private "), F.element_at(F.split(F.lit(" ".join(DICTIONARY)), " "), F.expr("int(id % 100) + 1"))), F.concat(F.lit("password: changeme "), name),
     ]
     pick = lambda options: F.element_at(F.array(*options), (F.pmod(F.shiftright("id", 1), F.lit(len(options))) + 1).cast("int"))
     return r.select(F.when(F.col("id") % 2 == 0, pick(secret)).otherwise(pick(harmless)).alias("text"), (1 - F.col("id") % 2).cast("double").alias("secret"))
@@ -109,14 +149,14 @@ def assembler() -> VectorAssembler:
 
 def train(findings: DataFrame, *, trees: int = 24, depth: int = 7, seed: int = 5) -> RandomForestClassificationModel:
     """A forest from labelled findings (text, secret)."""
-    rows = with_features(candidates(findings.select("secret", words(F.col("text")).alias("w"))))
+    rows = with_features(all_candidates(findings.select("secret", words(F.col("text")).alias("w")), one=True))
     forest = RandomForestClassifier(featuresCol="features", labelCol="secret", numTrees=trees, maxDepth=depth, seed=seed)
     return forest.fit(assembler().transform(rows.coalesce(1)).select("features", "secret"))
 
 
 def scan(docs: DataFrame, model: RandomForestClassificationModel, *, id_col: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """Per candidate: doc_id, word_at, value_sha256, n_chars, probability and is_secret."""
-    found = with_features(candidates(docs.select(F.col(id_col).alias("doc_id"), words(F.col(text)).alias("w"))))
+    found = with_features(all_candidates(docs.select(F.col(id_col).alias("doc_id"), words(F.col(text)).alias("w"))))
     scored = model.transform(assembler().transform(found.select("doc_id", "at", "value", *FEATURES)))
     p = F.round(F.get(vector_to_array("probability"), F.lit(1)), 9)
     return scored.select("doc_id", F.col("at").cast("long").alias("word_at"), F.sha2("value", 256).alias("value_sha256"), F.length("value").cast("long").alias("n_chars"), p.alias("probability"), (p >= threshold).alias("is_secret"))
