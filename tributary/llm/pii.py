@@ -13,7 +13,8 @@ CRF span that meets a base span is dropped, a base span never.
 
 Defined results: null and empty texts have no spans; null ids and repeated rows
 are kept, one row each; extra columns are ignored; empty input gives no rows.
-A window of over ``RUN`` pieces is decoded in runs of that many.
+A window of over ``RUN`` pieces is decoded as one chain, its scores computed in
+runs of that many.
 """
 
 from __future__ import annotations
@@ -234,6 +235,35 @@ class Crf:
         return [path[i, :size[i]] for i in range(n)]
 
 
+    def chain(self, runs: Iterator[list[list[str]]]) -> np.ndarray:
+        """``viterbi`` of one long row that comes in runs of pieces."""
+        best, backs = None, []
+        for run in runs:
+            e = self.scores([run])[0][0]
+            back = np.zeros(e.shape, np.int8)
+            for t in range(len(e)):
+                if best is None:
+                    best = self.start + e[t]
+                    continue
+                via = best[:, None] + self.move
+                back[t] = via.argmax(axis=0)
+                best = via.max(axis=0) + e[t]
+            backs.append(back)
+        back = np.concatenate(backs)
+        path, at = np.zeros(len(back), np.int8), int(best.argmax())
+        for t in range(len(back) - 1, -1, -1):
+            path[t] = at
+            at = int(back[t][at])
+        return path
+
+
+def features_by_run(text: str, spans: list[tuple[int, int]]) -> Iterator[list[list[str]]]:
+    """``features`` of a window, ``RUN`` pieces at a time; they look two pieces far."""
+    for i in range(0, len(spans), RUN):
+        first = max(0, i - 2)
+        yield features(text, spans[first:i + RUN + 2])[i - first:i - first + RUN]
+
+
 def allowed() -> tuple[np.ndarray, np.ndarray]:
     """Which label may follow which, and which may come first."""
     move = np.array([[not b.startswith("I") or a[1:] == b[1:] for b in LABELS] for a in LABELS])
@@ -305,9 +335,6 @@ def windows(text: str, numbers: list[tuple[int, int]]) -> list[tuple[int, int]]:
             marks += [m.span() for m in AT.finditer(text)]
     out: list[list[int]] = []
     for a, b in sorted(marks):
-        if out and a < out[-1][1]:
-            if b <= out[-1][1]:
-                continue
         for _ in range(4):                                  # to the left: the own word and three more
             a = max(text.rfind(" ", 0, max(0, a)), text.rfind("\n", 0, max(0, a)), max(0, a - 60), 0) if a else 0
         for _ in range(4):
@@ -322,26 +349,32 @@ def windows(text: str, numbers: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def crf_spans(crf: Crf, texts: list[str], near: list[list[tuple[int, int]]]) -> list[list[tuple[str, int, int]]]:
     """CRF spans of each text, decoded in batches of windows of like length."""
+    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+
+    def take(d: int, spans: list[tuple[int, int]], path: np.ndarray) -> None:
+        start, kind = None, 0
+        for t, y in enumerate([*path, 0]):
+            if start is not None and (y == 0 or LABELS[y][0] == "B"):
+                found[d].append((LABELS[kind][2:], spans[start][0], spans[t - 1][1]))
+                start = None
+            if y and LABELS[y][0] == "B":
+                start, kind = t, y
+
     rows, where, pieces = [], [], []
     for d, (text, spots) in enumerate(zip(texts, near)):
         for a, b in spots:
             spans = [m.span() for m in PIECE.finditer(text, a, b)]
-            for i in range(0, len(spans), RUN):
-                rows.append(features(text, spans[i:i + RUN]))
+            if len(spans) > RUN:
+                take(d, spans, crf.chain(features_by_run(text, spans)))
+            elif spans:
+                rows.append(features(text, spans))
                 where.append(d)
-                pieces.append(spans[i:i + RUN])
-    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+                pieces.append(spans)
     order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
     for i in range(0, len(order), 256):
         part = order[i:i + 256]
         for j, path in zip(part, crf.viterbi([rows[j] for j in part])):
-            start, kind = None, 0
-            for t, y in enumerate([*path, 0]):
-                if start is not None and (y == 0 or LABELS[y][0] == "B"):
-                    found[where[j]].append((LABELS[kind][2:], pieces[j][start][0], pieces[j][t - 1][1]))
-                    start = None
-                if y and LABELS[y][0] == "B":
-                    start, kind = t, y
+            take(where[j], pieces[j], path)
     return found
 
 
