@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from tributary.llm import url_filter as uf
-from tributary.llm.queries import URL_RULES
+from tributary.llm.queries import QUERIES, URL_RULES
 
 SF = "/root/testdata/sf0.01"
 
@@ -87,6 +87,14 @@ def test_verdicts_equal_brute_force_on_the_pages(spark):
     assert run(spark, pages) == brute(pages, URL_RULES)
 
 
+def test_evidence_of_a_far_seed_arrives(spark, tmp_path):
+    pages = [(i, f"http://h{i}.net/", f"<a href='http://h{i + 1}.net/'>n</a>") for i in range(25)] + [(25, "http://h25.net/", "<a href='http://shop.com/de/1'>s</a>"), (26, "http://shop.com/de/1", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r.page_id, r.verdict, r.distrust) for r in QUERIES["op10_link_trust"](spark, str(tmp_path)).collect())
+    want = {r[0]: r[6] for r in brute(pages, URL_RULES, steps=150)}
+    assert [v for _, v, _ in got] == ["block"] * 27 and all(abs(d - want[i]) < 1e-5 for i, _, d in got)
+
+
 def test_longest_rule_wins_and_equal_rules_count_once(spark):
     rules = [("a.b", "/", "allow"), ("a.b", "/x", "block"), ("b", "/x/long/path", "allow"), ("a.b", "/", "allow")]
     got = {r[0]: r[3:5] for r in run(spark, [(1, "h://a.b/x/long/path", ""), (2, "h://c.a.b/x", ""), (3, "h://a.b/y", ""), (4, "h://b/y", "")], rules)}

@@ -62,7 +62,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), steps=None)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

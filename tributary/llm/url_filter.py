@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tributary.llm.store import cut
 
+#: Change of the evidence, as a share of the seed mass, at which the walk has converged.
+TOLERANCE = 1e-6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -67,30 +69,43 @@ def host_edges(pages: DataFrame, html: str) -> DataFrame:
     return every.filter("src != '' and dst != '' and src != dst").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, steps: int = 10) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, steps: int | None = 10) -> DataFrame:
     """(host, trust, distrust) from seeds (host, kind, mass): kind 'trust' walks
-    along the edges, 'distrust' against them."""
+    along the edges, 'distrust' against them.  ``steps`` None: until no new host
+    is reached and the summed absolute change over four steps is at most
+    ``TOLERANCE`` of the mass."""
     both = edges.withColumn("kind", F.lit("trust")).union(edges.select("dst", "src", F.lit("distrust")))
     degree = both.groupBy("src", "kind").agg(F.count("*").alias("n"))
     walk = cut(both.join(degree, ["src", "kind"]).select("src", "dst", "kind", (F.lit(damping) / F.col("n")).alias("w")))
     rest = cut(seeds.select("host", "kind", ((1 - damping) * F.col("mass")).alias("r")))
     rank = seeds.select("host", "kind", F.col("mass").alias("r"))
-    for step in range(steps):
+    every = (seeds.agg(F.sum("mass")).first()[0] or 0.0) if steps is None else 0.0
+    seen, step = (cut(rank), 0) if steps is None else (rank, 0)
+    while steps is None or step < steps:
         moved = walk.join(rank.withColumnRenamed("host", "src"), ["src", "kind"]).groupBy(F.col("dst").alias("host"), "kind").agg(F.sum(F.col("r") * F.col("w")).alias("r"))
         rank = moved.union(rest).groupBy("host", "kind").agg(F.sum("r").alias("r"))
         if step % 4 == 3:
             rank = cut(rank)
+            if steps is None:
+                both = rank.join(seen.withColumnRenamed("r", "r0"), ["host", "kind"], "full")
+                change, new = both.agg(F.sum(F.abs(F.coalesce("r", F.lit(0.0)) - F.coalesce("r0", F.lit(0.0)))), F.count(F.when(F.col("r0").isNull(), 1))).first()
+                if not new and (change or 0.0) <= TOLERANCE * every:
+                    break
+                seen = rank
+        step += 1
     part = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("r"))), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(part("trust"), part("distrust"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html", threshold: float = 0.6, steps: int = 10) -> DataFrame:
-    """Per row: page_id, host, path, rule, verdict, trust and distrust."""
+def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html", threshold: float = 0.6, steps: int | None = 10) -> DataFrame:
+    """Per row: page_id, host, path, rule, verdict, trust and distrust.  ``steps``
+    None walks until the evidence converges."""
     host, path = host_and_path(F.col(url))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html).alias("_html"))
     ruled = cut(with_rule(urls.drop("_html"), rules))
     mass = ruled.filter("ruled is not null and host != ''").groupBy("host", F.when(F.col("ruled") == "allow", "trust").otherwise("distrust").alias("kind")).agg(F.count("*").cast("double").alias("mass"))
     ranks = propagate(host_edges(urls, "_html"), cut(mass), steps=steps)
-    out = ruled.join(ranks, "host", "left").withColumn("trust", F.round(F.coalesce("trust", F.lit(0.0)), 9)).withColumn("distrust", F.round(F.coalesce("distrust", F.lit(0.0)), 9))
-    method = F.when(F.col("distrust") > threshold * (F.col("trust") + F.col("distrust")), "block").otherwise("allow")
+    out = ruled.join(ranks, "host", "left").withColumn("_t", F.coalesce("trust", F.lit(0.0))).withColumn("_d", F.coalesce("distrust", F.lit(0.0)))
+    method = F.when(F.col("_d") > threshold * (F.col("_t") + F.col("_d")), "block").otherwise("allow")
+    out = out.withColumn("trust", F.round("_t", 9)).withColumn("distrust", F.round("_d", 9))
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")
