@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lm_score, mixing, near_dedup, pii, quality, secrets, sharding, toxicity, url_filter
+from tributary.llm import (conversation_repair, decontaminate, divergence, lm_score, mixing, near_dedup, pii, quality, secrets, sharding, substring_dedup, toxicity,
+                           url_filter)
 
 #: Bytes of text in a shard, as is usual for training shards.
 SHARD_BYTES = 64 << 20
@@ -65,9 +66,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), steps=None)
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"), damaged=True)
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_shards": op1, "op2_toxic_lexicon": op2, "op3_dart_minhash": op3, "op4_benchmark_alignment": op4, "op5_quality_ratio": op5,
     "op6_context_tree": op6, "op7_temperature_mix": op7, "op8_pii_crf": op8, "op9_secret_forest": op9, "op10_link_trust": op10,
+    "op11_quadtree_divergence": op11, "op12_integer_repair": op12, "op13_sketch_substrings": op13,
 }
 
 
@@ -116,4 +130,7 @@ SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, CAST(floor(begins / (w *
 FROM placed WHERE begins < tokens_due - 1e-6 * total"""
 
 
-ORACLE: dict[str, str] = {"op1_extendible_shards": sharding_sql(), "op7_temperature_mix": mixing_sql()}
+ORACLE: dict[str, str] = {
+    "op1_extendible_shards": sharding_sql(), "op7_temperature_mix": mixing_sql(), "op11_quadtree_divergence": divergence.audit_sql(),
+    "op12_integer_repair": conversation_repair.repair_sql(), "op13_sketch_substrings": substring_dedup.digests_sql(),
+}
