@@ -10,9 +10,11 @@ counters that stop at two; the sketches are merged slot by slot.  A merged
 counter is never below the number of windows in it, so a window whose smallest
 counter is one occurs once.  Pass 2: only windows estimated repeated go on.
 Each task settles repeats among its own windows and sends one occurrence of
-each window, the earliest, to be grouped by a 128-bit hash; so a passage that
-stands in a third of all documents is one row a task.  Starts that are not the
-first go back to their documents.
+each window, the earliest, to be grouped; so a passage that stands in a third of
+all documents is sent once a task.  A window is known by its seed, the smallest
+hash of ``SEED`` words inside it, and a 64-bit hash of its own.  Windows in a row
+mostly share the seed; they travel as one row and meet their equals under it.
+Starts that are not the first go back to their documents.
 
 The sketch has four counters a window, up to ``MAX_SLOTS``; what is broadcast
 is one bit a counter, 64 MiB at most.  Beyond 1.3e8 windows more and more
@@ -39,8 +41,8 @@ from tributary.llm.text import Words, column, doc_blocks, mix
 U = np.uint64
 #: Counters of the whole sketch at most, rows of it, and counters in a chunk.
 MAX_SLOTS, DEPTH, CHUNK = 1 << 29, 2, 1 << 16
-#: Windows that a task holds at a time.
-FLUSH = 1 << 21
+#: Windows that a task holds at a time, and words of a window's seed.
+FLUSH, SEED = 1 << 21, 8
 
 
 def exact_words() -> Words:
@@ -68,15 +70,37 @@ def window_hash(h: np.ndarray, n: int, base: int) -> np.ndarray:
     return mix(out)
 
 
-def windows(split: Words, buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Both hashes, text number and first word of every window, in order."""
+def seeds(h: np.ndarray, n: int) -> np.ndarray:
+    """The smallest hash of ``SEED`` words (or of all) inside every window."""
+    size = min(n, SEED)
+    low, span, want = window_hash(h, size, 0x165667B19E3779F9), 1, n - size + 1
+    while span < want:
+        more = min(span, want - span)
+        low = np.minimum(low[:len(low) - more], low[more:])
+        span += more
+    return low
+
+
+def windows(split: Words, buf: np.ndarray, offs: np.ndarray, n: int, *, seeded: bool = False) -> tuple[np.ndarray, ...]:
+    """Both hashes, text number and first word of every window, in order, and
+    the seed where asked for."""
     h, _, _, doc = split.split(buf, offs)
     m = len(h) - n + 1
     if m <= 0:
-        return np.empty(0, U), np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64)
+        return (np.empty(0, U), np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U))[:4 + seeded]
     full = np.flatnonzero(doc[:m] == doc[n - 1:])
     first = np.searchsorted(doc, np.arange(len(offs) - 1))
-    return (window_hash(h, n, 0x9E3779B97F4A7C15)[full], window_hash(h, n, 0xC2B2AE3D27D4EB4F)[full], doc[full], full - first[doc[full]])
+    out = (window_hash(h, n, 0x9E3779B97F4A7C15)[full], window_hash(h, n, 0xC2B2AE3D27D4EB4F)[full], doc[full], full - first[doc[full]])
+    return (*out, seeds(h, n)[full]) if seeded else out
+
+
+def steps(x: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """Where, along ``x``, one of the columns differs from the row before."""
+    new = np.zeros(len(x), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[x][1:] != c[x][:-1]
+    return new
 
 
 def slots(a: np.ndarray, b: np.ndarray, row: int, size: int) -> np.ndarray:
@@ -170,39 +194,43 @@ def repeated_starts(docs: DataFrame, id_col: str, text: str, n: int) -> DataFram
     bits = rows.sparkSession.sparkContext.broadcast(sketch(rows, "text", n, size))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows estimated repeated: the earliest of each here, and for each
-        document the starts that an earlier one here rules out (``settled``)."""
-        split, seen, names = exact_words(), bits.value, ["a", "b", "start", "id", "key", "settled"]
+        """Windows estimated repeated: the earliest of each here (runs of one
+        seed as hashes from ``start`` on), and for each document the starts that
+        an earlier one here rules out (``settled``)."""
+        split, seen, names = exact_words(), bits.value, ["seed", "start", "id", "key", "hashes", "settled"]
         held: list[tuple[np.ndarray, ...]] = []
         total = 0
 
         def settle() -> Iterator[pa.RecordBatch]:
-            a, b, start, none, ident, key = (np.concatenate(x) for x in zip(*held, strict=True))
+            a, b, start, none, ident, key, seed = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             order = np.argsort(a, kind="stable")
             same = a[order][1:] == a[order][:-1]
             among = order[np.r_[False, same] | np.r_[same, False]]
             x = among[np.lexsort((start[among], key[among], ident[among], none[among], b[among], a[among]))]
-            new = np.r_[np.ones(min(1, len(x)), bool), (a[x][1:] != a[x][:-1]) | (b[x][1:] != b[x][:-1])]
+            new = steps(x, a, b)
             head = x[np.flatnonzero(new)[np.cumsum(new) - 1]]
             own = np.ones(len(x), bool)                      # rows equal in every respect hold one window
             for c in (start, key, ident, none):
                 own &= c[x] == c[head]
             late = np.zeros(len(a), bool)
             late[x] = ~own
-            for part in np.array_split(np.flatnonzero(~late), max(1, len(a) >> 17)):
+            x = np.flatnonzero(~late)
+            run = steps(x, seed, ident, none, key) | np.r_[np.ones(min(1, len(x)), bool), start[x][1:] != start[x][:-1] + 1]
+            at = np.r_[np.flatnonzero(run), len(x)]
+            for lo in range(0, len(at) - 1, 1 << 15):
+                cuts = at[lo:lo + (1 << 15) + 1]
+                d, hashes = x[cuts[:-1]], a[x[cuts[0]:cuts[-1]]].view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(a[part].view(np.int64)), pa.array(b[part].view(np.int64)), pa.array(start[part].astype(np.int32)),
-                    pa.array(ident[part], mask=none[part]), pa.array(key[part]), pa.nulls(len(part), pa.list_(pa.int32()))], names)
+                    pa.array(seed[d].view(np.int64)), pa.array(start[d].astype(np.int32)), pa.array(ident[d], mask=none[d]), pa.array(key[d]),
+                    pa.ListArray.from_arrays(pa.array((cuts - cuts[0]).astype(np.int32)), pa.array(hashes)), pa.nulls(len(d), pa.list_(pa.int32()))], names)
             x = np.flatnonzero(late)
             x = x[np.lexsort((start[x], key[x], ident[x], none[x]))]
-            doc = np.r_[np.ones(min(1, len(x)), bool), (key[x][1:] != key[x][:-1]) | (ident[x][1:] != ident[x][:-1]) | (none[x][1:] != none[x][:-1])]
-            x = x[doc | np.r_[True, start[x][1:] != start[x][:-1]][:len(x)]]
-            doc = np.r_[np.ones(min(1, len(x)), bool), (key[x][1:] != key[x][:-1]) | (ident[x][1:] != ident[x][:-1]) | (none[x][1:] != none[x][:-1])]
-            at = np.flatnonzero(doc)
-            d, empty = x[at], pa.nulls(len(at), pa.int64())
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[at, len(x)].astype(np.int32)), pa.array(start[x].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([empty, empty, pa.nulls(len(at), pa.int32()), pa.array(ident[d], mask=none[d]), pa.array(key[d]), lists], names)
+            x = x[steps(x, start, ident, none, key)]
+            at = np.flatnonzero(steps(x, ident, none, key))
+            d, lists = x[at], pa.ListArray.from_arrays(pa.array(np.r_[at, len(x)].astype(np.int32)), pa.array(start[x].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.int32()), pa.array(ident[d], mask=none[d]), pa.array(key[d]), pa.nulls(len(d), pa.list_(pa.int64())), lists], names)
 
         for batch in batches:
             buf, offs = column(batch, "text")
@@ -210,14 +238,14 @@ def repeated_starts(docs: DataFrame, id_col: str, text: str, n: int) -> DataFram
             none, ident = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
             key = batch.column(2).to_numpy()
             for i, j in doc_blocks(offs):
-                a, b, doc, start = windows(split, buf, offs[i:j + 1], n)
+                a, b, doc, start, seed = windows(split, buf, offs[i:j + 1], n, seeded=True)
                 often = np.ones(len(a), bool)
                 for row in range(DEPTH):
                     at = slots(a, b, row, size)
                     often &= (seen[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
                 if often.any():
-                    a, b, doc, start = a[often], b[often], doc[often] + i, start[often]
-                    held.append((a, b, start, none[doc], ident[doc], key[doc]))
+                    a, b, doc, start, seed = a[often], b[often], doc[often] + i, start[often], seed[often]
+                    held.append((a, b, start, none[doc], ident[doc], key[doc], seed))
                     total += len(a)
                 if total >= FLUSH:
                     yield from settle()
@@ -225,10 +253,12 @@ def repeated_starts(docs: DataFrame, id_col: str, text: str, n: int) -> DataFram
         if total:
             yield from settle()
 
-    found = rows.mapInArrow(candidates, "a bigint, b bigint, start int, id bigint, key bigint, settled array<int>")
-    spread = F.coalesce("a", F.xxhash64("id", "key")).alias("spread")     # rows that are settled have no hash
-    order = Window.partitionBy("spread", "a", "b").orderBy(F.col("id").asc_nulls_last(), "key", "start")
-    found = found.select("*", spread).withColumn("place", F.rank().over(order)).filter("place > 1 or a is null")
+    found = rows.mapInArrow(candidates, "seed bigint, start int, id bigint, key bigint, hashes array<bigint>, settled array<int>")
+    # runs travel whole; rows that are settled have no seed
+    found = found.withColumn("seed", F.coalesce("seed", F.xxhash64("id", "key"))).repartition("seed")
+    found = found.select("seed", "id", "key", "settled", "start", F.posexplode_outer("hashes").alias("nth", "hash")).withColumn("start", F.col("start") + F.col("nth"))
+    order = Window.partitionBy("seed", "hash").orderBy(F.col("id").asc_nulls_last(), "key", "start")
+    found = found.withColumn("place", F.rank().over(order)).filter("place > 1 or hash is null")
     return found.groupBy("id", "key").agg(F.concat(F.collect_set("start"), F.flatten(F.collect_list("settled"))).alias("starts"))
 
 
@@ -241,13 +271,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     name = "_kept"
     while name in docs.columns:
         name = f"_{name}"
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("bigint").alias("own"), F.col(text).alias("text"))
-    key = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
-    joined = whole.join(starts, whole.own.eqNullSafe(starts.id) & (key == starts.key), "left").select("row", "text", "starts")
+    # the text crosses the shuffle once, inside its row
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("bigint").alias("own"), F.when(F.col(text).isNotNull(), F.xxhash64(text)).alias("own_key"))
+    joined = whole.join(starts, whole.own.eqNullSafe(starts.id) & (whole.own_key == starts.key), "left").select("row", "starts")
+    place = docs.columns.index(text)
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column(1), batch.column(2)
+            texts, lists = batch.column(0).flatten()[place], batch.column(1)
             for lo in range(0, batch.num_rows, 64):
                 out = []
                 for t, s in zip(texts.slice(lo, 64), lists.slice(lo, 64), strict=True):
