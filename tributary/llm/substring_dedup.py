@@ -106,7 +106,7 @@ def steps(x: np.ndarray, *columns: np.ndarray) -> np.ndarray:
 def slots(a: np.ndarray, b: np.ndarray, row: int, size: int) -> np.ndarray:
     """The counter of each window in a row of the sketch."""
     width = size // DEPTH
-    return ((a if row == 0 else b) & U(width - 1)).astype(np.int64) + row * width
+    return ((a if row == 0 else b) & U(width - 1)).astype(np.int32) + np.int32(row * width)
 
 
 def pack(places: np.ndarray) -> bytes:
