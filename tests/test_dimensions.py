@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import cumulative as cu
 from tributary.operators import scd
-from tributary.plans.queries import film_rollup
+from tributary.plans import derive as dv
 
 FILM_COLS = ["film", "votes", "rating", "filmid"]
 
@@ -42,7 +42,8 @@ def test_cumulate_fixture_d2(spark):
 
 def test_cumulate_range_equals_fold(spark):
     """Folding the incremental step over the years equals the one-pass range."""
-    roll = film_rollup(spark, "/root/testdata/sf0.001").filter(F.col("actorid") < 40)
+    roll = cu.period_rollup(dv.actor_films(spark, "/root/testdata/sf0.001").filter(F.col("actorid") < 40), ["actorid"], "year",
+                            ["film", "votes", "rating", "filmid"], avg_col="rating", order_by=["filmid"], avg_out="average_rating", carry=["actor"])
     batch = cu.cumulate_range(roll, ["actorid"], period="year", start=1995, end=2001, carry=["actor"],
                               measure="average_rating")
     empty = spark.createDataFrame([], "actorid long, actor string, current_year int, films array<struct<film:string,"

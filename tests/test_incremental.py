@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tributary.operators import facts, scd
 from tributary.plans import derive as dv
-from tributary.plans.queries import actor_snapshots
+from tributary.plans.queries import actor_classes
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_scd2_merge_fold_equals_backfill(spark):
-    snap = actor_snapshots(spark, SF).cache()
+    snap = actor_classes(spark, SF).cache()
     attrs = ["quality_class", "is_active"]
     hist = scd.scd2_backfill(snap, "actorid", "current_year", attrs, as_of=1996).checkpoint()
     for y in range(1997, 2002):
@@ -67,15 +67,14 @@ def test_chunked_operators_shuffle_rows_once(spark):
     spark.catalog.clearCache()                  # plans must not read cached relations
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        roll = _plan(QUERIES["pattern_best_90_game_stretch"](spark, SF))
-        assert "ReusedExchange" in roll                               # tails reuse the rows' shuffle
-        assert roll.count("REPARTITION_BY_NUM") == 3                  # rows, reused copy, halo
-        streak = _plan(QUERIES["pattern_longest_streak"](spark, SF))
-        # the rows, plus one narrow scan for the heavy-bucket counts
-        assert streak.count("FileScan") == 2 and "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in streak
+        # one scan, one range partitioning, one shuffle of the rows by (segment, key)
+        for name in ("pattern_best_90_game_stretch", "pattern_longest_streak", "stream_session_hits"):
+            plan = _plan(QUERIES[name](spark, SF))
+            assert plan.count("FileScan") == 1 and plan.count("Exchange rangepartitioning") == 1, name
         assert "BroadcastNestedLoopJoin" not in _plan(QUERIES["ops_backfill"](spark, SF))
-        # array form: raw rows clustered by entity once
-        assert _plan(QUERIES["dim_cumulative_snapshot"](spark, SF)).count("Exchange hashpartitioning") == 1
+        # segmented history: films by range, then by (segment, entity, year); sums by entity after that
+        snap = _plan(QUERIES["dim_cumulative_snapshot"](spark, SF))
+        assert snap.count("FileScan") == 1 and snap.count("Exchange rangepartitioning") == 1 and snap.count("Exchange hashpartitioning") == 3
         # array-free form (SCD2 input): partial aggregates, then one row per entity x year by entity
         scd_plan = _plan(QUERIES["dim_scd2_backfill"](spark, SF))
         assert scd_plan.count("Exchange hashpartitioning") == 2 and "collect_list" not in scd_plan

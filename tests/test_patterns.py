@@ -71,3 +71,34 @@ def test_grouping_sets_ids(spark):
                          [F.sum("pts").alias("total")])
     rows = {(r.player_id, r.team_id, r.season, r.gid): r.total for r in g.collect()}
     assert rows[(1, 10, None, 1)] == 7.0 and rows[(None, 10, None, 5)] == 12.0 and rows[(1, None, 2000, 2)] == 3.0
+
+
+def test_best_stretch_and_streak_equal_brute_force_over_segments(spark):
+    """A hot key with most rows, negative values, keys shorter than the stretch;
+    any number of segments."""
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["hot"] * 6 + ["b", "c", None]), i, rnd.choice([0, 1, 1, -2]), rnd.choice([True, True, True, False, None])) for i in range(900)]
+    rows += [("short", i, -1, True) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, o int, v int, c boolean").repartition(5)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for parts in (1, 4, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for n in (1, 2, 7, 90, 2000):
+                want = {}
+                for k in {r[0] for r in rows}:
+                    v = [r[2] for r in sorted((r for r in rows if r[0] == k), key=lambda r: r[1])]
+                    want[k] = max(sum(v[max(0, i - n + 1):i + 1]) for i in range(len(v)))
+                assert {r.k: r.m for r in pt.best_stretch(df, n, key="k", order=["o"], value="v", out="m").collect()} == want, (parts, n)
+            want = {}
+            for k in {r[0] for r in rows}:
+                run = best = 0
+                for r in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
+                    run = run + 1 if r[3] else 0
+                    best = max(best, run)
+                want[k] = best
+            assert {r.k: r.longest_streak for r in pt.longest_streak(df, "k", ["o"], F.col("c")).collect()} == want, parts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

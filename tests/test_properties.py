@@ -45,14 +45,13 @@ def test_longest_streak_property(spark, rows, width):
 
 @SETTINGS
 @given(events=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 7200)), min_size=1, max_size=60),
-       gap_min=st.integers(1, 20), bucket_min=st.integers(1, 90), fanout=st.one_of(st.none(), st.integers(1, 6)))
-def test_sessionize_property(spark, events, gap_min, bucket_min, fanout):
+       gap_min=st.integers(1, 20))
+def test_sessionize_property(spark, events, gap_min):
     base = dt.datetime(2024, 1, 1)
     rows = [(k, base + dt.timedelta(seconds=s)) for k, s in events]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
     got = sorted((r.k, r.session_start, r.num_hits) for r in
-                 ss.sessionize(df, "ts", ["k"], f"{gap_min} minutes", bucket=f"{bucket_min} minutes",
-                               fanout=fanout).collect())
+                 ss.sessionize(df, "ts", ["k"], f"{gap_min} minutes").collect())
     want = []
     for key in sorted({k for k, _ in rows}):
         ts = sorted(t for k, t in rows if k == key)

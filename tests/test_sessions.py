@@ -44,17 +44,38 @@ def _brute_sessions(rows, gap_s):
     return sorted(out)
 
 
-def test_sessionize_matches_brute_force_across_buckets(spark):
+def test_sessionize_matches_brute_force_at_any_partitioning(spark):
     rnd = random.Random(3)
     base = T(2024, 1, 1)
     rows = [(rnd.choice("ab"), base + dt.timedelta(seconds=rnd.randrange(0, 6 * 3600))) for _ in range(600)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
     want = _brute_sessions(rows, 300)
-    for bucket, fanout in [("1 minute", None), ("7 minutes", None), ("1 hour", None), ("1 day", None),
-                           ("1 minute", 2), ("7 minutes", 3), ("1 minute", 1), ("1 hour", 1024)]:
-        got = sorted((r.k, r.session_start, r.num_hits)
-                     for r in ss.sessionize(df, "ts", ["k"], "5 minutes", bucket=bucket, fanout=fanout).collect())
-        assert got == want, (bucket, fanout)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 3, 8, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for adaptive in ("true", "false"):
+                spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+                got = sorted((r.k, r.session_start, r.num_hits) for r in ss.sessionize(df, "ts", ["k"], "5 minutes").collect())
+                assert got == want, (parts, adaptive)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_moment_of_one_key_is_spread(spark):
+    """All events of one key in three seconds, most in one: no task gets more
+    than its share, and the split ties are one session again."""
+    from tributary.operators.scan import ordered_segments
+    df = spark.range(40_000).selectExpr("'hot' as k", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,if(id % 10 < 8, 1, id % 3)) as ts")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ordered_segments(df, ["k"], ["ts"]).groupBy("_seg").count().collect()]
+        got = ss.sessionize(df, "ts", ["k"], "5 minutes").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+    assert [(r.num_hits, (r.last_event - r.session_start).total_seconds()) for r in got] == [(40_000, 2.0)]
 
 
 def test_time_per_user_day_splits_midnight(spark):
@@ -163,19 +184,19 @@ def test_stream_drops_events_behind_the_watermark(spark, scratch):
     assert ("a", 1) in got and ("a", 2) not in got and ("b", 1) in got and dropped == 1
 
 
-def test_sessionize_bursts_at_any_bucket_and_fanout(spark):
-    """A burst (one key, thousands of events in one hour) over fine buckets;
-    sessions do not depend on bucket or fanout, and the events are windowed once."""
+def test_sessionize_bursts(spark):
+    """A burst (one key, thousands of events in one hour): the sessions of brute
+    force, and the events are scanned and windowed once."""
     rnd = random.Random(11)
     base = T(2024, 1, 1, 10)
     rows = [("hot", base + dt.timedelta(seconds=rnd.randrange(0, 3600))) for _ in range(3000)]
     rows += [("hot", base + dt.timedelta(hours=h, seconds=rnd.randrange(0, 60))) for h in range(2, 6)]
     rows += [("cold", base + dt.timedelta(minutes=17 * i)) for i in range(30)]
+    rows += [(None, base + dt.timedelta(minutes=4 * i)) for i in range(9)] + [("none", None)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
-    want = _brute_sessions(rows, 300)
-    for bucket, fanout in (("1 minute", 7), ("5 minutes", 288), ("10 seconds", 2), ("1 hour", 24)):
-        out = ss.sessionize(df, "ts", ["k"], "5 minutes", bucket=bucket, fanout=fanout)
-        assert sorted((r.k, r.session_start, r.num_hits) for r in out.collect()) == want
+    out = ss.sessionize(df, "ts", ["k"], "5 minutes")
+    got = {(r.k, r.session_start, r.num_hits) for r in out.collect()}
+    assert got == set(_brute_sessions([r for r in rows if r[0] in ("hot", "cold")], 300)) | {(None, base, 9)}
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Scan ") == 1 and "Union" not in plan
 

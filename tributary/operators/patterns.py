@@ -3,11 +3,12 @@
 State-change labels, grouping sets, top-n reports, rolling windows over the
 last N rows, and longest streaks.
 
-The two per-key sequence operators (:func:`rolling_rows`,
-:func:`longest_streak`) run over a key's whole history, which at scale can be
-a large share of the table (30 teams share every game).  They therefore never
-put one key's history into one window partition: rows are windowed per
-(key, time bucket), and only small per-bucket summaries are combined per key.
+The per-key sequence operators (:func:`best_stretch`, :func:`longest_streak`,
+:func:`rolling_rows`) run over a key's whole history, which at scale can be a
+large share of the table (30 teams share every game).  They therefore never put
+one key's history into one window partition: rows are windowed per (segment,
+key), with segments balanced by row count (:mod:`tributary.operators.scan`), and
+only small per-segment summaries are combined per key.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.operators.scan import ordered_segments
 
 # State labels.
 NEW = "New"
@@ -149,22 +151,49 @@ def rolling_rows(df: DataFrame, key: str, order: Sequence[str], value: str, n: i
 
 def best_stretch(sides: DataFrame, n: int = 90, *, key: str = "team_id",
                  order: Sequence[str] = ("game_date_est", "game_id"), value: str = "win",
-                 bucket: Column | None = None, out: str = "max_wins_stretch") -> DataFrame:
-    """Most wins in any ``n``-game stretch per team (A7).  Buckets default to
-    the week of the first order column."""
-    bucket = bucket if bucket is not None else F.trunc(F.col(order[0]), "week")
-    r = rolling_rows(sides, key, order, value, n, bucket=bucket, out="_roll")
-    return r.groupBy(key).agg(F.max("_roll").alias(out))
+                 out: str = "max_wins_stretch") -> DataFrame:
+    """Most wins in any ``n``-game stretch per team (A7, X18: ``order`` is
+    total), ``max(sum(value) OVER (... ROWS n - 1 PRECEDING))`` as a two-phase
+    scan.
+
+    Phase 1, per (segment, key): the best sum of ``n`` rows inside the segment,
+    its row count, and its first and last ``n - 1`` rows (at most ``2 n - 2``
+    structs).  Phase 2, per key over these: the edge rows at their places in the
+    whole history; a window is taken where its rows are consecutive there, which
+    covers every stretch across segments and the short ones at the start."""
+    order = list(order)
+    base = ordered_segments(sides.select(key, *order, F.col(value).alias("_v")), [key], order, unique=True)
+    w = Window.partitionBy("_seg", key).orderBy(*order)
+    back = Window.partitionBy("_seg", key).orderBy(*[F.col(c).desc() for c in order])
+    rows = (base.withColumn("_rn", F.row_number().over(w))
+            .withColumn("_sum", F.sum("_v").over(w.rowsBetween(-(n - 1), Window.currentRow)))
+            .withColumn("_rfe", F.row_number().over(back)))
+    at_edge = (F.col("_rn") < n) | (F.col("_rfe") < n)
+    per = rows.groupBy("_seg", key).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("_rn") >= n, F.col("_sum"))).alias("_best"),
+        F.collect_list(F.when(at_edge, F.struct("_rn", "_v"))).alias("_edge"))
+    wk = Window.partitionBy(key).orderBy("_seg")
+    per = per.withColumn("_before", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    edge = per.select(key, "_best", "_before", F.explode_outer("_edge").alias("_r"))
+    edge = edge.select(key, "_best", (F.col("_before") + F.col("_r._rn")).alias("_at"), F.col("_r._v").alias("_v"))
+    last_n = Window.partitionBy(key).orderBy("_at").rowsBetween(-(n - 1), Window.currentRow)
+    edge = (edge.withColumn("_low", F.min("_at").over(last_n)).withColumn("_size", F.count("_at").over(last_n))
+            .withColumn("_sum", F.sum("_v").over(last_n)))
+    whole = (F.col("_at") - F.col("_low") + 1 == F.col("_size")) & ((F.col("_size") == n) | (F.col("_low") == 1))
+    return edge.groupBy(key).agg(F.max(F.greatest("_best", F.when(whole, F.col("_sum")))).alias(out))
 
 
 # --- A8: longest streak -------------------------------------------------------------
 
 def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column, *,
-                   bucket: Column, out: str = "longest_streak") -> DataFrame:
-    """Longest run of consecutive rows (per key, in ``order``) meeting
-    ``cond`` (A8, X19: rows are numbered before filtering).
-
-    Phase 1, per (key, bucket), in one windowed pass: row number and running
+                   bucket: Column | None = None, out: str = "longest_streak") -> DataFrame:
+    """Longest run of consecutive rows (per key, in ``order``, which is total)
+    meeting ``cond`` (A8, X19: rows are numbered before filtering; a NULL
+    condition is not met).
+
+    Buckets are ordered segments balanced by row count, unless an
+    order-monotone ``bucket`` is given.  Phase 1, per (key, bucket), in one
+    windowed pass: row number and running
     count of qualifying rows give each run a constant ``rn - count`` id; two
     grouped aggregations on the same partitioning summarise every bucket
     (row count, leading run, trailing run, longest inner run), including
@@ -172,7 +201,9 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column,
     over bucket summaries only: the run carried into each bucket from the
     previous ones.  One shuffle of the rows; keys with no qualifying row give 0."""
     order = list(order)
-    base = df.select(key, *order, cond.alias("_c"), bucket.alias("_b"))
+    base = df.select(key, *order, F.coalesce(cond, F.lit(False)).alias("_c"), *([] if bucket is None else [bucket.alias("_b")]))
+    if bucket is None:
+        base = ordered_segments(base, [key], order, segment="_b", unique=True)
     wb = Window.partitionBy(key, "_b").orderBy(*order)
     base = (base.withColumn("_rn", F.row_number().over(wb))
             .withColumn("_ct", F.sum(F.col("_c").cast("int")).over(wb.rowsBetween(Window.unboundedPreceding, 0))))

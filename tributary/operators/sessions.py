@@ -2,14 +2,16 @@
 
 Batch :func:`sessionize` gives the same sessions as Structured Streaming's
 ``session_window`` (gap inclusive: events exactly ``gap`` apart share a
-session, V9) but is skew-safe:
+session, V9) but is skew-safe, a two-phase scan over ordered segments
+(:mod:`tributary.operators.scan`):
 
-1. per (keys, time bucket): ``lag`` / running-sum sessions inside the bucket;
-2. only the first and last session of each bucket can touch a neighbouring
-   bucket, so just those are merged per key, ordered by start.
+1. per (segment, keys): ``lag`` / running-sum sessions inside the segment;
+2. only the first and last session of each segment can touch a neighbouring
+   segment, so just those are merged per key, ordered by start.
 
-A key with a third of all events is thus spread over its time buckets;
-the per-key step sees at most two rows per bucket.  Times are handled as
+A key with a third of all events is thus spread over many tasks even if all
+of them fall into one second; the per-key step sees at most two rows per
+shuffle partition.  Times are handled as
 wall-clock ``timestamp_ntz`` micros, independent of the session time zone;
 the streaming twin casts to ``timestamp`` first, as watermarks require it (V8).
 """
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.nulls import round_half_away
+from tributary.operators.scan import ordered_segments
 
 _US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -50,62 +53,49 @@ def from_micros(us: Column) -> Column:
 
 
 def sessionize(df: DataFrame, ts: str, keys: Sequence[str], gap: str = "5 minutes", *,
-               bucket: str = "5 minutes", start: str = "session_start", end: str = "session_end",
-               last: str = "last_event", count: str = "num_hits", fanout: int = 288) -> DataFrame:
+               start: str = "session_start", end: str = "session_end",
+               last: str = "last_event", count: str = "num_hits") -> DataFrame:
     """Sessions per ``keys`` with an inclusive inactivity ``gap`` (T4).
 
     Output per session: keys, start (first event), end (last event + gap, as
-    ``session_window``), last event, event count.
-
-    Buckets are ordered, contiguous time intervals, fine from the start, so a
-    burst inside an hour or a day is already spread; the result does not depend
-    on their width.  Events pass one sort and one window.  Bucket-edge sessions
-    (at most 2 per bucket) are merged in two levels: inside super-buckets of
-    ``fanout`` buckets, then each super-bucket's first and last segment per key,
-    so the last window grows with a key's time span / (bucket x fanout)."""
+    ``session_window``), last event, event count.  Events without a time are
+    left out; NULL keys are keys.
+
+    Segments are balanced by row count, so no width is to be chosen and a burst
+    inside a moment is spread.  Events pass one range partitioning, then one sort
+    and one window per (segment, keys)."""
     keys = list(keys)
-    gap_us, b_us = interval_micros(gap), interval_micros(bucket)
+    gap_us = interval_micros(gap)
     ev = df.select(*keys, to_micros(ts).alias("_us")).filter(F.col("_us").isNotNull())
-    ev = ev.withColumn("_b", F.floor(F.col("_us") / F.lit(b_us)))
-    w1 = Window.partitionBy(*keys, "_b").orderBy("_us")
+    ev = ordered_segments(ev, keys, ["_us"])
+    w1 = Window.partitionBy("_seg", *keys).orderBy("_us")
     prev = F.lag("_us").over(w1)
     ev = ev.withColumn("_new", (prev.isNull() | (F.col("_us") - prev > gap_us)).cast("int"))
     ev = ev.withColumn("_sid", F.sum("_new").over(w1.rowsBetween(Window.unboundedPreceding, 0)))
-    # the bucket's last row marks its last session (same window, no extra sort)
+    # the segment's last row marks its last session (same window, no extra sort)
     ev = ev.withColumn("_tail", F.lead("_us").over(w1).isNull().cast("int"))
-    local = (ev.groupBy(*keys, "_b", "_sid")
+    local = (ev.groupBy("_seg", *keys, "_sid")
              .agg(F.min("_us").alias("_s"), F.max("_us").alias("_e"), F.count(F.lit(1)).alias("_n"),
                   F.max("_tail").alias("_tail")))
-    # inner sessions stay as they are in a partition of their own; edge sessions
-    # of a super-bucket meet in one.  One plan branch for both, so the events are
-    # scanned, sorted and windowed once.
+    # inner sessions stay as they are in a partition of their own; the edge
+    # sessions of a key meet in one.  One plan branch for both.
     edge = (F.col("_sid") == 1) | (F.col("_tail") == 1)
-    sb = F.floor(F.col("_s") / F.lit(b_us * fanout))
-    seg = _merge_runs(local.select(*keys, "_s", "_e", "_n", sb.alias("_sb"), F.when(~edge, F.col("_s")).alias("_own")),
-                      [*keys, "_sb", "_own"], gap_us)
-    # then each super-bucket's first and last edge segment, across super-buckets
-    outer = F.col("_own").isNull() & (F.col("_first") | F.col("_last"))
-    seg = seg.select(*keys, "_s", "_e", "_n", F.when(~outer, F.col("_s")).alias("_own"))
-    out = _merge_runs(seg, [*keys, "_own"], gap_us).select(*keys, "_s", "_e", "_n")
+    out = _merge_runs(local.select(*keys, "_s", "_e", "_n", F.when(~edge, F.col("_s")).alias("_own")), [*keys, "_own"], gap_us)
     return out.select(*keys, from_micros(F.col("_s")).alias(start),
                       from_micros(F.col("_e") + gap_us).alias(end),
                       from_micros(F.col("_e")).alias(last), F.col("_n").cast("long").alias(count))
 
 
 def _merge_runs(df: DataFrame, part: Sequence[str], gap_us: int) -> DataFrame:
-    """Merge time-ordered, disjoint runs (_s, _e, _n) within ``part`` whose
-    distance is at most the gap; flags each merged run as first / last in
-    its partition."""
-    w = Window.partitionBy(*part).orderBy("_s")
+    """Merge time-ordered runs (_s, _e, _n) within ``part`` whose distance is at
+    most the gap.  Runs may touch at one time (a tie split between segments),
+    so those of one start are ordered by their end."""
+    w = Window.partitionBy(*part).orderBy("_s", "_e")
     pe = F.lag("_e").over(w)
     x = (df.withColumn("_new", (pe.isNull() | (F.col("_s") - pe > gap_us)).cast("int"))
-         .withColumn("_mid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("_tail", F.lead("_s").over(w).isNull().cast("int")))
+         .withColumn("_mid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     return (x.groupBy(*part, "_mid")
-            .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"),
-                 F.max("_tail").alias("_tail"))
-            .select(*part, "_s", "_e", "_n", (F.col("_mid") == 1).alias("_first"),
-                    (F.col("_tail") == 1).alias("_last")))
+            .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n")))
 
 
 def avg_session_hits(sessions: DataFrame, *, host_like: str, host: str = "host", ip: str = "ip",
@@ -132,7 +122,7 @@ def time_per_user_day(events: DataFrame, *, user: str = "user_id", ts: str = "ts
     """Engagement (M6): per user and day, the time covered by the user's
     sessions (first to last event of each session), with sessions split at
     midnight.  Microseconds as ``bigint`` keep the sum exact."""
-    s = sessionize(events, ts, [user], gap, bucket="1 hour", start="_st", end="_en", last="_la", count="_n", fanout=168)
+    s = sessionize(events, ts, [user], gap, start="_st", end="_en", last="_la", count="_n")
     days = s.select(user, "_st", "_la", F.explode(F.sequence(F.to_date("_st"), F.to_date("_la"))).alias("day"))
     lo = F.greatest(to_micros("_st"), to_micros(F.col("day").cast("timestamp_ntz")))
     hi = F.least(to_micros("_la"), to_micros(F.date_add("day", 1).cast("timestamp_ntz")))

@@ -17,6 +17,7 @@ from tributary import functions as fx
 from tributary.operators import cumulative as cu
 from tributary.operators import experiments as xp
 from tributary.operators import facts
+from tributary.operators import history as hs
 from tributary.operators import joins as jn
 from tributary.operators import monitoring as mo
 from tributary.operators import patterns as pt
@@ -40,17 +41,25 @@ def _r4(c):
 
 # --- dimensions (D1-D13) ------------------------------------------------------
 
-def film_rollup(spark, sf_dir):
-    return cu.period_rollup(dv.actor_films(spark, sf_dir), ["actorid"], "year",
-                            ["film", "votes", "rating", "filmid"], avg_col="rating",
-                            order_by=["filmid"], avg_out="average_rating", carry=["actor"],
-                            cluster_by_keys=True)
+def film_segments(spark, sf_dir):
+    """Film history in bounded segments with their sums, per actor and year."""
+    return hs.history_segments(
+        dv.actor_films(spark, sf_dir), ["actorid"], "year", ["film", "votes", "rating", "filmid"], order_by=["filmid"],
+        sums={"total_votes": F.col("votes").cast("long"), "rating_sum": F.col("rating")}, carry=["actor"])
 
 
-def actor_snapshots(spark, sf_dir):
-    return cu.cumulate_range(film_rollup(spark, sf_dir), ["actorid"], period="year",
-                             end=dv.LAST_YEAR, carry=["actor"],
-                             measure="average_rating")
+def film_periods(segments):
+    """One row per actor and year from the segments' sums."""
+    per = hs.period_summary(segments, ["actorid"], "year", sums=["total_votes", "rating_sum"], carry=["actor"])
+    return per.select("actorid", "actor", "year", "n_items", F.col("first_item.filmid").alias("filmid_min"), F.col("last_item.filmid").alias("filmid_max"),
+                      "total_votes", (F.col("rating_sum") / F.col("n_items")).alias("average_rating"))
+
+
+def film_snapshots(per, end):
+    s = cu.cumulate_range_summary(per, ["actorid"], period="year", end=end, measure="average_rating",
+                                  running_sums=["n_items", "total_votes"], firsts=["filmid_min"], lasts=["filmid_max"], carry=["actor"])
+    return s.select("actorid", "actor", "current_year", F.col("n_items").alias("n_films"), F.col("first_filmid_min").alias("first_filmid"),
+                    F.col("last_filmid_max").alias("last_filmid"), "total_votes", "quality_class", "is_active")
 
 
 def actor_classes(spark, sf_dir):
@@ -75,24 +84,16 @@ def season_snapshots(spark, sf_dir):
 
 @register("dim_period_rollup")
 def q_dim_period_rollup(spark, sf_dir):
-    r = film_rollup(spark, sf_dir)
-    first, last = cu.first_last("current_items")
-    return r.select("actorid", "year",
-                    F.size("current_items").cast("long").alias("n_films"),
-                    first["filmid"].alias("first_filmid"), last["filmid"].alias("last_filmid"),
-                    _r4(F.col("average_rating")).alias("average_rating"),
-                    cu.classify("average_rating").alias("quality_class"))
+    return film_periods(film_segments(spark, sf_dir)).select(
+        "actorid", "year", F.col("n_items").alias("n_films"), F.col("filmid_min").alias("first_filmid"), F.col("filmid_max").alias("last_filmid"),
+        _r4(F.col("average_rating")).alias("average_rating"), cu.classify("average_rating").alias("quality_class"))
 
 
 @register("dim_cumulative_snapshot")
 def q_dim_cumulative_snapshot(spark, sf_dir):
-    s = actor_snapshots(spark, sf_dir)
-    first, last = cu.first_last("films")
-    return s.select("actorid", "actor", "current_year",
-                    F.size("films").cast("long").alias("n_films"),
-                    first["filmid"].alias("first_filmid"), last["filmid"].alias("last_filmid"),
-                    F.aggregate("films", F.lit(0).cast("long"), lambda acc, x: acc + x["votes"]).alias("total_votes"),
-                    "quality_class", "is_active")
+    """D2-D5 over the segmented history: an actor's snapshot of a year stands
+    for all its segments up to that year."""
+    return film_snapshots(film_periods(film_segments(spark, sf_dir)), dv.LAST_YEAR)
 
 
 @register("dim_cumulative_summary")
@@ -114,19 +115,12 @@ def q_dim_cumulative_summary(spark, sf_dir):
 @register("dim_cumulative_step")
 def q_dim_cumulative_step(spark, sf_dir):
     """D2 incremental step: the snapshot up to the year before, merged with
-    the last year's roll-up, equals the last year of the one-pass range."""
-    roll = film_rollup(spark, sf_dir)
-    prev = cu.cumulate_range(roll, ["actorid"], period="year", end=dv.LAST_YEAR - 1,
-                             carry=["actor"], measure="average_rating")
-    cur = roll.filter(F.col("year") == dv.LAST_YEAR)
-    s = cu.cumulate(prev.filter(F.col("current_year") == dv.LAST_YEAR - 1), cur, ["actorid"],
-                    carry=["actor"], measure="average_rating")
-    first, last = cu.first_last("films")
-    return s.select("actorid", "actor", "current_year",
-                    F.size("films").cast("long").alias("n_films"),
-                    first["filmid"].alias("first_filmid"), last["filmid"].alias("last_filmid"),
-                    F.aggregate("films", F.lit(0).cast("long"), lambda acc, x: acc + x["votes"]).alias("total_votes"),
-                    "quality_class", "is_active")
+    the last year's segments, equals the last year of the one-pass range."""
+    per = film_periods(film_segments(spark, sf_dir))
+    prev = film_snapshots(per, dv.LAST_YEAR - 1).filter(F.col("current_year") == dv.LAST_YEAR - 1)
+    cur = per.filter(F.col("year") == dv.LAST_YEAR).withColumnsRenamed({"n_items": "n_films", "filmid_min": "first_filmid", "filmid_max": "last_filmid"})
+    return hs.cumulate_summary(prev, cur, ["actorid"], sums=["n_films", "total_votes"], firsts=["first_filmid"], lasts=["last_filmid"],
+                               carry=["actor"], measure="average_rating")
 
 
 @register("dim_cumulative_seasons")
@@ -157,8 +151,9 @@ def q_dim_scd2_incremental(spark, sf_dir):
 
 @register("dim_unnest_history")
 def q_dim_unnest_history(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir).filter(F.col("current_year") == dv.LAST_YEAR)
-    rows = cu.unnest(snap, "films", ["actorid"], expand=True)
+    """D11 over the segments of the last snapshot: no actor's history is ever
+    one array."""
+    rows = cu.unnest(film_segments(spark, sf_dir).filter(F.col("year") <= dv.LAST_YEAR), "items", ["actorid"], expand=True)
     return rows.select("actorid", "film", "votes", _r4(F.col("rating")).alias("rating"), "filmid")
 
 
@@ -180,10 +175,9 @@ def q_dim_table_checks(spark, sf_dir):
     ses = web_sessions(spark, sf_dir)
 
     def row(name, df, keys, bad=None):
-        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum("n").alias("n_rows"))
-        wrong = df.agg(F.count_if(bad).alias("bad_values")) if bad is not None else None
-        out = dup.crossJoin(wrong) if wrong is not None else dup.withColumn("bad_values", F.lit(0).cast("long"))
-        return out.select(F.lit(name).alias("table_name"), "n_rows", "duplicate_keys", "bad_values")
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.lit(False) if bad is None else bad).alias("bad"))
+        return per_key.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum("bad").alias("bad_values")).select(
+            F.lit(name).alias("table_name"), "n_rows", "duplicate_keys", "bad_values")
 
     return (row("actors", snap, ["actorid", "current_year"], ~F.col("quality_class").isin(cu.CLASS_ORDER))
             .unionByName(row("device_activity", act, [*DEVICE_KEYS, "date"]))
@@ -398,8 +392,7 @@ def q_pattern_best_90_game_stretch(spark, sf_dir):
 @register("pattern_longest_streak")
 def q_pattern_longest_streak(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events")
-    return pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10,
-                             bucket=F.date_trunc("hour", "ts"))
+    return pt.longest_streak(ev, "user_id", ["ts", "event_id"], F.col("value") > 10)
 
 
 @register("pattern_active_periods")
