@@ -87,3 +87,58 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     from tributary.plans.queries import QUERIES
     plan = QUERIES["ops_gap_detection"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "ReadSchema: struct<ts:timestamp_ntz>" in plan
+
+
+def test_registered_bucket_join_reads_buckets_without_exchange(spark):
+    """The query writes three external tables in the shared folder; the join it
+    returns has no exchange, one number of buckets and one file each."""
+    from tributary.plans.queries import QUERIES
+    df = QUERIES["layout_bucket_join"](spark, SF)
+    plan = _plan(df)
+    assert "Exchange" not in plan and "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2 and "SelectedBucketsCount" in plan
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "true"
+    from tributary.plans import derive as dv
+    want = jn.bucket_join(dv.matches(spark, SF), dv.match_details(spark, SF), dv.medals_matches_players(spark, SF)).select(df.columns)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+    files = spark.table([t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_") and t.name.endswith("_medals")][-1])
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert shared in files.select("_metadata.file_path").first()[0] and ly.table_bytes(files).first().files == spark.sparkContext.defaultParallelism
+
+
+def test_bucket_count_follows_the_bytes(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert ly.bucket_count([df], least=1) == 1 and ly.bucket_count([df, df.limit(1)], bucket_bytes=size // 40, least=8) in (40, 41)
+
+
+def test_sort_layouts_hold_the_same_rows(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey")
+    out = {r.layout: r for r in ly.sort_layouts(df, "l_orderkey", {"a": ["l_orderkey"], "b": ["l_suppkey", "l_partkey"]}, buckets=5).collect()}
+    assert {r.n_rows for r in out.values()} == {df.count()} and {r.n_files for r in out.values()} == {5} and all(r.n_bytes > 0 for r in out.values())
+
+
+def test_medals_only_select_pairs(spark):
+    """Semi join of the medal rows equals the distinct pairs of the full join."""
+    from tributary.plans import derive as dv
+    m, d, p = dv.matches(spark, SF), dv.match_details(spark, SF), dv.medals_matches_players(spark, SF).filter("medal_id % 3 = 0")
+    cols = ["match_id", "player_gamertag", "player_total_kills", "mapid"]
+    got = jn.rows_with_medal(m, d, p).select(cols)
+    want = jn.bucket_join(m, d, p).select(cols).distinct()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cluster_session_must_name_the_shared_folder(monkeypatch):
+    import pytest
+    from tributary.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())

@@ -76,7 +76,7 @@ def co_partitioned(spark: SparkSession):
 # --- bucket-join analytics (S6-S10) ---------------------------------------------
 
 def bucket_join(matches: DataFrame, details: DataFrame, medals: DataFrame, *, key: str = "match_id",
-                second: str = "player_gamertag") -> DataFrame:
+                second: str = "player_gamertag", merge: bool = False) -> DataFrame:
     """matches x details on the bucket key, x medal rows on (bucket key,
     player) (S6).  On tables bucketed by ``key`` and read inside
     :func:`co_partitioned`, the plan has no exchange.
@@ -85,10 +85,27 @@ def bucket_join(matches: DataFrame, details: DataFrame, medals: DataFrame, *, ke
     large share of the rows stays in one bucket task.  For such keys use
     :func:`salted_join`, or read the tables with
     ``spark.sql.sources.bucketing.enabled=false`` so the join shuffles and
-    AQE's skew-join handling applies."""
+    AQE's skew-join handling applies.  ``merge`` asks for sort-merge joins
+    where a small table would be broadcast instead of read by bucket."""
+    if merge:
+        return matches.hint("merge").join(details, key).hint("merge").join(medals, [key, second])
     return matches.join(details, key).join(medals, [key, second])
 
 
+def planned(df: DataFrame) -> DataFrame:
+    """``df`` with its physical plan fixed now, under the settings that hold now
+    (a plan without exchanges is not adapted when it runs)."""
+    df._jdf.queryExecution().executedPlan()
+    return df
+
+
+def rows_with_medal(matches: DataFrame, details: DataFrame, medals: DataFrame, *, key: str = "match_id",
+                    second: str = "player_gamertag") -> DataFrame:
+    """One row per (match, player) with a medal (S7-S9): the medal rows only
+    decide which pairs count, so they join as a semi join and multiply nothing."""
+    return matches.join(details.join(medals.select(key, second), [key, second], "left_semi"), key)
+
+
 def avg_per_game(df: DataFrame, game: str, player: str, measure: str, *, out: str = "avg_per_game") -> DataFrame:
     """Average of a per-game measure over each player's games (S7, X11):
     one value per (game, player) first, so joined medal rows do not weigh

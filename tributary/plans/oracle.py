@@ -309,6 +309,10 @@ ses AS (SELECT min(ts) AS event_window_timestamp, host, ip, count(*) AS num_hits
 
 ORACLE["stream_session_hits"] = f"WITH {_WEB_SESSIONS} SELECT * FROM ses"
 
+# the replayed stream gives the batch sessions, and every event once
+ORACLE["stream_replay_sessions"] = ORACLE["stream_session_hits"]
+ORACLE["stream_replay_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, ts FROM events"
+
 ORACLE["stream_avg_session_hits"] = f"""
 WITH {_WEB_SESSIONS}
 SELECT ip, host, CAST(floor(avg(num_hits) + 0.5) AS BIGINT) AS average_num_hits
@@ -365,6 +369,11 @@ FROM lineitem JOIN part ON p_partkey = l_partkey
 
 ORACLE["layout_bucket_join"] = f"WITH {_MATCH_ROWS} SELECT * FROM mr"
 
+ORACLE["layout_sort_sizes"] = """
+SELECT layout, (SELECT count(*) FROM lineitem) AS n_rows, CAST(16 AS BIGINT) AS n_files, true AS has_bytes
+FROM (VALUES ('by_match'), ('by_medal'), ('by_player_medal')) v(layout)
+"""
+
 ORACLE["layout_avg_kills_per_game"] = f"""
 WITH {_MATCH_ROWS},
 g AS (SELECT DISTINCT match_id, player_gamertag, player_total_kills FROM mr)

@@ -24,6 +24,8 @@ from tributary.operators import patterns as pt
 from tributary.operators import scd
 from tributary.operators import sessions as ss
 from tributary.plans import derive as dv
+from tributary.sources import layout
+from tributary.streaming import dedup_stream, replay, sessionize_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -429,6 +431,24 @@ def q_stream_compare_hosts(spark, sf_dir):
     return ss.compare_hosts(web_sessions(spark, sf_dir), ["click", "view", "signup"])
 
 
+@register("stream_replay_sessions")
+def q_stream_replay_sessions(spark, sf_dir):
+    """The event log replayed through the session stream, stopped
+    and restarted from its checkpoint half way.  The batch sessions."""
+    ev = dv.table(spark, sf_dir, "events").select(F.col("event_type").alias("host"), (F.col("user_id") % 3).cast("string").alias("ip"), "ts")
+    ses = replay(ev, "ts", lambda s: sessionize_stream(s.withWatermark("ts", "15 seconds"), "ts"), name="sessions", close="event_window_timestamp")
+    return ses.select("event_window_timestamp", "host", "ip", "num_hits", F.timestamp_add("MINUTE", F.lit(-5), F.col("session_end")).alias("last_hit"))
+
+
+@register("stream_replay_dedup")
+def q_stream_replay_dedup(spark, sf_dir):
+    """M7 on a stream: the event log in three deliveries, each repeating the one
+    before, with a restart at each; every event once."""
+    ev = dv.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    out = replay(ev, "ts", lambda s: dedup_stream(s, ["event_id"], ts="ts", delay="1 hour"), name="dedup", slices=3, redeliver=True)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @register("engagement_time_per_user_day")
 def q_engagement_time_per_user_day(spark, sf_dir):
     return ss.time_per_user_day(dv.table(spark, sf_dir, "events"), gap="30 minutes")
@@ -436,11 +456,6 @@ def q_engagement_time_per_user_day(spark, sf_dir):
 
 # --- layout and joins (S2-S10, M13) ----------------------------------------------
 
-def match_rows(spark, sf_dir):
-    return jn.bucket_join(dv.matches(spark, sf_dir), dv.match_details(spark, sf_dir),
-                          dv.medals_matches_players(spark, sf_dir))
-
-
 @register("layout_broadcast_maps")
 def q_layout_broadcast_maps(spark, sf_dir):
     return jn.lookup_join(dv.matches(spark, sf_dir), dv.maps(spark, sf_dir), "mapid")
@@ -453,30 +468,50 @@ def q_layout_broadcast_medals(spark, sf_dir):
 
 @register("layout_bucket_join")
 def q_layout_bucket_join(spark, sf_dir):
-    return match_rows(spark, sf_dir).select("match_id", "player_gamertag", "medal_id", "mapid",
-                                            "playlist_id", "player_total_kills")
+    """The three tables written once, bucketed and sorted by match, and
+    joined from there without an exchange."""
+    t = layout.bucketed_together({"matches": dv.matches(spark, sf_dir), "details": dv.match_details(spark, sf_dir),
+                                  "medals": dv.medals_matches_players(spark, sf_dir)}, "match_id")
+    with jn.co_partitioned(spark):
+        rows = jn.bucket_join(t["matches"], t["details"], t["medals"], merge=True)
+        return jn.planned(rows.select("match_id", "player_gamertag", "medal_id", "mapid", "playlist_id", "player_total_kills"))
+
+
+@register("layout_sort_sizes")
+def q_layout_sort_sizes(spark, sf_dir):
+    """The medal rows under three sort layouts in 16 buckets: rows,
+    files, and whether the layouts hold the same rows in other bytes."""
+    sizes = layout.sort_layouts(dv.medals_matches_players(spark, sf_dir), "match_id",
+                                {"by_match": ["match_id"], "by_medal": ["medal_id"], "by_player_medal": ["player_gamertag", "medal_id"]}, buckets=16)
+    return sizes.select("layout", "n_rows", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+def medal_pairs(spark, sf_dir):
+    return jn.rows_with_medal(dv.matches(spark, sf_dir), dv.match_details(spark, sf_dir), dv.medals_matches_players(spark, sf_dir))
 
 
 @register("layout_avg_kills_per_game")
 def q_layout_avg_kills_per_game(spark, sf_dir):
-    return jn.avg_per_game(match_rows(spark, sf_dir), "match_id", "player_gamertag", "player_total_kills",
+    return jn.avg_per_game(medal_pairs(spark, sf_dir), "match_id", "player_gamertag", "player_total_kills",
                            out="avg_kills_per_game")
 
 
 @register("layout_top_playlist")
 def q_layout_top_playlist(spark, sf_dir):
-    return jn.top_value(match_rows(spark, sf_dir), "playlist_id", distinct_of="match_id", out="n_matches")
+    return jn.top_value(medal_pairs(spark, sf_dir), "playlist_id", distinct_of="match_id", out="n_matches")
 
 
 @register("layout_top_map")
 def q_layout_top_map(spark, sf_dir):
-    return jn.top_value(match_rows(spark, sf_dir), "mapid", distinct_of="match_id", out="n_matches")
+    return jn.top_value(medal_pairs(spark, sf_dir), "mapid", distinct_of="match_id", out="n_matches")
 
 
 @register("layout_top_killing_spree_map")
 def q_layout_top_killing_spree_map(spark, sf_dir):
+    """The medal rows are filtered first, before the three-way join."""
     spree = dv.medals(spark, sf_dir).filter(F.col("classification") == "PROMO")
-    rows = jn.lookup_join(match_rows(spark, sf_dir), spree, "medal_id")
+    won = jn.lookup_join(dv.medals_matches_players(spark, sf_dir), spree, "medal_id")
+    rows = jn.bucket_join(dv.matches(spark, sf_dir), dv.match_details(spark, sf_dir), won)
     return jn.top_value(rows, "mapid", out="n_medals")
 
 

@@ -40,10 +40,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only set our own when it is
-    unset (tests, local runs), and then under a fresh scratch folder."""
+    A cluster session must name a folder there that driver and executors share;
+    only a local session (tests) gets a scratch folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if fallback is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = fallback or tempfile.mkdtemp(prefix="tributary-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -6,12 +6,15 @@ snapshots are written to new paths so a job never overwrites what it reads.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tributary.session import shared_path
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header (S1).  A declared schema avoids the inference pass
@@ -31,26 +34,50 @@ def disable_auto_broadcast(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
-def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int = 16,
-                   sort_cols: Sequence[str] | None = None, sort_by: bool = True) -> DataFrame:
+def bucket_count(frames: Sequence[DataFrame], *, bucket_bytes: int = 256 << 20, least: int | None = None) -> int:
+    """Buckets for tables that are to be joined without a shuffle: enough that
+    the largest has about ``bucket_bytes`` a bucket by the planner's size
+    estimate (no job runs), and at least one per core of the session."""
+    sizes = [int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames]
+    return max(least or frames[0].sparkSession.sparkContext.defaultParallelism, -(-max(sizes) // bucket_bytes))
+
+
+def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int | None = None,
+                   sort_cols: Sequence[str] | None = None, sort_by: bool = True, path: str | None = None) -> DataFrame:
     """Bucketed Parquet table (S5, S11): shuffle once by the bucket key into
     ``buckets`` partitions so each bucket is one file, sort inside partitions
     (``sort_cols`` picks the run-length-friendly layout), overwrite the table.
 
+    ``buckets`` defaults to :func:`bucket_count`.  ``path`` makes the table
+    external (e.g. in the shared folder); else it lies in the warehouse.
     ``sort_by`` also records the sort in the catalog so sort-merge joins on
     the key can skip their sort."""
     keys = [key] if isinstance(key, str) else list(key)
     sort_cols = list(sort_cols or keys)
+    buckets = buckets or bucket_count([df])
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     w = (df.repartition(buckets, *keys).sortWithinPartitions(*sort_cols)
          .write.format("parquet").mode("overwrite").bucketBy(buckets, *keys))
     if sort_by:
         w = w.sortBy(*sort_cols)
+    if path is not None:
+        w = w.option("path", path)
     w.saveAsTable(table)
     return spark.table(table)
 
 
+def bucketed_together(frames: Mapping[str, DataFrame], key: str | Sequence[str], *, buckets: int | None = None) -> dict[str, DataFrame]:
+    """Write the frames as external tables in the shared folder, all bucketed
+    and sorted by ``key`` into one number of buckets (from the largest), and read
+    them back by name: joins on the key need no exchange (S5, S6)."""
+    spark = next(iter(frames.values())).sparkSession
+    buckets = buckets or bucket_count(list(frames.values()))
+    run = uuid.uuid4().hex
+    return {name: write_bucketed(df, f"bucketed_{run}_{name}", key, buckets, path=shared_path(spark, "bucketed", run, name))
+            for name, df in frames.items()}
+
+
 def table_bytes(df: DataFrame) -> DataFrame:
     """File count and total bytes behind a file-based DataFrame (S12), from
     the hidden ``_metadata`` column: computed by executors, no driver-side
@@ -95,3 +122,17 @@ def layout_sizes(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
         r = table_bytes(spark.table(t)).select(F.lit(t).alias("table_name"), "files", "bytes")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def sort_layouts(df: DataFrame, key: str, layouts: Mapping[str, Sequence[str]], *, buckets: int) -> DataFrame:
+    """Write ``df`` bucketed by ``key`` under each sort layout into the shared
+    folder (S11) and measure what lies there (S12): layout, ``n_rows``,
+    ``n_files``, ``n_bytes``, from file metadata read by executors."""
+    spark, run, out = df.sparkSession, uuid.uuid4().hex, None
+    for name, cols in layouts.items():
+        t = write_bucketed(df, f"layout_{run}_{name}", key, buckets, cols, sort_by=False, path=shared_path(spark, "layouts", run, name))
+        files = t.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"))
+        r = files.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"))
+        r = r.select(F.lit(name).alias("layout"), "n_rows", "n_files", "n_bytes")
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -7,3 +7,4 @@ from tributary.streaming.sinks import (  # noqa: F401
     jdbc_batch_writer, parquet_batch_writer, start_query, stream_state_conf,
 )
 from tributary.streaming.dedup import dedup_stream  # noqa: F401
+from tributary.streaming.replay import replay  # noqa: F401
