@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import cumulative as cu
 from tributary.operators import history as hs
+from tributary.sources.merge import replace_partitions
 
 
 @pytest.fixture(scope="module")
@@ -73,11 +74,11 @@ def test_hot_entity_spreads_over_tasks(spark, films):
 
 def test_a_step_writes_its_own_period_and_reruns(spark, films, scratch):
     path = os.path.join(scratch, "segments")
-    hs.replace_periods(segments(films.filter("year < 2004"), 50), path, "year")
+    replace_partitions(segments(films.filter("year < 2004"), 50), path, "year")
     before = {f: os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if "year=2003" in d}
     for _ in range(2):
-        hs.replace_periods(segments(films.filter("year = 2004"), 50), path, "year")
-    hs.replace_periods(segments(films.filter("year = 2001"), 9), path, "year")
+        replace_partitions(segments(films.filter("year = 2004"), 50), path, "year")
+    replace_partitions(segments(films.filter("year = 2001"), 9), path, "year")
     assert before == {f: os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if "year=2003" in d}
     got = spark.read.parquet(path).select("actorid", F.explode("items").alias("x")).select("actorid", "x.filmid")
     assert sorted(map(str, got.collect())) == sorted(map(str, films.select("actorid", "filmid").collect()))

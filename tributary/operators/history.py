@@ -7,7 +7,8 @@ items of one entity and one period, in order, with their partial sums.
 
 * A segment never spans periods, so a snapshot of period ``p`` is the set of
   segments up to ``p``; nothing is repeated, and the step to a new period writes
-  that period's segments alone (:func:`replace_periods`, safe to rerun).
+  that period's segments alone (``sources.merge.replace_partitions``, safe to
+  rerun).
 * Items are dealt by (entity, period, order) ranges of equal row counts
   (:func:`tributary.operators.scan.ordered_segments`): no task and no row holds a
   hot entity.
@@ -80,9 +81,3 @@ def cumulate_summary(prev: DataFrame, current: DataFrame, keys: Sequence[str], *
         *[either("p", "c", c) for c in firsts], *[either("c", "p", c) for c in lasts],
         F.coalesce(classify(F.col(f"c.{measure}"), thresholds), F.col(f"p.{class_col}")).alias(class_col), present.alias(active_col))
 
-
-def replace_periods(segments: DataFrame, path: str, period: str) -> None:
-    """Write segments below ``path``, partitioned by period.  Only the periods
-    that ``segments`` holds are replaced (dynamic partition overwrite), so a step
-    writes its own period and a rerun changes nothing."""
-    (segments.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path))

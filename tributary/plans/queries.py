@@ -8,6 +8,7 @@ are ``int``; dates are ``date``; timestamps are ``timestamp_ntz``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,7 +25,8 @@ from tributary.operators import patterns as pt
 from tributary.operators import scd
 from tributary.operators import sessions as ss
 from tributary.plans import derive as dv
-from tributary.sources import layout
+from tributary.session import shared_path
+from tributary.sources import layout, merge
 from tributary.streaming import dedup_stream, replay, sessionize_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +153,19 @@ def q_dim_scd2_incremental(spark, sf_dir):
                           prev_as_of=dv.LAST_YEAR - 1, new_period=dv.LAST_YEAR)
 
 
+@register("dim_scd2_stepwise")
+def q_dim_scd2_stepwise(spark, sf_dir):
+    """D8 as it runs every year: a backfill up to 1998, then a step a year that
+    reads and writes one partition (the last one twice); equals the backfill."""
+    snap = actor_classes(spark, sf_dir)
+    path, attrs = shared_path(spark, "scd2", uuid.uuid4().hex), ["quality_class", "is_active"]
+    first = dv.LAST_YEAR - 3
+    merge.replace_partitions(scd.scd2_backfill(snap, "actorid", "current_year", attrs, as_of=first), path, "current_year")
+    for year in (first + 1, first + 2, first + 3, first + 3):
+        merge.scd2_step(path, snap.filter(F.col("current_year") == year), "actorid", attrs, period=year)
+    return merge.scd2_as_of(spark, path, dv.LAST_YEAR)
+
+
 @register("dim_unnest_history")
 def q_dim_unnest_history(spark, sf_dir):
     """D11 over the segments of the last snapshot: no actor's history is ever
@@ -351,6 +366,21 @@ def q_fact_host_activity_incremental(spark, sf_dir):
     return _arrays_text(snap)
 
 
+@register("fact_host_activity_merge")
+def q_fact_host_activity_merge(spark, sf_dir):
+    """F12, F13 on a table partitioned by month: the last day merged (twice)
+    into the one month it touches; all months equal the batch."""
+    daily = facts.daily_host_metrics(dv.web_events(spark, sf_dir))
+    path = shared_path(spark, "monthly", uuid.uuid4().hex)
+    before = facts.monthly_arrays(daily, as_of=dv.EVENTS_DAY_BEFORE)
+    merge.replace_partitions(before, path, "month_start")
+    table = spark.read.schema(before.schema).parquet(path)
+    for _ in range(2):
+        step = facts.monthly_arrays_step(table, daily, dv.EVENTS_AS_OF)
+        table = merge.merge_partitions(path, step, ["host", "month_start"], "month_start")
+    return _arrays_text(table)
+
+
 # --- analytical patterns (A1-A8) ----------------------------------------------
 
 @register("pattern_state_change")
