@@ -559,9 +559,13 @@ def q_join_salted_hot_key(spark, sf_dir):
 
 # --- experiments (E1-E7) ----------------------------------------------------------
 
+# The days on which the three experiments start.
+LAUNCHES = {"note_suggestions": "2024-01-05", "table_editor": "2024-01-10", "mobile_performance": "2024-01-15"}
+
+
 def exposures(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events")
-    return xp.assign(ev, "user_id", xp.EXPERIMENTS, xp.HALF_SPLIT, ts="ts")
+    return xp.assign(ev, "user_id", xp.EXPERIMENTS, xp.HALF_SPLIT, ts="ts", launches=LAUNCHES)
 
 
 @register("exp_user_hash")
@@ -583,9 +587,8 @@ def q_exp_conversion(spark, sf_dir):
 
 @register("exp_cell_filter")
 def q_exp_cell_filter(spark, sf_dir):
-    ev = dv.table(spark, sf_dir, "events")
-    cells = xp.assign(ev, "user_id", ["button_color_v3"], xp.COLOR_CELLS)
-    shown = xp.cell_filter(ev.join(cells.select("user_id", "cell"), "user_id"), "event_id")
+    ev = dv.table(spark, sf_dir, "events").select("event_id", "user_id")
+    shown = xp.cell_filter(ev.withColumn("cell", xp.cell_of("user_id", "button_color_v3", xp.COLOR_CELLS)), "event_id")
     return shown.groupBy("cell").agg(F.count(F.lit(1)).alias("n_events"),
                                      F.count_distinct("user_id").alias("n_users"))
 
@@ -593,7 +596,38 @@ def q_exp_cell_filter(spark, sf_dir):
 @register("exp_leading_metrics")
 def q_exp_leading_metrics(spark, sf_dir):
     ev = dv.table(spark, sf_dir, "events").select("user_id", "ts", F.col("event_type").alias("metric"), "value")
-    return xp.cell_metrics(exposures(spark, sf_dir), ev, value_cents=F.round(F.col("value") * 100).cast("long"))
+    return xp.metrics_by_cell(ev, xp.EXPERIMENTS, value_cents=F.round(F.col("value") * 100), launches=LAUNCHES)
+
+
+@register("exp_time_to_find")
+def q_exp_time_to_find(spark, sf_dir):
+    """E5: time from every view to the user's next purchase, by cell."""
+    per = xp.time_to_find(dv.table(spark, sf_dir, "events"), F.col("event_type") == "view", F.col("event_type") == "purchase")
+    cells = F.array(*[F.struct(F.lit(e).alias("experiment"), xp.cell_of("user_id", e).alias("cell")) for e in xp.EXPERIMENTS])
+    g = per.select("*", F.explode(cells).alias("x")).groupBy("x.experiment", "x.cell").agg(
+        F.sum("n_starts").alias("n_starts"), F.sum("n_found").alias("n_found"), F.sum("micros").alias("micros"))
+    return g.select("experiment", "cell", "n_starts", "n_found", fx.ratio4(F.col("micros"), F.col("n_found") * 1_000_000).alias("mean_seconds"))
+
+
+@register("exp_adoption")
+def q_exp_adoption(spark, sf_dir):
+    """Share of users with a first signup since exposure, by day."""
+    return xp.adoption(exposures(spark, sf_dir), dv.table(spark, sf_dir, "events"), F.col("event_type") == "signup", last_day=dv.EVENTS_AS_OF)
+
+
+@register("exp_satisfaction")
+def q_exp_satisfaction(spark, sf_dir):
+    """Scores (an event's value) of treatment against control users."""
+    ev = dv.table(spark, sf_dir, "events").select("user_id", "value")
+    cells = F.array(*[F.struct(F.lit(e).alias("experiment"), xp.cell_of("user_id", e).alias("cell")) for e in xp.EXPERIMENTS])
+    return xp.rank_sum(ev.select("value", F.explode(cells).alias("x")).select("x.experiment", "x.cell", "value"), "value")
+
+
+@register("exp_two_proportion")
+def q_exp_two_proportion(spark, sf_dir):
+    """E7 for rates: users with a purchase above 200 since exposure."""
+    goal = (F.col("event_type") == "purchase") & (F.col("value") > 200)
+    return xp.two_proportion(xp.conversion(exposures(spark, sf_dir), dv.table(spark, sf_dir, "events"), goal=goal))
 
 
 @register("exp_retention")
@@ -603,10 +637,14 @@ def q_exp_retention(spark, sf_dir):
 
 @register("exp_compare_cells")
 def q_exp_compare_cells(spark, sf_dir):
-    ev = dv.table(spark, sf_dir, "events")
-    j = exposures(spark, sf_dir).join(ev, "user_id").filter(F.col("ts") >= F.col("exposure_ts"))
-    per_user = j.groupBy("experiment", "cell", "user_id").agg(F.avg("value").alias("user_mean"))
-    return xp.compare_cells(per_user, "user_mean")
+    """E7 on per-user means since exposure: events join one row per user, and
+    each experiment's sums are taken side by side."""
+    ev = dv.table(spark, sf_dir, "events").select("user_id", "ts", "value")
+    j = ev.join(xp.exposure_times(ev, "user_id", xp.EXPERIMENTS, "ts", LAUNCHES), "user_id")
+    means = [F.avg(F.when(F.col("ts") >= F.col(f"_x{i}"), F.col("value"))).alias(f"_m{i}") for i in range(len(xp.EXPERIMENTS))]
+    per = j.groupBy("user_id").agg(*means)
+    rows = F.array(*[F.struct(F.lit(e).alias("experiment"), xp.cell_of("user_id", e).alias("cell"), F.col(f"_m{i}").alias("user_mean")) for i, e in enumerate(xp.EXPERIMENTS)])
+    return xp.compare_cells(per.select(F.explode(rows).alias("r")).select("r.*").filter("user_mean is not null"), "user_mean")
 
 
 # --- pipeline checks (M1-M5, M7-M12) -------------------------------------------------
