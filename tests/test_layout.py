@@ -142,3 +142,19 @@ def test_cluster_session_must_name_the_shared_folder(monkeypatch):
         conf, sparkContext = Conf(), Context()
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_heavy_keys_come_from_a_sketch(spark):
+    """All keys above the threshold are named, few others; the only exchange is
+    the one of the sketches (a single row a task), not of the keys."""
+    df = spark.range(200_000).selectExpr("if(id % 3 = 0, 7, if(id % 11 = 0, null, id)) as k", "id as v")
+    hot = jn.hot_keys(df, ["k"], 10_000)
+    want = {r[0] for r in df.groupBy("k").count().filter("count >= 10000").select(F.xxhash64("k")).collect()}
+    assert {r[0] for r in hot.collect()} == want and len(want) == 2
+    plan = _plan(hot).split("Initial Plan")[-1]
+    assert "hashpartitioning" not in plan
+    small = spark.createDataFrame([(7, "a"), (8, "b"), (None, "c")], "k long, name string")
+    cols = ["k", "v", "name"]
+    for how in ("inner", "left"):
+        got, plain = jn.salted_join(df, small, ["k"], how=how, min_rows=10_000, salts=5), df.join(small, "k", how)
+        assert got.select(cols).exceptAll(plain.select(cols)).count() == 0 and got.count() == plain.count()

@@ -63,11 +63,33 @@ def test_report_gate_and_freshness(spark):
 
 
 def test_profit_missing_side_counts_zero(spark):
-    rev = spark.createDataFrame([("u", 10.0)], "unit string, amount double")
-    exp = spark.createDataFrame([("u", 3.0), ("v", 1.0)], "unit string, amount double")
-    sal = spark.createDataFrame([("v", 2.0)], "unit string, amount double")
-    got = {r.unit: (r.profit, r.missing_revenue) for r in mo.profit(rev, exp, sal, ["unit"]).collect()}
-    assert got == {"u": (7.0, False), "v": (-3.0, True)}
+    income = spark.createDataFrame([("u", 10.0, 3.0), ("v", None, 1.0)], "unit string, revenue double, expenses double")
+    sal = spark.createDataFrame([("v", 2.0), ("w", 5.0)], "unit string, amount double")
+    got = {r.unit: (r.profit, r.missing_revenue) for r in mo.profit(income, sal, ["unit"]).collect()}
+    assert got == {"u": (7.0, False), "v": (-3.0, True), "w": (-5.0, True)}
+
+
+def test_publish_counts_while_writing(spark, scratch):
+    """One job writes the report and counts its bad rows: the same numbers as a
+    gate over the written report, and no second scan of the source."""
+    import os
+    path = os.path.join(scratch, "report")
+    df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, id % 5) as v")
+    rules = {"missing": F.col("v").isNull(), "zero": F.col("v") == 0}
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    counts = mo.publish(df, path, rules)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) - len(before) == 1
+    written = spark.read.parquet(path)
+    again = {r.rule: r.n_bad for r in mo.validate_report([(n, written, c) for n, c in rules.items()]).collect()}
+    assert counts == again == {"missing": 143, "zero": 171} and written.count() == 1000
+    assert {tuple(r) for r in mo.gate(spark, counts).collect()} == {("missing", 143, False), ("zero", 171, False)}
+    assert mo.publish(df.limit(0), path, rules) == {"missing": 0, "zero": 0}
+
+
+def test_rules_on_one_frame_are_one_pass(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = mo.validate_report([("a", df, F.col("o_totalprice") > 5), ("b", df, F.col("o_custkey") < 9)])._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Scan parquet") == 1
 
 
 def test_backfill_at_any_bucket_width(spark):

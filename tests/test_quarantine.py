@@ -1,0 +1,48 @@
+"""Malformed input (S1, T2) and activity bitmaps (F8)."""
+
+import datetime as dt
+import os
+import random
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from tributary import functions as fx
+from tributary.sources import quarantine as qr
+
+SCHEMA = StructType([StructField("id", LongType()), StructField("user", LongType()), StructField("at", StringType())])
+
+
+def test_bad_rows_are_kept_apart_and_whole(spark, scratch):
+    path = os.path.join(scratch, "in.csv")
+    lines = ["id,user,at", "1,10,2024-01-01T00:00:00.000Z", "2,x,2024-01-01T00:00:00.000Z", "3,10", "4,10,soon", "5,10,2024-01-01T00:00:01.500Z,extra", "6,,2024-02-30T00:00:00.000Z", '7,12,"2024-01-02T00:00:00.000Z"', "8,13,"]
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    checked = qr.read_checked_csv(spark, path, SCHEMA, time_col="at")
+    good, bad = qr.split_faults(checked, os.path.join(scratch, "out"))
+    assert sorted((r.id, r.event_time) for r in good.collect()) == [(1, dt.datetime(2024, 1, 1)), (7, dt.datetime(2024, 1, 2))]
+    rows = {r[qr.FAULT]: set() for r in bad.collect()}
+    for r in bad.collect():
+        rows[r[qr.FAULT]].add(r[qr.RAW] if r[qr.RAW] is not None else r.id)
+    assert rows == {"malformed": {lines[2], lines[3], lines[5]}, "bad_time": {4, 6, 8}}
+    assert good.columns == ["id", "user", "at", "event_time"]
+
+
+def test_bitmaps_hold_days_far_apart_and_merge(spark):
+    rnd = random.Random(2)
+    base = dt.date(2000, 1, 1)
+    rows = [(rnd.choice(["a", "b", None]), base + dt.timedelta(days=int(rnd.expovariate(1 / 9000))), rnd.randrange(3)) for _ in range(2000)] + [("a", dt.date(1999, 12, 31), 0), ("a", None, 0)]
+    df = spark.createDataFrame(rows, "k string, day date, part int")
+    want = {}
+    for k, d, _ in rows:
+        if d is not None and d >= base:
+            want.setdefault(k, set()).add((d - base).days)
+    whole = fx.activity_bitmaps(df, ["k"], F.col("day"), anchor="2000-01-01")
+    merged = fx.merge_bitmaps(fx.activity_bitmaps(df, ["k", "part"], F.col("day"), anchor="2000-01-01"), ["k"])
+    per = lambda d: {(r.k, r.span): bytes(r.bitmap) for r in d.collect()}
+    assert per(whole) == per(merged) and max(s for _, s in per(whole)) >= 1
+    got = {}
+    for (k, span), b in per(whole).items():
+        got.setdefault(k, set()).update(span * fx.bits.BITMAP_DAYS + 8 * i + j for i, v in enumerate(b) for j in range(8) if v >> j & 1)
+    assert got == want
+    assert {r.k: r.n for r in whole.groupBy("k").agg(F.sum(fx.days_active("bitmap")).alias("n")).collect()} == {k: len(v) for k, v in want.items()}

@@ -2,7 +2,7 @@
 
 * :func:`lookup_join` leaves the broadcast to Spark's byte statistics
   (``spark.sql.autoBroadcastJoinThreshold`` at planning, AQE at run time).
-* :func:`salted_join` spreads measured hot keys of the big side over
+* :func:`salted_join` spreads sketched hot keys of the big side over
   ``salts`` sub-keys and replicates only those keys of the small side.
 * :func:`co_partitioned` relaxes the all-keys co-partitioning rule so a
   bucketed three-way join (bucket key + one more key) needs no exchange.
@@ -25,36 +25,41 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: s
     return fact.join(dim, on=on, how=how)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows: a partial aggregate over the key
-    columns only.  There are at most rows / ``min_rows`` of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") >= min_rows).select(*keys)
+#: Heavy keys that a sketch names at most, and keys that it tracks.
+TOP_KEYS, TRACKED = 1024, 16_384
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, *, top: int = TOP_KEYS, tracked: int = TRACKED) -> DataFrame:
+    """Hashes of keys with at least about ``min_rows`` rows, heaviest first, as
+    ``_hot``: a mergeable frequent-items sketch of fixed size, so no key but the
+    sketches' own is shuffled, whatever the number of keys.  At most ``top``
+    rows.  Counts are off by at most rows / (0.75 ``tracked``): a key with fewer
+    rows than that may be missed or added, which costs balance, not rows."""
+    sketch = df.select(F.xxhash64(*keys).alias("_k")).agg(F.expr(f"approx_top_k(_k, {top}, {tracked})").alias("_top"))
+    return sketch.select(F.explode("_top").alias("_t")).filter(F.col("_t.count") >= min_rows).select(F.col("_t.item").alias("_hot"))
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], *, how: str = "inner",
                 salts: int = 16, min_rows: int = 100_000) -> DataFrame:
-    """Skew-safe equi-join (M13).  Hot keys of ``big`` (all that
-    reach ``min_rows``, NULL among them) get a deterministic salt in ``[0, salts)`` from a hash of the
+    """Skew-safe equi-join (M13).  Heavy keys of ``big`` (:func:`hot_keys`, NULL
+    among them) get a deterministic salt in ``[0, salts)`` from a hash of the
     row, and their ``small`` rows are replicated once per salt; every other
-    key joins with salt 0.  The result equals the plain join; row content
-    decides the salt, so a recomputed task after an executor loss salts
-    identically.  ``how`` must keep ``big`` on the left (inner or left)."""
+    key joins with salt 0.  The result equals the plain join whatever keys are
+    named heavy; row content decides the salt, so a recomputed task after an
+    executor loss salts identically.  The list of heavy keys (``TOP_KEYS`` hashes
+    at most) is broadcast.  ``how`` must keep ``big`` on the left (inner or left)."""
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salted_join supports inner and left joins")
     on = list(on)
-    hot = hot_keys(big, on, min_rows).select(*[F.col(c).alias(f"_h_{c}") for c in on], F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot_keys(big, on, min_rows))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
 
     def marked(df: DataFrame) -> DataFrame:
-        cond = None
-        for c in on:
-            same = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
-            cond = same if cond is None else cond & same
-        return df.join(hot, cond, "left").drop(*[f"_h_{c}" for c in on])
-
-    b = marked(big).withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0))).drop("_hot")
-    s = (marked(small).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+        return df.join(hot, F.xxhash64(*on) == F.col("_hot"), "left")
+
+    heavy = F.col("_hot").isNotNull()
+    b = marked(big).withColumn("_salt", F.when(heavy, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0))).drop("_hot")
+    s = (marked(small).withColumn("_salt", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1)))
                                                      .otherwise(F.array(F.lit(0)))))
          .drop("_hot"))
     return b.join(s, on=[*on, "_salt"], how=how).drop("_salt")

@@ -7,9 +7,9 @@ times are arguments, never ``now()``, so reruns are reproducible.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.nulls import ratio4
@@ -18,19 +18,16 @@ from tributary.operators.sessions import interval_micros, to_micros, from_micros
 
 # --- M1, M2, M10: profit, reconciliation, executive summary --------------------
 
-def profit(revenue: DataFrame, expenses: DataFrame, salaries: DataFrame, keys: Sequence[str], *,
+def profit(income: DataFrame, salaries: DataFrame, keys: Sequence[str], *, revenue: str = "revenue", expenses: str = "expenses",
            amount: str = "amount") -> DataFrame:
-    """Profit = revenue - expenses - salaries per key (M1).  Each side is
-    aggregated first (partial aggregation), then one full outer join chain
-    on the small results; a side missing for a key counts as 0.  Pass
-    amounts in integer minor units for exact sums at any scale."""
+    """Profit = revenue - expenses - salaries per key (M1).  ``income`` holds
+    revenue and expense amounts side by side, so both come from one pass and one
+    partial aggregation; salaries are booked under keys of their own and meet
+    them in one full outer join of the small results.  A side missing for a key
+    counts as 0.  Pass amounts in integer minor units for exact sums."""
     keys = list(keys)
-
-    def agg(df, name):
-        return df.groupBy(*keys).agg(F.sum(amount).alias(name))
-
-    j = (agg(revenue, "revenue").join(agg(expenses, "expenses"), keys, "full_outer")
-         .join(agg(salaries, "salaries"), keys, "full_outer"))
+    both = income.groupBy(*keys).agg(F.sum(revenue).alias("revenue"), F.sum(expenses).alias("expenses"))
+    j = both.join(salaries.groupBy(*keys).agg(F.sum(amount).alias("salaries")), keys, "full_outer")
     r, e, s = (F.coalesce(F.col(c), F.lit(0)) for c in ("revenue", "expenses", "salaries"))
     return j.select(*keys, F.col("revenue").isNull().alias("missing_revenue"),
                     r.alias("revenue"), e.alias("expenses"), s.alias("salaries"), (r - e - s).alias("profit"))
@@ -190,16 +187,36 @@ def backfill(target: DataFrame, source: DataFrame, gaps: DataFrame, *, ts: str,
 # --- M11, M12: report gate and freshness ---------------------------------------
 
 def validate_report(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """Report gate (M11): each rule is (name, frame, bad-row predicate); one
-    conditional count per rule, unioned into one row per rule."""
-    out = None
+    """Report gate (M11): each rule is (name, frame, bad-row predicate).  Rules
+    on one frame are counted in one pass over it; one row per rule."""
+    frames: dict[int, tuple[DataFrame, list[tuple[str, Column]]]] = {}
     for name, df, bad in checks:
-        r = df.agg(F.count(F.when(bad, 1)).alias("n_bad")).select(
-            F.lit(name).alias("rule"), "n_bad", (F.col("n_bad") == 0).alias("passed"))
+        frames.setdefault(id(df), (df, []))[1].append((name, bad))
+    out = None
+    for df, rules in frames.values():
+        counts = df.agg(*[F.count(F.when(bad, 1)).alias(f"_r{i}") for i, (_, bad) in enumerate(rules)])
+        r = counts.select(F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"_r{i}").alias("n_bad")) for i, (name, _) in enumerate(rules)])).alias("r"))
+        r = r.select("r.rule", "r.n_bad", (F.col("r.n_bad") == 0).alias("passed"))
         out = r if out is None else out.unionByName(r)
     return out
 
 
+def publish(report: DataFrame, path: str, rules: Mapping[str, Column]) -> dict[str, int]:
+    """Write a report and count its bad rows while it is written (M11): the
+    rules are observed metrics of the writing job, so the report is planned,
+    scanned and computed once.  Bad rows by rule; the caller releases the path
+    if all are 0 (:func:`gate`)."""
+    seen = Observation()
+    watched = report.observe(seen, *[F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in rules.items()])
+    watched.write.mode("overwrite").parquet(path)
+    return dict(seen.get)
+
+
+def gate(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """One row per rule from the counts of :func:`publish`."""
+    return spark.createDataFrame([(name, int(n), n == 0) for name, n in counts.items()], "rule string, n_bad bigint, passed boolean")
+
+
 def freshness(tables: Sequence[tuple[str, DataFrame, str, int]], as_of: str) -> DataFrame:
     """Freshness SLA (M12): per (name, frame, time column, SLA hours), the
     newest value, its age in seconds at ``as_of``, and whether it is within

@@ -784,3 +784,20 @@ SELECT s.actorid, s.current_year, string_agg(CAST(y.current_year AS VARCHAR), ',
 FROM snap s JOIN snap y ON y.actorid = s.actorid AND y.current_year <= s.current_year AND y.is_active
 GROUP BY s.actorid, s.current_year
 """
+
+ORACLE["fact_activity_bitmap"] = """
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) - DATE '2024-01-01' AS n FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-01'),
+b AS (SELECT user_id, x.k, coalesce(sum(CASE WHEN n // 8 = x.k THEN 1 << CAST(n % 8 AS INTEGER) END), 0) AS v
+      FROM d, (SELECT unnest(range(8)) AS k) x GROUP BY 1, 2)
+SELECT c.user_id, c.n_days, h.days_hex
+FROM (SELECT user_id, count(*) AS n_days FROM d GROUP BY 1) c
+JOIN (SELECT user_id, string_agg(printf('%02X', CAST(v AS INTEGER)), '' ORDER BY k) AS days_hex FROM b GROUP BY 1) h ON h.user_id = c.user_id
+"""
+
+ORACLE["source_event_times"] = """
+WITH k AS (
+  SELECT event_id, CAST(ts AS DATE) AS d,
+         CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'malformed' WHEN event_id % 83 = 0 THEN 'bad_time' ELSE 'good' END AS part
+  FROM events)
+SELECT part, CASE WHEN part = 'good' THEN d END AS day, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM k GROUP BY 1, 2
+"""

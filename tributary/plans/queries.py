@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tributary import functions as fx
 from tributary.operators import cumulative as cu
@@ -26,7 +27,7 @@ from tributary.operators import scd
 from tributary.operators import sessions as ss
 from tributary.plans import derive as dv
 from tributary.session import shared_path
-from tributary.sources import layout, merge
+from tributary.sources import layout, merge, quarantine
 from tributary.streaming import dedup_stream, replay, sessionize_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -329,6 +330,17 @@ def q_fact_host_datelist_upsert(spark, sf_dir):
     return _host_days(facts.upsert(prev, step, ["host", "month_start"]))
 
 
+@register("fact_activity_bitmap")
+def q_fact_activity_bitmap(spark, sf_dir):
+    """F8 beyond 32 days: a bitmap per user and half of the month, merged; days
+    active, and the bits of the first 64 days."""
+    ev = dv.table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
+    half = ev.withColumn("half", F.day("day") > 15)
+    parts = fx.activity_bitmaps(half, ["user_id", "half"], F.col("day"), anchor="2024-01-01")
+    whole = fx.merge_bitmaps(parts, ["user_id"])
+    return whole.select("user_id", fx.days_active("bitmap").alias("n_days"), fx.bitmap_days_hex("bitmap", 64).alias("days_hex"))
+
+
 @register("fact_day_series")
 def q_fact_day_series(spark, sf_dir):
     """the days from the first to the last event, with each day's events."""
@@ -381,6 +393,33 @@ def q_fact_host_activity_merge(spark, sf_dir):
     return _arrays_text(table)
 
 
+def event_text(spark, sf_dir):
+    """The event log as CSV text, as a collector would deliver it, with broken
+    lines: every 97th lacks its last field, every 89th has a word for a user,
+    every 83rd an unreadable time."""
+    ev = dv.table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    user = F.when(i % 89 == 0, F.lit("nobody")).otherwise(F.col("user_id").cast("string"))
+    at = F.when(i % 83 == 0, F.lit("yesterday")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    fields = F.when(i % 97 == 0, F.concat_ws(",", i, user)).otherwise(F.concat_ws(",", i, user, at))
+    path = shared_path(spark, "text", uuid.uuid4().hex)
+    ev.select(fields.alias("value")).write.text(path)
+    return path
+
+
+@register("source_event_times")
+def q_source_event_times(spark, sf_dir):
+    """Delivered text read under a declared schema; rows, malformed rows
+    and rows without a readable time, and the good rows' last event per day."""
+    schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()), StructField("event_time_text", StringType())])
+    checked = quarantine.read_checked_csv(spark, event_text(spark, sf_dir), schema, time_col="event_time_text", header=False)
+    good, bad = quarantine.split_faults(checked, shared_path(spark, "checked", uuid.uuid4().hex))
+    per_day = good.groupBy(F.to_date("event_time").alias("day")).agg(F.lit("good").alias("part"), F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"))
+    faults_ = bad.groupBy(F.col(quarantine.FAULT).alias("part")).agg(F.lit(None).cast("date").alias("day"), F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.split_part(F.coalesce(quarantine.RAW, F.col("event_id").cast("string")), F.lit(","), F.lit(1)).cast("long")).alias("id_sum"))
+    return per_day.select("part", "day", "n_rows", "id_sum").unionByName(faults_)
+
+
 # --- analytical patterns (A1-A8) ----------------------------------------------
 
 @register("pattern_state_change")
@@ -660,20 +699,19 @@ MONEY_UNIT = 10_000.0
 
 
 def money_sides(spark, sf_dir):
+    """Revenue and expenses of every lineitem side by side, and salaries."""
     li = dv.table(spark, sf_dir, "lineitem")
     o = dv.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = dv.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = dv.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lo = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
-          .select(F.col("c_nationkey").alias("unit"), F.year("o_orderdate").alias("period"),
-                  "l_extendedprice", "l_discount", "l_tax"))
-    revenue = lo.select("unit", "period",
-                        (_cents(F.col("l_extendedprice")) * _cents(1 - F.col("l_discount"))).alias("amount"))
-    expenses = lo.select("unit", "period", (_cents(F.col("l_extendedprice")) * _cents(F.col("l_tax"))).alias("amount"))
-    salaries = (li.join(s, li.l_suppkey == s.s_suppkey)
-                .select(F.col("s_nationkey").alias("unit"), F.year("l_shipdate").alias("period"),
-                        (F.col("l_quantity").cast("long") * 10 * 10_000).alias("amount")))
-    return revenue, expenses, salaries
+    price = _cents(F.col("l_extendedprice"))
+    income = (li.select("l_orderkey", (price * _cents(1 - F.col("l_discount"))).alias("revenue"), (price * _cents(F.col("l_tax"))).alias("expenses"))
+              .join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+              .select(F.col("c_nationkey").alias("unit"), F.year("o_orderdate").alias("period"), "revenue", "expenses"))
+    # supplier and year first, so the join meets one row per pair
+    booked = li.groupBy("l_suppkey", F.year("l_shipdate").alias("period")).agg(F.sum(F.col("l_quantity").cast("long") * 10 * 10_000).alias("amount"))
+    salaries = booked.join(s, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("unit"), "period", "amount")
+    return income, salaries
 
 
 def profit_report(spark, sf_dir):
@@ -785,16 +823,16 @@ def q_ops_exec_summary(spark, sf_dir):
 
 @register("ops_report_gate")
 def q_ops_report_gate(spark, sf_dir):
-    prof = profit_report(spark, sf_dir)
-    rec = reconciliation(spark, sf_dir)
+    """The profit report, the reconciliation and the event log's newest
+    time, each written once with its rules counted on the way."""
+    folder = shared_path(spark, "reports", uuid.uuid4().hex)
     newest = dv.table(spark, sf_dir, "events").agg(F.max("ts").alias("newest"))
     as_of_minus_48h = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
-    return mo.validate_report([
-        ("missing_revenue", prof, F.col("missing_revenue")),
-        ("zero_denominator", rec, F.coalesce(F.col("reported") == 0, F.lit(True))),
-        ("out_of_tolerance", rec, ~F.col("within_tolerance")),
-        ("stale_events", newest, F.col("newest") < as_of_minus_48h),
-    ])
+    counts = mo.publish(profit_report(spark, sf_dir), f"{folder}/profit", {"missing_revenue": F.col("missing_revenue")})
+    counts |= mo.publish(reconciliation(spark, sf_dir), f"{folder}/reconciliation", {
+        "zero_denominator": F.coalesce(F.col("reported") == 0, F.lit(True)), "out_of_tolerance": ~F.col("within_tolerance")})
+    counts |= mo.publish(newest, f"{folder}/newest", {"stale_events": F.col("newest") < as_of_minus_48h})
+    return mo.gate(spark, counts)
 
 
 @register("ops_freshness")
