@@ -3,7 +3,7 @@ import random
 import pytest
 
 #: Names that the operators use inside.
-CLASHES = ["node", "bands", "comp", "w", "n", "h", "bytes", "page", "score", "held_out", "kept", "tokens", "epoch", "host", "path", "rule", "at", "_row", "_mix", "_shard", "entry", "bucket"]
+CLASHES = ["node", "bands", "comp", "w", "n", "h", "bytes", "page", "score", "held_out", "kept", "tokens", "epoch", "host", "path", "rule", "at", "_row", "_mix", "_shard", "_key", "_kept", "_id", "entry", "bucket", "starts", "own", "term", "fault"]
 
 
 @pytest.fixture(scope="session")

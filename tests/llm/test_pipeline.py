@@ -80,4 +80,4 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd_docs, empty_docs):
 
 def test_entry_registers_everything():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()

@@ -96,12 +96,12 @@ def test_odd_and_empty_tables(odd_docs, empty_docs):
     for r in sd.remove_repeats(odd_docs).collect():
         out.setdefault(r.doc_id, []).append(r)
     assert set(out) == {None, 1, 2, 3, 4, 5, 6, 7, 8} and len(out[5]) == 2
-    assert [r._kept.n_removed for r in out[5]] == [0, 0]            # a repeated row is one document
-    assert out[6][0]._kept.n_removed == 80 and out[6][0]._kept.text == "" and out[6][0].text == out[5][0].text
-    assert out[8][0]._kept.text == "end" and out[1][0]._kept.n_words == 0 and out[2][0]._kept.text == ""
-    assert {r._kept.n_removed for r in out[None]} == {0, 80}        # rows without an id come last
-    assert out[3][0]._kept.n_words == 60_000 and out[7][0].node == "clash"
-    assert sd.remove_repeats(odd_docs).columns[:-1] == odd_docs.columns
+    assert [r["__kept"].n_removed for r in out[5]] == [0, 0]            # a repeated row is one document
+    assert out[6][0]["__kept"].n_removed == 80 and out[6][0]["__kept"].text == "" and out[6][0].text == out[5][0].text
+    assert out[8][0]["__kept"].text == "end" and out[1][0]["__kept"].n_words == 0 and out[2][0]["__kept"].text == ""
+    assert {r["__kept"].n_removed for r in out[None]} == {0, 80}        # rows without an id come last
+    assert out[3][0]["__kept"].n_words == 60_000 and out[7][0].node == "clash"
+    assert sd.remove_repeats(odd_docs).columns == [*odd_docs.columns, "__kept"]
     assert sd.digests(empty_docs).collect() == []
 
 

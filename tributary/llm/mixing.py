@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.store import cut
+from tributary.llm.store import cut, free
 
 #: Sections of the interval that one aggregation tries, and passes at most.
 SECTIONS, PASSES = 16, 12
@@ -112,7 +112,8 @@ def permutation(seed: int, id_col: str) -> Column:
 def realise(docs: DataFrame, *, id_col: str = "doc_id", source: str = "source", text: str = "text", seed: int = 11, budget: int | None = None,
             block_tokens: int = 1 << 20, slice_rows: int = 5_000, entropy_share: float | None = None, max_repeat: float | None = 2.0) -> DataFrame:
     """``docs`` repeated and ordered as the mixture: the input's columns and a
-    struct ``_mix`` of epoch, block, place (hash that orders a block) and weight."""
+    struct ``_mix`` of epoch, block, place (hash that orders a block) and weight
+    (``__mix`` and so on where the input has a column of that name)."""
     narrow = cut(docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), tokens(F.col(text)).alias("tokens")))
     per = source_tokens(narrow)
     alpha = exponent(per, entropy_share=entropy_share, max_repeat=None if entropy_share is not None else max_repeat)
@@ -141,4 +142,4 @@ def realise(docs: DataFrame, *, id_col: str = "doc_id", source: str = "source",
         whole = whole | (F.col("epoch") == 1)
     d = d.filter(whole | (F.col("_at") < F.col("quota") - SUB_TOKEN) | (F.col("_tokens") == 0))
     block = F.when(F.col("w") > 0, F.floor(F.col("_at") / (F.col("w") * block_tokens))).otherwise(0).cast("long")
-    return d.select("_row.*", F.struct("epoch", block.alias("block"), "place", F.col("w").alias("weight"), F.col("_tokens").alias("tokens")).alias("_mix"))
+    return d.select("_row.*", F.struct("epoch", block.alias("block"), "place", F.col("w").alias("weight"), F.col("_tokens").alias("tokens")).alias(free("_mix", docs.columns)))

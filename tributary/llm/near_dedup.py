@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.store import cut
+from tributary.llm.store import cut, free
 from tributary.llm.text import Words, column, doc_blocks, mix, shingles
 
 U = np.uint64
@@ -314,11 +314,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
     """``docs`` with one row of each class: the one with the smallest id (null
     ids last), of equal rows any.  Rows with a null text all stay."""
     comps = groups(docs, text, **options)
+    own = free("_key", docs.columns)
     key = F.xxhash64(id_col, text).alias("_key")                       # one row of equal rows is as good as another
     named = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_node"), key)
     named = named.join(comps.withColumnRenamed("node", "_node"), "_node", "left").select(F.coalesce("comp", "_node").alias("_class"), "_id", "_node", "_key")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_node"), F.col("_key")))
-    stay = named.groupBy("_class").agg(first.alias("s")).select(F.col("s._key").alias("_key"))
+    stay = named.groupBy("_class").agg(first.alias("s")).select(F.col("s._key").alias(own))
     # join and removal of equal rows share one partitioning: the texts move once
-    kept = docs.filter(F.col(text).isNotNull()).withColumn("_key", key).join(stay, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    kept = docs.filter(F.col(text).isNotNull()).withColumn(own, key).join(stay, own, "left_semi").dropDuplicates([own]).drop(own)
     return kept.select(*docs.columns).unionByName(docs.filter(F.col(text).isNull()))

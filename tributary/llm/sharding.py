@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.store import cut
+from tributary.llm.store import cut, free
 
 BITS = 60
 
@@ -71,7 +71,8 @@ def paged(rows: DataFrame, limit: int) -> DataFrame:
 
 def shard(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", limit: int = 64 << 20) -> DataFrame:
     """``docs`` with ``_shard``: a struct of name (the bits of the bucket, then
-    ``+page`` or ``-page`` for an overflow page), depth, hash and bytes."""
+    ``+page`` or ``-page`` for an overflow page), depth, hash and bytes
+    (``__shard`` and so on where the input has a column of that name)."""
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), key_hash(id_col, text).alias("h"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"))
     keys = cut(keyed.select("h", "bytes"))
     total = keys.agg(F.sum("bytes")).first()[0] or 0
@@ -99,4 +100,4 @@ def shard(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", limit:
         pages = paged(out.join(full, "h", "left_semi"), limit)
         out = out.join(full, "h", "left_anti").withColumn("page", F.lit(None).cast("long")).unionByName(pages)
         bits_name = F.concat(bits_name, F.when(F.col("page").isNull(), "").when(F.col("page") >= 0, F.concat(F.lit("+"), F.col("page"))).otherwise(F.col("page").cast("string")))
-    return out.select("_row.*", F.struct(bits_name.alias("name"), F.col("depth").cast("int").alias("depth"), F.col("h").alias("hash"), F.col("bytes")).alias("_shard"))
+    return out.select("_row.*", F.struct(bits_name.alias("name"), F.col("depth").cast("int").alias("depth"), F.col("h").alias("hash"), F.col("bytes")).alias(free("_shard", docs.columns)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,12 @@ def cut(df: DataFrame) -> DataFrame:
     later jobs (and a recomputation after an executor is lost) start there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def free(name: str, columns: Sequence[str]) -> str:
+    """``name`` with as many leading underscores as keep it (in any case) off
+    the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.llm.store import free
 from tributary.llm.text import Words, column, doc_blocks, mix
 
 U = np.uint64
@@ -263,14 +264,13 @@ def repeated_starts(docs: DataFrame, id_col: str, text: str, n: int) -> DataFram
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, n: int = 20) -> DataFrame:
-    """``docs`` with the struct ``_kept`` added: ``n_words``, ``n_removed`` and
-    ``text`` (the words that stay, joined by one space)."""
+    """``docs`` with the struct ``_kept`` added (``__kept`` and so on where the
+    input has such a column): ``n_words``, ``n_removed`` and ``text`` (the words
+    that stay, joined by one space)."""
     import pyspark.sql.types as T
 
     starts = repeated_starts(docs, id_col, text, n)
-    name = "_kept"
-    while name in docs.columns:
-        name = f"_{name}"
+    name = free("_kept", docs.columns)
     # the text crosses the shuffle once, inside its row
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("bigint").alias("own"), F.when(F.col(text).isNotNull(), F.xxhash64(text)).alias("own_key"))
     joined = whole.join(starts, whole.own.eqNullSafe(starts.id) & (whole.own_key == starts.key), "left").select("row", "starts")
