@@ -41,12 +41,13 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """The documents with the name and depth of their shard (names that the
     documents already use get a leading underscore)."""
     out, names = sharding.shard(docs, limit=SHARD_BYTES), {}
+    place = out.columns[-1]
     for name in ("shard", "shard_depth"):
         free = name
         while free in docs.columns:
             free = f"_{free}"
         names[name] = free
-    return out.select(*docs.columns, F.col("_shard.name").alias(names["shard"]), F.col("_shard.depth").alias(names["shard_depth"]))
+    return out.select(*docs.columns, F.col(f"{place}.name").alias(names["shard"]), F.col(f"{place}.depth").alias(names["shard_depth"]))
 
 
 STAGES = [("quality rules", quality_rules), ("near-duplicates", near_duplicates), ("benchmark decontamination", benchmark_decontamination),
