@@ -63,7 +63,7 @@ def brute(pages, rules, steps=10, damping=0.85, threshold=0.6):
 
 def run(spark, pages, rules=URL_RULES):
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    got = uf.judge(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    got = uf.judge(df, spark.createDataFrame(rules, "host string, path string, verdict string"), steps=10).collect()
     return sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, round(r.trust, 6), round(r.distrust, 6)) for r in got), key=str)
 
 

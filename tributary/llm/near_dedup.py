@@ -37,15 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.store import cut, free
+from tributary.llm.store import cut, drop, free
 from tributary.llm.text import Words, column, doc_blocks, mix, shingles
 
 U = np.uint64
 #: Node lists of up to so many (8 bytes each) are broadcast to pick their texts; longer ones are joined by a shuffle.
 MAX_BROADCAST_NODES = 1_000_000
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
-#: Slots that count shingles for the order of the prefix filter, and the ratio of its size classes.
-SLOTS, SIZE_STEP = 1 << 20, 1.04
+#: Slots that count shingles for the order of the prefix filter.
+SLOTS = 1 << 20
 
 
 def throw(x: np.ndarray, doc: np.ndarray, reach: np.ndarray, k: int, out: np.ndarray) -> None:
@@ -148,10 +148,11 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, *, threshold: float, words: i
 
     Prefix filter: with the shingles of every text in one order, rare ones first,
     two sets of sizes n and m that share at least ``o = t / (1 + t) * (n + m)``
-    have a common shingle among the first ``n - o + 1`` and ``m - o + 1``.  Sets
-    meet under a shingle and their two size classes, so each uses the prefix
-    that the partner's size leaves.  The order is by counts in ``SLOTS`` hashed
-    slots, then by hash: shared slots cost pairs, never results."""
+    have a common shingle among the first ``n - o + 1`` and ``m - o + 1``.  A set
+    stands once under each shingle of its longest prefix (for its smallest
+    partner, of ``t n`` shingles); size and place in both prefixes are tested
+    where two sets meet.  The order is by counts in ``SLOTS`` hashed slots, then
+    by hash: shared slots cost pairs, never results."""
     share = threshold / (1 + threshold)
     rows = texts.join(apart, "node").dropDuplicates(["node"]).select("text", "node", "comp")
 
@@ -172,9 +173,6 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, *, threshold: float, words: i
     for r in rows.mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
         often[r.column(0).to_numpy()] = r.column(1).to_numpy()
 
-    def size_class(n: int) -> int:
-        return int(np.log(n) / np.log(SIZE_STEP))
-
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Words()
         for batch in batches:
@@ -184,26 +182,18 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, *, threshold: float, words: i
                 v = split.split(buf, offs[d:d + 2])
                 x = np.unique(shingles(v[0], v[3], words)[0])
                 n = len(x)
-                x = x[np.lexsort((x, often[(x % U(SLOTS)).astype(np.int64)]))]
-                sizes = [max(1, int(np.ceil(threshold * n - 1e-6))), int(n / threshold + 1e-6)]
-                first: dict[int, int] = {}                   # smallest partner of each size class
-                for m in range(sizes[0], sizes[1] + 1):
-                    first.setdefault(size_class(m), m)
-                own, keys, place = size_class(n), [], []
-                for q, m in first.items():
-                    some = x[:max(0, n - int(np.ceil(share * (n + m) - 1e-6)) + 1)]
-                    pair = mix(np.array([min(own, q) * 100_003 + max(own, q)], np.uint64))
-                    keys.append(mix(some + pair).view(np.int64))
-                    place.append(np.arange(len(some)))
-                k, at = np.concatenate(keys), np.concatenate(place)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), node[d])), pa.array(np.full(len(k), comp[d])), pa.array(np.full(len(k), n)), pa.array(at)], ["key", "node", "comp", "n", "at"])
-
-    spots = cut(rows.mapInArrow(prefixes, "key bigint, node bigint, comp bigint, n bigint, at bigint"))
+                least = max(1, int(np.ceil(threshold * n - 1e-6)))
+                x = x[np.lexsort((x, often[(x % U(SLOTS)).astype(np.int64)]))][:n - int(np.ceil(share * (n + least) - 1e-6)) + 1]
+                k = len(x)
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(np.full(k, node[d])), pa.array(np.full(k, comp[d])), pa.array(np.full(k, n, np.int32)), pa.array(np.arange(k, dtype=np.int32))], ["key", "node", "comp", "n", "at"])
+
+    spots = cut(rows.mapInArrow(prefixes, "key bigint, node bigint, comp bigint, n int, at int"))
     mixed = spots.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
     spots = spots.join(mixed, "key", "left_semi")
     need = F.ceil(share * (F.col("l.n") + F.col("r.n")) - 1e-6)
     meet = (F.col("l.key") == F.col("r.key")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
-    fits = (F.col("l.n") - F.col("l.at") >= need) & (F.col("r.n") - F.col("r.at") >= need)
+    near = F.least("l.n", "r.n") >= threshold * F.greatest("l.n", "r.n") - 1e-6
+    fits = near & (F.col("l.n") - F.col("l.at") >= need) & (F.col("r.n") - F.col("r.at") >= need)
     return spots.alias("l").join(spots.alias("r"), meet & fits).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 
 
@@ -228,7 +218,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = cut(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = mark(e)
     while seen[0]:
-        e = cut(step(step(e, True), False))
+        before, e = e, cut(step(step(e, True), False))
+        drop(before)
         now = mark(e)
         if now == seen:
             break
@@ -280,6 +271,7 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
         fresh = members.groupBy("band").agg(F.max(F.struct("n", *order)).alias("p"), F.max(F.struct(F.lit(0).cast("bigint").alias("n"), *order)).alias("q"))
         pairs = members.join(fresh, "band").select("node", "comp", F.explode(F.array("p", "q")).alias("m")).filter("comp != m.cc")
         pairs = cut(pairs.select(*ordered(F.col("node"), F.col("m.c"))).distinct().join(tried, ["a", "b"], "left_anti"))
+        drop(members)
         if pairs.isEmpty():
             break
         more = check(pairs)

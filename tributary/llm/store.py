@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Sequence
 
@@ -27,7 +28,26 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, so that
     later jobs (and a recomputation after an executor is lost) start there."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return kept
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that nothing refers to any
+    more.  It does so when the driver's JVM collects its garbage, which a loop of
+    many small jobs may not reach before the disks are full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def drop(kept: DataFrame) -> None:
+    """Delete the files of a frame made by ``cut`` that no later frame reads."""
+    spark = kept.sparkSession
+    file = kept._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free(name: str, columns: Sequence[str]) -> str:

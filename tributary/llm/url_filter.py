@@ -22,10 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.store import cut
+from tributary.llm.store import cut, drop
 
-#: Change of the evidence, as a share of the seed mass, at which the walk has converged.
-TOLERANCE = 1e-6
+#: Change of the evidence, as a share of the seed mass, at which the walk has converged, and steps between two looks at it.
+TOLERANCE, EVERY = 1e-6, 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -69,37 +69,40 @@ def host_edges(pages: DataFrame, html: str) -> DataFrame:
     return every.filter("src != '' and dst != '' and src != dst").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, steps: int | None = 10) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, steps: int | None = None) -> DataFrame:
     """(host, trust, distrust) from seeds (host, kind, mass): kind 'trust' walks
-    along the edges, 'distrust' against them.  ``steps`` None: until no new host
-    is reached and the summed absolute change over four steps is at most
-    ``TOLERANCE`` of the mass."""
+    along the edges, 'distrust' against them, until no new host is reached and
+    the summed absolute change over ``EVERY`` steps is at most ``TOLERANCE`` of
+    the mass (or for ``steps`` steps).
+
+    The edges stay partitioned by (source, kind) and the ranks come out of their
+    sum that way, so a step moves its contributions once and nothing else."""
     both = edges.withColumn("kind", F.lit("trust")).union(edges.select("dst", "src", F.lit("distrust")))
     degree = both.groupBy("src", "kind").agg(F.count("*").alias("n"))
-    walk = cut(both.join(degree, ["src", "kind"]).select("src", "dst", "kind", (F.lit(damping) / F.col("n")).alias("w")))
+    walk = cut(both.join(degree, ["src", "kind"]).select("src", "dst", "kind", (F.lit(damping) / F.col("n")).alias("w")).repartition("src", "kind"))
     rest = cut(seeds.select("host", "kind", ((1 - damping) * F.col("mass")).alias("r")))
-    rank = seeds.select("host", "kind", F.col("mass").alias("r"))
-    every = (seeds.agg(F.sum("mass")).first()[0] or 0.0) if steps is None else 0.0
-    seen, step = (cut(rank), 0) if steps is None else (rank, 0)
+    every = seeds.agg(F.sum("mass")).first()[0] or 0.0
+    seen = rank = cut(seeds.select("host", "kind", F.col("mass").alias("r")))
+    step = 0
     while steps is None or step < steps:
-        moved = walk.join(rank.withColumnRenamed("host", "src"), ["src", "kind"]).groupBy(F.col("dst").alias("host"), "kind").agg(F.sum(F.col("r") * F.col("w")).alias("r"))
+        moved = walk.join(rank.withColumnRenamed("host", "src"), ["src", "kind"]).select(F.col("dst").alias("host"), "kind", (F.col("r") * F.col("w")).alias("r"))
         rank = moved.union(rest).groupBy("host", "kind").agg(F.sum("r").alias("r"))
-        if step % 4 == 3:
-            rank = cut(rank)
-            if steps is None:
-                both = rank.join(seen.withColumnRenamed("r", "r0"), ["host", "kind"], "full")
-                change, new = both.agg(F.sum(F.abs(F.coalesce("r", F.lit(0.0)) - F.coalesce("r0", F.lit(0.0)))), F.count(F.when(F.col("r0").isNull(), 1))).first()
-                if not new and (change or 0.0) <= TOLERANCE * every:
-                    break
-                seen = rank
         step += 1
+        if step % EVERY == 0 or step == steps:
+            rank = cut(rank)
+            both = rank.join(seen.withColumnRenamed("r", "r0"), ["host", "kind"], "full")
+            change, new = both.agg(F.sum(F.abs(F.coalesce("r", F.lit(0.0)) - F.coalesce("r0", F.lit(0.0)))), F.count(F.when(F.col("r0").isNull(), 1))).first()
+            drop(seen)
+            if steps is None and not new and (change or 0.0) <= TOLERANCE * every:
+                break
+            seen = rank
     part = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("r"))), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(part("trust"), part("distrust"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html", threshold: float = 0.6, steps: int | None = 10) -> DataFrame:
-    """Per row: page_id, host, path, rule, verdict, trust and distrust.  ``steps``
-    None walks until the evidence converges."""
+def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html", threshold: float = 0.6, steps: int | None = None) -> DataFrame:
+    """Per row: page_id, host, path, rule, verdict, trust and distrust, walked
+    until the evidence converges (or for ``steps`` steps)."""
     host, path = host_and_path(F.col(url))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html).alias("_html"))
     ruled = cut(with_rule(urls.drop("_html"), rules))
