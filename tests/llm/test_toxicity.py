@@ -60,6 +60,14 @@ def test_obfuscated_words_score_like_plain_ones():
     assert run("you m0r0n there")[0] == run("you moron there")[0] == run("you МОRОN there")[0] > 0
 
 
+def test_short_and_long_words_count_whole(spark):
+    docs = spark.createDataFrame([(i, f"common text {'zog verylongwordindeedq' if i % 2 else 'zogs verylongwordindeed'} here {i}") for i in range(400)], "doc_id long, text string")
+    lex = tx.learn(docs, docs.selectExpr("doc_id", "int(doc_id % 2) as toxic"))
+    assert set(lex.weights) == {"zog ", "verylongwordindeedq "}
+    run = lex.matcher()
+    assert run("a zog")[1] == run("z0g!")[1] == run("verylongwordindeedq")[1] == 1 and run("zogs")[1] == run("verylongwordindeed")[1] == 0
+
+
 def test_labels_held_out_are_never_read(spark):
     docs = spark.createDataFrame([(i, f"common text {'grimble' if i % 2 else 'fine'} here {i}") for i in range(400)], "doc_id long, text string")
     labels = docs.selectExpr("doc_id", "int(doc_id % 2) as toxic", "1 as quality")

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,6 +100,7 @@ batch 1234 5678 of paper
 """
 
 PIECE = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NUMBERS = re.compile(r"[0-9][0-9 ().\-]*")
 AT = re.compile(r"[\[({] ?at ?[\])}]|\bat ?\)", re.I)
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -324,7 +326,8 @@ def train(table: str = LABELLED, *, copies: int = 3, rounds: int = 80, rate: flo
 
 
 def windows(text: str, numbers: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Merged stretches of three words around digits, ``@`` and ``(at)``."""
+    """Merged stretches of three whole words on both sides of digits, ``@`` and
+    ``(at)``."""
     marks = list(numbers)
     at = text.find("@")
     while at >= 0:
@@ -333,18 +336,18 @@ def windows(text: str, numbers: list[tuple[int, int]]) -> list[tuple[int, int]]:
     if "at" in text or "AT" in text or "At" in text:
         if ")" in text or "]" in text or "}" in text:
             marks += [m.span() for m in AT.finditer(text)]
-    out: list[list[int]] = []
+    if not marks:
+        return []
+    words = [m.span() for m in WORD.finditer(text)]
+    starts = [a for a, _ in words]
+    out: list[list[int]] = []                               # first and last word of each window
     for a, b in sorted(marks):
-        for _ in range(4):                                  # to the left: the own word and three more
-            a = max(text.rfind(" ", 0, max(0, a)), text.rfind("\n", 0, max(0, a)), max(0, a - 60), 0) if a else 0
-        for _ in range(4):
-            nexts = [x for x in (text.find(" ", b + 1, b + 60), text.find("\n", b + 1, b + 60)) if x >= 0]
-            b = min(min(nexts, default=b + 60), len(text))
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+        first, last = max(0, bisect_right(starts, a) - 4), min(len(words), bisect_right(starts, b - 1) + 3) - 1
+        if out and first <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], last)
         else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+            out.append([first, last])
+    return [(words[i][0], words[j][1]) for i, j in out]
 
 
 def crf_spans(crf: Crf, texts: list[str], near: list[list[tuple[int, int]]]) -> list[list[tuple[str, int, int]]]:

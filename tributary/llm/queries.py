@@ -113,21 +113,23 @@ shares AS (
   SELECT source, sum(tokens) AS total, sum(tokens) / (SELECT sum(tokens) FROM counted) AS p FROM counted GROUP BY source),
 warm AS (
   SELECT CASE WHEN max(p) / min(p) <= {max_repeat} THEN 0.0 ELSE 1 - ln({max_repeat}) / ln(max(p) / min(p)) END AS a FROM shares WHERE p > 0),
-scaled AS (SELECT source, total, p, pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, warm) AS w FROM shares, warm),
+scaled AS (
+  SELECT source, total, CASE WHEN p > 0 THEN pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, warm WHERE p > 0) ELSE 0 END AS w FROM shares, warm),
 quota AS (
-  SELECT source, total, w, w * (SELECT max(total / w) FROM scaled) AS tokens_due FROM scaled),
+  SELECT source, total, w, w * (SELECT coalesce(max(total / w), 0) FROM scaled WHERE w > 0) AS tokens_due FROM scaled),
 drawn AS (
   SELECT c.*, q.total, q.w, q.tokens_due, e.epoch,
-         substr(md5('{seed}:' || e.epoch || ':' || c.doc_id), 1, 15) AS place
-  FROM counted c JOIN quota q USING (source), (SELECT unnest(range(1, 1 + CAST(ceil({max_repeat}) AS BIGINT))) AS epoch) e
-  WHERE e.epoch <= ceil(round(q.tokens_due / q.total, 6))),
+         substr(md5('{seed}:' || e.epoch || ':' || coalesce(CAST(c.doc_id AS VARCHAR), '')), 1, 15) AS place
+  FROM counted c JOIN quota q ON c.source IS NOT DISTINCT FROM q.source, (SELECT unnest(range(1, 1 + CAST(ceil({max_repeat}) AS BIGINT))) AS epoch) e
+  WHERE e.epoch = 1 OR (q.total > 0 AND e.epoch <= ceil((q.tokens_due - {mixing.SUB_TOKEN}) / q.total))),
 placed AS (
   SELECT *, (epoch - 1) * total + coalesce(sum(tokens) OVER (
       PARTITION BY source, epoch ORDER BY place, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
   FROM drawn)
-SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, CAST(floor(begins / (w * {block_tokens})) AS BIGINT) AS block, place,
+SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, CAST(CASE WHEN w > 0 THEN floor(begins / (w * {block_tokens})) ELSE 0 END AS BIGINT) AS block, place,
        CAST(tokens AS BIGINT) AS tokens, round(w, 9) AS weight
-FROM placed WHERE begins < tokens_due - 1e-6 * total"""
+FROM placed
+WHERE epoch = 1 OR tokens = 0 OR epoch * total <= tokens_due + {mixing.SUB_TOKEN} OR begins < tokens_due - {mixing.SUB_TOKEN}"""
 
 
 ORACLE: dict[str, str] = {

@@ -4,14 +4,15 @@ Folding: compatibility forms and case go, look-alike letters of other scripts
 and digit or sign substitutions become Latin letters, zero-width characters and
 lone combining marks vanish, accented letters stay (they tell words apart), all
 else is a space.  A lexicon entry is
-the start of a word (at least four letters of it); its weight is the smoothed
+a whole word of any length, or a start of four to eight letters; its weight is the smoothed
 log odds of texts that hold it, toxic against other, in the labelled rows.  An
 occurrence inside an exception phrase does not count.  The sum of weights over
 the words of a text, per thousand words, goes through a logistic curve fitted on
 the same labelled rows: length-normalised, so a long text needs more.
 
 The labelled sample is bounded (``max_toxic`` and ``max_other`` rows, by hash
-of the id); scoring covers every whole text.
+of the id), and so is the lexicon, whose entries occur in at least four toxic
+rows of it; scoring covers every whole text.
 
 Defined results: null and empty texts (and texts without a letter) score as
 zero weight; null ids hash as ''; repeated rows are scored each; labels of
@@ -62,8 +63,9 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def starts(word: str) -> list[str]:
-    return [word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1)]
+def entries(word: str) -> list[str]:
+    """The word itself, closed by a blank, and its starts."""
+    return [word + " ", *(word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1))]
 
 
 class Lexicon:
@@ -133,7 +135,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text: str, max_tox
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", max_toxic: int = 6_000, max_other: int = 14_000,
-          max_entries: int = 5_000, least_share: float = 0.005, least_weight: float = 3.0) -> Lexicon:
+          least_share: float = 0.005, least_weight: float = 3.0) -> Lexicon:
     """Lexicon and curve from labelled rows that are not held out."""
     from tributary.llm.store import cut
 
@@ -145,7 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
         fold, toxic, other = Fold(), Counter(), Counter()
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if y else other).update({s for w in set((t or "").translate(fold).split()) for s in starts(w)})
+                (toxic if y else other).update({s for w in set((t or "").translate(fold).split()) for s in entries(w)})
         keys = list(toxic.keys() | other.keys())
         for i in range(0, len(keys), 100_000):
             k = keys[i:i + 100_000]
@@ -155,8 +157,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
     weight = F.log((F.col("t") + 0.5) / (n1 + 1.0)) - F.log((F.col("o") + 0.5) / (n0 + 1.0))
     found = found.select("entry", "t", weight.alias("w")).filter((F.col("t") >= max(4, least_share * n1)) & (F.col("w") >= least_weight))
     weights: dict[str, float] = {}
-    for entry, _, w in sorted(found.orderBy(F.desc("t"), "entry").limit(max_entries).collect(), key=lambda r: (len(r[0]), r[0])):
-        if not any(weights.get(entry[:k], -1.0) >= w - 0.7 for k in range(SHORTEST, len(entry))):
+    for entry, _, w in sorted(found.collect(), key=lambda r: (len(r[0]), r[0])):
+        if not any(weights.get(entry[:k], -1.0) >= w - 0.7 for k in range(SHORTEST, min(LONGEST + 1, len(entry)))):
             weights[entry] = float(w)                  # a longer start must say more than a shorter one
     lexicon = Lexicon(weights, EXCEPTIONS)
 
