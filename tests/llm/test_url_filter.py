@@ -1,5 +1,6 @@
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -95,6 +96,31 @@ def test_evidence_of_a_far_seed_arrives(spark, tmp_path):
     assert [v for _, v, _ in got] == ["block"] * 27 and all(abs(d - want[i]) < 1e-5 for i, _, d in got)
 
 
+def test_extrapolated_walk_meets_the_plain_one(spark):
+    """Cycles, a hub, chains and leaves: the fixed point of a walk of 400 steps."""
+    rnd = random.Random(3)
+    edges = {(f"c{i}", f"c{(i + 1) % 7}") for i in range(7)} | {("hub", f"l{i}") for i in range(40)} | {(f"l{i}", "hub") for i in range(40)}
+    edges |= {(f"l{rnd.randrange(40)}", f"c{rnd.randrange(7)}") for _ in range(12)} | {(f"s{i}", f"s{i + 1}") for i in range(20)} | {("c3", "s0")}
+    seeds = [("l1", "trust", 3.0), ("c0", "distrust", 2.0), ("alone", "trust", 1.0), ("l9", "distrust", 5.0)]
+    want = {}
+    for kind in ("trust", "distrust"):
+        way = [e if kind == "trust" else e[::-1] for e in edges]
+        out = Counter(a for a, _ in way)
+        start = {h: m for h, k, m in seeds if k == kind}
+        rank = dict(start)
+        for _ in range(400):
+            nxt = Counter({h: 0.15 * m for h, m in start.items()})
+            for a, b in way:
+                if a in rank:
+                    nxt[b] += 0.85 * rank[a] / out[a]
+            rank = nxt
+        want[kind] = rank
+    got = uf.propagate(spark.createDataFrame(sorted(edges), "src string, dst string"), spark.createDataFrame(seeds, "host string, kind string, mass double")).collect()
+    assert {r.host for r in got} == set(want["trust"]) | set(want["distrust"])
+    assert max(abs(r[k] - want[k].get(r.host, 0.0)) for r in got for k in want) < 1e-7
+    assert all((r[k] > 0) == (r.host in want[k]) for r in got for k in want)
+
+
 def test_longest_rule_wins_and_equal_rules_count_once(spark):
     rules = [("a.b", "/", "allow"), ("a.b", "/x", "block"), ("b", "/x/long/path", "allow"), ("a.b", "/", "allow")]
     got = {r[0]: r[3:5] for r in run(spark, [(1, "h://a.b/x/long/path", ""), (2, "h://c.a.b/x", ""), (3, "h://a.b/y", ""), (4, "h://b/y", "")], rules)}
