@@ -29,6 +29,8 @@ without tokens has no share and appears once; extra columns pass through in
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,18 +61,15 @@ def exponent(sources: DataFrame, *, entropy_share: float | None = None, max_repe
     has = sources.filter("p > 0")
 
     def measures(points: list[float]) -> list[tuple[float, float]]:
-        cols = []
-        for k, a in enumerate(points):
-            w = F.pow("p", F.lit(a))
-            cols += [F.sum(w).alias(f"z{k}"), F.sum(w * F.log(w)).alias(f"h{k}")]
-            # budget / tokens of a source = (w / p) / (w / p of the source that is repeated least)
-            cols.append((F.max(F.pow("p", F.lit(a - 1))) / F.min(F.pow("p", F.lit(a - 1)))).alias(f"r{k}"))
-        r = has.agg(F.log(F.count("*")).alias("most"), *cols).first()
-        if not r["z0"]:
+        # the exponents are data, so all passes share one compiled plan
+        at = has.select("p", F.posexplode(F.array(*map(F.lit, points))).alias("k", "a"))
+        w, repeat = F.pow("p", F.col("a")), F.pow("p", F.col("a") - 1)
+        # budget / tokens of a source = (w / p) / (w / p of the source that is repeated least)
+        found = at.groupBy("k").agg(F.sum(w).alias("z"), F.sum(w * F.log(w)).alias("h"), (F.max(repeat) / F.min(repeat)).alias("r"), F.log(F.count("*")).alias("most"))
+        by = {r["k"]: r for r in found.collect()}
+        if not by:
             return [(1.0, 1.0)] * len(points)
-        import math
-
-        return [((math.log(r[f"z{k}"]) - r[f"h{k}"] / r[f"z{k}"]) / (r["most"] or 1.0) if r["most"] else 1.0, r[f"r{k}"]) for k in range(len(points))]
+        return [((math.log(r["z"]) - r["h"] / r["z"]) / r["most"] if r["most"] else 1.0, r["r"]) for r in (by[k] for k in range(len(points)))]
 
     if entropy_share is None and max_repeat is None:
         return 1.0
