@@ -85,6 +85,26 @@ def test_good_documents_stay_at_any_number_of_labels(spark, n_labels):
         assert (~out[[i for i in junk if i in out.index]]).mean() > 0.3
 
 
+def test_every_trusted_document_counts(spark, monkeypatch):
+    """Counts and threshold come from all trusted documents, however many there are."""
+    import math
+    from pyspark.sql import functions as F
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat('w', id % 7) as text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 7 != 0 and doc_id < 29000) as quality")
+    at = {f"w{i}": spark.range(1).select(q.bucket(512, F.lit(f"w{i}"))).first()[0] for i in range(7)}
+    assert len(set(at.values())) == 7
+    n = Counter((r.fold, r.text) for r in docs.join(labels, "doc_id").filter("quality = 1").select(q.fold("doc_id").alias("fold"), "text").collect())
+    got = q.weights(docs, labels, buckets=512, prior=100.0)
+    for k in range(q.FOLDS):
+        others = sum(v for (f, _), v in n.items() if f != k)
+        for w, b in at.items():
+            share = (sum(i % 7 == int(w[1]) for i in range(30_000)) + 1) / (30_000 + 512)
+            own = sum(v for (f, x), v in n.items() if f != k and x == w)
+            assert got[k][b] == pytest.approx(math.log((own + 100 * share) / (others + 100) / share), abs=1e-12)
+    monkeypatch.setattr(q, "MAX_BROADCAST_IDS", 0)
+    assert q.weights(docs, labels, buckets=512, prior=100.0) == got
+
+
 def test_corpus_counts_cover_every_word(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     n = sum(2 * len(w) - 1 for r in docs.collect() if (w := re.findall(r"[^\x20\x09-\x0D]+", r.text or "")))

@@ -14,9 +14,9 @@ documents' own (so held-out) scores if that is lower.  The same document is alwa
 at random.  A base filter comes first (too few words, or words mostly in repeated
 three-word windows).
 
-The corpus counts cover every word of every document.  The trusted counts come
-from a bounded, hash-chosen set of labelled ids (``max_trusted``).  The weights
-are ``buckets`` numbers, whatever the size of the corpus.
+The corpus counts cover every word of every document, the trusted counts and the
+threshold every document of a trusted id.  The weights are ``buckets`` numbers a
+fold, whatever the size of the corpus.
 
 Defined results: a null or empty text has no words, fails the base filter and
 is not kept; its score is 0.  Null ids and repeated rows are kept, one output
@@ -39,6 +39,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 FOLDS = 4
+#: Trusted ids of up to so many (8 bytes each) are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_IDS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -59,40 +61,42 @@ def fold(id_col: str) -> Column:
     return F.pmod(F.xxhash64(F.lit("fold"), F.col(id_col)), F.lit(FOLDS)).cast("int")
 
 
-def gram_counts(docs: DataFrame, id_col: str, text: str, buckets: int, *, folds: bool = False) -> DataFrame:
-    """(b, n): hashed unigrams and bigrams of all texts, with ``folds`` by fold.
-    Each word comes with the next one, and counts are summed per task before the
-    shuffle of at most ``buckets`` rows a task and fold."""
-    by = ["fold", "b"] if folds else ["b"]
+def gram_counts(docs: DataFrame, id_col: str, text: str, buckets: int, *, trusted: str | None = None) -> DataFrame:
+    """(b, n): hashed unigrams and bigrams of all texts, with a boolean column
+    ``trusted`` also ``n0``, ``n1``, ... of its rows of each fold.  Each word comes
+    with the next one, and counts are summed per task before the shuffle of at
+    most ``buckets`` rows a task."""
+    own = [F.when(F.col(f"_row.{trusted}"), fold("doc_id")).alias("fold")] if trusted else []
     pair = F.explode(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, size(w))").alias("z"))).alias("g")
-    grams = with_words(docs, id_col, text).select(*([fold("doc_id").alias("fold")] if folds else []), pair)
+    grams = with_words(docs, id_col, text).select(*own, pair)
     both = F.array(bucket(buckets, F.col("g.a")), F.when(F.col("g.z").isNotNull(), bucket(buckets, F.col("g.a"), F.col("g.z"))))
-    return grams.select(*by[:-1], F.explode(both).alias("b")).filter("b is not null").groupBy(*by).agg(F.count("*").alias("n"))
+    each = [F.count_if(F.col("fold") == k).alias(f"n{k}") for k in range(FOLDS)] if trusted else []
+    return grams.select(*(["fold"] if trusted else []), F.explode(both).alias("b")).filter("b is not null").groupBy("b").agg(F.count("*").alias("n"), *each)
 
 
-def trusted(docs: DataFrame, labels: DataFrame, id_col: str, max_trusted: int) -> DataFrame:
-    """The documents of at most ``max_trusted`` ids with quality 1 (fewer by a
-    tenth, so that a hash share stays below the bound)."""
+def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
+    """(id): all ids with quality 1, once each."""
     good = labels.filter("quality = 1").select(F.col(id_col).alias("id")).filter("id is not null").distinct()
-    share = min(1.0, 0.9 * max_trusted / max(1, good.count()))
-    few = good.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return docs.join(F.broadcast(few), docs[id_col] == few["id"], "left_semi")
+    return F.broadcast(good) if good.count() <= MAX_BROADCAST_IDS else good
 
 
-def weights(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", buckets: int = 10_000, max_trusted: int = 20_000,
-            prior: float = 30_000.0) -> list[list[float]]:
+def weights(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", buckets: int = 10_000, prior: float = 30_000.0) -> list[list[float]]:
     """For each fold, ln(p_trusted / p_corpus) of each bucket with the trusted
     documents of the other folds; zeros where they have none."""
+    return fold_weights(docs, trusted_ids(labels, id_col), id_col, text, buckets, prior)
+
+
+def fold_weights(docs: DataFrame, ids: DataFrame, id_col: str, text: str, buckets: int, prior: float) -> list[list[float]]:
     import math
 
-    good = [[0] * buckets for _ in range(FOLDS)]
-    for r in gram_counts(trusted(docs, labels, id_col, max_trusted), id_col, text, buckets, folds=True).collect():
-        good[r["fold"]][r["b"]] = r["n"]
-    if not any(map(any, good)):
-        return [[0.0] * buckets] * FOLDS
-    every = {r["b"]: r["n"] for r in gram_counts(docs, id_col, text, buckets).collect()}
-    n0 = sum(every.values()) + buckets
-    share = [(every.get(b, 0) + 1.0) / n0 for b in range(buckets)]
+    known = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(ids.withColumn("good", F.lit(True)), "id", "left")
+    every, good = [0] * buckets, [[0] * buckets for _ in range(FOLDS)]
+    for r in gram_counts(known, "id", "text", buckets, trusted="good").collect():
+        every[r["b"]] = r["n"]
+        for k in range(FOLDS):
+            good[k][r["b"]] = r[f"n{k}"]
+    n0 = sum(every) + buckets
+    share = [(n + 1.0) / n0 for n in every]
     out = []
     for k in range(FOLDS):
         others = [sum(good[j][b] for j in range(FOLDS) if j != k) for b in range(buckets)]
@@ -147,10 +151,11 @@ def scored(docs: DataFrame, tables: list[list[float]], id_col: str, text: str, b
 
 
 def judged(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", buckets: int = 10_000,
-           least_score: float = -0.07, max_trusted: int = 20_000, prior: float = 30_000.0) -> DataFrame:
+           least_score: float = -0.07, prior: float = 30_000.0) -> DataFrame:
     """Every row (``_row``) with its measures, base_failed, score and kept."""
-    tables = weights(docs, labels, id_col=id_col, text=text, buckets=buckets, max_trusted=max_trusted, prior=prior)
-    good = scored(trusted(docs, labels, id_col, max_trusted), tables, id_col, text, buckets).filter("not base_failed")
+    ids = trusted_ids(labels, id_col)
+    tables = fold_weights(docs, ids, id_col, text, buckets, prior)
+    good = scored(docs.join(ids, docs[id_col] == ids["id"], "left_semi"), tables, id_col, text, buckets).filter("not base_failed")
     n, mean, spread = good.agg(F.count("score"), F.avg("score"), F.stddev_samp("score")).first()
     least = least_score if n < 2 else min(least_score, mean - 3 * (1 + 5 / n) * spread)
     return scored(docs, tables, id_col, text, buckets).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
