@@ -143,3 +143,25 @@ def test_odd_and_empty_tables(odd_docs, empty_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(ids, key=str) == sorted([None, 1, 2, 3, 4, 5, 7], key=str)              # 6, 8 and the null id copy 5
     assert nd.near_duplicates(empty_docs).count() == 0 and nd.keep_one(empty_docs).count() == 0
+
+
+def test_components_stop_at_stars_and_take_more_links(spark, monkeypatch):
+    """Settled edges are not walked again; chains, rings and repeated links close as before."""
+    kept = []
+    monkeypatch.setattr(nd, "cut", lambda df, cut=nd.cut: kept.append(1) or cut(df))
+    rnd = random.Random(4)
+    chain = [(i, i + 1) for i in range(0, 40)] + [(60 + i, 60 + (i + 1) % 9) for i in range(9)] + [(100, 100)]
+    loose = [(rnd.randrange(200, 400), rnd.randrange(200, 400)) for _ in range(120)]
+    for edges in (chain + chain[:5], loose, [], [(5, i) for i in range(30)]):
+        root = {n: n for e in edges if e[0] != e[1] for n in e}
+        for _ in root:
+            for a, b in edges:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        got = nd.components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert len(got) == len(root) and {r.node: r.comp for r in got} == root
+    kept.clear()
+    star = nd.components(spark.createDataFrame([(0, i) for i in range(1, 30)], "a long, b long"))
+    assert len(kept) == 1
+    both = nd.components(star.selectExpr("node as a", "comp as b").union(spark.createDataFrame([(7, 50), (51, 50)], "a long, b long")))
+    assert {r.node: r.comp for r in both.collect()} == {i: 0 for i in [*range(30), 50, 51]}

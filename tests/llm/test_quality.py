@@ -118,6 +118,13 @@ def test_plan_has_no_python_and_no_join_or_text_shuffle(spark, labels):
     assert not re.search("Python|Pandas|Arrow|Exchange|Join", plan)
 
 
+def test_plan_text_does_not_hold_the_weights(spark):
+    """Spark keeps the text of every plan in the driver's memory."""
+    docs = spark.createDataFrame([(i, f"good words number {i % 7} here") for i in range(30)], "doc_id long, text string")
+    plan = q.judge(docs, docs.selectExpr("doc_id", "1 as quality"))._jdf.queryExecution().toString()
+    assert len(plan) < 100_000
+
+
 def test_odd_and_empty_tables(spark, odd_docs, empty_docs):
     labels = spark.createDataFrame([(5, 1), (5, 1), (None, 1), (3, None), (77, 1), (6, 3)], "doc_id long, quality int")
     for lab in (labels, labels.limit(0)):

@@ -200,31 +200,31 @@ def rare_pairs(apart: DataFrame, texts: DataFrame, *, threshold: float, words: i
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of every node of the edges (a, b); comp is the smallest
     node of its connected component.  Alternates large-star and small-star
-    steps, each a minimum per node (pre-aggregated) and a join, until the edges
-    stay as they are."""
+    steps, each a minimum per node (pre-aggregated) and a join, until every edge
+    goes from a node with no other edge down to its centre."""
+    def rows(*pairs: tuple[str, str], names: tuple[str, str] = ("u", "v")) -> Column:
+        return F.inline(F.array(*[F.struct(F.col(x).alias(names[0]), F.col(y).alias(names[1])) for x, y in pairs]))
+
     def step(e: DataFrame, larger: bool) -> DataFrame:
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else e
+        both = e.select(rows(("u", "v"), ("v", "u"))) if larger else e
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         moved = both.join(low, "u")
         if larger:
             out = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
-            out = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+            out = moved.select(rows(("v", "m"), ("u", "m")))
         return out.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
-    def mark(e: DataFrame):
-        return e.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+    def settled(e: DataFrame) -> bool:
+        ends = e.withColumns({"one": F.lit(1), "none": F.lit(0)}).select(rows(("u", "one"), ("v", "none"), names=("node", "down")))
+        per = ends.groupBy("node").agg(F.sum("down").alias("down"), F.min("down").alias("least"))
+        return per.filter("down > 1 or (down = 1 and least = 0)").count() == 0
 
     e = cut(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = mark(e)
-    while seen[0]:
+    while not settled(e):
         before, e = e, cut(step(step(e, True), False))
         drop(before)
-        now = mark(e)
-        if now == seen:
-            break
-        seen = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    return e.select(rows(("u", "v"), ("v", "v"), names=("node", "comp"))).distinct()
 
 
 def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: int = 128, rows: int = 4, words: int = 5, rounds: int = 3) -> DataFrame:
@@ -238,9 +238,9 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
     shared = cut(bands.join(ends, "band"))
     texts = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(text).alias("node"), F.col(text).alias("text"))
 
-    def check(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        if need.count() <= MAX_BROADCAST_NODES:
+    def check(pairs: DataFrame, n: int) -> DataFrame:
+        need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if 2 * n <= MAX_BROADCAST_NODES or need.count() <= MAX_BROADCAST_NODES:
             need = F.broadcast(need)
         return cut(verify(pairs, texts.join(need, "node", "left_semi").dropDuplicates(["node"]), threshold=threshold, words=words))
 
@@ -249,9 +249,13 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
 
     centre = F.explode(F.array("low", "high"))
     tried = cut(shared.select("node", centre.alias("c")).filter("node != c").select(*ordered(F.col("node"), F.col("c"))).distinct())
-    links = check(tried)
+    links = check(tried, tried.count())
     comps = cut(components(links))
 
+    def joined(more: DataFrame) -> DataFrame:
+        """The components with more links; those so far stand for the links that made them."""
+        return cut(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))
+
     def still_apart() -> DataFrame:
         """(node, comp) of the members of open buckets that were not their centres.
         All pairs with a centre are tried, so the others must be of one component."""
@@ -272,20 +276,21 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
         pairs = members.join(fresh, "band").select("node", "comp", F.explode(F.array("p", "q")).alias("m")).filter("comp != m.cc")
         pairs = cut(pairs.select(*ordered(F.col("node"), F.col("m.c"))).distinct().join(tried, ["a", "b"], "left_anti"))
         drop(members)
-        if pairs.isEmpty():
+        n = pairs.count()
+        if not n:
             break
-        more = check(pairs)
+        more = check(pairs, n)
         tried = tried.union(pairs)
         if more.isEmpty():
             break
         links = links.union(more)
-        comps = cut(components(links))
+        comps = joined(more)
         apart = still_apart()
     if apart.isEmpty():
         return comps
     pairs = cut(rare_pairs(apart, texts, threshold=threshold, words=words).join(tried, ["a", "b"], "left_anti"))
-    more = check(pairs)
-    return comps if more.isEmpty() else cut(components(links.union(more)))
+    more = check(pairs, pairs.count())
+    return comps if more.isEmpty() else joined(more)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -138,12 +138,12 @@ def scored(docs: DataFrame, tables: list[list[float]], id_col: str, text: str, b
     rows = measured(docs, id_col, text)
     one = F.transform("w", lambda a: bucket(buckets, a))
     two = F.zip_with(F.expr("slice(w, 1, greatest(size(w) - 1, 0))"), F.expr("slice(w, 2, size(w))"), lambda a, z: bucket(buckets, a, z))
-    # each fold's weights stand in the plan once; a row reads those of its own fold
-    total = F.lit(0.0)
-    for k, t in enumerate(tables):
-        table = F.split(F.lit(",".join(map(repr, t))), ",").cast("array<double>")
-        total = F.when(fold("doc_id") == k, F.aggregate(F.concat(one, two), F.lit(0.0), lambda s, b: s + F.get(table, b))).otherwise(total)
-    rows = rows.withColumn("score", F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(0.0)).drop("w")
+    # a subquery gives the weights: written into the plan, they would stand in the text that Spark keeps
+    # of every plan.  A row reads those of its own fold
+    table = docs.sparkSession.createDataFrame([(tables,)], "t array<array<double>>")
+    rows = rows.withColumn("own", F.get(table.scalar(), fold("doc_id")))
+    total = F.aggregate(F.concat(one, two), F.lit(0.0), lambda s, b: s + F.get("own", b))
+    rows = rows.withColumn("score", F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(0.0)).drop("w", "own")
     # no filter moves below a row number that is used: without it Catalyst pushes a caller's filter
     # below the projections and computes the measures again in every condition
     rows = rows.withColumn("_nth", F.monotonically_increasing_id()).filter("_nth >= 0").drop("_nth")
