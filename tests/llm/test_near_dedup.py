@@ -165,3 +165,37 @@ def test_components_stop_at_stars_and_take_more_links(spark, monkeypatch):
     assert len(kept) == 1
     both = nd.components(star.selectExpr("node as a", "comp as b").union(spark.createDataFrame([(7, 50), (51, 50)], "a long, b long")))
     assert {r.node: r.comp for r in both.collect()} == {i: 0 for i in [*range(30), 50, 51]}
+
+
+def test_texts_with_a_common_passage_are_fetched_only_where_they_can_be_near(spark, monkeypatch):
+    """Texts that meet in many buckets without being near: no text of a pair ruled out by size and parity bits moves."""
+    fetched = []
+    monkeypatch.setattr(nd, "verify", lambda pairs, *a, verify=nd.verify, **k: fetched.append(pairs.count()) or verify(pairs, *a, **k))
+    passage, rows = [f"p{i}" for i in range(80)], []
+    for k in range(300):                      # 0.655 to each other
+        rows.append((k, " ".join([*passage, *(f"o{k}_{i}" for i in range(20))])))
+    rows += [(300 + k, rows[k][1] + " end") for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((r.doc_id, r.class_id) for r in nd.near_duplicates(df).collect()) == sorted(brute_classes(rows))
+    assert 10 <= sum(fetched) <= len(rows)
+
+
+def test_no_near_pair_is_ruled_out(spark):
+    """Repeated shingles, texts longer than the bits, one shingle: every pair of 0.8 or more stays."""
+    rnd, rows = random.Random(11), ["one", "one two three", "one two three four five", " ".join(["again"] * 50), " ".join(["again"] * 500)]
+    for size in (6, 20, 60, 300, 3000):
+        base = [f"s{size}_{rnd.randrange(10 * size)}" for _ in range(size)]
+        for k in range(8):
+            w = list(base)
+            for _ in range(rnd.randrange(0, 1 + size // 25)):
+                w[rnd.randrange(size)] = f"x{rnd.random()}"
+            rows += [" ".join(w), " ".join(w + w[:size // 2] * (k % 3)), " ".join(w[:size - size // 9])]
+    rows = sorted(set(rows))
+    sig = nd.with_bands(spark.createDataFrame([(t,) for t in rows], "text string"), "text", k=16, rows=4, words=5).localCheckpoint()
+    node = {r.text: r.node for r in spark.createDataFrame([(t,) for t in rows], "text string").selectExpr("text", "xxhash64(text) as node").collect()}
+    sets = {node[t]: grams(t) for t in rows}
+    assert {r.node: r.size for r in sig.collect()} == {n: len(s) for n, s in sets.items()}
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    near = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9}
+    kept = {(r.a, r.b) for r in nd.likely(spark.createDataFrame(pairs, "a long, b long"), sig, threshold=0.8).collect()}
+    assert near and near <= kept and len(kept) < len(pairs) / 2

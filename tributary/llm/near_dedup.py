@@ -10,8 +10,9 @@ fills the ``k`` coordinates in about ``shingles + k ln k`` darts; a text with
 an empty coordinate is thrown again to twice that rank.
 
 Bands of ``rows`` coordinates name buckets.  In each bucket every member is
-linked to two centres (smallest and largest node), links are verified on the
-whole texts, and verified links are closed into components.  A bucket is open
+linked to two centres (smallest and largest node).  The pairs that a bound on
+their similarity does not rule out (``likely``: sizes and 512 bits a text) are
+verified on the whole texts, and verified links are closed into components.  A bucket is open
 while its other members are of several components.  Members of open buckets
 meet again in narrower buckets (two bands together) around fresh centres, for
 up to ``rounds`` draws of O(m) pairs for m members: this joins large groups
@@ -46,6 +47,8 @@ MAX_BROADCAST_NODES = 1_000_000
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 #: Slots that count shingles for the order of the prefix filter.
 SLOTS = 1 << 20
+#: 64-bit words of the parity bits of a text.
+PARITY = 8
 
 
 def throw(x: np.ndarray, doc: np.ndarray, reach: np.ndarray, k: int, out: np.ndarray) -> None:
@@ -91,9 +94,25 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parities(x: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of different elements of each of ``n`` sets, and ``64 * PARITY``
+    bits: whether an odd number of them fall on the bit."""
+    order = np.lexsort((x, doc))
+    x, doc = x[order], doc[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (doc[1:] != doc[:-1])
+    x, doc = x[new], doc[new]
+    bits = np.zeros((n, PARITY), np.uint64)
+    np.bitwise_xor.at(bits.reshape(-1), doc * PARITY + ((x >> U(6)) % U(PARITY)).astype(np.int64), U(1) << (x & U(63)))
+    return np.bincount(doc, minlength=n), bits
+
+
 def with_bands(docs: DataFrame, text: str, *, k: int, rows: int, words: int) -> DataFrame:
-    """``node`` (hash of the text) and ``bands`` of every row whose text has a
-    word."""
+    """``node`` (hash of the text), ``bands``, ``size`` (different shingles) and
+    ``parity`` bits of every row whose text has a word."""
+    def lists(a: np.ndarray) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1, dtype=np.int32) * a.shape[1]), pa.array(a.reshape(-1)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Words()
         for batch in batches:
@@ -103,14 +122,27 @@ def with_bands(docs: DataFrame, text: str, *, k: int, rows: int, words: int) ->
                 o = offs[i:j + 1]
                 x, doc = shingles(*[(v[0], v[3]) for v in [split.split(buf, o)]][0], words)
                 sig = signatures(x, doc, j - i, k)
-                has = np.flatnonzero(np.bincount(doc, minlength=j - i) > 0)
-                keys = band_keys(sig[has], rows)
+                size, bits = parities(x, doc, j - i)
+                has = np.flatnonzero(size > 0)
                 yield pa.RecordBatch.from_arrays([
-                    node.slice(i, j - i).take(pa.array(has)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(has) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1))),
-                ], ["node", "bands"])
+                    node.slice(i, j - i).take(pa.array(has)), lists(band_keys(sig[has], rows)),
+                    pa.array(size[has].astype(np.int32)), lists(bits[has].view(np.int64)),
+                ], ["node", "bands", "size", "parity"])
+
+    return docs.filter(F.col(text).isNotNull()).select(text, F.xxhash64(text).alias("node")).mapInArrow(run, "node bigint, bands array<bigint>, size int, parity array<bigint>")
 
-    return docs.filter(F.col(text).isNotNull()).select(text, F.xxhash64(text).alias("node")).mapInArrow(run, "node bigint, bands array<bigint>")
+
+def likely(pairs: DataFrame, sig: DataFrame, *, threshold: float) -> DataFrame:
+    """The pairs (a, b) that can have at least that Jaccard similarity, by size
+    and parity bits.  Two sets of sizes n and m that reach it differ in at most
+    ``(1 - t) / (1 + t) * (n + m)`` elements, and a bit differs only if an odd
+    number of those fall on it: no such pair is ever ruled out."""
+    bits = sig.select("node", "size", "parity")
+    for side in ("a", "b"):
+        pairs = pairs.join(bits.toDF(side, f"size_{side}", f"parity_{side}"), side)
+    apart = sum((F.bit_count(F.get("parity_a", F.lit(i)).bitwiseXOR(F.get("parity_b", F.lit(i)))) for i in range(PARITY)), F.lit(0))
+    near = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b") - 1e-6
+    return pairs.filter(near & (apart <= (1 - threshold) / (1 + threshold) * (F.col("size_a") + F.col("size_b")) + 1e-6)).select("a", "b")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, *, threshold: float, words: int) -> DataFrame:
@@ -238,7 +270,9 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
     shared = cut(bands.join(ends, "band"))
     texts = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(text).alias("node"), F.col(text).alias("text"))
 
-    def check(pairs: DataFrame, n: int) -> DataFrame:
+    def check(pairs: DataFrame) -> DataFrame:
+        pairs = cut(likely(pairs, sig, threshold=threshold))
+        n = pairs.count()
         need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         if 2 * n <= MAX_BROADCAST_NODES or need.count() <= MAX_BROADCAST_NODES:
             need = F.broadcast(need)
@@ -249,7 +283,7 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
 
     centre = F.explode(F.array("low", "high"))
     tried = cut(shared.select("node", centre.alias("c")).filter("node != c").select(*ordered(F.col("node"), F.col("c"))).distinct())
-    links = check(tried, tried.count())
+    links = check(tried)
     comps = cut(components(links))
 
     def joined(more: DataFrame) -> DataFrame:
@@ -276,10 +310,9 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
         pairs = members.join(fresh, "band").select("node", "comp", F.explode(F.array("p", "q")).alias("m")).filter("comp != m.cc")
         pairs = cut(pairs.select(*ordered(F.col("node"), F.col("m.c"))).distinct().join(tried, ["a", "b"], "left_anti"))
         drop(members)
-        n = pairs.count()
-        if not n:
+        if pairs.isEmpty():
             break
-        more = check(pairs, n)
+        more = check(pairs)
         tried = tried.union(pairs)
         if more.isEmpty():
             break
@@ -289,7 +322,7 @@ def groups(docs: DataFrame, text: str = "text", *, threshold: float = 0.8, k: in
     if apart.isEmpty():
         return comps
     pairs = cut(rare_pairs(apart, texts, threshold=threshold, words=words).join(tried, ["a", "b"], "left_anti"))
-    more = check(pairs, pairs.count())
+    more = check(pairs)
     return comps if more.isEmpty() else joined(more)
 
 
